@@ -36,6 +36,7 @@ LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qua
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                   "l_shipdate"]
 LINEITEM_FIELDS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+STORE_BATCH_ROWS = 1000                      # batchSize: rows per store file
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -231,6 +232,66 @@ def wide_points(spark, sf_dir):
     return P.to_wide(lineitem_points(spark, sf_dir), LINEITEM_FIELDS, order=LINEITEM_ORDER)
 
 
+# --------------------------------------------------------------------------- store, streams
+
+
+def _store_events(spark, sf_dir, bucket="events_bucket"):
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    root = scratch_path(spark, "store")
+    store.write_points(events_points(spark, sf_dir), root, bucket, batch_size=STORE_BATCH_ROWS)
+    return root, bucket
+
+
+def store_roundtrip(spark, sf_dir):
+    """Points written to a fresh store in the shared folder and read back."""
+    from chronoline.sources import store
+    root, bucket = _store_events(spark, sf_dir)
+    return (store.read_points(spark, root, bucket, "events")
+            .select("series_key", "field", "value_double", "time_ns"))
+
+
+def store_range_scan(spark, sf_dir):
+    """The time-range scan on the store: partition (measurement, day) and
+    row-group (time_ns) pruning."""
+    from chronoline.sources import store
+    root, bucket = _store_events(spark, sf_dir)
+    return (store.read_points(spark, root, bucket, "events", RANGE_START_NS, RANGE_STOP_NS)
+            .select("series_key", "field", "value_double", "time_ns"))
+
+
+def stream_read_drain(spark, sf_dir):
+    """The cursor source drained with availableNow into Parquet, read back as lines."""
+    from chronoline.session import scratch_path
+    from chronoline.streaming.source import read_stream
+    root, bucket = _store_events(spark, sf_dir)
+    out, ck = scratch_path(spark, "drain-out"), scratch_path(spark, "drain-ck")
+    q = (read_stream(spark, root, bucket, "events", output="lines", mode="compat")
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(out)
+
+
+def stream_write_drain(spark, sf_dir):
+    """Line files streamed through the sink into a store, read back as points."""
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    from chronoline.streaming.sink import write_stream
+    lines_dir = scratch_path(spark, "lines")
+    codec.encode_lines(events_points(spark, sf_dir), "safe").write.text(lines_dir)
+    root, ck = scratch_path(spark, "sink-store"), scratch_path(spark, "sink-ck")
+    src = spark.readStream.schema("value STRING").text(lines_dir)
+    q = write_stream(src, root, "events_bucket", ck, trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return (store.read_points(spark, root, "events_bucket", "events")
+            .select("series_key", "field", "value_double", "time_ns"))
+
+
 QUERIES = {
     "range_scan": range_scan,
     "first_last_time": first_last_time,
@@ -257,6 +318,10 @@ QUERIES = {
     "to_zone": to_zone,
     "upsert_latest": upsert_latest,
     "wide_points": wide_points,
+    "store_roundtrip": store_roundtrip,
+    "store_range_scan": store_range_scan,
+    "stream_read_drain": stream_read_drain,
+    "stream_write_drain": stream_write_drain,
 }
 
 

@@ -192,3 +192,9 @@ ORACLE_SQL["flagship"] = f"""
         SELECT k AS series_key, 'value' AS field, count(*) AS n_records,
                min(t) AS first_ns, max(t) AS last_ns
         FROM {EV} WHERE t >= {A} AND t < {B} GROUP BY k"""
+
+ORACLE_SQL["store_roundtrip"] = f"""
+        SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}"""
+ORACLE_SQL["store_range_scan"] = ORACLE_SQL["range_scan"]
+ORACLE_SQL["stream_read_drain"] = ORACLE_SQL["encode_compat"]
+ORACLE_SQL["stream_write_drain"] = ORACLE_SQL["store_roundtrip"]
