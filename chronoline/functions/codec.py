@@ -45,6 +45,14 @@ _MEAS = r"(?:[^, \\]++|\\.)++"
 _FVAL = r"(?:\"(?:[^\"\\]++|\\.)*+\"|[^,\" ]++)"
 LINE_RE = (r"(?s)^(" + _MEAS + r")((?:," + _NAME + "=" + _NAME + r")*+) ("
            + _NAME + "=" + _FVAL + r"(?:," + _NAME + "=" + _FVAL + r")*+)(?: (-?\d+))?$")
+# Strict field value: quoted string, integer, unsigned, boolean, float (longest
+# spellings first: the repeated field group is atomic).
+_FVAL_STRICT = (r"(?:\"(?:[^\"\\]++|\\.)*+\"|[+-]?\d++i|\d++u"
+                r"|true|True|TRUE|t|T|false|False|FALSE|f|F"
+                r"|[+-]?(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+)")
+LINE_RE_STRICT = (r"(?s)^(" + _MEAS + r")((?:," + _NAME + "=" + _NAME + r")*+) ("
+                  + _NAME + "=" + _FVAL_STRICT + r"(?:," + _NAME + "=" + _FVAL_STRICT
+                  + r")*+)(?: (-?\d+))?$")
 _TAG_PAIR_RE = r"(?s),(" + _NAME + ")=(" + _NAME + ")"
 _FIELD_PAIR_RE = r"(?s)(?:^|,)(" + _NAME + ")=(" + _FVAL + ")"
 _LONG_RE = r"^[+-]?\d+i$"
@@ -71,17 +79,31 @@ def _col(c) -> Column:
 # --------------------------------------------------------------------------- escaping
 
 
+def _any_of(c: Column, chars: str) -> Column:
+    cond = F.lit(False)
+    for ch in chars:
+        cond = cond | c.contains(ch)
+    return cond
+
+
+def _escape(c, chars: str, pattern: str) -> Column:
+    # Plain substring tests first (codegen, no regex); the regex only runs on
+    # the rare text that holds a character to escape.
+    c = _col(c)
+    return F.when(_any_of(c, chars), F.regexp_replace(c, pattern, r"\\$1")).otherwise(c)
+
+
 def escape_measurement(c) -> Column:
-    return F.regexp_replace(_col(c), _ESC_MEAS, r"\\$1")
+    return _escape(c, ", \\", _ESC_MEAS)
 
 
 def escape_name(c) -> Column:
     """Escape a tag key, tag value or field key."""
-    return F.regexp_replace(_col(c), _ESC_NAME, r"\\$1")
+    return _escape(c, ",= \\", _ESC_NAME)
 
 
 def escape_string_value(c) -> Column:
-    return F.regexp_replace(_col(c), _ESC_STR, r"\\$1")
+    return _escape(c, '"\\', _ESC_STR)
 
 
 def unescape_name(c) -> Column:
@@ -175,10 +197,16 @@ def encode_lines(points: DataFrame, mode: str = "safe", keep: list[str] | None =
     A narrow projection: no shuffle, runs where the points are.
     """
     keep = list(keep or [])
-    out = points.select(line_column(mode).alias("value"), *keep)
     if mode == "safe":
-        out = out.where(F.col("value").isNotNull())
-    return out
+        # A point has a line iff it has a value (and a key and a time); testing the
+        # inputs keeps the line from being built twice by a pushed-down filter.
+        d = F.col("value_double")
+        has_value = ((d.isNotNull() & ~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))))
+                     | F.col("value_long").isNotNull() | F.col("value_bool").isNotNull()
+                     | F.col("value_string").isNotNull())
+        points = points.where(has_value & F.col("series_key").isNotNull()
+                              & F.col("field").isNotNull() & F.col("time_ns").isNotNull())
+    return points.select(line_column(mode).alias("value"), *keep)
 
 
 def encode_wide_lines(points: DataFrame, mode: str = "safe") -> DataFrame:
@@ -223,23 +251,55 @@ def _text_of(df: DataFrame, column: str) -> Column:
                      f"{column} must be a(n) string or binary")
 
 
-def _value_ok(v: Column, compat: bool) -> Column:
-    if compat:
-        return F.lit(True)
-    is_int = v.rlike(_LONG_RE) | v.rlike(_ULONG_RE)
-    int_ok = F.regexp_replace(v, "[iu]$", "").try_cast("bigint").isNotNull()
-    return (F.substring(v, 1, 1) == '"') | (is_int & int_ok) | v.rlike(_TRUE_RE) \
-        | v.rlike(_FALSE_RE) | v.rlike(_FLOAT_RE)
+# Boolean spellings of line protocol.
+_TRUE_WORDS = ["t", "T", "true", "True", "TRUE"]
+_FALSE_WORDS = ["f", "F", "false", "False", "FALSE"]
+# Sentinel that joins the four parts of a matched line into one string; a line
+# that already holds it takes the exact (slower) per-group path instead.
+_SEP = "\uffff"
+
+
+def _value_kind(v: Column, compat: bool) -> Column:
+    """Type code of a raw field value: ``s`` quoted string, ``l`` integer, ``t``/``f``
+    boolean, ``d`` float, ``x`` anything else (a string in compat mode).
+
+    In strict mode the line regex has already checked the value's grammar, so
+    the first and last characters decide without any regex."""
+    first = F.substring(v, 1, 1)
+    last = F.substring(v, -1, 1)
+    if not compat:
+        return (F.when(first == '"', F.lit("s"))
+                .when(last.isin("i", "u"), F.lit("l"))
+                .when(v.isin(*_TRUE_WORDS), F.lit("t"))
+                .when(v.isin(*_FALSE_WORDS), F.lit("f"))
+                .otherwise(F.lit("d")))
+    int_text = F.substring(v, F.lit(1), F.length(v) - 1)
+    int_ok = ((last == "i") & v.rlike(_LONG_RE)) | ((last == "u") & v.rlike(_ULONG_RE))
+    return (F.when((first == '"') & (last == '"') & (F.length(v) >= 2), F.lit("s"))
+            .when(int_ok & int_text.try_cast("bigint").isNotNull(), F.lit("l"))
+            .when(v.isin(*_TRUE_WORDS), F.lit("t"))
+            .when(v.isin(*_FALSE_WORDS), F.lit("f"))
+            .when(v.rlike(_FLOAT_RE), F.lit("d"))
+            .otherwise(F.lit("x")))
+
+
+def _unescaped(arr: str, has_bs: Column) -> Column:
+    """Unescape every name of an array column, skipped for lines without a backslash."""
+    return F.when(has_bs, F.transform(arr, unescape_name)).otherwise(F.col(arr))
 
 
 def parse_lines(df: DataFrame, column: str = "value", default_time_ns=None,
                 compat: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Split each line into its parts and a ``_reason`` (null for a good line).
 
-    Output columns: ``_line, _m, _tk, _tv, _fk, _fv, _time, _reason`` plus ``keep``.
-    Narrow: no shuffle.  ``default_time_ns`` (int or Column) is the time of lines
-    without one; by default the query's ``current_timestamp()``, which Spark fixes
-    once per query (per micro-batch in a stream).
+    Output columns: ``_line, _m, _tk, _tv, _fk, _fv, _key, _time, _reason`` plus
+    ``keep``.  Narrow: no shuffle.  Per line, one full-line regex pass (its four
+    groups joined by a sentinel and split) that also checks every value's type,
+    then short passes over the tag and field sets.  Higher-order functions only
+    run for the rare lines that need them (backslash escapes, unsorted tags,
+    19-digit integers).  ``default_time_ns`` (int or Column) is the time of lines
+    without one; by default the query's ``current_timestamp()``, which Spark
+    fixes once per query (per micro-batch in a stream).
     """
     keep = list(keep or [])
     line = _text_of(df, column)
@@ -249,90 +309,102 @@ def parse_lines(df: DataFrame, column: str = "value", default_time_ns=None,
         default_time = default_time_ns.cast("bigint")
     else:
         default_time = F.lit(int(default_time_ns)).cast("bigint")
+    line_re = LINE_RE if compat else LINE_RE_STRICT
     base = df.select(line.alias("_line"), *keep)
-    ok = F.col("_line").rlike(LINE_RE)
-    parts = base.select(
-        "_line", *keep, ok.alias("_ok"),
-        F.regexp_extract("_line", LINE_RE, 1).alias("_m"),
-        F.regexp_extract("_line", LINE_RE, 2).alias("_tags"),
-        F.regexp_extract("_line", LINE_RE, 3).alias("_fields"),
-        F.regexp_extract("_line", LINE_RE, 4).alias("_t"),
-    )
-    split = parts.select(
-        "_line", *keep, "_ok", "_m", "_t",
-        F.regexp_extract_all("_tags", F.lit(_TAG_PAIR_RE), 1).alias("_tk"),
-        F.regexp_extract_all("_tags", F.lit(_TAG_PAIR_RE), 2).alias("_tv"),
-        F.regexp_extract_all("_fields", F.lit(_FIELD_PAIR_RE), 1).alias("_fk"),
-        F.regexp_extract_all("_fields", F.lit(_FIELD_PAIR_RE), 2).alias("_fv"),
-    )
-    tk = F.transform("_tk", unescape_name)
-    fk = F.transform("_fk", unescape_name)
+    joined = F.regexp_replace("_line", line_re, f"$1{_SEP}$2{_SEP}$3{_SEP}$4")
+    s1 = base.select("_line", *keep,
+                     F.when(F.col("_line").contains(_SEP), F.lit(None).cast("array<string>"))
+                     .otherwise(F.split(joined, _SEP)).alias("_parts"))
+    slow = F.col("_parts").isNull()
+
+    def group(i: int) -> Column:
+        return F.when(slow, F.regexp_extract("_line", line_re, i)).otherwise(
+            F.coalesce(F.get(F.col("_parts"), i - 1), F.lit("")))
+
+    s2 = s1.select(
+        "_line", *keep,
+        F.when(slow, F.col("_line").rlike(line_re)).otherwise(F.size("_parts") == 4).alias("_ok"),
+        group(1).alias("_mr"), group(2).alias("_tags"), group(3).alias("_fields"),
+        group(4).alias("_t"),
+        F.col("_line").contains("\\").alias("_bs"))
+    s3 = s2.select(
+        "_line", *keep, "_ok", "_mr", "_tags", "_fields", "_t", "_bs",
+        F.regexp_extract_all("_tags", F.lit(_TAG_PAIR_RE), 1).alias("_tkr"),
+        F.regexp_extract_all("_tags", F.lit(_TAG_PAIR_RE), 2).alias("_tvr"),
+        F.regexp_extract_all("_fields", F.lit(_FIELD_PAIR_RE), 1).alias("_fkr"),
+        F.regexp_extract_all("_fields", F.lit(_FIELD_PAIR_RE), 2).alias("_fv"))
+    # The line's own text is the canonical series key when its tags are sorted
+    # and nothing is escaped (the common case); otherwise it is rebuilt.
+    fast_key = F.when(~F.col("_bs") & (F.col("_tkr") == F.sort_array("_tkr")),
+                      F.concat("_mr", "_tags"))
+    s4 = s3.select(
+        "_line", *keep, "_ok", "_t", "_fv", "_fields",
+        F.when(F.col("_bs"), unescape_name("_mr")).otherwise(F.col("_mr")).alias("_m"),
+        _unescaped("_tkr", F.col("_bs")).alias("_tk"),
+        _unescaped("_tvr", F.col("_bs")).alias("_tv"),
+        _unescaped("_fkr", F.col("_bs")).alias("_fk"),
+        fast_key.alias("_key"))
     time_val = F.when(F.col("_t") == "", default_time).otherwise(F.col("_t").try_cast("bigint"))
-    trimmed = F.trim(F.col("_line"))
+    if compat:
+        not_ok = F.lit("syntax")
+        big_int_bad = F.lit(False)
+    else:
+        not_ok = F.when(F.col("_line").rlike(LINE_RE), F.lit("bad value")).otherwise(F.lit("syntax"))
+        big_int_bad = F.col("_fields").rlike(r"\d{19}") & F.exists(
+            "_fv", lambda v: F.substring(v, -1, 1).isin("i", "u")
+            & F.substring(v, F.lit(1), F.length(v) - 1).try_cast("bigint").isNull())
     reason = (F.when(F.col("_line").isNull(), F.lit("null"))
-              .when(trimmed == "", F.lit("empty"))
+              .when(F.trim(F.col("_line")) == "", F.lit("empty"))
               .when(F.col("_line").startswith("#"), F.lit("comment"))
-              .when(~F.col("_ok"), F.lit("syntax"))
-              .when(F.size(F.array_distinct(tk)) < F.size(tk), F.lit("duplicate tag key"))
-              .when(F.size(F.array_distinct(fk)) < F.size(fk), F.lit("duplicate field key"))
-              .when(~F.forall("_fv", lambda v: _value_ok(v, compat)), F.lit("bad value"))
+              .when(~F.col("_ok"), not_ok)
+              .when(F.size(F.array_distinct("_tk")) < F.size("_tk"), F.lit("duplicate tag key"))
+              .when(F.size(F.array_distinct("_fk")) < F.size("_fk"), F.lit("duplicate field key"))
+              .when(big_int_bad, F.lit("bad value"))
               .when((F.col("_t") != "") & F.col("_t").try_cast("bigint").isNull(),
                     F.lit("time out of range")))
-    return split.select(
-        "_line", *keep,
-        unescape_name("_m").alias("_m"),
-        tk.alias("_tk"),
-        F.transform("_tv", unescape_name).alias("_tv"),
-        fk.alias("_fk"), "_fv",
-        time_val.alias("_time"),
-        reason.alias("_reason"),
-    )
+    return s4.select("_line", *keep, "_m", "_tk", "_tv", "_fk", "_fv", "_key",
+                     time_val.alias("_time"), reason.alias("_reason"))
 
 
 def points_from_parsed(parsed: DataFrame, keep: list[str] | None = None,
                        compat: bool = False) -> DataFrame:
-    """Good rows of :func:`parse_lines` -> long points (one row per field)."""
+    """Good rows of :func:`parse_lines` -> long points (one row per field).
+
+    Bad lines are dropped by exploding a null field array rather than by a
+    filter, so Catalyst has no predicate to push below (and recompute) the
+    parse."""
     keep = list(keep or [])
-    tags_sorted = F.array_sort(F.arrays_zip(F.col("_tk").alias("k"), F.col("_tv").alias("v")))
-    good = parsed.where(F.col("_reason").isNull()).select(
-        "_m", "_time", *keep,
-        tags_sorted.alias("_tags"),
-        F.arrays_zip(F.col("_fk"), F.col("_fv")).alias("_fs"),
-    )
-    key = F.concat(
+    slow_key = F.concat(
         escape_measurement("_m"),
-        F.array_join(F.transform("_tags", lambda e: F.concat(
-            F.lit(","), escape_name(e["k"]), F.lit("="), escape_name(e["v"]))), ""))
-    exploded = good.select(
+        F.array_join(F.transform(
+            F.sort_array(F.arrays_zip(F.col("_tk").alias("k"), F.col("_tv").alias("v"))),
+            lambda e: F.concat(F.lit(","), escape_name(e["k"]), F.lit("="),
+                               escape_name(e["v"]))), ""))
+    exploded = parsed.select(
         F.col("_m").alias("measurement"),
-        F.map_from_entries("_tags").alias("tags"),
-        key.alias("series_key"),
+        F.map_from_arrays("_tk", "_tv").alias("tags"),
+        F.coalesce(F.col("_key"), slow_key).alias("series_key"),
         F.col("_time").alias("time_ns"),
         *keep,
-        F.explode("_fs").alias("_f"),
-    )
-    return exploded.select(
-        "measurement", "tags", F.col("_f._fk").alias("field"),
-        *_typed_values_from(F.col("_f._fv"), compat),
-        "time_ns", "series_key", *keep,
+        F.explode(F.when(F.col("_reason").isNull(), F.arrays_zip(F.col("_fk"), F.col("_fv"))))
+        .alias("_f"),
     )
+    typed = exploded.select(
+        "measurement", "tags", F.col("_f._fk").alias("field"), F.col("_f._fv").alias("_raw"),
+        "time_ns", "series_key", *keep)
+    typed = typed.select("*", _value_kind(F.col("_raw"), compat).alias("_kind"))
+    return typed.select(
+        "measurement", "tags", "field", *_typed_values_from(F.col("_raw"), F.col("_kind")),
+        "time_ns", "series_key", *keep)
 
 
-def _typed_values_from(raw: Column, compat: bool) -> list[Column]:
-    quoted = F.substring(raw, 1, 1) == '"'
-    is_long = raw.rlike(_LONG_RE) | raw.rlike(_ULONG_RE)
-    is_true = raw.rlike(_TRUE_RE)
-    is_false = raw.rlike(_FALSE_RE)
-    is_float = raw.rlike(_FLOAT_RE)
+def _typed_values_from(raw: Column, kind: Column) -> list[Column]:
     inner = F.substring(raw, F.lit(2), F.length(raw) - 2)
-    v_double = F.when(~quoted & ~is_long & is_float, raw.try_cast("double"))
-    v_long = F.when(~quoted & is_long, F.regexp_replace(raw, "[iu]$", "").try_cast("bigint"))
-    v_bool = F.when(~quoted & is_true, F.lit(True)).when(~quoted & is_false, F.lit(False))
-    if compat:
-        other = ~quoted & ~is_long & ~is_true & ~is_false & ~is_float
-        v_str = F.when(quoted, unescape_string_value(inner)).when(other, raw)
-    else:
-        v_str = F.when(quoted, unescape_string_value(inner))
+    v_double = F.when(kind == "d", raw.try_cast("double"))
+    v_long = F.when(kind == "l", F.substring(raw, F.lit(1), F.length(raw) - 1).try_cast("bigint"))
+    v_bool = F.when(kind == "t", F.lit(True)).when(kind == "f", F.lit(False))
+    v_str = F.when(kind == "s", F.when(raw.contains("\\"), unescape_string_value(inner))
+                   .otherwise(inner)).when(kind == "x", raw)
     return [v_double.alias("value_double"), v_long.alias("value_long"),
             v_bool.alias("value_bool"), v_str.alias("value_string")]
 
@@ -351,5 +423,7 @@ def bad_lines(df: DataFrame, column: str = "value", compat: bool = False,
     duplicate tag key, duplicate field key, bad value, time out of range."""
     keep = list(keep or [])
     parsed = parse_lines(df, column, F.lit(0), compat, keep)
-    return parsed.where(F.col("_reason").isNotNull()).select(
-        F.col("_line").alias("value"), F.col("_reason").alias("reason"), *keep)
+    rec = F.struct(F.col("_line").alias("value"), F.col("_reason").alias("reason"),
+                   *[F.col(k) for k in keep])
+    return (parsed.select(F.explode(F.when(F.col("_reason").isNotNull(), F.array(rec))).alias("_b"))
+            .select("_b.*"))

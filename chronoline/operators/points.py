@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, FloatType,
-                               IntegerType, LongType, ShortType, StringType)
+                               IntegerType, LongType, ShortType, StringType, TimestampNTZType,
+                               TimestampType)
 
 from chronoline.functions.codec import POINT_COLUMNS, VALUE_COLUMNS, series_key_from_columns
 from chronoline.functions.nanos import ns_of
@@ -40,14 +41,48 @@ def _typed(slot: str, value: Column) -> list[Column]:
             for s in VALUE_COLUMNS]
 
 
+def _source_time_bounds(time: str, dtype, start: int | None, stop: int | None) -> Column | None:
+    """An exact predicate on the raw time column for ``[start, stop)`` in ns, so
+    the range reaches the Parquet scan as a pushed filter (a filter on the
+    derived ``time_ns`` cannot).  Microsecond columns: ``t*1000 >= start`` iff
+    ``t >= ceil(start/1000)`` and ``t*1000 < stop`` iff ``t < ceil(stop/1000)``."""
+    import datetime as _dt
+
+    def lit(us: int) -> Column:
+        wall = _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=us)
+        text = wall.strftime("%Y-%m-%d %H:%M:%S.%f")
+        if isinstance(dtype, TimestampNTZType):
+            return F.expr(f"TIMESTAMP_NTZ'{text}'")
+        return F.expr(f"TIMESTAMP'{text}+00:00'")
+
+    if not isinstance(dtype, (TimestampNTZType, TimestampType)):
+        if isinstance(dtype, _INTEGRAL):
+            cond = F.lit(True)
+            if start is not None:
+                cond = cond & (F.col(time) >= F.lit(int(start)))
+            if stop is not None:
+                cond = cond & (F.col(time) < F.lit(int(stop)))
+            return cond
+        return None
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (F.col(time) >= lit(-(-int(start) // 1000)))
+    if stop is not None:
+        cond = cond & (F.col(time) < lit(-(-int(stop) // 1000)))
+    return cond
+
+
 def to_points(df: DataFrame, measurement: str, tags: list[str], fields: list[str],
-              time: str, keep: list[str] | None = None) -> DataFrame:
+              time: str, keep: list[str] | None = None, start: int | None = None,
+              stop: int | None = None) -> DataFrame:
     """A table -> long points: one row per (row, non-null field).
 
     ``tags`` are column names (values become strings, nulls are left out),
     ``fields`` column names whose Spark type picks the value slot, ``time`` a
     TIMESTAMP / TIMESTAMP_NTZ / DATE column or BIGINT nanoseconds.  Narrow plan:
     projection plus one ``explode`` when there is more than one field.
+    ``start``/``stop`` keep ``[start, stop)`` ns only, filtered on the raw time
+    column so that the bounds are pushed into the scan.
     """
     keep = list(keep or [])
     schema = {f.name: f.dataType for f in df.schema.fields}
@@ -56,25 +91,38 @@ def to_points(df: DataFrame, measurement: str, tags: list[str], fields: list[str
             raise ValueError(f"column {c!r} not found in {sorted(schema)}")
     if not fields:
         raise ValueError("a point needs at least one field")
+    if start is not None or stop is not None:
+        pushed = _source_time_bounds(time, schema[time], start, stop)
+        if pushed is not None:
+            df = df.where(pushed)
     tag_cols = {t: F.col(t).cast("string") for t in tags}
-    tags_map = (F.map_filter(F.create_map(*[x for t in sorted(tags) for x in (F.lit(t), tag_cols[t])]),
-                             lambda k, v: v.isNotNull())
-                if tags else F.create_map().cast("map<string,string>"))
+    empty = F.create_map().cast("map<string,string>")
+    # One small map per tag, concatenated: null tags drop out without a lambda.
+    tags_map = (F.map_concat(*[F.when(tag_cols[t].isNotNull(), F.create_map(F.lit(t), tag_cols[t]))
+                               .otherwise(empty) for t in sorted(tags)])
+                if tags else empty)
     base = [F.lit(measurement).alias("measurement"), tags_map.alias("tags"),
             series_key_from_columns(measurement, tag_cols).alias("series_key"),
             ns_of(time, schema[time]).alias("time_ns"), *[F.col(k) for k in keep]]
+    names = ["measurement", "tags", "series_key", "time_ns", *keep]
     if len(fields) == 1:
         f = fields[0]
         out = df.select(*base, F.lit(f).alias("field"), *_typed(_slot_of(schema[f]), F.col(f)))
         out = out.where(F.col(_slot_of(schema[f])).isNotNull())
     else:
+        # Key, tags and time are projected once per row *before* the explode (a
+        # generator's sibling expressions would otherwise run once per field).
         recs = F.array(*[F.struct(F.lit(f).alias("field"), *_typed(_slot_of(schema[f]), F.col(f)))
                          for f in fields])
-        out = (df.select(*base, F.explode(recs).alias("_r"))
-               .select("measurement", "tags", "series_key", "time_ns", *keep, "_r.field", *[f"_r.{s}" for s in VALUE_COLUMNS])
+        pre = df.select(*base, recs.alias("_recs"))
+        out = (pre.select(*names, F.explode("_recs").alias("_r"))
+               .select(*names, "_r.field", *[f"_r.{s}" for s in VALUE_COLUMNS])
                .where(F.col("value_double").isNotNull() | F.col("value_long").isNotNull()
                       | F.col("value_bool").isNotNull() | F.col("value_string").isNotNull()))
-    return out.select(*POINT_COLUMNS, *keep)
+    out = out.select(*POINT_COLUMNS, *keep)
+    if start is not None or stop is not None:
+        out = in_range(out, None, start, stop)
+    return out
 
 
 # --------------------------------------------------------------------------- P1-P3
@@ -176,24 +224,27 @@ def first_last_records(points: DataFrame, order: list | None = None) -> DataFram
         *[F.col(f"_last.{s}").alias(f"last_{s}") for s in VALUE_COLUMNS])
 
 
-def upsert_latest(points: DataFrame, order: list) -> DataFrame:
+def upsert_latest(points: DataFrame, order: list, carry: list[str] | None = None) -> DataFrame:
     """Last write wins on (series_key, field, time_ns).
 
     ``order`` is the write order, most significant first (for the store:
-    ``written_at, batch_id, seq``).  ``max_by`` over a hash aggregation keeps one
-    row per key; a key written a million times is reduced inside each map task
-    before the shuffle, so a hot key cannot sink one reducer.
+    ``written_at, batch_id, seq``).  ``max_by`` in one aggregation keeps one row
+    per key; its partial aggregation reduces a key written a million times
+    inside each map task before the shuffle, so a hot key cannot sink one
+    reducer.  ``carry`` names the columns taken from the winning row (default:
+    measurement, tags and the four value slots); carrying fewer makes the
+    shuffle narrower.
     """
     if not order:
         raise ValueError("upsert_latest needs the write-order columns")
-    payload = F.struct(F.col("measurement"), F.col("tags"), *[F.col(s) for s in VALUE_COLUMNS])
+    carry = list(carry) if carry is not None else ["measurement", "tags", *VALUE_COLUMNS]
+    payload = F.struct(*[F.col(c) for c in carry])
     ordering = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}")
                           for i, c in enumerate(order)])
     agg = points.groupBy("series_key", "field", "time_ns").agg(
         F.max_by(payload, ordering).alias("_p"))
-    return agg.select(F.col("_p.measurement").alias("measurement"), F.col("_p.tags").alias("tags"),
-                      "field", *[F.col(f"_p.{s}").alias(s) for s in VALUE_COLUMNS],
-                      "time_ns", "series_key")
+    out = [c for c in POINT_COLUMNS if c in carry or c in ("series_key", "field", "time_ns")]
+    return agg.select(*[F.col(f"_p.{c}").alias(c) if c in carry else F.col(c) for c in out])
 
 
 # --------------------------------------------------------------------------- V1

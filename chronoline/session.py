@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # Settings this package relies on; an existing session keeps its own values.
 SESSION_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
