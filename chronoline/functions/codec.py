@@ -209,19 +209,30 @@ def encode_lines(points: DataFrame, mode: str = "safe", keep: list[str] | None =
     return points.select(line_column(mode).alias("value"), *keep)
 
 
-def encode_wide_lines(points: DataFrame, mode: str = "safe") -> DataFrame:
+def encode_wide_lines(points: DataFrame, mode: str = "safe", order: list | None = None) -> DataFrame:
     """Long points -> one line per point (series, time) carrying all its fields.
 
-    Shuffles once on (series_key, time_ns); partial aggregation runs map-side.
+    Two aggregations: first one value per (series, time, field) -- the latest by
+    ``order`` (write-order columns) or, without it, the largest text -- with
+    partial aggregation, so a key written many times collapses map-side; then
+    the fields of each point are gathered, a list bounded by the number of
+    distinct field names, never by how often a key was written.
     """
     if mode == "safe":
         pair = F.concat(escape_name("field"), F.lit("="), _value_text_safe())
     else:
         pair = F.concat(F.col("field"), F.lit("="), _value_text_compat())
     prefix = F.col("series_key") if mode == "safe" else series_key_from_map_compat()
-    grouped = (points.select(prefix.alias("_prefix"), "time_ns", pair.alias("_pair"))
-               .where(F.col("_pair").isNotNull())
-               .groupBy("_prefix", "time_ns")
+    cols = [prefix.alias("_prefix"), "time_ns", "field", pair.alias("_pair")]
+    ordering = None
+    if order:
+        ordering = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}")
+                              for i, c in enumerate(order)])
+        cols.append(ordering.alias("_ord"))
+    base = points.select(*cols).where(F.col("_pair").isNotNull())
+    one = F.max_by("_pair", "_ord") if ordering is not None else F.max("_pair")
+    per_field = base.groupBy("_prefix", "time_ns", "field").agg(one.alias("_pair"))
+    grouped = (per_field.groupBy("_prefix", "time_ns")
                .agg(F.array_join(F.array_sort(F.collect_list("_pair")), ",").alias("_fields")))
     return grouped.select(F.concat_ws(" ", "_prefix", "_fields", F.col("time_ns").cast("string"))
                           .alias("value"))

@@ -262,10 +262,20 @@ def to_wide(points: DataFrame, fields: list[str] | dict | None = None,
     of text values (sorted entries), for unknown field sets.
     """
     if fields is None:
+        # One value per (series, time, field) first (latest by ``order``, partial
+        # aggregation map-side), so the per-point list is bounded by the number
+        # of distinct field names, not by how often a key was written.
         text = F.coalesce(F.col("value_double").cast("string"), F.col("value_long").cast("string"),
                           F.col("value_bool").cast("string"), F.col("value_string"))
-        return (points.groupBy("series_key", "time_ns")
-                .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", text))))
+        if order:
+            ordering = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}")
+                                  for i, c in enumerate(order)])
+            one = F.max_by(text, ordering)
+        else:
+            one = F.max(text)
+        per_field = points.groupBy("series_key", "time_ns", "field").agg(one.alias("_text"))
+        return (per_field.groupBy("series_key", "time_ns")
+                .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "_text"))))
                      .alias("fields")))
     kinds = fields if isinstance(fields, dict) else {f: "double" for f in fields}
     slot = {"double": (F.coalesce(F.col("value_double"), F.col("value_long").cast("double")), "double"),

@@ -313,14 +313,17 @@ def register(spark) -> None:
 
 
 def read_stream(spark, path: str, bucket: str, measurement: str, output: str = "lines",
-                mode: str = "compat", order: str = "event", **options):
+                mode: str = "compat", order: str = "event", time_zone: str | None = None,
+                **options):
     """A streaming DataFrame of one measurement of the store.
 
     ``output='lines'`` gives ``value STRING`` (the reference's row shape),
     ``'points'`` the long point rows.  ``order='event'`` uses the cursor source;
     ``order='arrival'`` uses Spark's file stream source on the store instead (each
     new file once, whatever its times; ``maxFilesPerTrigger`` applies).
-    ``numSlices`` defaults to the cluster's default parallelism.
+    ``numSlices`` defaults to the cluster's default parallelism.  ``time_zone``
+    (the ``time-zone`` option) adds ``local_ns``, the wall-clock ns of each point
+    in that zone, to ``points`` output.
     """
     from pyspark.sql import functions as F
 
@@ -346,5 +349,9 @@ def read_stream(spark, path: str, bucket: str, measurement: str, output: str = "
     else:
         raise ValueError("order must be 'event' or 'arrival'")
     if output == "points":
+        tz = time_zone or options.get("time-zone")
+        if tz:
+            from chronoline.functions.nanos import to_zone
+            df = df.withColumn("local_ns", to_zone("time_ns", str(tz)))
         return df
     return encode_lines(df, mode)

@@ -152,3 +152,17 @@ def test_round_trip_safe(spark, pts):
     assert a == b
     assert sorted(str(sorted(r.tags.items())) for r in df.collect()) == \
         sorted(str(sorted(r.tags.items())) for r in back.collect())
+
+
+def test_wide_lines_bounded_by_fields(spark):
+    from chronoline.operators.points import to_wide
+    rows = [("h", 1.0, 5, i) for i in range(50)] + [("h", 2.0, 6, 0)]
+    df = spark.createDataFrame(rows, "host STRING, u DOUBLE, n BIGINT, seq BIGINT")
+    pts = to_points(df.withColumn("t", F.lit(100).cast("bigint")), "m", ["host"], ["u", "n"], "t",
+                    keep=["seq"])
+    got = [r.value for r in codec.encode_wide_lines(pts, "safe", order=["seq"]).collect()]
+    assert got == ["m,host=h n=5i,u=1.0 100"]
+    w = to_wide(pts, None, order=["seq"]).collect()
+    assert len(w) == 1 and w[0].fields == {"n": "5", "u": "1.0"}
+    w2 = to_wide(pts, {"u": "double", "n": "long"}, order=["seq"]).collect()
+    assert (w2[0].u, w2[0].n) == (1.0, 5)

@@ -202,3 +202,31 @@ def test_sink_value_not_first_and_binary(spark):
     q = sink.write_stream(src, root, "b", ck, trigger={"availableNow": True}, num_partitions=1)
     q.awaitTermination()
     assert store.read_points(spark, root, "b").count() == 40
+
+
+def test_arrival_order_reads_every_row(spark):
+    lo = 1_700_000_000 * S
+    root = _store_times(spark, [lo, lo + S])
+    ck, out = scratch_path(spark, "ck"), scratch_path(spark, "out")
+
+    def run():
+        df = read_stream(spark, root, "b", "cpu", output="points", order="arrival")
+        q = (df.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.exception() is None
+
+    run()
+    late = spark.createDataFrame([("a", 9.0, lo - S)], "host STRING, v DOUBLE, t BIGINT")
+    store.write_points(to_points(late, "cpu", ["host"], ["v"], "t"), root, "b")
+    run()
+    assert sorted(r.time_ns for r in spark.read.parquet(out).collect()) == [lo - S, lo, lo + S]
+
+
+def test_time_zone_option_adds_local_time(spark):
+    lo = 1_700_000_000 * S
+    root = _store_times(spark, [lo])
+    df = read_stream(spark, root, "b", "cpu", output="points", time_zone="Asia/Shanghai")
+    out, _ = _drain(spark, df, "tz1")
+    r = out.first()
+    assert r.local_ns - r.time_ns == 8 * 3600 * S
