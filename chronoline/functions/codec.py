@@ -381,9 +381,11 @@ def points_from_parsed(parsed: DataFrame, keep: list[str] | None = None,
                        compat: bool = False) -> DataFrame:
     """Good rows of :func:`parse_lines` -> long points (one row per field).
 
-    Bad lines are dropped by exploding a null field array rather than by a
-    filter, so Catalyst has no predicate to push below (and recompute) the
-    parse."""
+    Every point column is an output of the ``explode`` (line-level values are
+    repeated into the exploded struct), so a later filter on them -- a time
+    range, a measurement -- stays above the generator instead of being pushed
+    below it and re-running the whole parse.  Bad lines are dropped by
+    exploding a null array, for the same reason."""
     keep = list(keep or [])
     slow_key = F.concat(
         escape_measurement("_m"),
@@ -391,18 +393,19 @@ def points_from_parsed(parsed: DataFrame, keep: list[str] | None = None,
             F.sort_array(F.arrays_zip(F.col("_tk").alias("k"), F.col("_tv").alias("v"))),
             lambda e: F.concat(F.lit(","), escape_name(e["k"]), F.lit("="),
                                escape_name(e["v"]))), ""))
+    n = F.size("_fk")
+    zipped = F.arrays_zip(
+        F.col("_fk").alias("field"), F.col("_fv").alias("raw"),
+        F.array_repeat(F.col("_m"), n).alias("measurement"),
+        F.array_repeat(F.map_from_arrays("_tk", "_tv"), n).alias("tags"),
+        F.array_repeat(F.coalesce(F.col("_key"), slow_key), n).alias("series_key"),
+        F.array_repeat(F.col("_time"), n).alias("time_ns"))
     exploded = parsed.select(
-        F.col("_m").alias("measurement"),
-        F.map_from_arrays("_tk", "_tv").alias("tags"),
-        F.coalesce(F.col("_key"), slow_key).alias("series_key"),
-        F.col("_time").alias("time_ns"),
-        *keep,
-        F.explode(F.when(F.col("_reason").isNull(), F.arrays_zip(F.col("_fk"), F.col("_fv"))))
-        .alias("_f"),
-    )
+        *keep, F.explode(F.when(F.col("_reason").isNull(), zipped)).alias("_f"))
     typed = exploded.select(
-        "measurement", "tags", F.col("_f._fk").alias("field"), F.col("_f._fv").alias("_raw"),
-        "time_ns", "series_key", *keep)
+        F.col("_f.measurement").alias("measurement"), F.col("_f.tags").alias("tags"),
+        F.col("_f.field").alias("field"), F.col("_f.raw").alias("_raw"),
+        F.col("_f.time_ns").alias("time_ns"), F.col("_f.series_key").alias("series_key"), *keep)
     typed = typed.select("*", _value_kind(F.col("_raw"), compat).alias("_kind"))
     return typed.select(
         "measurement", "tags", "field", *_typed_values_from(F.col("_raw"), F.col("_kind")),
