@@ -57,8 +57,6 @@ _TAG_PAIR_RE = r"(?s),(" + _NAME + ")=(" + _NAME + ")"
 _FIELD_PAIR_RE = r"(?s)(?:^|,)(" + _NAME + ")=(" + _FVAL + ")"
 _LONG_RE = r"^[+-]?\d+i$"
 _ULONG_RE = r"^\d+u$"
-_TRUE_RE = r"^(?:t|T|true|True|TRUE)$"
-_FALSE_RE = r"^(?:f|F|false|False|FALSE)$"
 _FLOAT_RE = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 # Characters escaped with a backslash, per element.

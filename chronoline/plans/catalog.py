@@ -45,10 +45,12 @@ def spread(df: DataFrame) -> DataFrame:
     regexes, explode, partial aggregation) is not stuck in one task.  A large
     input already yields at least that many splits and is returned as it is: no
     shuffle is added at scale.  Filters and column pruning still reach the scan."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:   # no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -76,11 +76,16 @@ class BatchRange:
     n_records: int
 
 
-def list_commits(path: str, bucket: str, measurement: str) -> list[BatchRange]:
-    """Committed batches (``_SUCCESS`` present) holding ``measurement``."""
-    import pyarrow as pa
-    import pyarrow.dataset as ds
+def list_commits(path: str, bucket: str, measurement: str,
+                 cache: dict | None = None) -> list[BatchRange]:
+    """Committed batches (``_SUCCESS`` present) holding ``measurement``.
+
+    Commit records never change once written, so with a ``cache`` (file path ->
+    rows) only files not seen before are read; files that disappeared (a
+    compaction) drop out.  Each trigger then costs one listing plus the new
+    commits, not a read of every commit ever made."""
     import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
 
     _, croot = _store_roots(path, bucket)
     fs, root = _fs_and_path(croot)
@@ -89,17 +94,21 @@ def list_commits(path: str, bucket: str, measurement: str) -> list[BatchRange]:
     files = [i.path for i in infos
              if i.type == pafs.FileType.File and posixpath.dirname(i.path) in done
              and not i.base_name.startswith(("_", "."))]
-    if not files:
-        return []
-    part = ds.partitioning(pa.schema([("writer", pa.string()), ("batch_id", pa.int64())]),
-                           flavor="hive")
-    d = ds.dataset(files, filesystem=fs, format="parquet", partitioning=part,
-                   partition_base_dir=root)
-    t = d.to_table(columns=["writer", "batch_id", "min_ns", "max_ns", "n_records"],
-                   filter=ds.field("measurement") == measurement)
-    rows = t.to_pylist()
-    return [BatchRange(r["writer"], int(r["batch_id"]), int(r["min_ns"]), int(r["max_ns"]),
-                       int(r["n_records"])) for r in rows if r["min_ns"] is not None]
+    cache = {} if cache is None else cache
+    for gone in set(cache) - set(files):
+        del cache[gone]
+    for f in files:
+        if f in cache:
+            continue
+        parts = dict(seg.split("=", 1) for seg in f[len(root):].strip("/").split("/")[:-1]
+                     if "=" in seg)
+        t = pq.read_table(f, filesystem=fs, columns=["measurement", "min_ns", "max_ns",
+                                                     "n_records"])
+        cache[f] = [(r["measurement"], BatchRange(parts["writer"], int(parts["batch_id"]),
+                                                  int(r["min_ns"]), int(r["max_ns"]),
+                                                  int(r["n_records"])))
+                    for r in t.to_pylist() if r["min_ns"] is not None]
+    return [br for rows in cache.values() for (m, br) in rows if m == measurement]
 
 
 # --------------------------------------------------------------------------- partitions
@@ -223,9 +232,11 @@ class CursorStreamReader(DataSourceStreamReader):
         self.opts = SourceOptions.parse(options)
         self.data_root, _ = _store_roots(self.opts.path, self.opts.bucket)
         self._cursor: int | None = None
+        self._commit_cache: dict = {}
 
     def _batches(self) -> list[BatchRange]:
-        return list_commits(self.opts.path, self.opts.bucket, self.opts.measurement)
+        return list_commits(self.opts.path, self.opts.bucket, self.opts.measurement,
+                            self._commit_cache)
 
     def initialOffset(self) -> dict:
         b = self._batches()
