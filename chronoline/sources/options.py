@@ -61,6 +61,16 @@ def _bool(options: dict, name: str, default: bool) -> bool:
     raise ValueError(f"Option '{name}' must be true or false, got {v!r}")
 
 
+def _choice(options: dict, name: str, default: str, allowed: tuple) -> str:
+    v = _get(options, name)
+    if v is None:
+        return default
+    v = str(v).lower()
+    if v not in allowed:
+        raise ValueError(f"Option '{name}' must be one of {list(allowed)}, got {v!r}")
+    return v
+
+
 @dataclass(frozen=True)
 class SourceOptions:
     path: str
@@ -74,6 +84,7 @@ class SourceOptions:
     max_delta_per_trigger_ms: int | None = None
     compat: bool = False
     dedupe: bool = True
+    balance: str = "time"
 
     @property
     def delta_ns(self) -> int:
@@ -93,6 +104,7 @@ class SourceOptions:
             max_delta_per_trigger_ms=_int(options, "maxDeltaPerTrigger", None, 1),
             compat=_bool(options, "compat", False),
             dedupe=_bool(options, "dedupe", True),
+            balance=_choice(options, "balance", "time", ("time", "count")),
         )
 
 

@@ -7,7 +7,7 @@ Layout under ``<path>/<bucket>/``::
     _rejects/writer=<w>/batch_id=<n>/part-*.parquet     (lines that did not decode)
 
 * A batch directory is always written whole with ``overwrite``, then its commit
-  record (per measurement: ``min_ns``, ``max_ns``, ``n_records``).  Readers take
+  record (per measurement and day: ``min_ns``, ``max_ns``, ``n_records``).  Readers take
   committed batches only, so a crash between the two leaves nothing visible,
   and a replayed batch overwrites the same directory: the store ends the same.
 * ``measurement`` and ``day`` (UTC) are partition columns: a measurement or time
@@ -15,7 +15,7 @@ Layout under ``<path>/<bucket>/``::
   row-group statistics prune the rest (``PushedFilters`` on ``time_ns``).
 * ``written_at, batch_id, seq`` give the write order; a key (series, field, time)
   written twice keeps its latest write (:func:`read_points` ``dedupe=True``).
-* The commit records are tiny (one row per batch and measurement); the stream
+* The commit records are tiny (one row per batch, measurement and day); the stream
   reader plans its cursor from them and never scans points on the driver.
 """
 
@@ -53,7 +53,8 @@ STORE_SCHEMA = StructType(
        StructField("writer", StringType()), StructField("batch_id", LongType()),
        StructField("measurement", StringType()), StructField("day", DateType())])
 COMMIT_SCHEMA = StructType([
-    StructField("measurement", StringType()), StructField("min_ns", LongType()),
+    StructField("measurement", StringType()), StructField("day", DateType()),
+    StructField("min_ns", LongType()),
     StructField("max_ns", LongType()), StructField("n_records", LongType()),
     StructField("writer", StringType()), StructField("batch_id", LongType())])
 
@@ -163,12 +164,14 @@ def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id
 
 
 def _write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch_id: int) -> None:
-    """Commit record of a written batch: min/max/count per measurement, read back
-    from the batch's Parquet footers (aggregate pushdown), written by Spark."""
+    """Commit record of a written batch: min/max/count per measurement and day
+    (the store's partition unit, so the stream cursor sees gaps of a day or more
+    and estimates rows per time slice), read back from the batch's Parquet
+    footers (aggregate pushdown on partition columns), written by Spark."""
     bdir = batch_dir(data_root(path, bucket), writer, batch_id)
     schema = StructType([f for f in STORE_SCHEMA.fields if f.name not in ("writer", "batch_id")])
     written = spark.read.schema(schema).parquet(bdir)
-    stats = (written.groupBy("measurement")
+    stats = (written.groupBy("measurement", "day")
              .agg(F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns"),
                   F.count(F.lit(1)).alias("n_records"))
              .coalesce(1))
@@ -198,7 +201,7 @@ def write_points(points: DataFrame, path: str, bucket: str, batch_size: int | No
 
 
 def commits(spark: SparkSession, path: str, bucket: str) -> DataFrame:
-    """Commit records: ``measurement, min_ns, max_ns, n_records, writer, batch_id``.
+    """Commit records: ``measurement, day, min_ns, max_ns, n_records, writer, batch_id``.
     Only batches whose commit finished (``_SUCCESS``) have files here."""
     root = commits_root(path, bucket)
     if not path_exists(spark, root):

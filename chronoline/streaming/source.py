@@ -137,9 +137,31 @@ def _estimate_rows(batches: list[BatchRange], a: int, b: int) -> float:
     return total
 
 
+def balanced_cuts(batches: list[BatchRange], a: int, b: int, n: int) -> list[int]:
+    """``n - 1`` cut times splitting ``[a, b)`` into slices of about equal
+    estimated rows (each batch's rows spread evenly over its time range): the
+    estimated row count as a function of time is inverted by bisection."""
+    total = _estimate_rows(batches, a, b)
+    cuts = []
+    lo = a
+    for i in range(1, n):
+        want = total * i / n
+        x, y = lo, b
+        while x < y:
+            mid = (x + y) // 2
+            if _estimate_rows(batches, a, mid + 1) < want:
+                x = mid + 1
+            else:
+                y = mid
+        cuts.append(x)
+        lo = x
+    return cuts
+
+
 def plan_partitions(batches: list[BatchRange], start: int, end: int, opts: SourceOptions,
                     data_root: str) -> list[TimeSlicePartition]:
-    """Slices of ``[start, end)`` over the batches that overlap it."""
+    """Slices of ``[start, end)`` over the batches that overlap it: equal width,
+    or (``balance=count``) equal estimated rows from the commit records."""
     if end <= start:
         return []
     live = [r for r in batches if r.max_ns >= start and r.min_ns < end]
@@ -151,11 +173,16 @@ def plan_partitions(batches: list[BatchRange], start: int, end: int, opts: Sourc
         return []
     n = max(opts.num_slices, math.ceil(_estimate_rows(live, a, b) / opts.max_rows_per_slice))
     n = max(1, min(n, b - a))
+    if opts.balance == "count" and n > 1:
+        edges = [a, *balanced_cuts(live, a, b, n), b]
+        bounds = [(i, edges[i], edges[i + 1]) for i in range(n)]
+    else:
+        bounds = plan_slices(a, b, n)
     out = []
-    for i, lo, hi in plan_slices(a, b, n):
+    for i, lo, hi in bounds:
         if hi <= lo:
             continue
-        sel = sorted((r.writer, r.batch_id) for r in live if r.max_ns >= lo and r.min_ns < hi)
+        sel = sorted({(r.writer, r.batch_id) for r in live if r.max_ns >= lo and r.min_ns < hi})
         if sel:
             out.append(TimeSlicePartition(i, lo, hi, opts.measurement, data_root, sel, opts.dedupe))
     return out

@@ -26,7 +26,9 @@ def test_round_trip_and_commit(spark, tmp_store):
     info = store.write_points(ev, tmp_store, "b", batch_size=100)
     assert store.is_committed(spark, tmp_store, "b", info["writer"], 0)
     c = store.commits(spark, tmp_store, "b").collect()
-    assert len(c) == 1 and c[0].n_records == ev.count()
+    assert sum(r.n_records for r in c) == ev.count()
+    assert len({(r.writer, r.batch_id) for r in c}) == 1
+    assert len(c) == ev.select(store.day_of("time_ns")).distinct().count()
     assert _rows(store.read_points(spark, tmp_store, "b", "events")) == _rows(ev)
     assert _rows(store.read_points(spark, tmp_store, "b", "events", dedupe=False)) == _rows(ev)
     lines = store.read_lines(spark, tmp_store, "b", "events")

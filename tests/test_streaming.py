@@ -230,3 +230,52 @@ def test_time_zone_option_adds_local_time(spark):
     out, _ = _drain(spark, df, "tz1")
     r = out.first()
     assert r.local_ns - r.time_ns == 8 * 3600 * S
+
+
+def test_sink_takes_points(spark):
+    ev = C.events_points(spark, SF001)
+    d = scratch_path(spark, "pts")
+    ev.write.parquet(d)
+    root, ck = scratch_path(spark, "store"), scratch_path(spark, "ck")
+    src = spark.readStream.schema(ev.schema).parquet(d)
+    q = sink.write_stream(src, root, "b", ck, trigger={"availableNow": True}, input_kind="points")
+    q.awaitTermination()
+    assert q.exception() is None
+    cols = ["series_key", "field", "value_double", "time_ns"]
+    got = store.read_points(spark, root, "b").select(*cols)
+    assert got.exceptAll(ev.select(*cols)).count() == 0 and got.count() == ev.count()
+
+
+def test_lateness_holds_back_the_newest(spark):
+    lo = 1_700_000_000 * S
+    times = [lo, lo + S, lo + 2 * S, lo + 3 * S]
+    root = _store_times(spark, times)
+    df = read_stream(spark, root, "b", "cpu", output="points", lateness=1500)
+    out, _ = _drain(spark, df, "late1")
+    # end = max + 1 - 1.5 s: the records at lo + 2 s and lo + 3 s wait
+    assert sorted(r.time_ns for r in out.collect()) == times[:2]
+
+
+def test_capped_steps_jump_over_gaps(spark):
+    lo = 1_700_000_000 * S
+    day = 86_400 * S
+    times = [lo, lo + S, lo + 3 * day, lo + 3 * day + S]     # a three-day empty gap
+    root = _store_times(spark, times)
+    df = read_stream(spark, root, "b", "cpu", output="points", maxDeltaPerTrigger=5000)
+    q = df.writeStream.format("memory").queryName("gap1").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert sizes == [2, 2]           # two steps, not ~50,000 empty ones
+    assert sorted(r.time_ns for r in spark.table("gap1").collect()) == times
+
+
+def test_count_balanced_slices_read_everything(spark):
+    lo = 1_700_000_000 * S
+    times = [lo + k for k in range(50)] + [lo + 10 * S + k * S for k in range(5)]
+    root = _store_times(spark, times)
+    df = read_stream(spark, root, "b", "cpu", output="points", balance="count", numSlices=4)
+    out, _ = _drain(spark, df, "bal1")
+    assert sorted(r.time_ns for r in out.collect()) == times
