@@ -238,12 +238,16 @@ def upsert_latest(points: DataFrame, order: list, carry: list[str] | None = None
     if not order:
         raise ValueError("upsert_latest needs the write-order columns")
     carry = list(carry) if carry is not None else ["measurement", "tags", *VALUE_COLUMNS]
-    payload = F.struct(*[F.col(c) for c in carry])
     ordering = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}")
                           for i, c in enumerate(order)])
-    agg = points.groupBy("series_key", "field", "time_ns").agg(
-        F.max_by(payload, ordering).alias("_p"))
     out = [c for c in POINT_COLUMNS if c in carry or c in ("series_key", "field", "time_ns")]
+    keys = ("series_key", "field", "time_ns")
+    if len(carry) == 1:
+        # a bare column as the payload keeps the aggregation buffer narrower
+        agg = points.groupBy(*keys).agg(F.max_by(F.col(carry[0]), ordering).alias(carry[0]))
+        return agg.select(*out)
+    payload = F.struct(*[F.col(c) for c in carry])
+    agg = points.groupBy(*keys).agg(F.max_by(payload, ordering).alias("_p"))
     return agg.select(*[F.col(f"_p.{c}").alias(c) if c in carry else F.col(c) for c in out])
 
 
