@@ -36,7 +36,7 @@ LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qua
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                   "l_shipdate"]
 LINEITEM_FIELDS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-STORE_BATCH_ROWS = 1000                      # batchSize: rows per store file
+STORE_BATCH_ROWS = 50_000                    # batchSize: rows per store file (cap)
 
 
 def spread(df: DataFrame) -> DataFrame:

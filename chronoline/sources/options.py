@@ -13,7 +13,10 @@ from dataclasses import dataclass
 
 # Option defaults.
 DEFAULT_DELTA_TIME_MS = 1000
-DEFAULT_BATCH_SIZE = 1000
+# The reference's batchSize (1000) counted rows per network write request.  Here
+# it caps rows per Parquet file; applying 1000 by default would make tiny files,
+# so by default files are not capped (Spark sizes them by task).
+DEFAULT_BATCH_SIZE = None
 DEFAULT_TIME_ZONE = "UTC"
 DEFAULT_NUM_SLICES = 4
 DEFAULT_MAX_ROWS_PER_SLICE = 2_000_000
@@ -112,7 +115,7 @@ class SourceOptions:
 class SinkOptions:
     path: str
     bucket: str
-    batch_size: int = DEFAULT_BATCH_SIZE
+    batch_size: int | None = DEFAULT_BATCH_SIZE
     num_partitions: int | None = None
     compat: bool = False
 

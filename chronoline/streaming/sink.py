@@ -70,8 +70,11 @@ class PointSinkBatch:
                 rejects = parsed.where(F.col("_reason").isNotNull()).select(
                     F.col("_line").alias("value"), F.col("_reason").alias("reason"),
                     F.col(_WRITTEN_AT).alias("written_at"))
-                rejects.write.mode("overwrite").parquet(
-                    store.batch_dir(store.rejects_root(o.path, o.bucket), writer, batch_id))
+                rdir = store.batch_dir(store.rejects_root(o.path, o.bucket), writer, batch_id)
+                if not rejects.isEmpty():       # parsed is persisted: a cheap probe
+                    rejects.write.mode("overwrite").parquet(rdir)
+                else:
+                    store.delete_path(spark, rdir)   # a replay leaves no stale rejects
                 self._commit(spark, writer, batch_id)
             finally:
                 parsed.unpersist()
@@ -89,15 +92,17 @@ class PointSinkBatch:
                .select(*[c for c in POINT_COLUMNS if c != "measurement"], "written_at", "seq",
                        "measurement", "day")
                .sortWithinPartitions("measurement", "day", "time_ns"))
-        (out.write.mode("overwrite").partitionBy("measurement", "day")
-         .option("maxRecordsPerFile", o.batch_size).parquet(bdir))
+        w = out.write.mode("overwrite").partitionBy("measurement", "day")
+        if o.batch_size:
+            w = w.option("maxRecordsPerFile", o.batch_size)
+        w.parquet(bdir)
 
     def _commit(self, spark, writer: str, batch_id: int) -> None:
         store._write_commit(spark, self.opts.path, self.opts.bucket, writer, batch_id)
 
 
 def write_stream(df: DataFrame, path: str, bucket: str, checkpoint_location: str | None = None,
-                 output_mode: str = "append", batch_size: int = 1000,
+                 output_mode: str = "append", batch_size: int | None = None,
                  num_partitions: int | None = None, compat: bool = False,
                  trigger: dict | None = None, query_name: str | None = None,
                  input_kind: str = "lines", column: str = "value"):
