@@ -53,25 +53,30 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A given table.  ``heavy`` marks plans with costly per-row work (regex
+    codec, many-field explode, sort-based upsert): their scan is spread over the
+    cores when it has too few splits.  Light scans and probes skip that extra
+    exchange (measured at sf0.1: it costs them more than it saves)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if heavy else df
 
 
 def events_points(spark: SparkSession, sf_dir: str, fields=("value",), keep=(), start=None,
-                  stop=None) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+                  stop=None, heavy: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events", heavy)
     return P.to_points(ev, "events", ["event_type", "user_id"], list(fields), "ts", list(keep),
                        start=start, stop=stop)
 
 
 def orders_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", heavy=True)
     return P.to_points(o, "orders", ["o_orderstatus", "o_orderpriority"],
                        ["o_totalprice", "o_custkey"], "o_orderdate")
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", heavy=True)
     return P.to_points(li, "lineitem", ["l_returnflag", "l_linestatus"], LINEITEM_FIELDS,
                        "l_shipdate", keep=LINEITEM_ORDER)
 
@@ -147,7 +152,7 @@ def tail_held(spark, sf_dir):
 
 
 def late_rows(spark, sf_dir):
-    ev = events_points(spark, sf_dir, keep=("event_id",))
+    ev = events_points(spark, sf_dir, keep=("event_id",), heavy=True)
     arrival = F.pmod(F.col("event_id") * ARRIVAL_MULTIPLIER, F.lit(ARRIVAL_BATCHES)).cast("int")
     return S.late_counts(ev.withColumn("arrival_batch", arrival), "arrival_batch")
 
@@ -156,7 +161,7 @@ def late_rows(spark, sf_dir):
 
 
 def encode_compat(spark, sf_dir):
-    return codec.encode_lines(events_points(spark, sf_dir), mode="compat")
+    return codec.encode_lines(events_points(spark, sf_dir, heavy=True), mode="compat")
 
 
 def encode_safe(spark, sf_dir):
@@ -164,7 +169,8 @@ def encode_safe(spark, sf_dir):
 
 
 def encode_wide(spark, sf_dir):
-    return codec.encode_wide_lines(events_points(spark, sf_dir, fields=("value", "props")))
+    return codec.encode_wide_lines(events_points(spark, sf_dir, fields=("value", "props"),
+                                                 heavy=True))
 
 
 def decode_lines(spark, sf_dir):
@@ -177,8 +183,8 @@ def decode_lines(spark, sf_dir):
 
 
 def bad_lines(spark, sf_dir):
-    lines = codec.encode_lines(events_points(spark, sf_dir, fields=("value", "props")),
-                               mode="compat")
+    lines = codec.encode_lines(events_points(spark, sf_dir, fields=("value", "props"),
+                                             heavy=True), mode="compat")
     return codec.bad_lines(lines)
 
 
@@ -221,7 +227,7 @@ def ns_units(spark, sf_dir):
 
 
 def ns_from_iso(spark, sf_dir):
-    ev = events_points(spark, sf_dir, keep=("event_id",))
+    ev = events_points(spark, sf_dir, keep=("event_id",), heavy=True)
     iso = nanos.ns_to_iso("time_ns")
     trimmed = F.regexp_replace(iso, r"(\.\d*?)0+Z$", "$1Z")
     return ev.select("event_id", "time_ns", iso.alias("iso"),
@@ -230,7 +236,7 @@ def ns_from_iso(spark, sf_dir):
 
 
 def to_zone(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", heavy=True)
     t = nanos.ns_from_timestamp_ntz("o_orderdate")
     return o.select("o_orderkey", t.alias("time_ns"),
                     *[nanos.to_zone(t, z).alias(name) for name, z in ZONES.items()])
@@ -298,7 +304,7 @@ def stream_write_drain(spark, sf_dir):
     from chronoline.sources import store
     from chronoline.streaming.sink import write_stream
     lines_dir = scratch_path(spark, "lines")
-    codec.encode_lines(events_points(spark, sf_dir), "safe").write.text(lines_dir)
+    codec.encode_lines(events_points(spark, sf_dir, heavy=True), "safe").write.text(lines_dir)
     root, ck = scratch_path(spark, "sink-store"), scratch_path(spark, "sink-ck")
     src = spark.readStream.schema("value STRING").text(lines_dir)
     q = write_stream(src, root, "events_bucket", ck, trigger={"availableNow": True})
@@ -346,7 +352,7 @@ def flagship(spark, sf_dir):
     """events -> points -> safe lines -> decoded points -> measurement and time
     range -> per-series records, first and last time.  All narrow until the one
     aggregation."""
-    lines = codec.encode_lines(events_points(spark, sf_dir), mode="safe")
+    lines = codec.encode_lines(events_points(spark, sf_dir, heavy=True), mode="safe")
     pts = codec.decode_lines(lines)
     return P.series_stats(P.in_range(pts, "events", RANGE_START_NS, RANGE_STOP_NS))
 
