@@ -199,29 +199,39 @@ def _order_struct(order: list | None, reverse_time: bool = False) -> Column:
     return F.struct(t.alias("_t"), *[e.alias(f"_o{i}") for i, e in enumerate(extra)])
 
 
-def _value_struct() -> Column:
-    return F.struct(*[F.col(s) for s in VALUE_COLUMNS])
-
-
-def first_last_records(points: DataFrame, order: list | None = None) -> DataFrame:
+def first_last_records(points: DataFrame, order: list | None = None,
+                       carry: list[str] | None = None) -> DataFrame:
     """Per (series_key, field): the first and the last record in time.
 
-    One hash aggregation with ``max_by`` (partial aggregation map-side; no window,
-    no sort).  Among records at the same time the latest in write order wins --
-    ``order`` lists write-order columns, most significant first -- matching
-    upsert semantics.  ``bitwise_not(time_ns)`` reverses time for the first
-    record without any overflow.
+    One aggregation with ``max_by`` (partial aggregation map-side; no window,
+    no sort of the input).  Among records at the same time the latest in write
+    order wins -- ``order`` lists write-order columns, most significant first --
+    matching upsert semantics.  ``bitwise_not(time_ns)`` reverses time for the
+    first record without any overflow.  ``carry`` names the value columns to
+    return (default: all four slots); with one column and no ``order`` both
+    aggregation buffers are fixed-width, so Spark runs a hash aggregation.
     """
-    first = F.max_by(_value_struct(), _order_struct(order, reverse_time=True))
-    last = F.max_by(_value_struct(), _order_struct(order))
+    carry = list(carry) if carry is not None else list(VALUE_COLUMNS)
+    if len(carry) == 1 and not order:
+        v = F.col(carry[0])
+        agg = points.groupBy("series_key", "field").agg(
+            F.min("time_ns").alias("first_ns"),
+            F.max_by(v, F.bitwise_not(F.col("time_ns"))).alias(f"first_{carry[0]}"),
+            F.max("time_ns").alias("last_ns"),
+            F.max_by(v, F.col("time_ns")).alias(f"last_{carry[0]}"))
+        return agg.select("series_key", "field", "first_ns", f"first_{carry[0]}", "last_ns",
+                          f"last_{carry[0]}")
+    payload = F.struct(*[F.col(s) for s in carry])
+    first = F.max_by(payload, _order_struct(order, reverse_time=True))
+    last = F.max_by(payload, _order_struct(order))
     agg = points.groupBy("series_key", "field").agg(
         F.min("time_ns").alias("first_ns"), first.alias("_first"),
         F.max("time_ns").alias("last_ns"), last.alias("_last"))
     return agg.select(
         "series_key", "field", "first_ns",
-        *[F.col(f"_first.{s}").alias(f"first_{s}") for s in VALUE_COLUMNS],
+        *[F.col(f"_first.{s}").alias(f"first_{s}") for s in carry],
         "last_ns",
-        *[F.col(f"_last.{s}").alias(f"last_{s}") for s in VALUE_COLUMNS])
+        *[F.col(f"_last.{s}").alias(f"last_{s}") for s in carry])
 
 
 def upsert_latest(points: DataFrame, order: list, carry: list[str] | None = None) -> DataFrame:

@@ -109,7 +109,7 @@ def series_cardinality(spark, sf_dir):
 
 
 def first_last_record(spark, sf_dir):
-    r = P.first_last_records(events_points(spark, sf_dir))
+    r = P.first_last_records(events_points(spark, sf_dir), carry=["value_double"])
     return r.select("series_key", "field", "first_ns",
                     F.col("first_value_double").alias("first_value"), "last_ns",
                     F.col("last_value_double").alias("last_value"))
