@@ -279,3 +279,50 @@ def test_count_balanced_slices_read_everything(spark):
     df = read_stream(spark, root, "b", "cpu", output="points", balance="count", numSlices=4)
     out, _ = _drain(spark, df, "bal1")
     assert sorted(r.time_ns for r in out.collect()) == times
+
+
+def test_two_sources_in_one_query(spark):
+    lo = 1_700_000_000 * S
+    root = scratch_path(spark, "store")
+    for m, host, times in (("cpu", "a", [lo, lo + S]), ("mem", "b", [lo + 2 * S])):
+        df = spark.createDataFrame([(host, 1.0, t) for t in times], "host STRING, v DOUBLE, t BIGINT")
+        store.write_points(to_points(df, m, ["host"], ["v"], "t"), root, "b")
+    both = (read_stream(spark, root, "b", "cpu", output="points")
+            .unionByName(read_stream(spark, root, "b", "mem", output="points")))
+    out, _ = _drain(spark, both, "two1")
+    assert sorted((r.measurement, r.time_ns) for r in out.collect()) == [
+        ("cpu", lo), ("cpu", lo + S), ("mem", lo + 2 * S)]
+
+
+class _CrashBeforeCommit(sink.PointSinkBatch):
+    crashed = False
+
+    def _commit(self, spark, writer, batch_id):
+        if not _CrashBeforeCommit.crashed:
+            _CrashBeforeCommit.crashed = True
+            raise RuntimeError("simulated crash after the data write")
+        super()._commit(spark, writer, batch_id)
+
+
+def test_crash_mid_batch_then_restart(spark):
+    d = _write_text(spark, SINK_LINES)
+    root, ck = scratch_path(spark, "store"), scratch_path(spark, "ck")
+    opts = sink.SinkOptions(root, "b")
+
+    def start(fn):
+        src = spark.readStream.schema("value STRING").text(d)
+        staged = src.select("value", F.current_timestamp().alias("_written_at"))
+        q = (staged.writeStream.foreachBatch(fn).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        try:
+            q.awaitTermination()
+        except Exception:
+            pass
+        return q
+
+    q = start(_CrashBeforeCommit(opts))
+    assert q.exception() is not None
+    assert store.read_points(spark, root, "b").count() == 0     # written, not committed
+    q = start(sink.PointSinkBatch(opts))                        # same checkpoint: replay
+    assert q.exception() is None
+    assert store.read_points(spark, root, "b", dedupe=False).count() == 40
