@@ -126,10 +126,12 @@ def shape_for_write(points: DataFrame, num_partitions: int | None = None,
     """Partition shape before a write.
 
     ``num_partitions`` lowers the partition count with ``coalesce`` (never a
-    shuffle, never an increase; n < 1 is an error).  ``cluster_by_time`` range-
-    partitions on (measurement, time_ns) instead: each task then writes few
-    (measurement, day) files whose times are contiguous, and a hot day is split
-    across tasks by its time bounds rather than landing on one.
+    shuffle, never an increase; n < 1 is an error).  ``cluster_by_time``
+    rebalances on the partition columns (measurement, day) with AQE's
+    ``rebalance`` hint instead: each task then writes one or a few (measurement,
+    day) directories, AQE splits a hot day over several tasks and merges small
+    ones, and -- unlike a range partitioning -- no sampling pass evaluates the
+    input an extra time.
     """
     if num_partitions is not None:
         if int(num_partitions) <= 0:
@@ -137,7 +139,8 @@ def shape_for_write(points: DataFrame, num_partitions: int | None = None,
                              "The minimum value is 1.")
         return points.coalesce(int(num_partitions))
     if cluster_by_time:
-        return points.repartitionByRange("measurement", "time_ns")
+        with_day = points if "day" in points.columns else points.withColumn("day", day_of("time_ns"))
+        return with_day.hint("rebalance", "measurement", "day")
     return points
 
 
@@ -151,8 +154,9 @@ def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id
         raise ValueError(f"Invalid value `{batch_size}` for option `batchSize`. "
                          "The minimum value is 1.")
     bdir = batch_dir(data_root(path, bucket), writer, batch_id)
+    if "day" not in points.columns:
+        points = points.withColumn("day", day_of("time_ns"))
     out = (points
-           .withColumn("day", day_of("time_ns"))
            .select(*[c for c in POINT_COLUMNS if c != "measurement"], "written_at", "seq",
                    "measurement", "day")
            .sortWithinPartitions("measurement", "day", "time_ns"))
