@@ -176,13 +176,16 @@ def ns_from_iso(c) -> Column:
 
     A plain cast to TIMESTAMP would cut the fraction at microseconds; here the
     whole seconds are parsed with their offset (so the session zone does not
-    matter) and the fraction is added as an integer.
+    matter) and the fraction is added as an integer.  One regex pass splits the
+    text into (seconds, fraction, offset).
     """
     c = _col(c)
-    ok = c.rlike(_ISO_RE)
-    base = F.regexp_extract(c, _ISO_RE, 1)
-    frac = F.regexp_extract(c, _ISO_RE, 2)
-    zone = F.regexp_extract(c, _ISO_RE, 3)
+    sep = "\uffff"
+    parts = F.split(F.regexp_replace(c, _ISO_RE, f"$1{sep}$2{sep}$3"), sep)
+    ok = (F.size(parts) == 3) & ~c.contains(sep)
+    base = F.get(parts, 0)
+    frac = F.get(parts, 1)
+    zone = F.get(parts, 2)
     ts = F.try_to_timestamp(F.concat(base, zone), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
     nanos = F.when(frac == "", F.lit(0).cast("bigint")).otherwise(
         F.rpad(frac, 9, "0").cast("bigint"))
