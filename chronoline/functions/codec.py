@@ -177,10 +177,7 @@ def line_column(mode: str = "safe") -> Column:
     a point has no line; ``compat`` always gives a line.
     """
     if mode == "compat":
-        entries = F.array_sort(F.map_entries(F.col("tags")))
-        tag_text = F.array_join(
-            F.transform(entries, lambda e: F.concat(F.lit(","), e["key"], F.lit("="), e["value"])), "")
-        return F.concat(F.col("measurement"), F.coalesce(tag_text, F.lit("")), F.lit(" "),
+        return F.concat(series_key_from_map_compat(), F.lit(" "),
                         F.col("field"), F.lit("="), _value_text_compat(), F.lit(" "),
                         F.col("time_ns").cast("string"))
     if mode == "safe":
@@ -237,10 +234,15 @@ def encode_wide_lines(points: DataFrame, mode: str = "safe", order: list | None
 
 
 def series_key_from_map_compat() -> Column:
+    """``measurement[,k=v...]`` unescaped, tags sorted by key.  A canonical series
+    key without a backslash has nothing escaped, so it is already that text; the
+    lambda over the tags map only runs for keys that hold escapes."""
     entries = F.array_sort(F.map_entries(F.col("tags")))
     tag_text = F.array_join(
         F.transform(entries, lambda e: F.concat(F.lit(","), e["key"], F.lit("="), e["value"])), "")
-    return F.concat(F.col("measurement"), F.coalesce(tag_text, F.lit("")))
+    rebuilt = F.concat(F.col("measurement"), F.coalesce(tag_text, F.lit("")))
+    if_plain = F.col("series_key").isNotNull() & ~F.col("series_key").contains("\\")
+    return F.when(if_plain, F.col("series_key")).otherwise(rebuilt)
 
 
 # --------------------------------------------------------------------------- decode
