@@ -37,6 +37,7 @@ LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qua
                   "l_shipdate"]
 LINEITEM_FIELDS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 STORE_BATCH_ROWS = 50_000                    # batchSize: rows per store file (cap)
+COMPAT_DELTA_MS = 7 * 86_400_000             # compat cursor step: 7 days
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -182,6 +183,17 @@ def decode_lines(spark, sf_dir):
                       "series_key", "field", "value_double", "value_long", "time_ns")
 
 
+def decode_no_time(spark, sf_dir):
+    """Lines without a timestamp take a per-row default time (D3): the points come
+    back equal to the source when that default is the row's own time."""
+    pts = events_points(spark, sf_dir, heavy=True)
+    lines = pts.select(F.concat(F.col("series_key"), F.lit(" value="),
+                                F.col("value_double").cast("string")).alias("value"),
+                       F.col("time_ns").alias("t"))
+    out = codec.decode_lines(lines, default_time_ns=F.col("t"), keep=["t"])
+    return out.select("series_key", "field", "value_double", "time_ns")
+
+
 def bad_lines(spark, sf_dir):
     lines = codec.encode_lines(events_points(spark, sf_dir, fields=("value", "props"),
                                              heavy=True), mode="compat")
@@ -298,6 +310,43 @@ def stream_read_drain(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def stream_arrival_drain(spark, sf_dir):
+    """Arrival-order read of the store (Spark's file stream source) drained with
+    availableNow."""
+    from chronoline.session import scratch_path
+    from chronoline.streaming.source import read_stream
+    root, bucket = _store_events(spark, sf_dir)
+    out, ck = scratch_path(spark, "arrival-out"), scratch_path(spark, "arrival-ck")
+    q = (read_stream(spark, root, bucket, "events", output="points", order="arrival")
+         .select("series_key", "field", "value_double", "time_ns")
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(out)
+
+
+def stream_compat_drain(spark, sf_dir):
+    """The reference's cursor rule (compat): one delta of event time per trigger
+    while the maximum is above the cursor, run until it stops."""
+    from chronoline.session import scratch_path
+    from chronoline.streaming.source import read_stream
+    root, bucket = _store_events(spark, sf_dir)
+    out, ck = scratch_path(spark, "compat-out"), scratch_path(spark, "compat-ck")
+    df = read_stream(spark, root, bucket, "events", output="lines", mode="compat",
+                     compat="true", **{"delta-time": COMPAT_DELTA_MS})
+    q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(out)
+
+
 def stream_write_drain(spark, sf_dir):
     """Line files streamed through the sink into a store, read back as points."""
     from chronoline.session import scratch_path
@@ -334,6 +383,7 @@ QUERIES = {
     "encode_wide": encode_wide,
     "decode_lines": decode_lines,
     "bad_lines": bad_lines,
+    "decode_no_time": decode_no_time,
     "ns_parts": ns_parts,
     "ns_add": ns_add,
     "ns_units": ns_units,
@@ -345,6 +395,8 @@ QUERIES = {
     "store_range_scan": store_range_scan,
     "stream_read_drain": stream_read_drain,
     "stream_write_drain": stream_write_drain,
+    "stream_arrival_drain": stream_arrival_drain,
+    "stream_compat_drain": stream_compat_drain,
 }
 
 

@@ -198,3 +198,13 @@ ORACLE_SQL["store_roundtrip"] = f"""
 ORACLE_SQL["store_range_scan"] = ORACLE_SQL["range_scan"]
 ORACLE_SQL["stream_read_drain"] = ORACLE_SQL["encode_compat"]
 ORACLE_SQL["stream_write_drain"] = ORACLE_SQL["store_roundtrip"]
+ORACLE_SQL["decode_no_time"] = ORACLE_SQL["store_roundtrip"]
+ORACLE_SQL["stream_arrival_drain"] = ORACLE_SQL["store_roundtrip"]
+# The compat cursor stops at lo + ceil((hi - lo) / delta) * delta; every record
+# below that is read once.
+ORACLE_SQL["stream_compat_drain"] = f"""
+        WITH b AS (SELECT min(t) AS lo, max(t) AS hi FROM {EV})
+        SELECT k || ' value=' || CAST(value AS VARCHAR) || ' ' || CAST(t AS VARCHAR) AS value
+        FROM {EV}, b
+        WHERE t < lo + ((hi - lo + {C.COMPAT_DELTA_MS * 1_000_000 - 1}) // {C.COMPAT_DELTA_MS * 1_000_000})
+                       * {C.COMPAT_DELTA_MS * 1_000_000}"""
