@@ -118,6 +118,7 @@ class SinkOptions:
     batch_size: int | None = DEFAULT_BATCH_SIZE
     num_partitions: int | None = None
     compat: bool = False
+    rebalance: bool = True
 
     @classmethod
     def parse(cls, options: dict) -> "SinkOptions":
@@ -127,4 +128,5 @@ class SinkOptions:
             batch_size=_int(options, "batchSize", DEFAULT_BATCH_SIZE, 1),
             num_partitions=_int(options, "numPartitions", None, 1),
             compat=_bool(options, "compat", False),
+            rebalance=_bool(options, "rebalance", True),
         )

@@ -86,9 +86,15 @@ class PointSinkBatch:
         o = self.opts
         stamped = (pts.select(*POINT_COLUMNS, F.col(_WRITTEN_AT).alias("written_at"))
                    .withColumn("seq", F.monotonically_increasing_id()))
-        shaped = store.shape_for_write(stamped, o.num_partitions)
+        # numPartitions: coalesce (never a shuffle); otherwise rebalance on
+        # (measurement, day) so a micro-batch writes a few files per day, not one
+        # per input task and day.
+        shaped = store.shape_for_write(stamped, o.num_partitions,
+                                       cluster_by_time=o.rebalance and o.num_partitions is None)
         bdir = store.batch_dir(store.data_root(o.path, o.bucket), writer, batch_id)
-        out = (shaped.withColumn("day", store.day_of("time_ns"))
+        if "day" not in shaped.columns:
+            shaped = shaped.withColumn("day", store.day_of("time_ns"))
+        out = (shaped
                .select(*[c for c in POINT_COLUMNS if c != "measurement"], "written_at", "seq",
                        "measurement", "day")
                .sortWithinPartitions("measurement", "day", "time_ns"))
@@ -105,18 +111,21 @@ def write_stream(df: DataFrame, path: str, bucket: str, checkpoint_location: str
                  output_mode: str = "append", batch_size: int | None = None,
                  num_partitions: int | None = None, compat: bool = False,
                  trigger: dict | None = None, query_name: str | None = None,
-                 input_kind: str = "lines", column: str = "value"):
+                 input_kind: str = "lines", column: str = "value", rebalance: bool = True):
     """Start a streaming query that appends ``df`` to the store; returns the
     ``StreamingQuery``.
 
     ``input_kind='lines'`` (default) takes a ``value`` STRING/BINARY column of
-    line-protocol text; ``'points'`` takes long point rows.  ``trigger`` is passed
+    line-protocol text; ``'points'`` takes long point rows.  ``rebalance``
+    (default on) shapes each micro-batch's write into a few files per
+    (measurement, day); ``num_partitions`` instead coalesces as the reference did.  ``trigger`` is passed
     to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``).
     """
     if str(output_mode).lower() != "append":
         raise ValueError(f"Data source does not support {output_mode} output mode")
     opts = SinkOptions.parse({"path": path, "bucket": bucket, "batchSize": batch_size,
-                              "numPartitions": num_partitions, "compat": compat})
+                              "numPartitions": num_partitions, "compat": compat,
+                              "rebalance": rebalance})
     if input_kind == "lines":
         validate_lines_schema(df, column)
         staged = df.select(F.col(column), F.current_timestamp().alias(_WRITTEN_AT))
