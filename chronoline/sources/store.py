@@ -56,6 +56,7 @@ COMMIT_SCHEMA = StructType([
     StructField("measurement", StringType()), StructField("day", DateType()),
     StructField("min_ns", LongType()),
     StructField("max_ns", LongType()), StructField("n_records", LongType()),
+    StructField("max_at_instant", LongType()),
     StructField("writer", StringType()), StructField("batch_id", LongType())])
 
 
@@ -168,16 +169,21 @@ def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id
 
 
 def _write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch_id: int) -> None:
-    """Commit record of a written batch: min/max/count per measurement and day
-    (the store's partition unit, so the stream cursor sees gaps of a day or more
-    and estimates rows per time slice), read back from the batch's Parquet
-    footers (aggregate pushdown on partition columns), written by Spark."""
+    """Commit record of a written batch, per measurement and day (the store's
+    partition unit): ``min_ns``, ``max_ns``, ``n_records`` and ``max_at_instant``
+    (the most rows sharing one ``time_ns``).  The stream cursor uses them to see
+    gaps, estimate rows per time slice, and split an instant too big for one
+    task by key.  Computed by Spark from the ``time_ns`` column of the files just
+    written (partial aggregation), and written by Spark."""
     bdir = batch_dir(data_root(path, bucket), writer, batch_id)
     schema = StructType([f for f in STORE_SCHEMA.fields if f.name not in ("writer", "batch_id")])
-    written = spark.read.schema(schema).parquet(bdir)
-    stats = (written.groupBy("measurement", "day")
+    written = spark.read.schema(schema).parquet(bdir).select("measurement", "day", "time_ns")
+    per_instant = written.groupBy("measurement", "day", "time_ns").agg(
+        F.count(F.lit(1)).alias("_n"))
+    stats = (per_instant.groupBy("measurement", "day")
              .agg(F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns"),
-                  F.count(F.lit(1)).alias("n_records"))
+                  F.sum("_n").cast("bigint").alias("n_records"),
+                  F.max("_n").cast("bigint").alias("max_at_instant"))
              .coalesce(1))
     stats.write.mode("overwrite").parquet(batch_dir(commits_root(path, bucket), writer, batch_id))
 
@@ -205,7 +211,8 @@ def write_points(points: DataFrame, path: str, bucket: str, batch_size: int | No
 
 
 def commits(spark: SparkSession, path: str, bucket: str) -> DataFrame:
-    """Commit records: ``measurement, day, min_ns, max_ns, n_records, writer, batch_id``.
+    """Commit records: ``measurement, day, min_ns, max_ns, n_records, max_at_instant,
+    writer, batch_id``.
     Only batches whose commit finished (``_SUCCESS``) have files here."""
     root = commits_root(path, bucket)
     if not path_exists(spark, root):

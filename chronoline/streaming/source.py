@@ -74,6 +74,7 @@ class BatchRange:
     min_ns: int
     max_ns: int
     n_records: int
+    max_at_instant: int = 0
 
 
 def list_commits(path: str, bucket: str, measurement: str,
@@ -102,12 +103,11 @@ def list_commits(path: str, bucket: str, measurement: str,
             continue
         parts = dict(seg.split("=", 1) for seg in f[len(root):].strip("/").split("/")[:-1]
                      if "=" in seg)
-        t = pq.read_table(f, filesystem=fs, columns=["measurement", "min_ns", "max_ns",
-                                                     "n_records"])
-        cache[f] = [(r["measurement"], BatchRange(parts["writer"], int(parts["batch_id"]),
-                                                  int(r["min_ns"]), int(r["max_ns"]),
-                                                  int(r["n_records"])))
-                    for r in t.to_pylist() if r["min_ns"] is not None]
+        t = pq.read_table(f, filesystem=fs)
+        cache[f] = [(r["measurement"], BatchRange(
+            parts["writer"], int(parts["batch_id"]), int(r["min_ns"]), int(r["max_ns"]),
+            int(r["n_records"]), int(r.get("max_at_instant") or r["n_records"])))
+            for r in t.to_pylist() if r["min_ns"] is not None]
     return [br for rows in cache.values() for (m, br) in rows if m == measurement]
 
 
@@ -123,6 +123,8 @@ class TimeSlicePartition(InputPartition):
     data_root: str
     batches: list = field(default_factory=list)   # [(writer, batch_id)]
     dedupe: bool = True
+    key_bucket: int = 0                            # this task's share of the keys ...
+    n_buckets: int = 1                             # ... when one instant is too big
 
 
 def _estimate_rows(batches: list[BatchRange], a: int, b: int) -> float:
@@ -182,12 +184,61 @@ def plan_partitions(batches: list[BatchRange], start: int, end: int, opts: Sourc
     for i, lo, hi in bounds:
         if hi <= lo:
             continue
-        sel = sorted({(r.writer, r.batch_id) for r in live if r.max_ns >= lo and r.min_ns < hi})
-        if sel:
-            out.append(TimeSlicePartition(i, lo, hi, opts.measurement, data_root, sel, opts.dedupe))
+        over = [r for r in live if r.max_ns >= lo and r.min_ns < hi]
+        sel = sorted({(r.writer, r.batch_id) for r in over})
+        if not sel:
+            continue
+        # Time cannot split one instant: when the rows that may share one instant
+        # exceed the slice budget, split the slice by key hash instead (all
+        # versions of a key stay together, so dedupe stays exact).
+        k = 1
+        if opts.dedupe:
+            at_instant = sum(r.max_at_instant for r in over)
+            k = max(1, math.ceil(at_instant / opts.max_rows_per_slice))
+        for j in range(k):
+            out.append(TimeSlicePartition(i, lo, hi, opts.measurement, data_root, sel,
+                                          opts.dedupe, j, k))
     return out
 
 
+def key_buckets(col, k: int):
+    """Deterministic bucket in ``[0, k)`` of each string of an Arrow column: a
+    polynomial hash of its UTF-8 bytes, computed with numpy over the Arrow
+    buffers (no per-row Python)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    a = pc.cast(col, pa.large_string())
+    if isinstance(a, pa.ChunkedArray):
+        a = a.combine_chunks()
+    n = len(a)
+    if n == 0:
+        return np.zeros(0, dtype=np.int64)
+    bufs = a.buffers()
+    offsets = np.frombuffer(bufs[1], dtype=np.int64)[a.offset:a.offset + n + 1]
+    data = (np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None
+            else np.zeros(0, dtype=np.uint8))
+    lens = np.diff(offsets)
+    start, end = int(offsets[0]), int(offsets[-1])
+    h = np.zeros(n, dtype=np.uint64)
+    if end > start:
+        pos = np.arange(start, end, dtype=np.int64) - np.repeat(offsets[:-1], lens)
+        powers = np.cumprod(np.full(int(lens.max()), 1_000_003, dtype=np.uint64),
+                            dtype=np.uint64) // np.uint64(1_000_003)
+        powers[0] = 1
+        with np.errstate(over="ignore"):
+            contrib = data[start:end].astype(np.uint64) * powers[pos]
+        nz = lens > 0
+        h[nz] = np.add.reduceat(contrib, (offsets[:-1] - start)[nz])
+    # 64-bit finalizer so the low bits used by the modulo are well mixed
+    with np.errstate(over="ignore"):
+        h ^= h >> np.uint64(33)
+        h *= np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(33)
+    return (h % np.uint64(k)).astype(np.int64)
+
+
 def read_slice(p: TimeSlicePartition):
     """Arrow record batches of one slice: measurement, day and time bounds pushed
     into the Parquet scan; with ``dedupe`` the latest write per (series, field,
@@ -218,8 +269,15 @@ def read_slice(p: TimeSlicePartition):
                 if rb.num_rows:
                     yield _conform(rb)
             continue
-        t = d.to_table(columns=cols, filter=flt)
-        if t.num_rows:
+        parts = []
+        for rb in d.to_batches(columns=cols, filter=flt):
+            if rb.num_rows and p.n_buckets > 1:
+                rb = rb.filter(pa.array(key_buckets(rb.column("series_key"), p.n_buckets)
+                                        == p.key_bucket))
+            if rb.num_rows:
+                parts.append(rb)
+        if parts:
+            t = pa.Table.from_batches(parts)
             tables.append(t.append_column("batch_id", pa.array([batch_id] * t.num_rows, pa.int64())))
     if not p.dedupe or not tables:
         return

@@ -326,3 +326,26 @@ def test_crash_mid_batch_then_restart(spark):
     q = start(sink.PointSinkBatch(opts))                        # same checkpoint: replay
     assert q.exception() is None
     assert store.read_points(spark, root, "b", dedupe=False).count() == 40
+
+
+def test_hot_instant_is_split_by_key(spark):
+    from chronoline.streaming.source import CursorStreamReader, plan_partitions
+    lo = 1_700_000_000 * S
+    n = 6_000
+    root = scratch_path(spark, "store")
+    # every row at one instant (as lines without a time get their batch's time),
+    # and every key written twice: the later write must win
+    for v in (1.0, 2.0):
+        df = spark.range(n).select(F.concat(F.lit("h"), F.col("id").cast("string")).alias("host"),
+                                   F.lit(v).alias("v"), F.lit(lo).alias("t"))
+        store.write_points(to_points(df, "cpu", ["host"], ["v"], "t"), root, "b")
+    opts = {"path": root, "bucket": "b", "measurement": "cpu", "maxRowsPerSlice": "1000",
+            "numSlices": "2"}
+    reader = CursorStreamReader(opts)
+    parts = plan_partitions(reader._batches(), lo, lo + 1, reader.opts, reader.data_root)
+    assert len(parts) == 12 and {p.n_buckets for p in parts} == {12}
+    out, _ = _drain(spark, read_stream(spark, root, "b", "cpu", output="points",
+                                       maxRowsPerSlice=1000), "hot1")
+    rows = out.collect()
+    assert len(rows) == n and {r.value_double for r in rows} == {2.0}
+    assert len({r.series_key for r in rows}) == n
