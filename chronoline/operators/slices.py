@@ -174,8 +174,7 @@ def tail_held(points: DataFrame, delta_ns: int) -> DataFrame:
     lo, hi = row[0], row[1]
     if lo is None:
         return points.limit(0)
-    end = lo + -(-(hi - lo) // delta_ns) * delta_ns
-    return points.where(F.col("time_ns") >= F.lit(end))
+    return points.where(F.col("time_ns") >= F.lit(cursor_end(lo, hi, delta_ns)))
 
 
 def cursor_end(lo: int, hi: int, delta_ns: int) -> int:
