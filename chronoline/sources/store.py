@@ -33,7 +33,11 @@ from chronoline.functions.nanos import floor_div
 from chronoline.operators.points import in_range, upsert_latest
 
 NS_PER_DAY = 86_400_000_000_000
-WRITE_ORDER = ["written_at", "batch_id", "seq"]
+# Write order, most significant first.  A compacted row keeps the batch id it
+# was first written with (``src_batch_id``), so it still compares exactly with
+# rows of batches that were not compacted.
+def write_order() -> list:
+    return ["written_at", F.coalesce(F.col("src_batch_id"), F.col("batch_id")), "seq"]
 
 POINT_SCHEMA = StructType([
     StructField("measurement", StringType()),
@@ -50,6 +54,7 @@ POINT_SCHEMA = StructType([
 STORE_SCHEMA = StructType(
     [f for f in POINT_SCHEMA.fields if f.name != "measurement"]
     + [StructField("written_at", TimestampType()), StructField("seq", LongType()),
+       StructField("src_batch_id", LongType()),
        StructField("writer", StringType()), StructField("batch_id", LongType()),
        StructField("measurement", StringType()), StructField("day", DateType())])
 COMMIT_SCHEMA = StructType([
@@ -157,9 +162,10 @@ def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id
     bdir = batch_dir(data_root(path, bucket), writer, batch_id)
     if "day" not in points.columns:
         points = points.withColumn("day", day_of("time_ns"))
+    extra = ["src_batch_id"] if "src_batch_id" in points.columns else []
     out = (points
            .select(*[c for c in POINT_COLUMNS if c != "measurement"], "written_at", "seq",
-                   "measurement", "day")
+                   *extra, "measurement", "day")
            .sortWithinPartitions("measurement", "day", "time_ns"))
     w = out.write.mode("overwrite").partitionBy("measurement", "day")
     if batch_size:
@@ -267,7 +273,7 @@ def read_points(spark: SparkSession, path: str, bucket: str, measurement: str |
     """
     df = read_store(spark, path, bucket, measurement, start, stop)
     if dedupe:
-        return upsert_latest(df, order=WRITE_ORDER).select(*POINT_COLUMNS)
+        return upsert_latest(df, order=write_order()).select(*POINT_COLUMNS)
     return df.select(*POINT_COLUMNS)
 
 
@@ -279,26 +285,42 @@ def read_lines(spark: SparkSession, path: str, bucket: str, measurement: str | N
     return encode_lines(read_points(spark, path, bucket, measurement, start, stop, dedupe), mode)
 
 
-def compact(spark: SparkSession, path: str, bucket: str, batch_size: int | None = None) -> dict:
-    """Rewrite all committed batches of a bucket as one batch, latest write per
-    key, then drop the old batches (commit records first, so readers never see
-    a half-removed batch).  Returns the new batch's writer id."""
-    old = committed_batch_dirs(spark, path, bucket)
-    if not old:
+def compact(spark: SparkSession, path: str, bucket: str, batch_size: int | None = None,
+            max_batch_rows: int | None = None, min_batches: int = 2) -> dict:
+    """Rewrite committed batches as one batch, keeping the latest write per key,
+    then drop them (commit records first, so readers never see a half-removed
+    batch).
+
+    ``max_batch_rows`` makes it incremental: only batches holding at most that
+    many rows (e.g. the small files of streaming micro-batches) are rewritten,
+    and nothing happens unless at least ``min_batches`` qualify.  Rows keep
+    their original write order (``written_at``, first batch id, ``seq``), so the
+    result is the same whichever batches are compacted together.  One
+    aggregation (partial aggregation map-side) and one rebalanced write.
+    """
+    c = commits(spark, path, bucket)
+    per_batch = c.groupBy("writer", "batch_id").agg(F.sum("n_records").alias("n"))
+    if max_batch_rows is not None:
+        per_batch = per_batch.where(F.col("n") <= F.lit(int(max_batch_rows)))
+    chosen = per_batch.select("writer", "batch_id").collect()   # one row per batch
+    if len(chosen) < max(1, min_batches if max_batch_rows is not None else 1):
         return {"writer": None, "batch_id": None, "replaced": 0}
-    stored = read_store(spark, path, bucket)
+    droot, croot = data_root(path, bucket), commits_root(path, bucket)
+    old = sorted(batch_dir(droot, r["writer"], r["batch_id"]) for r in chosen)
+    stored = spark.read.schema(STORE_SCHEMA).option("basePath", droot).parquet(*old)
+    payload = [c for c in stored.columns
+               if c not in ("series_key", "field", "time_ns", "day", "writer", "batch_id",
+                            "src_batch_id")]
+    first_batch = F.coalesce(F.col("src_batch_id"), F.col("batch_id"))
     latest = stored.groupBy("series_key", "field", "time_ns").agg(
-        F.max_by(F.struct(*[c for c in stored.columns
-                            if c not in ("series_key", "field", "time_ns", "day")]),
-                 F.struct(*WRITE_ORDER)).alias("_r"))
-    kept = latest.select("series_key", "field", "time_ns", "_r.*").drop("writer", "batch_id")
+        F.max_by(F.struct(*payload, first_batch.alias("src_batch_id")),
+                 F.struct(*write_order())).alias("_r"))
+    kept = latest.select("series_key", "field", "time_ns", "_r.*")
     writer = f"compact-{uuid.uuid4().hex}"
     shaped = shape_for_write(kept, None, cluster_by_time=True)
     write_batch(shaped, path, bucket, writer, 0, batch_size)
-    croot, droot = commits_root(path, bucket), data_root(path, bucket)
     for d in old:
-        rel = d[len(droot):]
-        delete_path(spark, croot + rel)
+        delete_path(spark, croot + d[len(droot):])
     for d in old:
         delete_path(spark, d)
     return {"writer": writer, "batch_id": 0, "replaced": len(old)}

@@ -269,8 +269,9 @@ def read_slice(p: TimeSlicePartition):
                 if rb.num_rows:
                     yield _conform(rb)
             continue
+        has_src = "src_batch_id" in d.schema.names
         parts = []
-        for rb in d.to_batches(columns=cols, filter=flt):
+        for rb in d.to_batches(columns=cols + (["src_batch_id"] if has_src else []), filter=flt):
             if rb.num_rows and p.n_buckets > 1:
                 rb = rb.filter(pa.array(key_buckets(rb.column("series_key"), p.n_buckets)
                                         == p.key_bucket))
@@ -278,10 +279,16 @@ def read_slice(p: TimeSlicePartition):
                 parts.append(rb)
         if parts:
             t = pa.Table.from_batches(parts)
-            tables.append(t.append_column("batch_id", pa.array([batch_id] * t.num_rows, pa.int64())))
+            order_batch = pa.array([batch_id] * t.num_rows, pa.int64())
+            if has_src:     # a compacted row keeps the batch id it was first written with
+                order_batch = pc.coalesce(t["src_batch_id"], order_batch)
+                t = t.drop_columns(["src_batch_id"])
+            tables.append(t.append_column("batch_id", order_batch))
     if not p.dedupe or not tables:
         return
-    t = pa.concat_tables(tables)
+    # batches written by different jobs can differ in nullability: one schema
+    schema = pa.schema([pa.field(f.name, f.type, nullable=True) for f in tables[0].schema])
+    t = pa.concat_tables([x.select(schema.names).cast(schema) for x in tables])
     t = t.sort_by([("series_key", "ascending"), ("field", "ascending"), ("time_ns", "ascending"),
                    ("written_at", "ascending"), ("batch_id", "ascending"), ("seq", "ascending")])
     n = t.num_rows
@@ -296,9 +303,21 @@ def read_slice(p: TimeSlicePartition):
         yield _conform(rb)
 
 
+def _point_arrow_schema():
+    import pyarrow as pa
+    return pa.schema([
+        ("measurement", pa.string()), ("tags", pa.map_(pa.string(), pa.string())),
+        ("field", pa.string()), ("value_double", pa.float64()), ("value_long", pa.int64()),
+        ("value_bool", pa.bool_()), ("value_string", pa.string()), ("time_ns", pa.int64()),
+        ("series_key", pa.string())])
+
+
 def _conform(rb):
+    """The declared output schema, whatever nullability the files had."""
     import pyarrow as pa
-    return pa.RecordBatch.from_arrays([rb.column(c) for c in _POINT_COLS], names=_POINT_COLS)
+    schema = _point_arrow_schema()
+    cols = [rb.column(c).cast(schema.field(c).type) for c in _POINT_COLS]
+    return pa.RecordBatch.from_arrays(cols, schema=schema)
 
 
 # --------------------------------------------------------------------------- reader

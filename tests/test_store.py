@@ -56,7 +56,7 @@ def test_last_write_wins(spark, tmp_store):
     # first/last record: a tie on time resolves to the latest write
     raw = store.read_store(spark, tmp_store, "b")
     fl = {r.series_key: (r.first_value_double, r.last_value_double)
-          for r in first_last_records(raw, order=store.WRITE_ORDER).collect()}
+          for r in first_last_records(raw, order=store.write_order()).collect()}
     assert fl["cpu,host=a"] == (5.0, 6.0)
 
 
@@ -101,3 +101,24 @@ def test_num_partitions_coalesces(spark, tmp_store):
 def test_empty_store_reads_empty(spark, tmp_store):
     assert store.read_points(spark, tmp_store, "nothing").count() == 0
     assert set(POINT_COLUMNS) <= set(store.read_points(spark, tmp_store, "nothing").columns)
+
+
+def test_incremental_compact_keeps_write_order(spark, tmp_store):
+    # a big batch, then small ones; compacting only the small ones must not
+    # change which write wins against the big batch
+    big = [("a", 1.0, 10), ("b", 1.0, 20)] + [("x", float(i), 100 + i) for i in range(50)]
+    store.write_points(_pts(spark, big), tmp_store, "b")
+    store.write_points(_pts(spark, [("a", 2.0, 10)]), tmp_store, "b")
+    store.write_points(_pts(spark, [("a", 3.0, 10), ("b", 3.0, 20)]), tmp_store, "b")
+    store.write_points(_pts(spark, [("c", 4.0, 30)]), tmp_store, "b")
+    before = _rows(store.read_points(spark, tmp_store, "b"))
+    info = store.compact(spark, tmp_store, "b", max_batch_rows=5)
+    assert info["replaced"] == 3
+    assert store.commits(spark, tmp_store, "b").select("writer").distinct().count() == 2
+    assert _rows(store.read_points(spark, tmp_store, "b")) == before
+    # a later write still wins over the compacted rows
+    store.write_points(_pts(spark, [("a", 9.0, 10)]), tmp_store, "b")
+    got = {r.series_key: r.value_double for r in store.read_points(spark, tmp_store, "b")
+           .where("time_ns = 10").collect()}
+    assert got == {"cpu,host=a": 9.0}
+    assert store.compact(spark, tmp_store, "b", max_batch_rows=5, min_batches=5)["replaced"] == 0

@@ -349,3 +349,34 @@ def test_hot_instant_is_split_by_key(spark):
     rows = out.collect()
     assert len(rows) == n and {r.value_double for r in rows} == {2.0}
     assert len({r.series_key for r in rows}) == n
+
+
+def test_drain_after_incremental_compaction(spark):
+    lo = 1_700_000_000 * S
+    root = scratch_path(spark, "store")
+    for v in (1.0, 2.0, 3.0):
+        df = spark.createDataFrame([("a", v, lo), ("b", v, lo + int(v) * S)],
+                                   "host STRING, v DOUBLE, t BIGINT")
+        store.write_points(to_points(df, "cpu", ["host"], ["v"], "t"), root, "b")
+    store.compact(spark, root, "b", max_batch_rows=2, min_batches=2)
+    late = spark.createDataFrame([("a", 7.0, lo)], "host STRING, v DOUBLE, t BIGINT")
+    store.write_points(to_points(late, "cpu", ["host"], ["v"], "t"), root, "b")
+    out, _ = _drain(spark, read_stream(spark, root, "b", "cpu", output="points"), "cmp1")
+    got = sorted((r.series_key, r.time_ns, r.value_double) for r in out.collect())
+    exp = sorted((r.series_key, r.time_ns, r.value_double)
+                 for r in store.read_points(spark, root, "b").collect())
+    assert got == exp and ("cpu,host=a", lo, 7.0) in got
+
+
+def test_no_dedupe_read_mixes_compacted_and_plain_batches(spark):
+    lo = 1_700_000_000 * S
+    root = scratch_path(spark, "store")
+    for v in (1.0, 2.0, 3.0):
+        df = spark.createDataFrame([("a", v, lo + int(v) * S)], "host STRING, v DOUBLE, t BIGINT")
+        store.write_points(to_points(df, "cpu", ["host"], ["v"], "t"), root, "b")
+    store.compact(spark, root, "b", max_batch_rows=1, min_batches=2)
+    df = spark.createDataFrame([("a", 4.0, lo + 4 * S)], "host STRING, v DOUBLE, t BIGINT")
+    store.write_points(to_points(df, "cpu", ["host"], ["v"], "t"), root, "b")
+    out, _ = _drain(spark, read_stream(spark, root, "b", "cpu", output="points", dedupe="false",
+                                       numSlices=1), "nodd1")
+    assert sorted(r.value_double for r in out.collect()) == [1.0, 2.0, 3.0, 4.0]
