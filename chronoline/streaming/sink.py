@@ -118,8 +118,9 @@ def write_stream(df: DataFrame, path: str, bucket: str, checkpoint_location: str
     ``input_kind='lines'`` (default) takes a ``value`` STRING/BINARY column of
     line-protocol text; ``'points'`` takes long point rows.  ``rebalance``
     (default on) shapes each micro-batch's write into a few files per
-    (measurement, day); ``num_partitions`` instead coalesces as the reference did.  ``trigger`` is passed
-    to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``).
+    (measurement, day); ``num_partitions`` instead coalesces as the reference
+    did.  ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
+    ``{"availableNow": True}``).
     """
     if str(output_mode).lower() != "append":
         raise ValueError(f"Data source does not support {output_mode} output mode")
