@@ -7,7 +7,7 @@ Layout under ``<path>/<bucket>/``::
     _rejects/writer=<w>/batch_id=<n>/part-*.parquet     (lines that did not decode)
 
 * A batch directory is always written whole with ``overwrite``, then its commit
-  record (per measurement and day: ``min_ns``, ``max_ns``, ``n_records``).  Readers take
+  record (per measurement and hour: ``min_ns``, ``max_ns``, ``n_records``).  Readers take
   committed batches only, so a crash between the two leaves nothing visible,
   and a replayed batch overwrites the same directory: the store ends the same.
 * ``measurement`` and ``day`` (UTC) are partition columns: a measurement or time
@@ -15,7 +15,7 @@ Layout under ``<path>/<bucket>/``::
   row-group statistics prune the rest (``PushedFilters`` on ``time_ns``).
 * ``written_at, batch_id, seq`` give the write order; a key (series, field, time)
   written twice keeps its latest write (:func:`read_points` ``dedupe=True``).
-* The commit records are tiny (one row per batch, measurement and day); the stream
+* The commit records are tiny (one row per batch, measurement and hour); the stream
   reader plans its cursor from them and never scans points on the driver.
 """
 
@@ -33,6 +33,7 @@ from chronoline.functions.nanos import floor_div
 from chronoline.operators.points import in_range, upsert_latest
 
 NS_PER_DAY = 86_400_000_000_000
+NS_PER_HOUR = 3_600_000_000_000
 # Write order, most significant first.  A compacted row keeps the batch id it
 # was first written with (``src_batch_id``), so it still compares exactly with
 # rows of batches that were not compacted.
@@ -59,6 +60,7 @@ STORE_SCHEMA = StructType(
        StructField("measurement", StringType()), StructField("day", DateType())])
 COMMIT_SCHEMA = StructType([
     StructField("measurement", StringType()), StructField("day", DateType()),
+    StructField("hour", LongType()),
     StructField("min_ns", LongType()),
     StructField("max_ns", LongType()), StructField("n_records", LongType()),
     StructField("max_at_instant", LongType()),
@@ -175,8 +177,8 @@ def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id
 
 
 def _write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch_id: int) -> None:
-    """Commit record of a written batch, per measurement and day (the store's
-    partition unit): ``min_ns``, ``max_ns``, ``n_records`` and ``max_at_instant``
+    """Commit record of a written batch, per measurement, day and hour:
+    ``min_ns``, ``max_ns``, ``n_records`` and ``max_at_instant``
     (the most rows sharing one ``time_ns``).  The stream cursor uses them to see
     gaps, estimate rows per time slice, and split an instant too big for one
     task by key.  Computed by Spark from the ``time_ns`` column of the files just
@@ -186,7 +188,8 @@ def _write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batc
     written = spark.read.schema(schema).parquet(bdir).select("measurement", "day", "time_ns")
     per_instant = written.groupBy("measurement", "day", "time_ns").agg(
         F.count(F.lit(1)).alias("_n"))
-    stats = (per_instant.groupBy("measurement", "day")
+    hour = floor_div("time_ns", NS_PER_HOUR).alias("hour")
+    stats = (per_instant.groupBy("measurement", "day", hour)
              .agg(F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns"),
                   F.sum("_n").cast("bigint").alias("n_records"),
                   F.max("_n").cast("bigint").alias("max_at_instant"))
@@ -217,8 +220,8 @@ def write_points(points: DataFrame, path: str, bucket: str, batch_size: int | No
 
 
 def commits(spark: SparkSession, path: str, bucket: str) -> DataFrame:
-    """Commit records: ``measurement, day, min_ns, max_ns, n_records, max_at_instant,
-    writer, batch_id``.
+    """Commit records: ``measurement, day, hour, min_ns, max_ns, n_records,
+    max_at_instant, writer, batch_id``.
     Only batches whose commit finished (``_SUCCESS``) have files here."""
     root = commits_root(path, bucket)
     if not path_exists(spark, root):

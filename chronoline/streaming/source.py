@@ -260,10 +260,11 @@ def read_slice(p: TimeSlicePartition):
     tables = []
     for writer, batch_id in p.batches:
         bdir = f"{root}/writer={writer}/batch_id={batch_id}"
-        try:
-            d = ds.dataset(bdir, filesystem=fs, format="parquet", partitioning=part)
-        except FileNotFoundError:
+        files = _slice_files(fs, bdir, p.measurement, day_lo, day_hi)
+        if not files:
             continue
+        d = ds.dataset(files, filesystem=fs, format="parquet", partitioning=part,
+                       partition_base_dir=bdir)
         if not p.dedupe:
             for rb in d.to_batches(columns=cols, filter=flt):
                 if rb.num_rows:
@@ -303,6 +304,34 @@ def read_slice(p: TimeSlicePartition):
         yield _conform(rb)
 
 
+# Characters Spark percent-encodes (%XX, upper-case hex) in a
+# partition directory value, besides the control characters 0x01-0x1F.
+_PATH_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
+
+
+def escape_partition_value(v: str) -> str:
+    """A partition value as Spark writes it in a ``name=value`` directory."""
+    return "".join(f"%{ord(ch):02X}" if (ch in _PATH_ESCAPED or "\x01" <= ch <= "\x1f") else ch
+                   for ch in v)
+
+
+def _slice_files(fs, bdir: str, measurement: str, day_lo: int, day_hi: int) -> list[str]:
+    """Data files of one batch for the slice's days only: the task lists its
+    ``measurement=<m>/day=<d>`` directories, never the whole batch."""
+    import datetime as dt
+
+    import pyarrow.fs as pafs
+
+    mdir = f"{bdir}/measurement={escape_partition_value(measurement)}"
+    files = []
+    for day in range(day_lo, day_hi + 1):
+        iso = (dt.date(1970, 1, 1) + dt.timedelta(days=day)).isoformat()
+        sel = pafs.FileSelector(f"{mdir}/day={iso}", allow_not_found=True)
+        files += [i.path for i in fs.get_file_info(sel)
+                  if i.type == pafs.FileType.File and not i.base_name.startswith(("_", "."))]
+    return files
+
+
 def _point_arrow_schema():
     import pyarrow as pa
     return pa.schema([

@@ -380,3 +380,14 @@ def test_no_dedupe_read_mixes_compacted_and_plain_batches(spark):
     out, _ = _drain(spark, read_stream(spark, root, "b", "cpu", output="points", dedupe="false",
                                        numSlices=1), "nodd1")
     assert sorted(r.value_double for r in out.collect()) == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_measurement_with_path_special_characters(spark):
+    lo = 1_700_000_000 * S
+    root = scratch_path(spark, "store")
+    m = 'cpu:load/1 a=b%"#[x]'
+    df = spark.createDataFrame([("a", 1.0, lo), ("b", 2.0, lo + S)], "host STRING, v DOUBLE, t BIGINT")
+    store.write_points(to_points(df, m, ["host"], ["v"], "t"), root, "b")
+    out, _ = _drain(spark, read_stream(spark, root, "b", m, output="points"), "special1")
+    assert sorted((r.measurement, r.value_double) for r in out.collect()) == [(m, 1.0), (m, 2.0)]
+    assert store.read_points(spark, root, "b", m).count() == 2
