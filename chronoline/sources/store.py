@@ -29,6 +29,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, MapT
                                StructField, StructType, TimestampType)
 
 from chronoline.functions.codec import POINT_COLUMNS
+from chronoline.sources.paths import escape_partition_value
 from chronoline.functions.nanos import floor_div
 from chronoline.operators.points import in_range, upsert_latest
 
@@ -249,11 +250,36 @@ def committed_batch_dirs(spark: SparkSession, path: str, bucket: str,
     return sorted(batch_dir(root, r["writer"], r["batch_id"]) for r in rows)
 
 
+def committed_day_dirs(spark: SparkSession, path: str, bucket: str, measurement: str,
+                       start: int | None = None, stop: int | None = None) -> list[str]:
+    """``.../measurement=<m>/day=<d>`` directories of committed batches whose
+    commit rows overlap ``[start, stop)``: the driver lists only the days a
+    query touches, not whole batches.  One row per (batch, day) reaches the
+    driver."""
+    c = commits(spark, path, bucket).where(F.col("measurement") == measurement)
+    if start is not None:
+        c = c.where(F.col("max_ns") >= F.lit(int(start)))
+    if stop is not None:
+        c = c.where(F.col("min_ns") < F.lit(int(stop)))
+    rows = c.select("writer", "batch_id", "day").distinct().collect()
+    root = data_root(path, bucket)
+    m = escape_partition_value(measurement)
+    return sorted(f"{batch_dir(root, r['writer'], r['batch_id'])}/measurement={m}/"
+                  f"day={r['day'].isoformat()}" for r in rows)
+
+
 def read_store(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
                start: int | None = None, stop: int | None = None) -> DataFrame:
     """Committed stored rows (points plus write-order and partition columns),
-    filtered by measurement and ``[start, stop)``; every version of a point."""
-    dirs = committed_batch_dirs(spark, path, bucket, measurement, start, stop)
+    filtered by measurement and ``[start, stop)``; every version of a point.
+
+    With a measurement, Spark is given the committed day directories in range
+    only; partition filters on ``measurement``/``day`` and pushed ``time_ns``
+    filters then prune further."""
+    if measurement is not None:
+        dirs = committed_day_dirs(spark, path, bucket, measurement, start, stop)
+    else:
+        dirs = committed_batch_dirs(spark, path, bucket, measurement, start, stop)
     if not dirs:
         return spark.createDataFrame([], STORE_SCHEMA)
     df = (spark.read.schema(STORE_SCHEMA).option("basePath", data_root(path, bucket))

@@ -37,6 +37,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 from chronoline.operators.slices import LONG_MIN, plan_slices
 from chronoline.sources.options import SourceOptions
+from chronoline.sources.paths import escape_partition_value
 
 NS_PER_DAY = 86_400_000_000_000
 
@@ -304,17 +305,6 @@ def read_slice(p: TimeSlicePartition):
         yield _conform(rb)
 
 
-# Characters Spark percent-encodes (%XX, upper-case hex) in a
-# partition directory value, besides the control characters 0x01-0x1F.
-_PATH_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
-
-
-def escape_partition_value(v: str) -> str:
-    """A partition value as Spark writes it in a ``name=value`` directory."""
-    return "".join(f"%{ord(ch):02X}" if (ch in _PATH_ESCAPED or "\x01" <= ch <= "\x1f") else ch
-                   for ch in v)
-
-
 def _slice_files(fs, bdir: str, measurement: str, day_lo: int, day_hi: int) -> list[str]:
     """Data files of one batch for the slice's days only: the task lists its
     ``measurement=<m>/day=<d>`` directories, never the whole batch."""
