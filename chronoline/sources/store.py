@@ -64,7 +64,7 @@ COMMIT_SCHEMA = StructType([
     StructField("hour", LongType()),
     StructField("min_ns", LongType()),
     StructField("max_ns", LongType()), StructField("n_records", LongType()),
-    StructField("max_at_instant", LongType()),
+    StructField("max_at_instant", LongType()), StructField("n_keys", LongType()),
     StructField("writer", StringType()), StructField("batch_id", LongType())])
 
 
@@ -179,21 +179,26 @@ def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id
 
 def _write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch_id: int) -> None:
     """Commit record of a written batch, per measurement, day and hour:
-    ``min_ns``, ``max_ns``, ``n_records`` and ``max_at_instant``
+    ``min_ns``, ``max_ns``, ``n_records``, ``n_keys`` (distinct series, field,
+    time) and ``max_at_instant``
     (the most rows sharing one ``time_ns``).  The stream cursor uses them to see
     gaps, estimate rows per time slice, and split an instant too big for one
     task by key.  Computed by Spark from the ``time_ns`` column of the files just
     written (partial aggregation), and written by Spark."""
     bdir = batch_dir(data_root(path, bucket), writer, batch_id)
     schema = StructType([f for f in STORE_SCHEMA.fields if f.name not in ("writer", "batch_id")])
-    written = spark.read.schema(schema).parquet(bdir).select("measurement", "day", "time_ns")
-    per_instant = written.groupBy("measurement", "day", "time_ns").agg(
-        F.count(F.lit(1)).alias("_n"))
+    written = spark.read.schema(schema).parquet(bdir).select(
+        "measurement", "day", "time_ns", "series_key", "field")
+    per_key = written.groupBy("measurement", "day", "time_ns", "series_key", "field").agg(
+        F.count(F.lit(1)).alias("_c"))
+    per_instant = per_key.groupBy("measurement", "day", "time_ns").agg(
+        F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_k"))
     hour = floor_div("time_ns", NS_PER_HOUR).alias("hour")
     stats = (per_instant.groupBy("measurement", "day", hour)
              .agg(F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns"),
                   F.sum("_n").cast("bigint").alias("n_records"),
-                  F.max("_n").cast("bigint").alias("max_at_instant"))
+                  F.max("_n").cast("bigint").alias("max_at_instant"),
+                  F.sum("_k").cast("bigint").alias("n_keys"))
              .coalesce(1))
     stats.write.mode("overwrite").parquet(batch_dir(commits_root(path, bucket), writer, batch_id))
 
@@ -291,16 +296,46 @@ def read_store(spark: SparkSession, path: str, bucket: str, measurement: str | N
     return in_range(df, measurement, start, stop)
 
 
+def may_hold_duplicates(spark: SparkSession, path: str, bucket: str,
+                        measurement: str | None = None, start: int | None = None,
+                        stop: int | None = None) -> bool:
+    """Whether a key (series, field, time) can appear twice in the range.
+
+    From the commit records alone: no, when every committed hour of every batch
+    holds distinct keys and no (measurement, hour) is shared by two batches --
+    a duplicate would need both versions in one hour.  One small aggregate of
+    commit rows reaches the driver."""
+    c = commits(spark, path, bucket)
+    if measurement is not None:
+        c = c.where(F.col("measurement") == measurement)
+    if start is not None:
+        c = c.where(F.col("max_ns") >= F.lit(int(start)))
+    if stop is not None:
+        c = c.where(F.col("min_ns") < F.lit(int(stop)))
+    row = (c.groupBy("measurement", "hour")
+           .agg(F.count(F.lit(1)).alias("_b"),
+                F.max(F.coalesce(F.col("n_keys") < F.col("n_records"), F.lit(True))).alias("_d"))
+           .agg(F.max("_b").alias("b"), F.max(F.col("_d").cast("int")).alias("d"))
+           .first())
+    if row is None or row["b"] is None:
+        return False
+    return row["b"] > 1 or row["d"] == 1
+
+
 def read_points(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
                 start: int | None = None, stop: int | None = None,
-                dedupe: bool = True) -> DataFrame:
+                dedupe: bool | str = "auto") -> DataFrame:
     """Long points of the store (the batch form of the time-range scan).
 
     ``dedupe`` applies last-write-wins on (series_key, field, time_ns) -- the
-    store's upsert semantics -- as one hash aggregation with map-side partial
-    aggregation; ``dedupe=False`` returns every stored version without a shuffle.
+    store's upsert semantics -- as one aggregation with map-side partial
+    aggregation.  ``"auto"`` (default) skips it, and its shuffle, when the
+    commit records prove no key can repeat in the range (append-only data);
+    ``False`` returns every stored version without a shuffle.
     """
     df = read_store(spark, path, bucket, measurement, start, stop)
+    if dedupe == "auto":
+        dedupe = may_hold_duplicates(spark, path, bucket, measurement, start, stop)
     if dedupe:
         return upsert_latest(df, order=write_order()).select(*POINT_COLUMNS)
     return df.select(*POINT_COLUMNS)
@@ -308,7 +343,7 @@ def read_points(spark: SparkSession, path: str, bucket: str, measurement: str |
 
 def read_lines(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
                start: int | None = None, stop: int | None = None, mode: str = "compat",
-               dedupe: bool = True) -> DataFrame:
+               dedupe: bool | str = "auto") -> DataFrame:
     """Stored points as ``value STRING`` line rows (the reference's read output)."""
     from chronoline.functions.codec import encode_lines
     return encode_lines(read_points(spark, path, bucket, measurement, start, stop, dedupe), mode)

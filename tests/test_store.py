@@ -123,3 +123,24 @@ def test_incremental_compact_keeps_write_order(spark, tmp_store):
            .where("time_ns = 10").collect()}
     assert got == {"cpu,host=a": 9.0}
     assert store.compact(spark, tmp_store, "b", max_batch_rows=5, min_batches=5)["replaced"] == 0
+
+
+def test_auto_dedupe_skips_the_shuffle_only_when_safe(spark, tmp_store):
+    store.write_points(_pts(spark, [("a", 1.0, 10), ("b", 1.0, 20)]), tmp_store, "b")
+    plain = store.read_points(spark, tmp_store, "b")
+    assert not store.may_hold_duplicates(spark, tmp_store, "b")
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    # a later batch in a different hour: still no shuffle
+    hour = store.NS_PER_HOUR
+    store.write_points(_pts(spark, [("a", 2.0, 5 * hour)]), tmp_store, "b")
+    assert not store.may_hold_duplicates(spark, tmp_store, "b")
+    # a second batch in the same hour: the upsert runs and the later write wins
+    store.write_points(_pts(spark, [("a", 3.0, 10)]), tmp_store, "b")
+    assert store.may_hold_duplicates(spark, tmp_store, "b")
+    got = {(r.series_key, r.time_ns): r.value_double
+           for r in store.read_points(spark, tmp_store, "b").collect()}
+    assert got[("cpu,host=a", 10)] == 3.0 and len(got) == 3
+    # duplicates inside one batch are seen too
+    store.write_points(_pts(spark, [("z", 1.0, 7 * hour), ("z", 2.0, 7 * hour)]), tmp_store, "c")
+    assert store.may_hold_duplicates(spark, tmp_store, "c")
+    assert store.read_points(spark, tmp_store, "c").count() == 1
