@@ -255,36 +255,64 @@ def committed_batch_dirs(spark: SparkSession, path: str, bucket: str,
     return sorted(batch_dir(root, r["writer"], r["batch_id"]) for r in rows)
 
 
-def committed_day_dirs(spark: SparkSession, path: str, bucket: str, measurement: str,
-                       start: int | None = None, stop: int | None = None) -> list[str]:
-    """``.../measurement=<m>/day=<d>`` directories of committed batches whose
-    commit rows overlap ``[start, stop)``: the driver lists only the days a
-    query touches, not whole batches.  One row per (batch, day) reaches the
-    driver."""
-    c = commits(spark, path, bucket).where(F.col("measurement") == measurement)
+def commit_rows(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
+                start: int | None = None, stop: int | None = None) -> list:
+    """Commit rows (one per batch, measurement and hour) overlapping the range,
+    collected once per read: metadata, not points."""
+    c = commits(spark, path, bucket)
+    if measurement is not None:
+        c = c.where(F.col("measurement") == measurement)
     if start is not None:
         c = c.where(F.col("max_ns") >= F.lit(int(start)))
     if stop is not None:
         c = c.where(F.col("min_ns") < F.lit(int(stop)))
-    rows = c.select("writer", "batch_id", "day").distinct().collect()
-    root = data_root(path, bucket)
-    m = escape_partition_value(measurement)
-    return sorted(f"{batch_dir(root, r['writer'], r['batch_id'])}/measurement={m}/"
-                  f"day={r['day'].isoformat()}" for r in rows)
+    return c.select("writer", "batch_id", "measurement", "day", "hour", "n_records",
+                    "n_keys").collect()
 
 
-def read_store(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
-               start: int | None = None, stop: int | None = None) -> DataFrame:
-    """Committed stored rows (points plus write-order and partition columns),
-    filtered by measurement and ``[start, stop)``; every version of a point.
+def _dirs_of(rows: list, root: str, by_day: bool) -> list[str]:
+    if by_day:
+        return sorted({f"{batch_dir(root, r['writer'], r['batch_id'])}/measurement="
+                       f"{escape_partition_value(r['measurement'])}/day={r['day'].isoformat()}"
+                       for r in rows})
+    return sorted({batch_dir(root, r["writer"], r["batch_id"]) for r in rows})
 
-    With a measurement, Spark is given the committed day directories in range
-    only; partition filters on ``measurement``/``day`` and pushed ``time_ns``
-    filters then prune further."""
-    if measurement is not None:
-        dirs = committed_day_dirs(spark, path, bucket, measurement, start, stop)
-    else:
-        dirs = committed_batch_dirs(spark, path, bucket, measurement, start, stop)
+
+def _may_repeat(rows: list) -> bool:
+    """A key (series, field, time) can repeat only if some batch-hour holds fewer
+    distinct keys than rows, or two batches share a (measurement, hour)."""
+    seen = {}
+    for r in rows:
+        if r["n_keys"] is None or r["n_keys"] < r["n_records"]:
+            return True
+        k = (r["measurement"], r["hour"])
+        b = (r["writer"], r["batch_id"])
+        if seen.setdefault(k, b) != b:
+            return True
+    return False
+
+
+def committed_day_dirs(spark: SparkSession, path: str, bucket: str, measurement: str,
+                       start: int | None = None, stop: int | None = None) -> list[str]:
+    """``.../measurement=<m>/day=<d>`` directories of committed batches whose
+    commit rows overlap ``[start, stop)``: the driver lists only the days a
+    query touches, not whole batches."""
+    rows = commit_rows(spark, path, bucket, measurement, start, stop)
+    return _dirs_of(rows, data_root(path, bucket), by_day=True)
+
+
+def may_hold_duplicates(spark: SparkSession, path: str, bucket: str,
+                        measurement: str | None = None, start: int | None = None,
+                        stop: int | None = None) -> bool:
+    """Whether a key (series, field, time) can appear twice in the range, from
+    the commit records alone: no, when every committed hour of every batch holds
+    distinct keys and no (measurement, hour) is shared by two batches -- a
+    duplicate would need both versions in one hour."""
+    return _may_repeat(commit_rows(spark, path, bucket, measurement, start, stop))
+
+
+def _read_dirs(spark: SparkSession, path: str, bucket: str, dirs: list[str],
+               measurement, start, stop) -> DataFrame:
     if not dirs:
         return spark.createDataFrame([], STORE_SCHEMA)
     df = (spark.read.schema(STORE_SCHEMA).option("basePath", data_root(path, bucket))
@@ -296,30 +324,17 @@ def read_store(spark: SparkSession, path: str, bucket: str, measurement: str | N
     return in_range(df, measurement, start, stop)
 
 
-def may_hold_duplicates(spark: SparkSession, path: str, bucket: str,
-                        measurement: str | None = None, start: int | None = None,
-                        stop: int | None = None) -> bool:
-    """Whether a key (series, field, time) can appear twice in the range.
+def read_store(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
+               start: int | None = None, stop: int | None = None) -> DataFrame:
+    """Committed stored rows (points plus write-order and partition columns),
+    filtered by measurement and ``[start, stop)``; every version of a point.
 
-    From the commit records alone: no, when every committed hour of every batch
-    holds distinct keys and no (measurement, hour) is shared by two batches --
-    a duplicate would need both versions in one hour.  One small aggregate of
-    commit rows reaches the driver."""
-    c = commits(spark, path, bucket)
-    if measurement is not None:
-        c = c.where(F.col("measurement") == measurement)
-    if start is not None:
-        c = c.where(F.col("max_ns") >= F.lit(int(start)))
-    if stop is not None:
-        c = c.where(F.col("min_ns") < F.lit(int(stop)))
-    row = (c.groupBy("measurement", "hour")
-           .agg(F.count(F.lit(1)).alias("_b"),
-                F.max(F.coalesce(F.col("n_keys") < F.col("n_records"), F.lit(True))).alias("_d"))
-           .agg(F.max("_b").alias("b"), F.max(F.col("_d").cast("int")).alias("d"))
-           .first())
-    if row is None or row["b"] is None:
-        return False
-    return row["b"] > 1 or row["d"] == 1
+    With a measurement, Spark is given the committed day directories in range
+    only; partition filters on ``measurement``/``day`` and pushed ``time_ns``
+    filters then prune further."""
+    rows = commit_rows(spark, path, bucket, measurement, start, stop)
+    dirs = _dirs_of(rows, data_root(path, bucket), by_day=measurement is not None)
+    return _read_dirs(spark, path, bucket, dirs, measurement, start, stop)
 
 
 def read_points(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
@@ -331,11 +346,15 @@ def read_points(spark: SparkSession, path: str, bucket: str, measurement: str |
     store's upsert semantics -- as one aggregation with map-side partial
     aggregation.  ``"auto"`` (default) skips it, and its shuffle, when the
     commit records prove no key can repeat in the range (append-only data);
-    ``False`` returns every stored version without a shuffle.
+    ``False`` returns every stored version without a shuffle.  The commit rows
+    of the range are collected once and serve both the directory list and that
+    proof.
     """
-    df = read_store(spark, path, bucket, measurement, start, stop)
+    rows = commit_rows(spark, path, bucket, measurement, start, stop)
+    dirs = _dirs_of(rows, data_root(path, bucket), by_day=measurement is not None)
+    df = _read_dirs(spark, path, bucket, dirs, measurement, start, stop)
     if dedupe == "auto":
-        dedupe = may_hold_duplicates(spark, path, bucket, measurement, start, stop)
+        dedupe = _may_repeat(rows)
     if dedupe:
         return upsert_latest(df, order=write_order()).select(*POINT_COLUMNS)
     return df.select(*POINT_COLUMNS)
