@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from chronoline.llm.bpe import op1_bpe
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
 from chronoline.llm.sharding import op2_sharding
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
     "op9_mixing": op9_mixing,
 }
