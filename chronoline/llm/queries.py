@@ -5,13 +5,16 @@ from __future__ import annotations
 from chronoline.llm.bpe import op1_bpe
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
 from chronoline.llm.sharding import op2_sharding
+from chronoline.llm.topk import OP8_SQL, op8_topk
 
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
+    "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
 }
 
 ORACLE_SQL = {
+    "op8_topk": OP8_SQL,
     "op9_mixing": OP9_SQL,
 }
