@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from chronoline.llm.bpe import op1_bpe
+from chronoline.llm.licenses import op10_licenses
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
+from chronoline.llm.secrets import op6_secrets
 from chronoline.llm.sharding import op2_sharding
 from chronoline.llm.topk import OP8_SQL, op8_topk
 
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
+    "op6_secrets": op6_secrets,
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE_SQL = {
