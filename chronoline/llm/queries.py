@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chronoline.llm.bpe import op1_bpe
+from chronoline.llm.cross_polytope import OP3_SQL, op3_cross_polytope
 from chronoline.llm.licenses import op10_licenses
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
 from chronoline.llm.secrets import op6_secrets
@@ -12,6 +13,7 @@ from chronoline.llm.topk import OP8_SQL, op8_topk
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
+    "op3_cross_polytope": op3_cross_polytope,
     "op6_secrets": op6_secrets,
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
@@ -19,6 +21,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_cross_polytope": OP3_SQL,
     "op8_topk": OP8_SQL,
     "op9_mixing": OP9_SQL,
 }
