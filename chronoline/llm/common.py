@@ -3,14 +3,16 @@ connected components."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoline.session import shared_dir
 
-# Fixed by the result contracts: white space between words, and A-Z to a-z alone.
+# Fixed by the result contracts: white space between words.
 SPACE = r"\x20\x09-\x0D"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WHITE = re.compile(r"\s")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -82,3 +84,16 @@ def _small_star(e: DataFrame) -> DataFrame:
     moved = (e.join(low, F.col("u") == F.col("m_u")).filter("v <> m")
              .select(F.col("v").alias("u"), F.col("m").alias("v")))
     return moved.unionByName(low.select(F.col("m_u").alias("u"), F.col("m").alias("v"))).distinct()
+
+
+def text_blocks(text: str, size: int = 1 << 20):
+    """A text in parts of about ``size`` characters that end at white space, so
+    that lists of a part's words stay small however long the text is."""
+    at = 0
+    while len(text) - at > size:
+        m = _WHITE.search(text, at + size)
+        if not m:
+            break
+        yield text[at:m.end()]
+        at = m.end()
+    yield text[at:] if at else text

@@ -6,6 +6,7 @@ from chronoline.llm.bpe import op1_bpe
 from chronoline.llm.cross_polytope import OP3_SQL, op3_cross_polytope
 from chronoline.llm.licenses import op10_licenses
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
+from chronoline.llm.quality import op4_quality
 from chronoline.llm.secrets import op6_secrets
 from chronoline.llm.setsketch import op7_setsketch
 from chronoline.llm.sharding import op2_sharding
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
     "op3_cross_polytope": op3_cross_polytope,
+    "op4_quality": op4_quality,
     "op6_secrets": op6_secrets,
     "op7_setsketch": op7_setsketch,
     "op8_topk": op8_topk,
