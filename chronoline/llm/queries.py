@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from chronoline.llm.bpe import op1_bpe
 from chronoline.llm.cross_polytope import OP3_SQL, op3_cross_polytope
+from chronoline.llm.langid import op5_langid
 from chronoline.llm.licenses import op10_licenses
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
 from chronoline.llm.quality import op4_quality
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_cross_polytope": op3_cross_polytope,
     "op4_quality": op4_quality,
+    "op5_langid": op5_langid,
     "op6_secrets": op6_secrets,
     "op7_setsketch": op7_setsketch,
     "op8_topk": op8_topk,
