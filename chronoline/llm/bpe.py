@@ -169,7 +169,7 @@ def _map_text(docs: DataFrame, id_col: str, col, schema: str,
 
     names = ["id", *(f.split()[0] for f in schema.split(", "))]
     types = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary(),
-              "array<int>": pa.list_(pa.int32())}[f.split()[1]] for f in schema.split(", ")]
+              "array<int>": pa.list_(pa.int32()), "boolean": pa.bool_()}[f.split()[1]] for f in schema.split(", ")]
     return (kept.mapInArrow(run, f"id {id_type}, {schema}")
             .select(F.col("id").alias(id_col), *names[1:]))
 
@@ -194,6 +194,17 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
                      "decoded binary", rows)
 
 
+def tokenized(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """``id_col, n_tokens, ids, round_trip``: the ids of :func:`encode`, and whether
+    :func:`decode` makes the text's bytes of them."""
+    def rows(v):
+        c, text = codec(ranks_path, pattern), v.as_py()
+        ids = c.encode(text)
+        return len(ids), ids.astype(np.int32), c.decode(ids) == text.encode()
+    return _map_text(docs, id_col, whole_text(text_col), "n_tokens long, ids array<int>, round_trip boolean", rows)
+
+
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``id_col, n_tokens, ids_sha256, decoded_sha256``: digests of what

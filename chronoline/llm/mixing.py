@@ -50,26 +50,23 @@ def source_targets(sizes: DataFrame) -> DataFrame:
                     .otherwise(F.col("limit").cast("double")).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
-    """One row per row of ``docs``: ``id_col, size, source_size, target, taken``
-    and ``repeats``, the number of times (0 to 3) that the mix takes the document.
-
-    ``size`` counts words.  A source gives ``floor(target / size)`` whole copies,
-    and of one more copy the documents whose hash point lies under the source's
-    threshold.  Sizes are summed by source and hash bucket; the bucket where the
-    running sum passes the budget is split into finer buckets, and only its rows
-    are read again, until each boundary is one hash point.  That point is taken if
-    it brings the sum nearer to the target.  Nothing is sorted; every step is a
-    partial aggregation, so a source with most of the rows is no hot task.
-
-    Null text has size 0, and a document of size 0 takes 0 words.  A null source
-    is a source of its own, the last.  Rows that repeat a doc_id share one hash
-    point: they are taken or left together.  No rows: no rows.
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+                       count_words(F.col(text_col)).alias("size"), hash_point(F.col(id_col)).alias("point"))
+
+
+def source_cuts(rows: DataFrame) -> DataFrame:
+    """One row per source of ``rows`` (``source, size, point``): ``p_source,
+    source_size, target, copies, threshold, shift, edge_in``.
+
+    A source gives ``floor(target / size)`` whole copies, and of one more copy the
+    documents whose hash point lies under the threshold.  Sizes are summed by source
+    and hash bucket; the bucket where the running sum passes the budget is split
+    into finer buckets, and only its rows are read again, until each boundary is one
+    hash point.  That point is taken if it brings the sum nearer to the target.
+    Nothing is sorted; every step is a partial aggregation, so a source with most of
+    the rows is no hot task.
     """
-    rows = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                           count_words(F.col(text_col)).alias("size"),
-                           hash_point(F.col(id_col)).alias("point")))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = cut(source_targets(sizes).withColumn(
         "copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
@@ -78,24 +75,54 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("below", F.lit(0).cast("long"))    # sizes under the threshold so far
         .withColumn("prefix", F.lit(0).cast("long")))  # the boundary bucket, as leading bits
     for shift in range(POINT_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
-        plan, open_rows = _refine(rows, plan, shift)
-        if open_rows <= 1:
+        plan, splits = _refine(rows, plan, shift)
+        if not splits:
             break
-    cuts = plan.select(F.col("source").alias("p_source"), "source_size", "target", "copies",
+    return plan.select(F.col("source").alias("p_source"), "source_size", "target", "copies",
                        F.col("prefix").alias("threshold"), F.lit(shift).alias("shift"),
                        (F.col("budget") - F.col("below") >= F.col("below") + F.col("edge") - F.col("budget"))
                        .alias("edge_in"))
+
+
+def _repeats() -> Column:
+    """How often the mix takes a row with ``point``, given its source's cut."""
     bucket = F.expr("shiftright(point, shift)")
     more = (bucket < F.col("threshold")) | ((bucket == F.col("threshold")) & F.col("edge_in"))
-    out = rows.join(cuts, F.col("source").eqNullSafe(F.col("p_source")))
-    repeats = F.col("copies") + F.when((F.col("copies") < MAX_REPEATS) & more, 1).otherwise(0)
-    return (out.withColumn("repeats", repeats)
+    return F.col("copies") + F.when((F.col("copies") < MAX_REPEATS) & more, 1).otherwise(0)
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        source_col: str = "source") -> DataFrame:
+    """One row per row of ``docs``: ``id_col, size, source_size, target, taken``
+    and ``repeats``, the number of times (0 to 3) that the mix takes the document;
+    see :func:`source_cuts`.  ``size`` counts words.
+
+    Null text has size 0, and a document of size 0 takes 0 words.  A null source
+    is a source of its own, the last.  Rows that repeat a doc_id share one hash
+    point: they are taken or left together.  No rows: no rows.
+    """
+    rows = cut(_keyed(docs, id_col, text_col, source_col))
+    out = rows.join(source_cuts(rows), F.col("source").eqNullSafe(F.col("p_source")))
+    return (out.withColumn("repeats", _repeats())
             .select(F.col("id").alias(id_col), "size", "source_size", "target",
                     (F.col("size") * F.col("repeats")).alias("taken"), "repeats"))
 
 
-def _refine(rows: DataFrame, plan: DataFrame, shift: int) -> tuple[DataFrame, int]:
-    """The boundary buckets of one level, and the most hash points any of them has."""
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          source_col: str = "source") -> DataFrame:
+    """The rows of the mix: each row of ``docs``, all its columns, as often as
+    :func:`mix` takes it.  The cuts are joined by source, so texts need no shuffle
+    while the sources' table is small enough to be sent to each task."""
+    cuts = source_cuts(cut(_keyed(docs, id_col, text_col, source_col)))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+                       F.col(source_col).cast("string").alias("source"), hash_point(F.col(id_col)).alias("point"))
+    taken = rows.join(cuts, F.col("source").eqNullSafe(F.col("p_source"))).withColumn("repeats", _repeats())
+    return (taken.filter("repeats > 0")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("nth")).select("row.*"))
+
+
+def _refine(rows: DataFrame, plan: DataFrame, shift: int) -> tuple[DataFrame, bool]:
+    """The boundary buckets of one level, and whether one has several hash points."""
     keys = plan.select(F.col("source").alias("p_source"), "prefix")
     inside = rows.join(keys, F.col("source").eqNullSafe(F.col("p_source"))
                        & (F.shiftright("point", shift + LEVEL_BITS) == F.col("prefix")))
@@ -117,7 +144,7 @@ def _refine(rows: DataFrame, plan: DataFrame, shift: int) -> tuple[DataFrame, in
                     F.col("p.bucket").alias("prefix"), F.coalesce(F.col("p.bar"), F.lit(0)).alias("edge"),
                     (F.col("p.lo") < F.col("p.hi")).alias("splits")))
     step = cut(step)
-    return step, 2 if step.filter("splits").limit(1).count() else 1
+    return step, bool(step.filter("splits").limit(1).count())
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -266,6 +267,17 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], id_col: str = "doc
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
+def accepted(docs: DataFrame, model: tuple[np.ndarray, Network], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches :data:`THRESHOLD`."""
+    vectors, net = model
+
+    @F.pandas_udf("double")
+    def score_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([net.scores(features(t, vectors)[None])[0] for t in texts], dtype=float)
+
+    return docs.filter(score_of(whole_text(text_col)) >= THRESHOLD)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return score(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -138,9 +138,10 @@ def not_random(tokens: DataFrame) -> DataFrame:
             .groupBy(F.col("stratum").alias("f_stratum")).agg(F.min("step").alias("f_step")))
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False) -> DataFrame:
     """``row, id, kind, start, stop`` for every secret, and one row with null kind
-    for each document without; ``row`` tells rows with the same id apart.
+    for each document without; ``row`` tells rows with the same id apart, and
+    ``h``, if asked for, is the text's 64-bit hash.
 
     Spans count code points.  Kinds are those of :data:`BASE`, leftmost and without
     overlap within a kind, then ``random``: strings of 20 and more letters, digits
@@ -154,7 +155,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     text = whole_text(text_col)
     rows = cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-                           _found(text).alias("found")))
+                           F.xxhash64(text).alias("h"), _found(text).alias("found")))
     run = Window.partitionBy("row", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     hits = (rows.select("row", F.posexplode("found").alias("nth", "x")).select("row", "nth", "x.*")
             .withColumn("stop", F.sum("upto").over(run)).filter("ok")
@@ -172,9 +173,11 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rejected = F.coalesce(F.floor(-F.log2("p") * STEPS) >= F.col("f_step"), F.lit(False))
     spans = judged.filter((F.col("kind") < len(BASE)) | (F.col("p").isNotNull() & ~rejected))
     names = F.array(*[F.lit(k[0]) for k in BASE], F.lit(RANDOM))
-    return (rows.select(F.col("row").alias("r"), "id").join(spans, F.col("r") == F.col("row"), "left")
-            .select(F.col("r").alias("row"), "id", F.col("kind").alias("order"),
-                    F.element_at(names, F.col("kind") + 1).alias("kind"), "start", "stop"))
+    return (rows.select(F.col("row").alias("r"), "id", *["h"] * with_hash).join(spans, F.col("r") == F.col("row"), "left")
+            .select(F.col("r").alias("row"), "id", *["h"] * with_hash, F.col("kind").alias("order"),
+                    # A null index alone does not make element_at nullable to the optimizer.
+                    F.when(F.col("kind").isNotNull(), F.element_at(names, F.col("kind") + 1)).alias("kind"),
+                    "start", "stop"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,5 +196,25 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       F.sha2(joined("base"), 256).alias("base_sha256"), joined("all").alias("spans"))
 
 
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
+    """``docs``, all columns and rows, with every span of :func:`find_spans` in the
+    text replaced by ``mark``; overlapping spans are replaced as one.  Texts without
+    secrets, null ones too, stay as they are.  Spans come back by id and text hash."""
+    found = (find_spans(docs, id_col, text_col, with_hash=True).filter(F.col("kind").isNotNull())
+             .groupBy("row", "id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+             .groupBy(F.col("id").alias("f_id"), F.col("h").alias("f_h")).agg(F.first("spans").alias("spans")))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
+                       F.col(text_col).alias("text"), F.xxhash64(whole_text(text_col)).alias("h"))
+    # Folds the sorted spans: what is written so far, and up to where.
+    clean = F.expr(f"""aggregate(spans, named_struct('at', 0, 'out', ''),
+        (s, x) -> if(x.start < s.at, named_struct('at', greatest(s.at, cast(x.stop as int)), 'out', s.out),
+          named_struct('at', cast(x.stop as int),
+                       'out', concat(s.out, substring(text, s.at + 1, cast(x.start as int) - s.at), '{mark}'))),
+        s -> concat(s.out, substring(text, s.at + 1)))""")
+    out = rows.join(found, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("h") == F.col("f_h")), "left")
+    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean)
+    return out.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
