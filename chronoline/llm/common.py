@@ -37,6 +37,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fresh(key: Column | str) -> Column:
+    """An integer join key that Spark does not know to be partitioned already.  An
+    aggregate joined by its own key is shuffled again, which is cheap; then both
+    sides of the join are plain shuffles, and AQE may split the other side's hot keys."""
+    return F.bitwise_not(F.bitwise_not(F.col(key) if isinstance(key, str) else key))
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``(node, component)`` for every node of the undirected ``edges``; the
     component is the smallest node id reachable.
@@ -73,7 +80,7 @@ def _large_star(e: DataFrame) -> DataFrame:
     """Each neighbour above u is linked to the smallest of u's neighbourhood."""
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy(F.col("u").alias("m_u")).agg(F.min("v").alias("m"))
-    low = low.select("m_u", F.least("m", "m_u").alias("m"))
+    low = low.select(fresh("m_u").alias("m_u"), F.least("m", "m_u").alias("m"))
     return (both.join(low, F.col("u") == F.col("m_u")).filter("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
 
@@ -81,7 +88,8 @@ def _large_star(e: DataFrame) -> DataFrame:
 def _small_star(e: DataFrame) -> DataFrame:
     """Every neighbour below u, and u itself, is linked to the smallest of them."""
     low = e.groupBy(F.col("u").alias("m_u")).agg(F.min("v").alias("m"))
-    moved = (e.join(low, F.col("u") == F.col("m_u")).filter("v <> m")
+    keyed = low.select(fresh("m_u").alias("m_u"), "m")
+    moved = (e.join(keyed, F.col("u") == F.col("m_u")).filter("v <> m")
              .select(F.col("v").alias("u"), F.col("m").alias("v")))
     return moved.unionByName(low.select(F.col("m_u").alias("u"), F.col("m").alias("v"))).distinct()
 

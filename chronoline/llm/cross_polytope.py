@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import connected_components, cut
+from chronoline.llm.common import connected_components, cut, fresh
 from chronoline.llm.topk import finite
 
 TABLES = 8       # hash tables
@@ -203,7 +203,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     codes = reps.select("rep", F.size("vec").alias("dim"), F.explode("codes").alias("code"))
     codes = codes.withColumn("bucket", F.xxhash64("dim", "code"))
     crowds = codes.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select(
-        F.col("bucket").alias("c_bucket"), F.ceil(F.col("c") / TILE).cast("int").alias("blocks"))
+        fresh("bucket").alias("c_bucket"), F.ceil(F.col("c") / TILE).cast("int").alias("blocks"))
     side = F.pmod(F.hash("rep"), F.col("blocks"))
     tiles = (codes.join(crowds, F.col("bucket") == F.col("c_bucket"))
              .select(F.col("rep").alias("t_rep"), "code", "bucket", side.alias("side"),

@@ -72,8 +72,8 @@ def _found(text: Column) -> Column:
 
 def _two_sided(z: Column) -> Column:
     """The normal p value of |z| by a logistic form (absolute error below 2e-4
-    in the middle; far out it only has to be small)."""
-    a = F.least(F.abs(z), F.lit(30.0))
+    in the middle; far out it only has to be small, and above 0)."""
+    a = F.least(F.abs(z), F.lit(20.0))
     return F.lit(2.0) / (1 + F.exp(1.5976 * a + 0.070566 * a * a * a))
 
 

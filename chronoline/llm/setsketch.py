@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import connected_components, cut, whole_text
+from chronoline.llm.common import connected_components, cut, fresh, whole_text
 
 REGISTERS = 128      # a power of two
 BASE, RATE = 1.001, 20.0   # register values are spaced by BASE; RATE scales the variates
@@ -19,6 +20,7 @@ BAND_RECALL = 0.998  # least chance that a pair at the threshold shares a band
 SIGMAS = 3.2         # estimates so far below the threshold are not verified
 PIVOTS = 3           # members of a bucket that are compared with all of it first
 TILE = 512           # rows on either side of one comparison in a crowded bucket
+TILE_SHINGLES = 1 << 21    # and about as many shingles
 CHUNK = 64           # members verified together with one pivot
 WORDS_CACHED = 1 << 18
 
@@ -166,29 +168,71 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Ite
         held = t.slice(a).to_batches() if a < t.num_rows else []
 
 
-def _across(threshold: float, least: float):
-    """In each tile of a bucket, the pairs of different components with a close
-    enough estimate, as ``a, b``."""
+def _candidates(part: pa.Table, threshold: float, least: float, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers and estimates of a tile's pairs that lie in different components
+    and are close enough; each pair only in the first band that it shares."""
+    rep, n, label, side = (part[c].to_numpy() for c in ("rep", "n", "label", "side"))
+    i, j, nth = (part[c][0].as_py() for c in ("i", "j", "nth"))
+    p, q = np.nonzero((label[:, None] != label[None, :]) & (side[:, None] == i) & (side[None, :] == j)
+                      & (np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]))
+                      & ((i != j) | (rep[:, None] < rep[None, :])))
+    regs, found = _matrix(part["regs"]), [(np.zeros(0, int),) * 2 + (np.zeros(0),)]
+    for x in range(0, len(p), 1 << 13):
+        r, s = p[x:x + (1 << 13)], q[x:x + (1 << 13)]
+        before = (regs[r, :nth * rows] == regs[s, :nth * rows]).reshape(len(r), nth, rows).all(2).any(1)
+        r, s = r[~before], s[~before]
+        j_hat = estimate(regs[r], regs[s], n[r], n[s])
+        found.append((r[j_hat >= least], s[j_hat >= least], j_hat[j_hat >= least]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+TILE_KEY = ["band", "i", "j"]
+
+
+def _active(threshold: float, least: float, rows: int):
+    """The rows of each tile that are in a candidate pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, at, to in groups(batches, ["band", "i", "j"], 4 * TILE):
-            if to - at < 2:
-                continue
+        for t, at, to in groups(batches, TILE_KEY, 4 * TILE):
             part = t.slice(at, to - at)
-            rep, n, label, side = (part[c].to_numpy() for c in ("rep", "n", "label", "side"))
-            i, j = part["i"][0].as_py(), part["j"][0].as_py()
-            p, q = np.nonzero((label[:, None] != label[None, :]) & (side[:, None] == i) & (side[None, :] == j)
-                              & (np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]))
-                              & ((i != j) | (rep[:, None] < rep[None, :])))
-            regs = _matrix(part["regs"])
-            for x in range(0, len(p), 1 << 13):
-                r, s = p[x:x + (1 << 13)], q[x:x + (1 << 13)]
-                near = estimate(regs[r], regs[s], n[r], n[s]) >= least
-                if near.any():
-                    r, s = rep[r[near]], rep[s[near]]
-                    yield pa.record_batch([pa.array(np.minimum(r, s)), pa.array(np.maximum(r, s))], ["a", "b"])
+            p, q, _ = _candidates(part, threshold, least, rows) if to - at > 1 else ([],) * 3
+            if len(p):
+                yield from part.take(np.unique(np.concatenate([p, q]))).combine_chunks().to_batches()
     return run
 
 
+def _tile_links(k: int, percent: int, threshold: float, least: float, rows: int):
+    """Exact check of a tile's candidate pairs, likeliest first; ``src, dst`` are
+    components.  A pair whose components have met in the tile is not checked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, at, to in groups(batches, TILE_KEY, 1):
+            part = t.slice(at, to - at)
+            label, met = part["label"].to_pylist(), {}
+            p, q, j_hat = _candidates(part, threshold, least, rows)
+
+            def root(x: int) -> int:
+                while met.get(x, x) != x:
+                    x = met[x]
+                return x
+
+            @functools.lru_cache(2 * TILE)
+            def shingles(r: int) -> np.ndarray:
+                return shingle_set(part["text"][r].as_py(), k)
+
+            for x in np.argsort(-j_hat, kind="stable"):
+                r, s = int(p[x]), int(q[x])
+                if root(label[r]) != root(label[s]) and _linked(shingles(r), shingles(s), percent):
+                    lo, hi = sorted((root(label[r]), root(label[s])))
+                    met[hi] = lo
+            if met:
+                yield pa.record_batch([pa.array(list(met.values()), pa.int64()), pa.array(list(met), pa.int64())], ["src", "dst"])
+    return run
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _verified(k: int, percent: int):
     """Exact check of a pivot's members: ``src, dst`` of the links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,8 +246,7 @@ def _verified(k: int, percent: int):
                     continue
                 if key != (a.as_py(), chunk.as_py()):
                     raise ValueError("a member came without its pivot")
-                both = len(np.intersect1d(pivot, s, assume_unique=True))
-                if 100 * both >= percent * (len(pivot) + len(s) - both):
+                if _linked(pivot, s, percent):
                     src.append(a.as_py())
                     dst.append(id_.as_py())
             yield pa.record_batch([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
@@ -214,6 +257,7 @@ def _verify(texts: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     """The links among ``pairs`` (``a, b``), from whole sets.  Members meet their
     pivot in chunks, so a pivot of very many members is many small groups."""
     chunks = pairs.groupBy(F.col("a").alias("c_a")).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    chunks = chunks.select(fresh("c_a").alias("c_a"), "chunks")
     placed = (pairs.join(chunks, F.col("a") == F.col("c_a"))
               .select("a", F.pmod(F.hash("b"), F.col("chunks")).alias("chunk"), "b"))
     roles = (placed.select("a", "chunk", F.lit(1).alias("member"), F.col("b").alias("p_id"))
@@ -235,10 +279,9 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     Equal sets form a class; one of a class is compared.  Bands of register values
     make buckets.  First each bucket's pivots are compared with all of it; then,
     where a bucket still spans several components, all pairs of different
-    components in it, in tiles of bounded size.  Likelihood estimates choose the
+    components in it, inside tiles of bounded size.  Likelihood estimates choose the
     pairs that are verified.  A pair inside one component is never compared again,
-    so a large group of near copies costs its members and not its pairs, and no
-    pair of texts that share a band is left out.
+    pairs leave no task, and no pair of texts that share a band is left out.
 
     Null and empty texts, and texts without words, have no shingles and are
     components of their own.  Repeated rows repeat, in one component.  Ids are
@@ -254,13 +297,13 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     key = ["k1", "k2", "n"]
     classes = cut(sketches.filter(named).groupBy(*key).agg(F.min("id").alias("rep"), F.first("regs").alias("regs")))
 
-    bands = classes.select("rep", F.explode(F.transform(
+    bands = classes.select("rep", "n", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(REGISTERS // rows - 1)),
-        lambda b: F.xxhash64(b, F.substring("regs", b * (2 * rows) + 1, F.lit(2 * rows))))).alias("band"))
+        lambda b: F.xxhash64(b, F.substring("regs", b * (2 * rows) + 1, F.lit(2 * rows))))).alias("nth", "band"))
     drawn = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), "rep")).alias(f"p{i}") for i in range(PIVOTS)]
     crowds = bands.groupBy("band").agg(F.count("*").alias("c"), *drawn).filter("c > 1").select(
-        F.col("band").alias("c_band"), "c", F.array(*[F.col(f"p{i}.rep") for i in range(PIVOTS)]).alias("pivots"))
-    members = cut(bands.join(crowds, F.col("band") == F.col("c_band")).select("band", "c", "rep", "pivots"))
+        fresh("band").alias("c_band"), "c", F.array(*[F.col(f"p{i}.rep") for i in range(PIVOTS)]).alias("pivots"))
+    members = cut(bands.join(crowds, F.col("band") == F.col("c_band")).select("band", "nth", "c", "rep", "n", "pivots"))
     pairs = (members.select("rep", F.explode("pivots").alias("p")).filter("rep <> p")
              .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
 
@@ -269,26 +312,24 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     parts = cut(connected_components(links))
 
     labels = F.coalesce(F.col("component"), F.col("rep"))
-    known = members.select("band", "c", "rep").filter("c > 2").join(parts, F.col("rep") == F.col("node"), "left").select(
-        "band", "c", "rep", labels.alias("label"))
-    split = known.groupBy(F.col("band").alias("s_band")).agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("s_band")
-    blocks = F.ceil(F.col("c") / TILE).cast("int")
+    known = (members.filter("c > 2").join(parts, F.col("rep") == F.col("node"), "left")
+             .select("band", "nth", F.col("rep").alias("t_rep"), F.col("n").alias("t_n"), labels.alias("label")))
+    split = known.groupBy("band").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"),
+        F.ceil(F.greatest(F.count("*") / TILE, F.sum("t_n") / TILE_SHINGLES)).cast("int").alias("blocks"))
+    split = split.filter("lo <> hi").select(fresh("band").alias("s_band"), "blocks")
     tiles = (known.join(split, F.col("band") == F.col("s_band"))
-             .select("band", F.col("rep").alias("t_rep"), "label", F.pmod(F.hash("rep"), blocks).alias("side"),
-                     F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
+             .select("band", "nth", "t_rep", "label", F.pmod(F.hash("t_rep"), "blocks").alias("side"),
+                     F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
              .withColumn("i", F.least("side", "o")).withColumn("j", F.greatest("side", "o")))
-    order = ["band", "i", "j"]
-    tiles = (tiles.join(classes, F.col("t_rep") == F.col("rep")).repartition(*order).sortWithinPartitions(*order, "rep")
-             .select("band", "i", "j", "side", "rep", "n", "label", "regs"))
-    rest = (tiles.mapInArrow(_across(threshold, least), "a long, b long").distinct()
-            .join(tried.select(F.col("a").alias("t_a"), F.col("b").alias("t_b")),
-                  (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")), "left_anti"))
-    late = _verify(texts, cut(rest), k, percent)
-    named_by = lambda side: parts.select(F.col("node").alias(f"{side}_node"), F.col("component").alias(side))
-    late = (late.join(named_by("x"), F.col("src") == F.col("x_node"), "left")
-            .join(named_by("y"), F.col("dst") == F.col("y_node"), "left")
-            .select(F.coalesce("x", "src").alias("src"), F.coalesce("y", "dst").alias("dst")))
+    sorted_by_tile = lambda df: df.repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY, "rep")
+    fields = ["band", "i", "j", "nth", "side", "rep", "n", "label", "regs"]
+    shape = "band long, i int, j int, nth int, side int, rep long, n long, label long, regs binary"
+    close = (threshold, least, rows)
+    active = cut(sorted_by_tile(tiles.join(classes, F.col("t_rep") == F.col("rep")).select(*fields))
+                 .mapInArrow(_active(*close), shape))
+    late = (sorted_by_tile(active.join(texts, F.col("rep") == F.col("id")).select(*fields, "text").distinct())
+            .mapInArrow(_tile_links(k, percent, *close), "src long, dst long"))
     joined = connected_components(late).select(F.col("node").alias("j_node"), F.col("component").alias("j"))
 
     final = (classes.select(*[F.col(c).alias(f"f_{c}") for c in key], "rep")
