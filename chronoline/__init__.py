@@ -8,7 +8,7 @@ streams so that a replayed batch leaves the same data.
 
 __version__ = "0.1.0"
 
-from chronoline.functions.codec import (bad_lines, decode_lines, encode_lines,  # noqa: E402
+from chronoline.functions.codec import (bad_lines, bad_points, decode_lines, encode_lines,  # noqa: E402
                                         encode_wide_lines, parse_lines)
 from chronoline.functions.nanos import (millis_to_ns, ns_add, ns_from_iso,  # noqa: E402
                                         ns_from_timestamp, ns_from_timestamp_ntz, ns_split,
@@ -25,7 +25,7 @@ from chronoline.streaming.sink import write_stream  # noqa: E402
 from chronoline.streaming.source import read_stream  # noqa: E402
 
 __all__ = [
-    "bad_lines", "decode_lines", "encode_lines", "encode_wide_lines", "parse_lines",
+    "bad_lines", "bad_points", "decode_lines", "encode_lines", "encode_wide_lines", "parse_lines",
     "millis_to_ns", "ns_add", "ns_from_iso", "ns_from_timestamp", "ns_from_timestamp_ntz",
     "ns_split", "ns_to_iso", "ns_to_timestamp", "seconds_to_ns", "to_ns", "to_zone",
     "first_last_records", "first_last_time", "in_range", "range_count", "series_cardinality",

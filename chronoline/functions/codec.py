@@ -44,7 +44,7 @@ _NAME = r"(?:[^,= \\]++|\\.)++"
 _MEAS = r"(?:[^, \\]++|\\.)++"
 _FVAL = r"(?:\"(?:[^\"\\]++|\\.)*+\"|[^,\" ]++)"
 LINE_RE = (r"(?s)^(" + _MEAS + r")((?:," + _NAME + "=" + _NAME + r")*+) ("
-           + _NAME + "=" + _FVAL + r"(?:," + _NAME + "=" + _FVAL + r")*+)(?: (-?\d+))?$")
+           + _NAME + "=" + _FVAL + r"(?:," + _NAME + "=" + _FVAL + r")*+)(?: (-?\d+))?\z")
 # Strict field value: quoted string, integer, unsigned, boolean, float (longest
 # spellings first: the repeated field group is atomic).
 _FVAL_STRICT = (r"(?:\"(?:[^\"\\]++|\\.)*+\"|[+-]?\d++i|\d++u"
@@ -52,7 +52,7 @@ _FVAL_STRICT = (r"(?:\"(?:[^\"\\]++|\\.)*+\"|[+-]?\d++i|\d++u"
                 r"|[+-]?(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+)")
 LINE_RE_STRICT = (r"(?s)^(" + _MEAS + r")((?:," + _NAME + "=" + _NAME + r")*+) ("
                   + _NAME + "=" + _FVAL_STRICT + r"(?:," + _NAME + "=" + _FVAL_STRICT
-                  + r")*+)(?: (-?\d+))?$")
+                  + r")*+)(?: (-?\d+))?\z")
 _TAG_PAIR_RE = r"(?s),(" + _NAME + ")=(" + _NAME + ")"
 _FIELD_PAIR_RE = r"(?s)(?:^|,)(" + _NAME + ")=(" + _FVAL + ")"
 _LONG_RE = r"^[+-]?\d+i$"
@@ -204,6 +204,20 @@ def encode_lines(points: DataFrame, mode: str = "safe", keep: list[str] | None =
     return points.select(line_column(mode).alias("value"), *keep)
 
 
+def bad_points(points: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Points that have no safe line, with a reason: ``no key``, ``no time``, ``not a
+    finite number`` or ``no value``; what :func:`encode_lines` leaves out."""
+    d = F.col("value_double")
+    other = (F.col("value_long").isNotNull() | F.col("value_bool").isNotNull()
+             | F.col("value_string").isNotNull())
+    finite = ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
+    reason = (F.when(F.col("series_key").isNull() | F.col("field").isNull(), F.lit("no key"))
+              .when(F.col("time_ns").isNull(), F.lit("no time"))
+              .when(d.isNotNull() & ~finite & ~other, F.lit("not a finite number"))
+              .when(d.isNull() & ~other, F.lit("no value")))
+    return points.select(*POINT_COLUMNS, *(keep or []), reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def encode_wide_lines(points: DataFrame, mode: str = "safe", order: list | None = None) -> DataFrame:
     """Long points -> one line per point (series, time) carrying all its fields.
 
@@ -294,6 +308,12 @@ def _value_kind(v: Column, compat: bool) -> Column:
             .otherwise(F.lit("x")))
 
 
+def _without_line_end(line: Column) -> Column:
+    """The line without one trailing CR LF, LF or CR."""
+    cut = F.when(line.endswith("\r\n"), 2).when(line.endswith("\n") | line.endswith("\r"), 1).otherwise(0)
+    return F.when(cut == 0, line).otherwise(F.substring(line, F.lit(1), F.length(line) - cut))
+
+
 def _unescaped(arr: str, has_bs: Column) -> Column:
     """Unescape every name of an array column, skipped for lines without a backslash."""
     return F.when(has_bs, F.transform(arr, unescape_name)).otherwise(F.col(arr))
@@ -321,7 +341,7 @@ def parse_lines(df: DataFrame, column: str = "value", default_time_ns=None,
     else:
         default_time = F.lit(int(default_time_ns)).cast("bigint")
     line_re = LINE_RE if compat else LINE_RE_STRICT
-    base = df.select(line.alias("_line"), *keep)
+    base = df.select(_without_line_end(line).alias("_line"), *keep)
     joined = F.regexp_replace("_line", line_re, f"$1{_SEP}$2{_SEP}$3{_SEP}$4")
     s1 = base.select("_line", *keep,
                      F.when(F.col("_line").contains(_SEP), F.lit(None).cast("array<string>"))
@@ -361,7 +381,10 @@ def parse_lines(df: DataFrame, column: str = "value", default_time_ns=None,
         big_int_bad = F.lit(False)
     else:
         not_ok = F.when(F.col("_line").rlike(LINE_RE), F.lit("bad value")).otherwise(F.lit("syntax"))
-        big_int_bad = F.col("_fields").rlike(r"\d{19}") & F.exists(
+        # A number too large for a double would come back as infinity, which has no line.
+        infinite = F.col("_fields").rlike(r"[eE]\+?\d{3}|\d{300}") & F.exists(
+            "_fv", lambda v: ~v.startswith('"') & (F.abs(v.try_cast("double")) == F.lit(float("inf"))))
+        big_int_bad = infinite | F.col("_fields").rlike(r"\d{19}") & F.exists(
             "_fv", lambda v: F.substring(v, -1, 1).isin("i", "u")
             & F.substring(v, F.lit(1), F.length(v) - 1).try_cast("bigint").isNull())
     reason = (F.when(F.col("_line").isNull(), F.lit("null"))

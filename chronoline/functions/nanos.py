@@ -39,7 +39,6 @@ UNIT_ALIASES = {
 }
 
 NS_PER_SECOND = NS_PER_UNIT["s"]
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def _col(c) -> Column:
@@ -98,9 +97,15 @@ def ns_from_timestamp(c) -> Column:
 
 
 def ns_from_timestamp_ntz(c) -> Column:
-    """TIMESTAMP_NTZ read as UTC wall clock -> ns since epoch; session zone plays no part."""
-    us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _col(c))
-    return checked_multiply(us, 1000, "ns_from_timestamp_ntz")
+    """TIMESTAMP_NTZ read as UTC wall clock -> ns since epoch, from its day number and
+    its time of day.  Nothing is cast to TIMESTAMP, so the session zone and its
+    missing and repeated hours play no part."""
+    c = _col(c)
+    day_us = F.unix_date(c.cast("date")).cast("bigint") * F.lit(86_400_000_000).cast("bigint")
+    minutes = (F.hour(c) * 60 + F.minute(c)).cast("bigint")
+    second_us = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")   # exact: decimal(8, 6)
+    return checked_multiply(day_us + minutes * F.lit(60_000_000).cast("bigint") + second_us, 1000,
+                            "ns_from_timestamp_ntz")
 
 
 def ns_of(c, data_type: DataType) -> Column:
@@ -198,11 +203,15 @@ def ns_to_iso(c) -> Column:
 
     The fraction is printed the way ``java.time.Instant`` prints it: none for a
     whole second, else 3, 6 or 9 digits, whichever is the shortest exact one.
+    The text is made from the day number and the second of the day, in no zone.
     """
-    secs = ns_seconds(c)
     nanos = ns_nanos(c)
-    wall = F.timestamp_add("SECOND", secs, F.expr(_EPOCH_NTZ))
-    head = F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss")
+    day = F.date_from_unix_date(floor_div(c, NS_PER_UNIT["d"]).cast("int"))
+    of_day = F.pmod(ns_seconds(c), F.lit(86_400).cast("bigint"))
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    head = F.concat(day.cast("string"), F.lit("T"), two(floor_div(of_day, 3600)), F.lit(":"),
+                    two(F.pmod(floor_div(of_day, 60), F.lit(60).cast("bigint"))), F.lit(":"),
+                    two(F.pmod(of_day, F.lit(60).cast("bigint"))))
     n9 = F.lpad(nanos.cast("string"), 9, "0")
     frac = (F.when(nanos == 0, F.lit(""))
             .when(F.pmod(nanos, F.lit(1_000_000)) == 0, F.concat(F.lit("."), F.substring(n9, 1, 3)))

@@ -166,3 +166,26 @@ def test_wide_lines_bounded_by_fields(spark):
     assert len(w) == 1 and w[0].fields == {"n": "5", "u": "1.0"}
     w2 = to_wide(pts, {"u": "double", "n": "long"}, order=["seq"]).collect()
     assert (w2[0].u, w2[0].n) == (1.0, 5)
+
+
+def test_line_ends_and_infinity(spark):
+    """One trailing line end is no part of a line; numbers beyond a double are bad."""
+    lines = ["m f=1\r", "m f=1\n", "m f=1 5\r\n", "m f=1 5", "m f=1 5\n\n", "m f=1e400 5", 'm f="1e400" 5', "m f=-1e308 5"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    good = [(r.value_double, r.value_string, r.time_ns) for r in codec.decode_lines(df, default_time_ns=7).collect()]
+    assert sorted(good, key=str) == sorted([(1.0, None, 7), (1.0, None, 7), (1.0, None, 5), (1.0, None, 5),
+                                            (None, "1e400", 5), (-1e308, None, 5)], key=str)
+    bad = {r.value: r.reason for r in codec.bad_lines(df).collect()}
+    assert bad == {"m f=1 5\n": "syntax", "m f=1e400 5": "bad value"}
+
+
+def test_points_without_a_line_have_a_reason(spark):
+    from chronoline.functions.codec import bad_points, encode_lines
+    rows = [(1, 1.0, 5, "m"), (2, float("nan"), 5, "m"), (3, float("-inf"), 5, "m"), (4, None, 5, "m"),
+            (5, 1.0, None, "m"), (6, 1.0, 5, None)]
+    pts = spark.createDataFrame(rows, "i int, value_double double, time_ns bigint, series_key string").selectExpr(
+        "'m' AS measurement", "map('a', 'b') AS tags", "'f' AS field", "value_double", "CAST(NULL AS bigint) AS value_long",
+        "CAST(NULL AS boolean) AS value_bool", "CAST(NULL AS string) AS value_string", "time_ns", "series_key", "i")
+    assert {r.i: r.reason for r in bad_points(pts, keep=["i"]).collect()} == {
+        2: "not a finite number", 3: "not a finite number", 4: "no value", 5: "no time", 6: "no key"}
+    assert encode_lines(pts, "safe").count() == 1

@@ -133,3 +133,28 @@ def test_to_zone(spark, zone):
         inst = dt.datetime.fromtimestamp(r.t // 1_000_000_000, tz=ZoneInfo(zone))
         off = int(inst.utcoffset().total_seconds())
         assert r.z == r.t + off * 1_000_000_000
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Europe/Paris"])
+def test_session_zone_plays_no_part(spark, zone):
+    """Wall clocks in hours that the zone skips or repeats, and in others."""
+    walls = ["2024-03-10 02:30:00", "2024-03-31 02:30:00.000001", "2024-11-03 01:30:00", "2024-10-27 02:30:00",
+             "1969-12-31 23:59:59.999999", "2024-01-08 00:00:00"]
+    import datetime as dt
+    want = [round((dt.datetime.fromisoformat(w) - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) * 1000
+            for w in walls]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(i, w) for i, w in enumerate(walls)], "i int, w string").select(
+            "i", F.col("w").cast("timestamp_ntz").alias("w"))
+        rows = df.select("i", N.ns_from_timestamp_ntz("w").alias("ns")).select(
+            "i", "ns", N.ns_to_iso("ns").alias("iso"), N.ns_from_iso(N.ns_to_iso("ns")).alias("back")).orderBy("i").collect()
+        assert [r.ns for r in rows] == want
+        assert [r.iso[:19].replace("T", " ") for r in rows] == [w[:19] for w in walls]
+        assert [r.back for r in rows] == want
+        from chronoline.operators.points import to_points
+        pts = to_points(df, "m", [], ["i"], "w", start=want[0], stop=want[0] + 1)
+        assert [r.time_ns for r in pts.collect()] == [want[0]]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
