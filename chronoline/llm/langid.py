@@ -24,14 +24,53 @@ ROUNDS = 3           # rounds of expectation and maximization
 SMOOTH = 0.05        # added to every expected count
 FOLDS, HELD_OUT = 4, 2
 BEGIN = "_"          # stands before a word's first letter; letters alone make words
-WORDS_CACHED = 1 << 17
+WORDS_CACHED = 1 << 18
 BATCH_WORDS = 2048
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+_U = np.uint64
+_STEP, _SLOTS = _U(0x9E3779B97F4A7C15), 20
+
+
+class Pieces(dict):
+    """Piece numbers from 1, and a table that finds them by hash for arrays."""
+
+    def __init__(self, found: set[str]):
+        super().__init__((p, i) for i, p in enumerate(sorted(found), 1))
+        self.hashes = np.zeros(len(self) + 1, _U)
+        for p, i in self.items():
+            h = 0
+            for c in p:
+                h = (h + ord(c) + 1) * int(_STEP) % 2 ** 64
+            self.hashes[i] = h
+        # Two tables by different bits; the second has the pieces that the first
+        # has no room for.
+        self.tables, left = [], np.arange(1, len(self) + 1)
+        rng = np.random.default_rng(1)
+        while len(left) or len(self.tables) < 2:
+            mul = _U(rng.integers(2 ** 63, dtype=np.uint64) * 2 + 1)
+            table = np.zeros(1 << _SLOTS, np.int32)
+            table[self._slot(self.hashes[left], mul)] = left
+            self.tables.append((mul, table))
+            left = left[table[self._slot(self.hashes[left], mul)] != left]
+
+    @staticmethod
+    def _slot(h: np.ndarray, mul: np.uint64) -> np.ndarray:
+        return ((h * mul) >> _U(64 - _SLOTS)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Piece numbers of hashes, 0 where there is none."""
+        out = np.zeros(h.shape, np.int32)
+        for mul, table in self.tables:
+            at = table[self._slot(h, mul)]
+            out = np.where(self.hashes[at] == h, at, out)
+        return out
+
+
 @functools.lru_cache(2)
-def pieces(ranks_path: str) -> dict[str, int]:
+def pieces(ranks_path: str) -> Pieces:
     """Piece numbers from 1 of the vocabulary's lower-cased letter strings, with a
     word's begin marked; 0 is no piece, the last number any other one letter."""
     found = set()
@@ -46,33 +85,36 @@ def pieces(ranks_path: str) -> dict[str, int]:
                 p = BEGIN + word if token[0] == " " else word
                 if len(p) <= MAX_PIECE:
                     found.add(p)
-    return {p: i for i, p in enumerate(sorted(found), 1)}
+    return Pieces(found)
 
 
 def words(text: str) -> Iterator[list[str]]:
     """A text's words of letters, lower-cased and marked, in parts."""
     for part in text_blocks(text):
-        out = []
-        for w in _WORD.findall(part.lower()):
-            out += [BEGIN + w] if len(w) < MAX_WORD else [BEGIN + w[i:i + MAX_WORD - 1] for i in range(0, len(w), MAX_WORD - 1)]
-        yield out
+        found = _WORD.findall(part.lower())
+        if found and max(map(len, found)) >= MAX_WORD:
+            found = [w[i:i + MAX_WORD - 1] for w in found for i in range(0, len(w), MAX_WORD - 1)]
+        yield [BEGIN + w for w in found]
 
 
-def _lattice(batch: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+def _lattice(batch: list[str], vocabulary: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Lengths, and the piece that begins at i and has k + 1 characters."""
     sizes = np.array([len(w) for w in batch])
-    ids = np.zeros((len(batch), sizes.max(), MAX_PIECE), np.int32)
-    get, other = vocabulary.get, len(vocabulary) + 1
-    for r, w in enumerate(batch):
-        n = len(w)
-        for i in range(n):
-            ids[r, i, :min(n, i + MAX_PIECE) - i] = [get(w[i:j], 0) for j in range(i + 1, min(n, i + MAX_PIECE) + 1)]
+    n = int(sizes.max())
+    inside = np.arange(n) < sizes[:, None]
+    codes = np.zeros((len(batch), n), _U)
+    codes[inside] = np.frombuffer("".join(batch).encode("utf-32-le"), np.uint32) + _U(1)
+    ids = np.zeros((len(batch), n, MAX_PIECE), np.int32)
+    h = np.zeros((len(batch), n), _U)
+    for k in range(min(n, MAX_PIECE)):
+        h = (h[:, :n - k] + codes[:, k:]) * _STEP
+        ids[:, :n - k, k] = vocabulary.find(h) * inside[:, k:]
     one = ids[:, :, 0]
-    one[(one == 0) & (np.arange(ids.shape[1]) < sizes[:, None])] = other
+    one[(one == 0) & inside] = len(vocabulary) + 1
     return sizes, ids
 
 
-def forward(batch: list[str], vocabulary: dict[str, int], prob: np.ndarray) -> np.ndarray:
+def forward(batch: list[str], vocabulary: Pieces, prob: np.ndarray) -> np.ndarray:
     """Log-probability of each word in each language: the forward algorithm adds up
     the products of piece probabilities over all segmentations.  ``prob``: pieces by
     languages, row 0 zero."""
@@ -88,12 +130,12 @@ def _forward(ids: np.ndarray, prob: np.ndarray) -> np.ndarray:
     for i in range(1, n + 1):
         for k in range(min(i, MAX_PIECE)):
             p = ids[:, i - 1 - k, k]
-            if p.any():
+            if p.any():   # long pieces are rare
                 alpha[:, i] += alpha[:, i - 1 - k] * prob[p]
     return alpha
 
 
-def _expected(batch: list[str], count: np.ndarray, vocabulary: dict[str, int], prob: np.ndarray) -> np.ndarray:
+def _expected(batch: list[str], count: np.ndarray, vocabulary: Pieces, prob: np.ndarray) -> np.ndarray:
     """Expected piece counts of counted words in one language."""
     sizes, ids = _lattice(batch, vocabulary)
     alpha = _forward(ids, prob)[:, :, 0]
