@@ -20,7 +20,7 @@ from chronoline.operators.slices import (balanced_bounds, incremental_batches,
                                          late_counts, late_rows, plan_slices, slice_counts,
                                          slice_of, tail_held, time_slices)
 from chronoline.session import get_session  # noqa: E402
-from chronoline.sources.store import compact, read_lines, read_points, write_points  # noqa: E402
+from chronoline.sources.store import read_lines, read_points, write_points  # noqa: E402
 from chronoline.streaming.sink import write_stream  # noqa: E402
 from chronoline.streaming.source import read_stream  # noqa: E402
 
@@ -32,6 +32,6 @@ __all__ = [
     "series_stats", "to_points", "to_wide", "upsert_latest",
     "balanced_bounds", "incremental_batches", "late_counts", "late_rows", "plan_slices",
     "slice_counts", "slice_of", "tail_held", "time_slices",
-    "get_session", "compact", "read_lines", "read_points", "write_points",
+    "get_session", "read_lines", "read_points", "write_points",
     "write_stream", "read_stream",
 ]

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, MapType, StringType,
                                StructField, StructType, TimestampType)
@@ -35,11 +35,11 @@ from chronoline.operators.points import in_range, upsert_latest
 
 NS_PER_DAY = 86_400_000_000_000
 NS_PER_HOUR = 3_600_000_000_000
-# Write order, most significant first.  A compacted row keeps the batch id it
-# was first written with (``src_batch_id``), so it still compares exactly with
-# rows of batches that were not compacted.
+BROADCAST_HOURS = 100_000   # most hours of a range that are sent to every task
+
+# Write order, most significant first.
 def write_order() -> list:
-    return ["written_at", F.coalesce(F.col("src_batch_id"), F.col("batch_id")), "seq"]
+    return ["written_at", "batch_id", "seq"]
 
 POINT_SCHEMA = StructType([
     StructField("measurement", StringType()),
@@ -56,7 +56,6 @@ POINT_SCHEMA = StructType([
 STORE_SCHEMA = StructType(
     [f for f in POINT_SCHEMA.fields if f.name != "measurement"]
     + [StructField("written_at", TimestampType()), StructField("seq", LongType()),
-       StructField("src_batch_id", LongType()),
        StructField("writer", StringType()), StructField("batch_id", LongType()),
        StructField("measurement", StringType()), StructField("day", DateType())])
 COMMIT_SCHEMA = StructType([
@@ -92,7 +91,7 @@ def batch_dir(root: str, writer: str, batch_id: int) -> str:
     return f"{root}/writer={writer}/batch_id={int(batch_id)}"
 
 
-def day_of(time_ns) -> "F.Column":
+def day_of(time_ns) -> Column:
     """UTC calendar day of an ns instant (independent of the session zone)."""
     return F.date_from_unix_date(floor_div(time_ns, NS_PER_DAY).cast("int"))
 
@@ -144,8 +143,7 @@ def shape_for_write(points: DataFrame, num_partitions: int | None = None,
     """
     if num_partitions is not None:
         if int(num_partitions) <= 0:
-            raise ValueError(f"Invalid value `{num_partitions}` for parameter `numPartitions`. "
-                             "The minimum value is 1.")
+            raise ValueError(f"numPartitions is {num_partitions}; it must be 1 or more")
         return points.coalesce(int(num_partitions))
     if cluster_by_time:
         with_day = points if "day" in points.columns else points.withColumn("day", day_of("time_ns"))
@@ -153,59 +151,72 @@ def shape_for_write(points: DataFrame, num_partitions: int | None = None,
     return points
 
 
-def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id: int,
-                batch_size: int | None = None) -> None:
-    """Write ``points`` (with ``written_at`` and ``seq``) as batch ``(writer, batch_id)``
-    and commit it.  Overwrites that batch directory whole, so a retry of the
-    same batch leaves the same store."""
-    spark = points.sparkSession
+def write_data(points: DataFrame, path: str, bucket: str, writer: str, batch_id: int,
+               batch_size: int | None = None) -> None:
+    """The data files of batch ``(writer, batch_id)``, from points with ``written_at``
+    and ``seq``.  The batch's directory is overwritten whole; nobody reads it before
+    :func:`write_commit`."""
     if batch_size is not None and int(batch_size) < 1:
-        raise ValueError(f"Invalid value `{batch_size}` for option `batchSize`. "
-                         "The minimum value is 1.")
-    bdir = batch_dir(data_root(path, bucket), writer, batch_id)
+        raise ValueError(f"batchSize is {batch_size}; it must be 1 or more")
     if "day" not in points.columns:
         points = points.withColumn("day", day_of("time_ns"))
-    extra = ["src_batch_id"] if "src_batch_id" in points.columns else []
     out = (points
            .select(*[c for c in POINT_COLUMNS if c != "measurement"], "written_at", "seq",
-                   *extra, "measurement", "day")
+                   "measurement", "day")
            .sortWithinPartitions("measurement", "day", "time_ns"))
     w = out.write.mode("overwrite").partitionBy("measurement", "day")
     if batch_size:
         w = w.option("maxRecordsPerFile", int(batch_size))
-    w.parquet(bdir)
-    _write_commit(spark, path, bucket, writer, batch_id)
-
-
-def _write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch_id: int) -> None:
-    """Commit record of a written batch, per measurement, day and hour:
-    ``min_ns``, ``max_ns``, ``n_records``, ``n_keys`` (distinct series, field,
-    time) and ``max_at_instant``
-    (the most rows sharing one ``time_ns``).  The stream cursor uses them to see
-    gaps, estimate rows per time slice, and split an instant too big for one
-    task by key.  Computed by Spark from the ``time_ns`` column of the files just
-    written (partial aggregation), and written by Spark."""
-    bdir = batch_dir(data_root(path, bucket), writer, batch_id)
+    w.parquet(batch_dir(data_root(path, bucket), writer, batch_id))
+
+
+def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id: int,
+                batch_size: int | None = None, prove_keys: bool = True) -> None:
+    """:func:`write_data`, then :func:`write_commit`: a retry of the same batch leaves
+    the same store."""
+    write_data(points, path, bucket, writer, batch_id, batch_size)
+    write_commit(points.sparkSession, path, bucket, writer, batch_id, prove_keys)
+
+
+def write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch_id: int,
+                 prove_keys: bool = True) -> None:
+    """Commit record of a written batch, one row per measurement, day and hour, from
+    the narrow columns of the files just written.
+
+    ``min_ns, max_ns, n_records`` and ``max_at_instant`` plan slices.  Without
+    ``prove_keys`` they cost one aggregation of which only partial rows are shuffled
+    (an hour, not a row, each); ``max_at_instant`` then is the number
+    of rows at the write time, where lines without a time lie (all rows of an hour of
+    one instant), and
+    ``n_keys`` is null: readers must take it that keys repeat.  ``prove_keys`` adds
+    the number of distinct keys, which lets append-only data be read without the
+    upsert; it shuffles the batch's keys once."""
     schema = StructType([f for f in STORE_SCHEMA.fields if f.name not in ("writer", "batch_id")])
-    written = spark.read.schema(schema).parquet(bdir).select(
-        "measurement", "day", "time_ns", "series_key", "field")
-    per_key = written.groupBy("measurement", "day", "time_ns", "series_key", "field").agg(
-        F.count(F.lit(1)).alias("_c"))
-    per_instant = per_key.groupBy("measurement", "day", "time_ns").agg(
-        F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    bdir = batch_dir(data_root(path, bucket), writer, batch_id)
+    written = spark.read.schema(schema).parquet(bdir)
     hour = floor_div("time_ns", NS_PER_HOUR).alias("hour")
-    stats = (per_instant.groupBy("measurement", "day", hour)
-             .agg(F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns"),
-                  F.sum("_n").cast("bigint").alias("n_records"),
-                  F.max("_n").cast("bigint").alias("max_at_instant"),
-                  F.sum("_k").cast("bigint").alias("n_keys"))
-             .coalesce(1))
+    spread = [F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns")]
+    if prove_keys:
+        per_key = written.groupBy("measurement", "day", "time_ns", "series_key", "field").agg(
+            F.count(F.lit(1)).alias("_c"))
+        per_instant = per_key.groupBy("measurement", "day", "time_ns").agg(
+            F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_k"))
+        stats = per_instant.groupBy("measurement", "day", hour).agg(
+            *spread, F.sum("_n").alias("n_records"), F.max("_n").alias("max_at_instant"),
+            F.sum("_k").alias("n_keys"))
+    else:
+        at_write = F.count_if(F.col("time_ns") == F.unix_micros("written_at") * 1000)
+        stats = written.groupBy("measurement", "day", hour).agg(
+            *spread, F.count(F.lit(1)).alias("n_records"), at_write.alias("_w")).select(
+            "measurement", "day", "hour", "min_ns", "max_ns", "n_records",
+            F.when(F.col("min_ns") == F.col("max_ns"), F.col("n_records")).otherwise(F.greatest("_w", F.lit(1)))
+            .alias("max_at_instant"), F.lit(None).cast("bigint").alias("n_keys"))
     stats.write.mode("overwrite").parquet(batch_dir(commits_root(path, bucket), writer, batch_id))
 
 
 def write_points(points: DataFrame, path: str, bucket: str, batch_size: int | None = None,
                  num_partitions: int | None = None, cluster_by_time: bool = True,
-                 writer: str | None = None) -> dict:
+                 writer: str | None = None, prove_keys: bool = True) -> dict:
     """Append long points to the store as one new committed batch.
 
     Returns ``{"writer": w, "batch_id": 0}``.  The write order columns are taken
@@ -218,7 +229,7 @@ def write_points(points: DataFrame, path: str, bucket: str, batch_size: int | No
                .withColumn("written_at", F.current_timestamp())
                .withColumn("seq", F.monotonically_increasing_id()))
     shaped = shape_for_write(stamped, num_partitions, cluster_by_time)
-    write_batch(shaped, path, bucket, writer, 0, batch_size)
+    write_batch(shaped, path, bucket, writer, 0, batch_size, prove_keys)
     return {"writer": writer, "batch_id": 0}
 
 
@@ -235,30 +246,9 @@ def commits(spark: SparkSession, path: str, bucket: str) -> DataFrame:
     return spark.read.schema(COMMIT_SCHEMA).parquet(root)
 
 
-def committed_batch_dirs(spark: SparkSession, path: str, bucket: str,
-                         measurement: str | None = None, start: int | None = None,
-                         stop: int | None = None) -> list[str]:
-    """Data directories of committed batches that may hold points of
-    ``measurement`` in ``[start, stop)`` (pruned by the commit min/max).
-
-    One row per batch reaches the driver: metadata, not points.
-    """
-    c = commits(spark, path, bucket)
-    if measurement is not None:
-        c = c.where(F.col("measurement") == measurement)
-    if start is not None:
-        c = c.where(F.col("max_ns") >= F.lit(int(start)))
-    if stop is not None:
-        c = c.where(F.col("min_ns") < F.lit(int(stop)))
-    rows = c.select("writer", "batch_id").distinct().collect()
-    root = data_root(path, bucket)
-    return sorted(batch_dir(root, r["writer"], r["batch_id"]) for r in rows)
-
-
-def commit_rows(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
-                start: int | None = None, stop: int | None = None) -> list:
-    """Commit rows (one per batch, measurement and hour) overlapping the range,
-    collected once per read: metadata, not points."""
+def commits_in(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
+               start: int | None = None, stop: int | None = None) -> DataFrame:
+    """The commit records that overlap the range."""
     c = commits(spark, path, bucket)
     if measurement is not None:
         c = c.where(F.col("measurement") == measurement)
@@ -266,49 +256,40 @@ def commit_rows(spark: SparkSession, path: str, bucket: str, measurement: str |
         c = c.where(F.col("max_ns") >= F.lit(int(start)))
     if stop is not None:
         c = c.where(F.col("min_ns") < F.lit(int(stop)))
-    return c.select("writer", "batch_id", "measurement", "day", "hour", "n_records",
-                    "n_keys").collect()
-
+    return c
 
-def _dirs_of(rows: list, root: str, by_day: bool) -> list[str]:
-    if by_day:
-        return sorted({f"{batch_dir(root, r['writer'], r['batch_id'])}/measurement="
-                       f"{escape_partition_value(r['measurement'])}/day={r['day'].isoformat()}"
-                       for r in rows})
-    return sorted({batch_dir(root, r["writer"], r["batch_id"]) for r in rows})
 
-
-def _may_repeat(rows: list) -> bool:
-    """A key (series, field, time) can repeat only if some batch-hour holds fewer
-    distinct keys than rows, or two batches share a (measurement, hour)."""
-    seen = {}
-    for r in rows:
-        if r["n_keys"] is None or r["n_keys"] < r["n_records"]:
-            return True
-        k = (r["measurement"], r["hour"])
-        b = (r["writer"], r["batch_id"])
-        if seen.setdefault(k, b) != b:
-            return True
-    return False
+def committed_dirs(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
+                   start: int | None = None, stop: int | None = None) -> list[str]:
+    """Directories of committed batches that may hold points of the range: whole
+    batches, or with a measurement their ``measurement=<m>/day=<d>`` directories.
+    The driver gets one row for each, fewer than the files it lists there next."""
+    by_day = ["measurement", "day"] if measurement is not None else []
+    rows = commits_in(spark, path, bucket, measurement, start, stop).select(
+        "writer", "batch_id", *by_day).distinct().collect()
+    root = data_root(path, bucket)
+    return sorted(batch_dir(root, r["writer"], r["batch_id"])
+                  + (f"/measurement={escape_partition_value(r['measurement'])}/day={r['day'].isoformat()}"
+                     if by_day else "") for r in rows)
 
 
-def committed_day_dirs(spark: SparkSession, path: str, bucket: str, measurement: str,
-                       start: int | None = None, stop: int | None = None) -> list[str]:
-    """``.../measurement=<m>/day=<d>`` directories of committed batches whose
-    commit rows overlap ``[start, stop)``: the driver lists only the days a
-    query touches, not whole batches."""
-    rows = commit_rows(spark, path, bucket, measurement, start, stop)
-    return _dirs_of(rows, data_root(path, bucket), by_day=True)
+def hours_with_repeats(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
+                       start: int | None = None, stop: int | None = None) -> DataFrame:
+    """``measurement, hour, repeats``: whether a key (series, field, time) may occur
+    twice in that hour, from the commit records alone.  It cannot where one batch
+    holds the hour and was proven to have distinct keys."""
+    c = commits_in(spark, path, bucket, measurement, start, stop)
+    clean = F.coalesce(F.col("n_keys") == F.col("n_records"), F.lit(False))
+    return c.groupBy("measurement", "hour").agg(
+        ((F.count(F.lit(1)) > 1) | ~F.min(clean)).alias("repeats"))
 
 
 def may_hold_duplicates(spark: SparkSession, path: str, bucket: str,
                         measurement: str | None = None, start: int | None = None,
                         stop: int | None = None) -> bool:
-    """Whether a key (series, field, time) can appear twice in the range, from
-    the commit records alone: no, when every committed hour of every batch holds
-    distinct keys and no (measurement, hour) is shared by two batches -- a
-    duplicate would need both versions in one hour."""
-    return _may_repeat(commit_rows(spark, path, bucket, measurement, start, stop))
+    """Whether a key (series, field, time) can occur twice in the range."""
+    hours = hours_with_repeats(spark, path, bucket, measurement, start, stop)
+    return bool(hours.agg(F.max("repeats")).first()[0])
 
 
 def _read_dirs(spark: SparkSession, path: str, bucket: str, dirs: list[str],
@@ -332,8 +313,7 @@ def read_store(spark: SparkSession, path: str, bucket: str, measurement: str | N
     With a measurement, Spark is given the committed day directories in range
     only; partition filters on ``measurement``/``day`` and pushed ``time_ns``
     filters then prune further."""
-    rows = commit_rows(spark, path, bucket, measurement, start, stop)
-    dirs = _dirs_of(rows, data_root(path, bucket), by_day=measurement is not None)
+    dirs = committed_dirs(spark, path, bucket, measurement, start, stop)
     return _read_dirs(spark, path, bucket, dirs, measurement, start, stop)
 
 
@@ -344,20 +324,26 @@ def read_points(spark: SparkSession, path: str, bucket: str, measurement: str |
 
     ``dedupe`` applies last-write-wins on (series_key, field, time_ns) -- the
     store's upsert semantics -- as one aggregation with map-side partial
-    aggregation.  ``"auto"`` (default) skips it, and its shuffle, when the
-    commit records prove no key can repeat in the range (append-only data);
-    ``False`` returns every stored version without a shuffle.  The commit rows
-    of the range are collected once and serve both the directory list and that
-    proof.
+    aggregation.  ``"auto"`` (default) does so only for the hours in which the
+    commit records leave it open whether a key repeats; other hours are scanned
+    without a shuffle.  ``False`` returns every stored version without a shuffle.
     """
-    rows = commit_rows(spark, path, bucket, measurement, start, stop)
-    dirs = _dirs_of(rows, data_root(path, bucket), by_day=measurement is not None)
-    df = _read_dirs(spark, path, bucket, dirs, measurement, start, stop)
-    if dedupe == "auto":
-        dedupe = _may_repeat(rows)
-    if dedupe:
-        return upsert_latest(df, order=write_order()).select(*POINT_COLUMNS)
-    return df.select(*POINT_COLUMNS)
+    df = read_store(spark, path, bucket, measurement, start, stop)
+    latest = lambda d: upsert_latest(d, order=write_order()).select(*POINT_COLUMNS)
+    if dedupe != "auto":
+        return latest(df) if dedupe else df.select(*POINT_COLUMNS)
+    hours = hours_with_repeats(spark, path, bucket, measurement, start, stop)
+    n = hours.agg(F.count_if("repeats").alias("dirty"), F.count_if(~F.col("repeats")).alias("clean")).first()
+    if not n["dirty"]:
+        return df.select(*POINT_COLUMNS)
+    if not n["clean"]:
+        return latest(df)
+    dirty = hours.where("repeats").select(F.col("measurement").alias("_m"), F.col("hour").alias("_h"))
+    if n["dirty"] <= BROADCAST_HOURS:   # else an ordinary join by hour
+        dirty = F.broadcast(dirty)
+    on = (F.col("measurement") == F.col("_m")) & (floor_div("time_ns", NS_PER_HOUR) == F.col("_h"))
+    return (df.join(dirty, on, "left_anti").select(*POINT_COLUMNS)
+            .unionByName(latest(df.join(dirty, on, "left_semi"))))
 
 
 def read_lines(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
@@ -366,44 +352,3 @@ def read_lines(spark: SparkSession, path: str, bucket: str, measurement: str | N
     """Stored points as ``value STRING`` line rows (the reference's read output)."""
     from chronoline.functions.codec import encode_lines
     return encode_lines(read_points(spark, path, bucket, measurement, start, stop, dedupe), mode)
-
-
-def compact(spark: SparkSession, path: str, bucket: str, batch_size: int | None = None,
-            max_batch_rows: int | None = None, min_batches: int = 2) -> dict:
-    """Rewrite committed batches as one batch, keeping the latest write per key,
-    then drop them (commit records first, so readers never see a half-removed
-    batch).
-
-    ``max_batch_rows`` makes it incremental: only batches holding at most that
-    many rows (e.g. the small files of streaming micro-batches) are rewritten,
-    and nothing happens unless at least ``min_batches`` qualify.  Rows keep
-    their original write order (``written_at``, first batch id, ``seq``), so the
-    result is the same whichever batches are compacted together.  One
-    aggregation (partial aggregation map-side) and one rebalanced write.
-    """
-    c = commits(spark, path, bucket)
-    per_batch = c.groupBy("writer", "batch_id").agg(F.sum("n_records").alias("n"))
-    if max_batch_rows is not None:
-        per_batch = per_batch.where(F.col("n") <= F.lit(int(max_batch_rows)))
-    chosen = per_batch.select("writer", "batch_id").collect()   # one row per batch
-    if len(chosen) < max(1, min_batches if max_batch_rows is not None else 1):
-        return {"writer": None, "batch_id": None, "replaced": 0}
-    droot, croot = data_root(path, bucket), commits_root(path, bucket)
-    old = sorted(batch_dir(droot, r["writer"], r["batch_id"]) for r in chosen)
-    stored = spark.read.schema(STORE_SCHEMA).option("basePath", droot).parquet(*old)
-    payload = [c for c in stored.columns
-               if c not in ("series_key", "field", "time_ns", "day", "writer", "batch_id",
-                            "src_batch_id")]
-    first_batch = F.coalesce(F.col("src_batch_id"), F.col("batch_id"))
-    latest = stored.groupBy("series_key", "field", "time_ns").agg(
-        F.max_by(F.struct(*payload, first_batch.alias("src_batch_id")),
-                 F.struct(*write_order())).alias("_r"))
-    kept = latest.select("series_key", "field", "time_ns", "_r.*")
-    writer = f"compact-{uuid.uuid4().hex}"
-    shaped = shape_for_write(kept, None, cluster_by_time=True)
-    write_batch(shaped, path, bucket, writer, 0, batch_size)
-    for d in old:
-        delete_path(spark, croot + d[len(droot):])
-    for d in old:
-        delete_path(spark, d)
-    return {"writer": writer, "batch_id": 0, "replaced": len(old)}

@@ -2,11 +2,13 @@
 event-time cursor that moves forward in nanoseconds.
 
 Offsets are ``{"ns": <int>}``.  Each micro-batch ``[start, end)`` is cut into
-equal-width time slices (``numSlices``, more when the commit records estimate
-more than ``maxRowsPerSlice`` rows), one Spark partition each; a partition reads
-only the committed batches whose time range overlaps its slice, with the
-measurement, day and time bounds pushed into the Parquet scan, and yields Arrow
-record batches (no per-row Python).
+``numSlices`` time slices, equally wide or (``balance=count``) of equal estimated
+rows; a slice estimated above ``maxRowsPerSlice`` rows is cut further, so a crowded
+hour is many slices whatever the balance.  A slice is one Spark partition; it reads
+only the committed batches and days that overlap it, with the measurement, day and
+time bounds pushed into the Parquet scan, and yields Arrow record batches (no
+per-row Python).  Days that a commit names must be there: a missing one is an error,
+never an empty slice.
 
 Cursor rules (``end`` of the next batch):
 
@@ -51,16 +53,36 @@ _POINT_COLS = ["measurement", "tags", "field", "value_double", "value_long", "va
 # --------------------------------------------------------------------------- files (pyarrow)
 
 
+# Schemes that Hadoop and Arrow name differently.
+_ARROW_SCHEME = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A store path as Arrow's file systems name it.  It must have a scheme: a path
+    without one means the cluster's default file system, which only the driver knows
+    (:func:`qualified`)."""
+    scheme, found, rest = uri.partition(":")
+    if not found or "/" in scheme:
+        raise ValueError(f"store path {uri!r} has no scheme; use read_stream or chronoline.streaming.source.qualified")
+    if scheme == "dbfs":
+        return "file:///dbfs/" + rest.lstrip("/")
+    return f"{_ARROW_SCHEME.get(scheme, scheme)}:{rest}"
+
+
+def qualified(spark, path: str) -> str:
+    """``path`` with scheme and authority, as Spark's own readers resolve it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def _fs_and_path(uri: str):
     import pyarrow.fs as pafs
+    if uri.startswith("/"):     # callers other than the data source: a plain local path
+        return pafs.LocalFileSystem(), uri
+    uri = arrow_uri(uri)
     if uri.startswith("file:"):
-        p = uri[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return pafs.LocalFileSystem(), p
-    if "://" in uri:
-        return pafs.FileSystem.from_uri(uri)
-    return pafs.LocalFileSystem(), uri
+        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    return pafs.FileSystem.from_uri(uri)
 
 
 def _store_roots(path: str, bucket: str) -> tuple[str, str]:
@@ -76,40 +98,41 @@ class BatchRange:
     max_ns: int
     n_records: int
     max_at_instant: int = 0
+    day: int = 0               # days since 1970 of the rows' directory
 
 
 def list_commits(path: str, bucket: str, measurement: str,
                  cache: dict | None = None) -> list[BatchRange]:
-    """Committed batches (``_SUCCESS`` present) holding ``measurement``.
+    """Committed hours (``_SUCCESS`` present) of the batches holding ``measurement``.
 
     Commit records never change once written, so with a ``cache`` (file path ->
-    rows) only files not seen before are read; files that disappeared (a
-    compaction) drop out.  Each trigger then costs one listing plus the new
-    commits, not a read of every commit ever made."""
+    rows) only files not seen before are read.  Each trigger then costs one listing
+    plus the new commits, not a read of every commit ever made.  A bucket that does
+    not exist is an error; one without commits is empty."""
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
     _, croot = _store_roots(path, bucket)
     fs, root = _fs_and_path(croot)
+    if fs.get_file_info(posixpath.dirname(root)).type == pafs.FileType.NotFound:
+        raise FileNotFoundError(f"no point store at {path}, bucket {bucket}")
     infos = fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True))
     done = {posixpath.dirname(i.path) for i in infos if i.base_name == "_SUCCESS"}
     files = [i.path for i in infos
              if i.type == pafs.FileType.File and posixpath.dirname(i.path) in done
              and not i.base_name.startswith(("_", "."))]
     cache = {} if cache is None else cache
-    for gone in set(cache) - set(files):
-        del cache[gone]
     for f in files:
         if f in cache:
             continue
         parts = dict(seg.split("=", 1) for seg in f[len(root):].strip("/").split("/")[:-1]
                      if "=" in seg)
-        t = pq.read_table(f, filesystem=fs)
-        cache[f] = [(r["measurement"], BatchRange(
-            parts["writer"], int(parts["batch_id"]), int(r["min_ns"]), int(r["max_ns"]),
-            int(r["n_records"]), int(r.get("max_at_instant") or r["n_records"])))
-            for r in t.to_pylist() if r["min_ns"] is not None]
-    return [br for rows in cache.values() for (m, br) in rows if m == measurement]
+        t = pq.read_table(f, filesystem=fs, filters=[("measurement", "==", measurement)], columns=[
+            "measurement", "min_ns", "max_ns", "n_records", "max_at_instant"])
+        cols = (t[c].to_pylist() for c in ("min_ns", "max_ns", "n_records", "max_at_instant"))
+        cache[f] = [BatchRange(parts["writer"], int(parts["batch_id"]), lo, hi, n, most or n, lo // NS_PER_DAY)
+                    for lo, hi, n, most in zip(*cols)]
+    return [br for rows in cache.values() for br in rows]
 
 
 # --------------------------------------------------------------------------- partitions
@@ -122,49 +145,53 @@ class TimeSlicePartition(InputPartition):
     stop_ns: int
     measurement: str
     data_root: str
-    batches: list = field(default_factory=list)   # [(writer, batch_id)]
+    batches: list = field(default_factory=list)   # [(writer, batch_id, days)]
     dedupe: bool = True
     key_bucket: int = 0                            # this task's share of the keys ...
     n_buckets: int = 1                             # ... when one instant is too big
 
 
-def _estimate_rows(batches: list[BatchRange], a: int, b: int) -> float:
-    """Rows of ``[a, b)`` by linear share of each batch's time range."""
-    total = 0.0
-    for r in batches:
-        lo, hi = max(a, r.min_ns), min(b, r.max_ns + 1)
-        if hi <= lo:
-            continue
-        span = r.max_ns + 1 - r.min_ns
-        total += r.n_records * (hi - lo) / span
-    return total
+def _row_curve(batches: list[BatchRange], a: int, b: int):
+    """Times from ``a`` to ``b``, and the estimated rows before each: every commit
+    row's records lie evenly between its first and last time.  One sort of the
+    commit rows' edges."""
+    import numpy as np
+    lo = np.array([r.min_ns for r in batches], np.int64)
+    hi = np.array([r.max_ns for r in batches], np.int64) + 1
+    rate = np.array([r.n_records for r in batches], np.float64) / (hi - lo)
+    at = np.concatenate([lo, hi, [a, b]])
+    change = np.concatenate([rate, -rate, [0.0, 0.0]])
+    order = np.argsort(at, kind="stable")
+    at, density = at[order], np.maximum(np.cumsum(change[order]), 0)
+    rows = np.concatenate([[0.0], np.cumsum(density[:-1] * np.diff(at))])
+    inside = (at >= a) & (at <= b)
+    at, rows = at[inside], rows[inside]
+    return at, rows - rows[0]
+
+
+def _times_at(at, rows, want):
+    """The times before which ``want`` rows lie, to the nanosecond."""
+    import numpy as np
+    i = np.clip(np.searchsorted(rows, want, side="left"), 1, len(rows) - 1)
+    gap = rows[i] - rows[i - 1]
+    share = np.where(gap > 0, (want - rows[i - 1]) / np.where(gap > 0, gap, 1), 0)
+    return at[i - 1] + np.ceil(share * (at[i] - at[i - 1])).astype(np.int64)
 
 
 def balanced_cuts(batches: list[BatchRange], a: int, b: int, n: int) -> list[int]:
     """``n - 1`` cut times splitting ``[a, b)`` into slices of about equal
-    estimated rows (each batch's rows spread evenly over its time range): the
-    estimated row count as a function of time is inverted by bisection."""
-    total = _estimate_rows(batches, a, b)
-    cuts = []
-    lo = a
-    for i in range(1, n):
-        want = total * i / n
-        x, y = lo, b
-        while x < y:
-            mid = (x + y) // 2
-            if _estimate_rows(batches, a, mid + 1) < want:
-                x = mid + 1
-            else:
-                y = mid
-        cuts.append(x)
-        lo = x
-    return cuts
+    estimated rows."""
+    import numpy as np
+    at, rows = _row_curve(batches, a, b)
+    return _times_at(at, rows, rows[-1] * np.arange(1, n) / n).tolist()
 
 
 def plan_partitions(batches: list[BatchRange], start: int, end: int, opts: SourceOptions,
                     data_root: str) -> list[TimeSlicePartition]:
-    """Slices of ``[start, end)`` over the batches that overlap it: equal width,
-    or (``balance=count``) equal estimated rows from the commit records."""
+    """Slices of ``[start, end)`` over the batches that overlap it: ``numSlices`` of
+    equal width, or (``balance=count``) of equal estimated rows, each cut further
+    until none is estimated above ``maxRowsPerSlice``."""
+    import numpy as np
     if end <= start:
         return []
     live = [r for r in batches if r.max_ns >= start and r.min_ns < end]
@@ -174,28 +201,34 @@ def plan_partitions(batches: list[BatchRange], start: int, end: int, opts: Sourc
     b = min(end, max(r.max_ns for r in live) + 1)
     if b <= a:
         return []
-    n = max(opts.num_slices, math.ceil(_estimate_rows(live, a, b) / opts.max_rows_per_slice))
+    at, rows = _row_curve(live, a, b)
+    n = max(opts.num_slices, math.ceil(rows[-1] / opts.max_rows_per_slice - 1e-6))
     n = max(1, min(n, b - a))
-    if opts.balance == "count" and n > 1:
-        edges = [a, *balanced_cuts(live, a, b, n), b]
-        bounds = [(i, edges[i], edges[i + 1]) for i in range(n)]
-    else:
-        bounds = plan_slices(a, b, n)
+    edges = [a, *balanced_cuts(live, a, b, n), b] if opts.balance == "count" and n > 1 else [
+        a, *(stop for _, _, stop in plan_slices(a, b, n))]
+    edges = np.unique(np.clip(np.array(edges, np.int64), a, b))
+    before = np.interp(edges.astype(np.float64), at.astype(np.float64), rows)
+    parts = np.ceil(np.diff(before) / opts.max_rows_per_slice - 1e-6).astype(int)
+    more = [lo + (hi - lo) * np.arange(1, k) / k for lo, hi, k in zip(before, before[1:], parts) if k > 1]
+    if more:
+        edges = np.unique(np.concatenate([edges, _times_at(at, rows, np.concatenate(more))]))
+    first = np.array([r.min_ns for r in live], np.int64)
+    last = np.array([r.max_ns for r in live], np.int64)
     out = []
-    for i, lo, hi in bounds:
-        if hi <= lo:
-            continue
-        over = [r for r in live if r.max_ns >= lo and r.min_ns < hi]
-        sel = sorted({(r.writer, r.batch_id) for r in over})
-        if not sel:
+    for i, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+        over = [live[x] for x in np.flatnonzero((last >= lo) & (first < hi))]
+        days: dict[tuple, set] = {}
+        crowd: dict[tuple, int] = {}
+        for r in over:
+            days.setdefault((r.writer, r.batch_id), set()).add(r.day)
+            crowd[r.writer, r.batch_id] = max(crowd.get((r.writer, r.batch_id), 0), r.max_at_instant)
+        if not days:
             continue
+        sel = [(w, n_, sorted(d)) for (w, n_), d in sorted(days.items())]
         # Time cannot split one instant: when the rows that may share one instant
         # exceed the slice budget, split the slice by key hash instead (all
         # versions of a key stay together, so dedupe stays exact).
-        k = 1
-        if opts.dedupe:
-            at_instant = sum(r.max_at_instant for r in over)
-            k = max(1, math.ceil(at_instant / opts.max_rows_per_slice))
+        k = max(1, math.ceil(sum(crowd.values()) / opts.max_rows_per_slice))
         for j in range(k):
             out.append(TimeSlicePartition(i, lo, hi, opts.measurement, data_root, sel,
                                           opts.dedupe, j, k))
@@ -259,33 +292,25 @@ def read_slice(p: TimeSlicePartition):
            & (ds.field("time_ns") >= p.start_ns) & (ds.field("time_ns") < p.stop_ns))
     cols = _POINT_COLS + (["written_at", "seq"] if p.dedupe else [])
     tables = []
-    for writer, batch_id in p.batches:
+    for writer, batch_id, days in p.batches:
         bdir = f"{root}/writer={writer}/batch_id={batch_id}"
-        files = _slice_files(fs, bdir, p.measurement, day_lo, day_hi)
+        files = _slice_files(fs, bdir, p.measurement, [d for d in days if day_lo <= d <= day_hi])
         if not files:
             continue
         d = ds.dataset(files, filesystem=fs, format="parquet", partitioning=part,
                        partition_base_dir=bdir)
-        if not p.dedupe:
-            for rb in d.to_batches(columns=cols, filter=flt):
-                if rb.num_rows:
-                    yield _conform(rb)
-            continue
-        has_src = "src_batch_id" in d.schema.names
         parts = []
-        for rb in d.to_batches(columns=cols + (["src_batch_id"] if has_src else []), filter=flt):
+        for rb in d.to_batches(columns=cols, filter=flt):
             if rb.num_rows and p.n_buckets > 1:
                 rb = rb.filter(pa.array(key_buckets(rb.column("series_key"), p.n_buckets)
                                         == p.key_bucket))
-            if rb.num_rows:
+            if rb.num_rows and not p.dedupe:
+                yield _conform(rb)
+            elif rb.num_rows:
                 parts.append(rb)
         if parts:
             t = pa.Table.from_batches(parts)
-            order_batch = pa.array([batch_id] * t.num_rows, pa.int64())
-            if has_src:     # a compacted row keeps the batch id it was first written with
-                order_batch = pc.coalesce(t["src_batch_id"], order_batch)
-                t = t.drop_columns(["src_batch_id"])
-            tables.append(t.append_column("batch_id", order_batch))
+            tables.append(t.append_column("batch_id", pa.array([batch_id] * t.num_rows, pa.int64())))
     if not p.dedupe or not tables:
         return
     # batches written by different jobs can differ in nullability: one schema
@@ -305,20 +330,24 @@ def read_slice(p: TimeSlicePartition):
         yield _conform(rb)
 
 
-def _slice_files(fs, bdir: str, measurement: str, day_lo: int, day_hi: int) -> list[str]:
+def _slice_files(fs, bdir: str, measurement: str, days: list[int]) -> list[str]:
     """Data files of one batch for the slice's days only: the task lists its
-    ``measurement=<m>/day=<d>`` directories, never the whole batch."""
+    ``measurement=<m>/day=<d>`` directories, never the whole batch.  The commit names
+    these days, so one that is not there is an error and not an empty slice."""
     import datetime as dt
 
     import pyarrow.fs as pafs
 
     mdir = f"{bdir}/measurement={escape_partition_value(measurement)}"
     files = []
-    for day in range(day_lo, day_hi + 1):
+    for day in days:
         iso = (dt.date(1970, 1, 1) + dt.timedelta(days=day)).isoformat()
-        sel = pafs.FileSelector(f"{mdir}/day={iso}", allow_not_found=True)
-        files += [i.path for i in fs.get_file_info(sel)
-                  if i.type == pafs.FileType.File and not i.base_name.startswith(("_", "."))]
+        infos = fs.get_file_info(pafs.FileSelector(f"{mdir}/day={iso}", allow_not_found=True))
+        found = [i.path for i in infos
+                 if i.type == pafs.FileType.File and not i.base_name.startswith(("_", "."))]
+        if not found:
+            raise FileNotFoundError(f"committed files are gone: {mdir}/day={iso}")
+        files += found
     return files
 
 
@@ -356,10 +385,12 @@ class CursorStreamReader(DataSourceStreamReader):
         self.data_root, _ = _store_roots(self.opts.path, self.opts.bucket)
         self._cursor: int | None = None
         self._commit_cache: dict = {}
+        self._listed: list[BatchRange] | None = None
 
     def _batches(self) -> list[BatchRange]:
-        return list_commits(self.opts.path, self.opts.bucket, self.opts.measurement,
-                            self._commit_cache)
+        self._listed = list_commits(self.opts.path, self.opts.bucket, self.opts.measurement,
+                                    self._commit_cache)
+        return self._listed
 
     def initialOffset(self) -> dict:
         b = self._batches()
@@ -401,7 +432,10 @@ class CursorStreamReader(DataSourceStreamReader):
         self._cursor = e if self._cursor is None else max(self._cursor, e)
         if e <= s:
             return []
-        return plan_partitions(self._batches(), s, e, self.opts, self.data_root)
+        # What latestOffset listed for this batch, if it did: one listing a trigger.
+        listed = self._listed if self._listed is not None else self._batches()
+        self._listed = None
+        return plan_partitions(listed, s, e, self.opts, self.data_root)
 
     def read(self, partition: TimeSlicePartition):
         return read_slice(partition)
@@ -428,6 +462,7 @@ class LinePointsDataSource(DataSource):
         return POINT_DDL
 
     def streamReader(self, schema):
+        arrow_uri(SourceOptions.parse(self.options).path)   # a path of no scheme is an error
         return CursorStreamReader(self.options)
 
 
@@ -437,7 +472,7 @@ _registered: set = set()
 def register(spark) -> None:
     """Register ``linepoints`` with the session.  The package is pickled by value
     into the Python workers, so executors need no install of it."""
-    key = id(spark)
+    key = spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
     if key not in _registered:
         import chronoline
         from pyspark import cloudpickle
@@ -454,7 +489,10 @@ def read_stream(spark, path: str, bucket: str, measurement: str, output: str = "
     ``output='lines'`` gives ``value STRING`` (the reference's row shape),
     ``'points'`` the long point rows.  ``order='event'`` uses the cursor source;
     ``order='arrival'`` uses Spark's file stream source on the store instead (each
-    new file once, whatever its times; ``maxFilesPerTrigger`` applies).
+    new file once, whatever its times; ``maxFilesPerTrigger`` applies).  That is a
+    dirty read: files show before their batch is committed, and those of a replayed
+    batch show again.  A path without a scheme is on the cluster's default file
+    system, as for Spark's own readers.
     ``numSlices`` defaults to the cluster's default parallelism.  ``time_zone``
     (the ``time-zone`` option) adds ``local_ns``, the wall-clock ns of each point
     in that zone, to ``points`` output.
@@ -475,7 +513,7 @@ def read_stream(spark, path: str, bucket: str, measurement: str, output: str = "
               .where(F.col("measurement") == measurement).select(*_POINT_COLS))
     elif order == "event":
         register(spark)
-        opts = {"path": path, "bucket": bucket, "measurement": measurement,
+        opts = {"path": qualified(spark, path) if path else path, "bucket": bucket, "measurement": measurement,
                 "numSlices": spark.sparkContext.defaultParallelism}
         opts.update({k: str(v) for k, v in options.items()})
         SourceOptions.parse(opts)   # fail on the driver, before start
@@ -489,3 +527,23 @@ def read_stream(spark, path: str, bucket: str, measurement: str, output: str = "
             df = df.withColumn("local_ns", to_zone("time_ns", str(tz)))
         return df
     return encode_lines(df, mode)
+
+
+def drain(start, most: int = 10_000) -> int:
+    """Runs ``start()`` -- a query with the ``availableNow`` trigger and a checkpoint --
+    until a run moves the cursor no further, and returns the number of runs.
+
+    A source in Python cannot tell Spark that a trigger's limit is not the end of the
+    data, so with ``maxDeltaPerTrigger`` or ``compat`` one ``availableNow`` run is one
+    step; this is how to read all of it."""
+    before = None
+    for n in range(1, most + 1):
+        q = start()
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        ends = [src["endOffset"] for p in q.recentProgress for src in p["sources"]]
+        if not ends or ends[-1] == before:
+            return n
+        before = ends[-1]
+    raise RuntimeError(f"not drained after {most} runs")

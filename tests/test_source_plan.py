@@ -4,7 +4,8 @@ import pyarrow as pa
 
 from chronoline.sources.options import SourceOptions
 from chronoline.sources.paths import escape_partition_value
-from chronoline.streaming.source import BatchRange, balanced_cuts, key_buckets, plan_partitions
+from chronoline.streaming.source import (BatchRange, arrow_uri, balanced_cuts, key_buckets,
+                                         plan_partitions)
 
 
 def _opts(**kw):
@@ -20,7 +21,7 @@ def test_plan_covers_range_once_and_prunes_batches():
     assert spans[0][0] == 0 and spans[-1][1] == 300
     assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
     for p in parts:   # each slice reads only the batches overlapping it
-        for _, bid in p.batches:
+        for _, bid, _ in p.batches:
             lo, hi = (0, 99) if bid == 0 else (200, 299)
             assert hi >= p.start_ns and lo < p.stop_ns
 
@@ -57,3 +58,44 @@ def test_escape_partition_value():
     assert escape_partition_value("events") == "events"
     assert escape_partition_value('a:b/c=d%"#') == "a%3Ab%2Fc%3Dd%25%22%23"
     assert escape_partition_value("x\x02y") == "x%02y"
+
+
+def test_hot_hour_is_cut_by_time():
+    """720 hours, one of them with 200 million rows: no slice above the budget, with
+    either balance, with or without dedupe."""
+    hour = 3_600_000_000_000
+    b = [BatchRange("w", 0, h * hour, (h + 1) * hour - 1, 200_000_000 if h == 300 else 10_000, 1, h // 24)
+         for h in range(720)]
+    for balance in ("time", "count"):
+        for dedupe in ("true", "false"):
+            parts = plan_partitions(b, 0, 720 * hour, _opts(balance=balance, dedupe=dedupe), "/d")
+            spans = sorted((p.start_ns, p.stop_ns) for p in parts)
+            assert spans[0][0] == 0 and spans[-1][1] == 720 * hour
+            assert all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
+            hot = [min(q, 301 * hour) - max(p, 300 * hour) for p, q in spans if p < 301 * hour and q > 300 * hour]
+            assert max(hot) / hour * 200_000_000 <= 2_000_001
+            assert len(parts) < 210
+            assert all(days == sorted({d for _, _, ds in [p.batches[0]] for d in ds}) for p in parts
+                       for _, _, days in p.batches)
+
+
+def test_planning_many_commits_is_fast():
+    import time
+    hour = 3_600_000_000_000
+    b = [BatchRange(f"w{i}", 0, i * hour // 50, i * hour // 50 + hour, 1000, 1, i // 1200) for i in range(40_000)]
+    t = time.time()
+    cuts = balanced_cuts(b, 0, 801 * hour, 64)
+    assert len(cuts) == 63 and cuts == sorted(cuts) and time.time() - t < 1
+
+
+def test_arrow_names_of_cluster_paths():
+    import pytest
+    assert arrow_uri("s3a://bucket/a/b") == "s3://bucket/a/b"
+    assert arrow_uri("wasbs://c@acc.blob.core.windows.net/x") == "abfss://c@acc.blob.core.windows.net/x"
+    assert arrow_uri("hdfs://nn:8020/x") == "hdfs://nn:8020/x"
+    assert arrow_uri("gs://b/x") == "gs://b/x"
+    assert arrow_uri("dbfs:/x/y") == "file:///dbfs/x/y"
+    assert arrow_uri("file:/x") == "file:/x"
+    for bare in ("/x/y", "x/y"):
+        with pytest.raises(ValueError):
+            arrow_uri(bare)

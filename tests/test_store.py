@@ -1,4 +1,4 @@
-"""The Parquet point store: write, committed-only read, upsert, compaction."""
+"""The Parquet point store: write, committed-only read, upsert."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,17 +70,6 @@ def test_uncommitted_batch_is_invisible(spark, tmp_store):
     assert [r.series_key for r in store.read_points(spark, tmp_store, "b").collect()] == ["cpu,host=a"]
 
 
-def test_compact_keeps_latest(spark, tmp_store):
-    for v in (1.0, 2.0, 3.0):
-        store.write_points(_pts(spark, [("a", v, 10), ("b", v, int(v))]), tmp_store, "b")
-    before = _rows(store.read_points(spark, tmp_store, "b"))
-    info = store.compact(spark, tmp_store, "b")
-    assert info["replaced"] == 3
-    assert store.commits(spark, tmp_store, "b").count() == 1
-    assert _rows(store.read_points(spark, tmp_store, "b")) == before
-    assert store.read_points(spark, tmp_store, "b", dedupe=False).count() == 4
-
-
 def test_option_errors(spark, tmp_store):
     pts = _pts(spark, [("a", 1.0, 10)])
     with pytest.raises(ValueError, match="numPartitions"):
@@ -104,27 +93,6 @@ def test_empty_store_reads_empty(spark, tmp_store):
     assert set(POINT_COLUMNS) <= set(store.read_points(spark, tmp_store, "nothing").columns)
 
 
-def test_incremental_compact_keeps_write_order(spark, tmp_store):
-    # a big batch, then small ones; compacting only the small ones must not
-    # change which write wins against the big batch
-    big = [("a", 1.0, 10), ("b", 1.0, 20)] + [("x", float(i), 100 + i) for i in range(50)]
-    store.write_points(_pts(spark, big), tmp_store, "b")
-    store.write_points(_pts(spark, [("a", 2.0, 10)]), tmp_store, "b")
-    store.write_points(_pts(spark, [("a", 3.0, 10), ("b", 3.0, 20)]), tmp_store, "b")
-    store.write_points(_pts(spark, [("c", 4.0, 30)]), tmp_store, "b")
-    before = _rows(store.read_points(spark, tmp_store, "b"))
-    info = store.compact(spark, tmp_store, "b", max_batch_rows=5)
-    assert info["replaced"] == 3
-    assert store.commits(spark, tmp_store, "b").select("writer").distinct().count() == 2
-    assert _rows(store.read_points(spark, tmp_store, "b")) == before
-    # a later write still wins over the compacted rows
-    store.write_points(_pts(spark, [("a", 9.0, 10)]), tmp_store, "b")
-    got = {r.series_key: r.value_double for r in store.read_points(spark, tmp_store, "b")
-           .where("time_ns = 10").collect()}
-    assert got == {"cpu,host=a": 9.0}
-    assert store.compact(spark, tmp_store, "b", max_batch_rows=5, min_batches=5)["replaced"] == 0
-
-
 def test_auto_dedupe_skips_the_shuffle_only_when_safe(spark, tmp_store):
     store.write_points(_pts(spark, [("a", 1.0, 10), ("b", 1.0, 20)]), tmp_store, "b")
     plain = store.read_points(spark, tmp_store, "b")
@@ -144,3 +112,28 @@ def test_auto_dedupe_skips_the_shuffle_only_when_safe(spark, tmp_store):
     store.write_points(_pts(spark, [("z", 1.0, 7 * hour), ("z", 2.0, 7 * hour)]), tmp_store, "c")
     assert store.may_hold_duplicates(spark, tmp_store, "c")
     assert store.read_points(spark, tmp_store, "c").count() == 1
+
+
+def test_auto_dedupe_upserts_dirty_hours_alone(spark, tmp_store):
+    """An hour with two batches is upserted, the others are scanned as they are."""
+    hour = store.NS_PER_HOUR
+    store.write_points(_pts(spark, [("a", 1.0, 10), ("a", 2.0, hour), ("a", 3.0, 5 * hour)]), tmp_store, "b")
+    store.write_points(_pts(spark, [("a", 9.0, hour)]), tmp_store, "b")
+    hours = {r.hour: r.repeats for r in store.hours_with_repeats(spark, tmp_store, "b").collect()}
+    assert hours == {0: False, 1: True, 5: False}
+    got = store.read_points(spark, tmp_store, "b")
+    assert sorted((r.time_ns, r.value_double) for r in got.collect()) == [(10, 1.0), (hour, 9.0), (5 * hour, 3.0)]
+    clean = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in clean and "LeftSemi" in clean
+
+
+def test_commit_without_proof(spark, tmp_store):
+    """One aggregation of hours; readers then take it that keys repeat."""
+    hour = store.NS_PER_HOUR
+    pts = _pts(spark, [("a", 1.0, 10), ("a", 2.0, 10), ("b", 2.0, hour), ("b", 3.0, hour + 1)])
+    store.write_points(pts, tmp_store, "b", prove_keys=False)
+    rows = {r.hour: (r.min_ns, r.max_ns, r.n_records, r.max_at_instant, r.n_keys)
+            for r in store.commits(spark, tmp_store, "b").collect()}
+    assert rows == {0: (10, 10, 2, 2, None), 1: (hour, hour + 1, 2, 1, None)}
+    assert store.may_hold_duplicates(spark, tmp_store, "b")
+    assert store.read_points(spark, tmp_store, "b").count() == 3

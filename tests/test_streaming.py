@@ -166,7 +166,7 @@ def test_sink_rejects_and_good_lines(spark):
 
 def test_same_batch_twice_leaves_the_same_store(spark):
     root = scratch_path(spark, "store")
-    fn = sink.PointSinkBatch(sink.SinkOptions(root, "b"))
+    fn = sink.PointSinkBatch(sink.SinkOptions(root, "b"), writer="adhoc")
     batch = spark.createDataFrame([(x,) for x in SINK_LINES], "value STRING").withColumn(
         "_written_at", F.current_timestamp())
     # a crash after the data write, before the commit: nothing visible
@@ -351,14 +351,13 @@ def test_hot_instant_is_split_by_key(spark):
     assert len({r.series_key for r in rows}) == n
 
 
-def test_drain_after_incremental_compaction(spark):
+def test_drain_of_overlapping_batches(spark):
     lo = 1_700_000_000 * S
     root = scratch_path(spark, "store")
     for v in (1.0, 2.0, 3.0):
         df = spark.createDataFrame([("a", v, lo), ("b", v, lo + int(v) * S)],
                                    "host STRING, v DOUBLE, t BIGINT")
         store.write_points(to_points(df, "cpu", ["host"], ["v"], "t"), root, "b")
-    store.compact(spark, root, "b", max_batch_rows=2, min_batches=2)
     late = spark.createDataFrame([("a", 7.0, lo)], "host STRING, v DOUBLE, t BIGINT")
     store.write_points(to_points(late, "cpu", ["host"], ["v"], "t"), root, "b")
     out, _ = _drain(spark, read_stream(spark, root, "b", "cpu", output="points"), "cmp1")
@@ -368,13 +367,12 @@ def test_drain_after_incremental_compaction(spark):
     assert got == exp and ("cpu,host=a", lo, 7.0) in got
 
 
-def test_no_dedupe_read_mixes_compacted_and_plain_batches(spark):
+def test_no_dedupe_read_of_several_batches(spark):
     lo = 1_700_000_000 * S
     root = scratch_path(spark, "store")
     for v in (1.0, 2.0, 3.0):
         df = spark.createDataFrame([("a", v, lo + int(v) * S)], "host STRING, v DOUBLE, t BIGINT")
         store.write_points(to_points(df, "cpu", ["host"], ["v"], "t"), root, "b")
-    store.compact(spark, root, "b", max_batch_rows=1, min_batches=2)
     df = spark.createDataFrame([("a", 4.0, lo + 4 * S)], "host STRING, v DOUBLE, t BIGINT")
     store.write_points(to_points(df, "cpu", ["host"], ["v"], "t"), root, "b")
     out, _ = _drain(spark, read_stream(spark, root, "b", "cpu", output="points", dedupe="false",
@@ -391,3 +389,38 @@ def test_measurement_with_path_special_characters(spark):
     out, _ = _drain(spark, read_stream(spark, root, "b", m, output="points"), "special1")
     assert sorted((r.measurement, r.value_double) for r in out.collect()) == [(m, 1.0), (m, 2.0)]
     assert store.read_points(spark, root, "b", m).count() == 2
+
+
+def test_missing_files_are_an_error(spark):
+    """A slice planned from a commit whose files are gone raises; it is not empty."""
+    from chronoline.streaming.source import CursorStreamReader, plan_partitions, read_slice
+    lo = 1_700_000_000 * S
+    root = _store_times(spark, [lo, lo + S])
+    reader = CursorStreamReader({"path": root, "bucket": "b", "measurement": "cpu"})
+    parts = plan_partitions(reader._batches(), lo, lo + 2 * S, reader.opts, reader.data_root)
+    assert sum(rb.num_rows for p in parts for rb in read_slice(p)) == 2
+    store.delete_path(spark, store.data_root(root, "b"))
+    with pytest.raises(FileNotFoundError):
+        [rb for p in parts for rb in read_slice(p)]
+
+
+def test_absent_store_is_an_error(spark):
+    from chronoline.streaming.source import CursorStreamReader
+    reader = CursorStreamReader({"path": scratch_path(spark, "nowhere"), "bucket": "b", "measurement": "m"})
+    with pytest.raises(FileNotFoundError):
+        reader.initialOffset()
+
+
+def test_capped_drain(spark):
+    """One availableNow run is one capped step; drain() runs until nothing is left."""
+    from chronoline.streaming.source import drain
+    lo = 1_700_000_000 * S
+    times = [lo + k * 700_000_000 for k in range(20)]
+    root, ck, out = _store_times(spark, times), scratch_path(spark, "ck"), scratch_path(spark, "out")
+
+    def start():
+        return (read_stream(spark, root, "b", "cpu", output="points", maxDeltaPerTrigger=3000)
+                .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+                .trigger(availableNow=True).start())
+    assert drain(start) > 2
+    assert sorted(r.time_ns for r in spark.read.parquet(out).collect()) == times
