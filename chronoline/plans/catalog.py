@@ -15,7 +15,7 @@ tables in ``sf_dir``.  Test tables as points:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoline.functions import codec, nanos
@@ -40,44 +40,26 @@ STORE_BATCH_ROWS = 50_000                    # batchSize: rows per store file (c
 COMPAT_DELTA_MS = 7 * 86_400_000             # compat cursor step: 7 days
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster's cores when it has fewer splits than
-    there are cores (a small single-row-group file), so per-row work (codec
-    regexes, explode, partial aggregation) is not stuck in one task.  A large
-    input already yields at least that many splits and is returned as it is: no
-    shuffle is added at scale.  Filters and column pruning still reach the scan."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:   # no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """A given table.  ``heavy`` marks plans with costly per-row work (regex
-    codec, many-field explode, sort-based upsert): their scan is spread over the
-    cores when it has too few splits.  Light scans and probes skip that extra
-    exchange (measured at sf0.1: it costs them more than it saves)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if heavy else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events_points(spark: SparkSession, sf_dir: str, fields=("value",), keep=(), start=None,
-                  stop=None, heavy: bool = False) -> DataFrame:
-    ev = table(spark, sf_dir, "events", heavy)
+                  stop=None) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
     return P.to_points(ev, "events", ["event_type", "user_id"], list(fields), "ts", list(keep),
                        start=start, stop=stop)
 
 
 def orders_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders", heavy=True)
+    o = table(spark, sf_dir, "orders")
     return P.to_points(o, "orders", ["o_orderstatus", "o_orderpriority"],
                        ["o_totalprice", "o_custkey"], "o_orderdate")
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", heavy=True)
+    li = table(spark, sf_dir, "lineitem")
     return P.to_points(li, "lineitem", ["l_returnflag", "l_linestatus"], LINEITEM_FIELDS,
                        "l_shipdate", keep=LINEITEM_ORDER)
 
@@ -140,7 +122,16 @@ def slice_counts(spark, sf_dir):
 
 
 def balanced_slices(spark, sf_dir):
-    return S.balanced_bounds(events_points(spark, sf_dir), N_SLICES)
+    """The cut points of count-balanced slices, judged by exact counts: whether each
+    slice holds its share of the records to within a hundredth of all of them."""
+    ev = events_points(spark, sf_dir)
+    edges = [r["start_ns"] for r in S.balanced_bounds(ev, N_SLICES).orderBy("slice_id").collect()]   # N_SLICES rows
+    in_slice = sum((F.col("time_ns") >= F.lit(e)).cast("int") for e in edges) - 1
+    counts = ev.groupBy(in_slice.alias("slice_id")).agg(F.count(F.lit(1)).alias("n"))
+    total = Window.partitionBy(F.lit(0))    # one row for each slice
+    return counts.select("slice_id", F.sum("n").over(total).alias("n_all"),
+                         (F.abs(F.col("n") * N_SLICES - F.sum("n").over(total)) * 100
+                          <= F.sum("n").over(total) * N_SLICES).alias("within_tolerance"))
 
 
 def incremental_batches(spark, sf_dir):
@@ -153,7 +144,7 @@ def tail_held(spark, sf_dir):
 
 
 def late_rows(spark, sf_dir):
-    ev = events_points(spark, sf_dir, keep=("event_id",), heavy=True)
+    ev = events_points(spark, sf_dir, keep=("event_id",))
     arrival = F.pmod(F.col("event_id") * ARRIVAL_MULTIPLIER, F.lit(ARRIVAL_BATCHES)).cast("int")
     return S.late_counts(ev.withColumn("arrival_batch", arrival), "arrival_batch")
 
@@ -162,7 +153,7 @@ def late_rows(spark, sf_dir):
 
 
 def encode_compat(spark, sf_dir):
-    return codec.encode_lines(events_points(spark, sf_dir, heavy=True), mode="compat")
+    return codec.encode_lines(events_points(spark, sf_dir), mode="compat")
 
 
 def encode_safe(spark, sf_dir):
@@ -170,8 +161,7 @@ def encode_safe(spark, sf_dir):
 
 
 def encode_wide(spark, sf_dir):
-    return codec.encode_wide_lines(events_points(spark, sf_dir, fields=("value", "props"),
-                                                 heavy=True))
+    return codec.encode_wide_lines(events_points(spark, sf_dir, fields=("value", "props")))
 
 
 def decode_lines(spark, sf_dir):
@@ -186,7 +176,7 @@ def decode_lines(spark, sf_dir):
 def decode_no_time(spark, sf_dir):
     """Lines without a timestamp take a per-row default time (D3): the points come
     back equal to the source when that default is the row's own time."""
-    pts = events_points(spark, sf_dir, heavy=True)
+    pts = events_points(spark, sf_dir)
     lines = pts.select(F.concat(F.col("series_key"), F.lit(" value="),
                                 F.col("value_double").cast("string")).alias("value"),
                        F.col("time_ns").alias("t"))
@@ -195,11 +185,34 @@ def decode_no_time(spark, sf_dir):
 
 
 def bad_lines(spark, sf_dir):
-    lines = codec.encode_lines(events_points(spark, sf_dir, fields=("value", "props"),
-                                             heavy=True), mode="compat")
+    lines = codec.encode_lines(events_points(spark, sf_dir, fields=("value", "props")), mode="compat")
     return codec.bad_lines(lines)
 
 
+def bad_line_reasons(spark, sf_dir):
+    """Lines of every kind that does not decode, one kind for each remainder of
+    ``event_id``, with the reason found."""
+    ev = table(spark, sf_dir, "events")
+    i = F.col("event_id").cast("string")
+    kinds = [F.lit(None).cast("string"), F.lit("  "), F.concat(F.lit("# "), i),
+             F.concat(F.lit("m,a="), i, F.lit(" f")), F.concat(F.lit("m,a="), i, F.lit(",a=2 f=1 5")),
+             F.concat(F.lit("m f="), i, F.lit(",f=2 5")), F.concat(F.lit("m f=x"), i, F.lit(" 5")),
+             F.concat(F.lit("m f=1 99999999999999999999"), i), F.concat(F.lit("m f=1e400,g="), i, F.lit(" 5")),
+             F.concat(F.lit("m f="), i, F.lit(" 5\r"))]
+    line = F.get(F.array(*kinds), F.pmod("event_id", F.lit(len(kinds))).cast("int"))
+    lines = ev.select(line.alias("value"), "event_id")
+    return codec.bad_lines(lines, keep=["event_id"]).select("event_id", "reason")
+
+
+def bad_points(spark, sf_dir):
+    """Points without a safe line, with the reason found."""
+    pts = events_points(spark, sf_dir, keep=("event_id",))
+    kind = F.pmod("event_id", F.lit(4))
+    value = (F.when(kind == 0, F.lit(float("nan"))).when(kind == 1, F.lit(float("-inf")))
+             .when(kind == 2, F.col("value_double")))
+    return codec.bad_points(pts.withColumn("value_double", value), keep=["event_id"]).select("event_id", "reason")
+
+
 # --------------------------------------------------------------------------- nanoseconds
 
 
@@ -239,7 +252,7 @@ def ns_units(spark, sf_dir):
 
 
 def ns_from_iso(spark, sf_dir):
-    ev = events_points(spark, sf_dir, keep=("event_id",), heavy=True)
+    ev = events_points(spark, sf_dir, keep=("event_id",))
     iso = nanos.ns_to_iso("time_ns")
     trimmed = F.regexp_replace(iso, r"(\.\d*?)0+Z$", "$1Z")
     return ev.select("event_id", "time_ns", iso.alias("iso"),
@@ -248,7 +261,7 @@ def ns_from_iso(spark, sf_dir):
 
 
 def to_zone(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", heavy=True)
+    o = table(spark, sf_dir, "orders")
     t = nanos.ns_from_timestamp_ntz("o_orderdate")
     return o.select("o_orderkey", t.alias("time_ns"),
                     *[nanos.to_zone(t, z).alias(name) for name, z in ZONES.items()])
@@ -267,6 +280,13 @@ def wide_points(spark, sf_dir):
     return P.to_wide(lineitem_points(spark, sf_dir), LINEITEM_FIELDS, order=LINEITEM_ORDER)
 
 
+def wide_map(spark, sf_dir):
+    """The wide form for an unknown set of fields: a map of texts, shown as text."""
+    wide = P.to_wide(events_points(spark, sf_dir, fields=("value", "props")))
+    return wide.select("series_key", "time_ns", F.array_join(F.transform(
+        F.array_sort(F.map_entries("fields")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("fields"))
+
+
 # --------------------------------------------------------------------------- store, streams
 
 
@@ -295,6 +315,32 @@ def store_range_scan(spark, sf_dir):
             .select("series_key", "field", "value_double", "time_ns"))
 
 
+def store_coalesced(spark, sf_dir):
+    """Two batches with overlapping hours, one lowered to two partitions: hours of one
+    proven batch are scanned, the shared ones upserted."""
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    root, ev = scratch_path(spark, "store"), events_points(spark, sf_dir)
+    store.write_points(ev, root, "b", num_partitions=2)
+    again = P.in_range(ev, "events", RANGE_START_NS, RANGE_STOP_NS)
+    store.write_points(again.withColumn("value_double", -F.col("value_double")), root, "b", prove_keys=False)
+    return (store.read_points(spark, root, "b", "events")
+            .select("series_key", "field", "value_double", "time_ns"))
+
+
+def stream_capped_drain(spark, sf_dir):
+    """The cursor source in capped steps, run until nothing is left."""
+    from chronoline.session import scratch_path
+    from chronoline.streaming.source import drain, read_stream
+    root, bucket = _store_events(spark, sf_dir)
+    out, ck = scratch_path(spark, "capped-out"), scratch_path(spark, "capped-ck")
+    drain(lambda: read_stream(spark, root, bucket, "events", output="points", maxDeltaPerTrigger=2 * COMPAT_DELTA_MS)
+          .select("series_key", "field", "value_double", "time_ns")
+          .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+          .trigger(availableNow=True).start())
+    return spark.read.parquet(out)
+
+
 def stream_read_drain(spark, sf_dir):
     """The cursor source drained with availableNow into Parquet, read back as lines."""
     from chronoline.session import scratch_path
@@ -353,7 +399,7 @@ def stream_write_drain(spark, sf_dir):
     from chronoline.sources import store
     from chronoline.streaming.sink import write_stream
     lines_dir = scratch_path(spark, "lines")
-    codec.encode_lines(events_points(spark, sf_dir, heavy=True), "safe").write.text(lines_dir)
+    codec.encode_lines(events_points(spark, sf_dir), "safe").write.text(lines_dir)
     root, ck = scratch_path(spark, "sink-store"), scratch_path(spark, "sink-ck")
     src = spark.readStream.schema("value STRING").text(lines_dir)
     q = write_stream(src, root, "events_bucket", ck, trigger={"availableNow": True})
@@ -383,6 +429,8 @@ QUERIES = {
     "encode_wide": encode_wide,
     "decode_lines": decode_lines,
     "bad_lines": bad_lines,
+    "bad_line_reasons": bad_line_reasons,
+    "bad_points": bad_points,
     "decode_no_time": decode_no_time,
     "ns_parts": ns_parts,
     "ns_add": ns_add,
@@ -391,12 +439,15 @@ QUERIES = {
     "to_zone": to_zone,
     "upsert_latest": upsert_latest,
     "wide_points": wide_points,
+    "wide_map": wide_map,
     "store_roundtrip": store_roundtrip,
     "store_range_scan": store_range_scan,
+    "store_coalesced": store_coalesced,
     "stream_read_drain": stream_read_drain,
     "stream_write_drain": stream_write_drain,
     "stream_arrival_drain": stream_arrival_drain,
     "stream_compat_drain": stream_compat_drain,
+    "stream_capped_drain": stream_capped_drain,
 }
 
 
@@ -404,7 +455,7 @@ def flagship(spark, sf_dir):
     """events -> points -> safe lines -> decoded points -> measurement and time
     range -> per-series records, first and last time.  All narrow until the one
     aggregation."""
-    lines = codec.encode_lines(events_points(spark, sf_dir, heavy=True), mode="safe")
+    lines = codec.encode_lines(events_points(spark, sf_dir), mode="safe")
     pts = codec.decode_lines(lines)
     return P.series_stats(P.in_range(pts, "events", RANGE_START_NS, RANGE_STOP_NS))
 

@@ -9,7 +9,6 @@ by ``row_number()``.  All times here are >= 1970, where DuckDB's truncating
 
 from __future__ import annotations
 
-from chronoline.functions.codec import LINE_RE
 from chronoline.plans import catalog as C
 
 EV_T = "(epoch_us(ts) * 1000)"
@@ -32,7 +31,11 @@ EV = f"(SELECT {EV_KEY} AS k, {EV_T} AS t, ts, value, event_id, props FROM event
 A, B = C.RANGE_START_NS, C.RANGE_STOP_NS
 N = C.N_SLICES
 
-_LINE_RE2 = LINE_RE.replace("++", "+").replace("*+", "*")
+# A line's grammar, in SQL's regular expressions: names with backslash escapes; a
+# value is quoted or has no comma, quote or space; the time is optional.
+_SQL_NAME, _SQL_VALUE = r"([^,= \\]|\\.)+", r'("([^"\\]|\\.)*"|[^," ]+)'
+_SQL_LINE = (rf"([^, \\]|\\.)+(,{_SQL_NAME}={_SQL_NAME})* {_SQL_NAME}={_SQL_VALUE}(,{_SQL_NAME}={_SQL_VALUE})*"
+             r"( -?[0-9]+)?")
 
 _LI_WINNER = (
     "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_linestatus, "
@@ -150,7 +153,30 @@ ORACLE_SQL = {
               UNION ALL
               SELECT {EV_KEY} || ' props=' || props || ' ' || CAST({EV_T} AS VARCHAR) AS line
               FROM events WHERE props IS NOT NULL) l
-        WHERE NOT regexp_full_match(line, '{_LINE_RE2}')""",
+        WHERE NOT regexp_full_match(line, '{_SQL_LINE}')""",
+    "bad_line_reasons": """
+        SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'null' WHEN 1 THEN 'empty' WHEN 2 THEN 'comment'
+            WHEN 3 THEN 'syntax' WHEN 4 THEN 'duplicate tag key' WHEN 5 THEN 'duplicate field key'
+            WHEN 6 THEN 'bad value' WHEN 7 THEN 'time out of range' ELSE 'bad value' END AS reason
+        FROM events WHERE event_id % 10 < 9""",
+    "bad_points": """
+        SELECT event_id, CASE WHEN event_id % 4 = 3 THEN 'no value' ELSE 'not a finite number' END AS reason
+        FROM events WHERE value IS NOT NULL AND event_id % 4 <> 2""",
+    "balanced_slices": f"""
+        SELECT i::INTEGER AS slice_id, (SELECT count(*) FROM events WHERE value IS NOT NULL) AS n_all,
+               true AS within_tolerance
+        FROM range({N}) r(i)""",
+    "wide_map": f"""
+        SELECT series_key, time_ns, concat_ws(',', 'props=' || p, 'value=' || v) AS fields
+        FROM (SELECT {EV_KEY} AS series_key, {EV_T} AS time_ns, max(props) AS p,
+                     max(CAST(value AS VARCHAR)) AS v
+              FROM events WHERE props IS NOT NULL OR value IS NOT NULL GROUP BY 1, 2)""",
+    "store_coalesced": f"""
+        SELECT k AS series_key, 'value' AS field,
+               CASE WHEN t >= {A} AND t < {B} THEN -v ELSE v END AS value_double, t AS time_ns
+        FROM (SELECT {EV_KEY} AS k, {EV_T} AS t, max(value) AS v FROM events WHERE value IS NOT NULL GROUP BY 1, 2)""",
+    "stream_capped_drain": f"""
+        SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}""",
     "ns_parts": f"""
         SELECT event_id, t AS time_ns, t // 1000000000 AS seconds, t % 1000000000 AS nanos,
                {NEG} AS neg_ns, {_floor_div(NEG, 1_000_000_000)} AS neg_seconds,

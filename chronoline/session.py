@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,8 +17,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # min / max / count of a store batch come from Parquet footers (commit files).
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
@@ -40,12 +39,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir).  Only when neither is set (local tests) a folder under the
-    system temp dir is made and registered as the checkpoint dir."""
+    checkpoint dir).  When neither is set, a session in one process (local tests)
+    gets a folder under the system temp dir, registered as the checkpoint dir; on a
+    cluster it is an error, as executors could not see such a folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
         d = tempfile.mkdtemp(prefix="chronoline-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
