@@ -261,6 +261,23 @@ def upsert_latest(points: DataFrame, order: list, carry: list[str] | None = None
     return agg.select(*[F.col(f"_p.{c}").alias(c) if c in carry else F.col(c) for c in out])
 
 
+def latest_rows(df: DataFrame, keys: list[str], values: list[str], order: list) -> DataFrame:
+    """Last write wins on wide rows, before they become points: one row per ``keys``
+    with the latest non-null of each of ``values`` by the write ``order``.
+
+    The same points as :func:`upsert_latest` of the exploded rows, from one row per
+    row instead of one per field.  Rows are first reduced to the latest for each
+    pattern of nulls (one payload, partial aggregation map-side), of which a key has
+    few; only these are compared field by field.
+    """
+    nulls = F.concat(*[F.col(v).isNull().cast("int").cast("string") for v in values])
+    rank = [(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)]
+    best = F.max(F.struct(F.struct(*rank).alias("_o"), F.struct(*values).alias("_v")))
+    per = df.groupBy(*keys, nulls.alias("_n")).agg(best.alias("_w"))
+    return per.groupBy(*keys).agg(*[
+        F.max_by(F.col(f"_w._v.{v}"), F.when(F.col(f"_w._v.{v}").isNotNull(), F.col("_w._o"))).alias(v) for v in values])
+
+
 # --------------------------------------------------------------------------- V1
 
 

@@ -59,9 +59,11 @@ def orders_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return P.to_points(li, "lineitem", ["l_returnflag", "l_linestatus"], LINEITEM_FIELDS,
-                       "l_shipdate", keep=LINEITEM_ORDER)
+    """The points of ``lineitem`` after the upsert: the latest row of each (series,
+    time) is found before the rows are exploded into fields."""
+    tags = ["l_returnflag", "l_linestatus"]
+    rows = P.latest_rows(table(spark, sf_dir, "lineitem"), [*tags, "l_shipdate"], LINEITEM_FIELDS, LINEITEM_ORDER)
+    return P.to_points(rows, "lineitem", tags, LINEITEM_FIELDS, "l_shipdate")
 
 
 def _bounds(df: DataFrame) -> tuple[int, int]:
@@ -271,13 +273,19 @@ def to_zone(spark, sf_dir):
 
 
 def upsert_latest(spark, sf_dir):
-    pts = lineitem_points(spark, sf_dir)
-    return (P.upsert_latest(pts, order=LINEITEM_ORDER, carry=["value_double"])
+    return lineitem_points(spark, sf_dir).select("series_key", "field", "time_ns", "value_double")
+
+
+def upsert_long(spark, sf_dir):
+    """The upsert of long points, as a store does it: the latest by ``event_id``."""
+    ev = events_points(spark, sf_dir, keep=("event_id",))
+    day = F.col("time_ns") - F.pmod("time_ns", F.lit(86_400_000_000_000))
+    return (P.upsert_latest(ev.withColumn("time_ns", day), order=["event_id"], carry=["value_double"])
             .select("series_key", "field", "time_ns", "value_double"))
 
 
 def wide_points(spark, sf_dir):
-    return P.to_wide(lineitem_points(spark, sf_dir), LINEITEM_FIELDS, order=LINEITEM_ORDER)
+    return P.to_wide(lineitem_points(spark, sf_dir), LINEITEM_FIELDS)
 
 
 def wide_map(spark, sf_dir):
@@ -438,6 +446,7 @@ QUERIES = {
     "ns_from_iso": ns_from_iso,
     "to_zone": to_zone,
     "upsert_latest": upsert_latest,
+    "upsert_long": upsert_long,
     "wide_points": wide_points,
     "wide_map": wide_map,
     "store_roundtrip": store_roundtrip,

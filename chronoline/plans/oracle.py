@@ -154,6 +154,11 @@ ORACLE_SQL = {
               SELECT {EV_KEY} || ' props=' || props || ' ' || CAST({EV_T} AS VARCHAR) AS line
               FROM events WHERE props IS NOT NULL) l
         WHERE NOT regexp_full_match(line, '{_SQL_LINE}')""",
+    "upsert_long": f"""
+        SELECT k AS series_key, 'value' AS field, d AS time_ns, value AS value_double
+        FROM (SELECT k, t - t % 86400000000000 AS d, value, row_number() OVER (
+                PARTITION BY k, t - t % 86400000000000 ORDER BY event_id DESC) AS rn FROM {EV})
+        WHERE rn = 1""",
     "bad_line_reasons": """
         SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'null' WHEN 1 THEN 'empty' WHEN 2 THEN 'comment'
             WHEN 3 THEN 'syntax' WHEN 4 THEN 'duplicate tag key' WHEN 5 THEN 'duplicate field key'

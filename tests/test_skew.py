@@ -43,3 +43,17 @@ def test_hot_key_wide_and_counts(spark):
     assert (c.n_records, c.n_points) == (10_000, 10)
     b = S.incremental_batches(pts, 5).where(F.col("batch") == 0).first()
     assert b.n_records == 5_000          # hot times 0..4, 1000 rows each
+
+
+def test_latest_rows_equal_the_upsert_of_their_points(spark):
+    """With nulls in every pattern, and one key that holds half of the rows."""
+    import random
+    from chronoline.operators.points import latest_rows, to_points, upsert_latest
+    r = random.Random(3)
+    rows = [("hot" if i % 2 else f"h{r.randrange(50)}", i % 3, i, *(r.choice([None, r.random()]) for _ in range(3)))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "host string, t bigint, seq int, a double, b double, c double")
+    one = to_points(latest_rows(df, ["host", "t"], ["a", "b", "c"], ["seq"]), "m", ["host"], ["a", "b", "c"], "t")
+    two = upsert_latest(to_points(df, "m", ["host"], ["a", "b", "c"], "t", keep=["seq"]), order=["seq"])
+    cols = ["series_key", "field", "time_ns", "value_double"]
+    assert sorted(map(tuple, one.select(*cols).collect())) == sorted(map(tuple, two.select(*cols).collect()))
