@@ -13,6 +13,7 @@ MAX_REPEATS = 3
 
 POINT_BITS = 60   # hash points are the first 15 hex digits of an md5
 LEVEL_BITS = 10   # buckets of one histogram: 2 ** LEVEL_BITS
+SENT_SOURCES = 10_000   # most sources whose cuts are sent to every task
 
 
 def hash_point(key: Column) -> Column:
@@ -78,10 +79,12 @@ def source_cuts(rows: DataFrame) -> DataFrame:
         plan, splits = _refine(rows, plan, shift)
         if not splits:
             break
-    return plan.select(F.col("source").alias("p_source"), "source_size", "target", "copies",
+    cuts = plan.select(F.col("source").alias("p_source"), "source_size", "target", "copies",
                        F.col("prefix").alias("threshold"), F.lit(shift).alias("shift"),
                        (F.col("budget") - F.col("below") >= F.col("below") + F.col("edge") - F.col("budget"))
                        .alias("edge_in"))
+    # With more sources, an ordinary join by source.
+    return F.broadcast(cuts) if plan.count() <= SENT_SOURCES else cuts
 
 
 def _repeats() -> Column:
@@ -111,8 +114,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source") -> DataFrame:
     """The rows of the mix: each row of ``docs``, all its columns, as often as
-    :func:`mix` takes it.  The cuts are joined by source, so texts need no shuffle
-    while the sources' table is small enough to be sent to each task."""
+    :func:`mix` takes it.  Texts are not shuffled while there are at most
+    ``SENT_SOURCES`` sources."""
     cuts = source_cuts(cut(_keyed(docs, id_col, text_col, source_col)))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
                        F.col(source_col).cast("string").alias("source"), hash_point(F.col(id_col)).alias("point"))
