@@ -22,6 +22,7 @@ RANDOM = "random"      # kind of the spans that the battery adds
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 LEAST_BITS = 100       # least length of a tested string, as bits of its encoding
 FALSE_RATE = 0.05      # rate of the false-discovery control
+SENT_SPANS = 1_000_000  # most spans of a redaction that are sent to every task
 STEPS = 8              # histogram steps of a p value, for each halving
 
 _DIGITS, _LOW, _UP = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -199,10 +200,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
     """``docs``, all columns and rows, with every span of :func:`find_spans` in the
     text replaced by ``mark``; overlapping spans are replaced as one.  Texts without
-    secrets, null ones too, stay as they are.  Spans come back by id and text hash."""
+    secrets, null ones too, stay as they are.  Spans come back by id and text hash;
+    texts are shuffled only where there are more than ``SENT_SPANS`` spans."""
     found = (find_spans(docs, id_col, text_col, with_hash=True).filter(F.col("kind").isNotNull())
              .groupBy("row", "id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
              .groupBy(F.col("id").alias("f_id"), F.col("h").alias("f_h")).agg(F.first("spans").alias("spans")))
+    found = cut(found)
+    if (found.agg(F.sum(F.size("spans"))).first()[0] or 0) <= SENT_SPANS:
+        found = F.broadcast(found)
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
                        F.col(text_col).alias("text"), F.xxhash64(whole_text(text_col)).alias("h"))
     # Folds the sorted spans: what is written so far, and up to where.
