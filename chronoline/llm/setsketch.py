@@ -19,7 +19,7 @@ TOP = 2 ** 16 - 1    # largest register value
 BAND_RECALL = 0.998  # least chance that a pair at the threshold shares a band
 SIGMAS = 3.2         # estimates so far below the threshold are not verified
 PIVOTS = 3           # members of a bucket that are compared with all of it first
-TILE = 512           # rows on either side of one comparison in a crowded bucket
+TILE = 256           # rows on either side of one comparison in a crowded bucket
 TILE_SHINGLES = 1 << 21    # and about as many shingles
 CHUNK = 64           # members verified together with one pivot
 WORDS_CACHED = 1 << 18
