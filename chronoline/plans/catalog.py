@@ -15,6 +15,8 @@ tables in ``sf_dir``.  Test tables as points:
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -349,6 +351,55 @@ def stream_capped_drain(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def stream_late_drain(spark, sf_dir):
+    """Batches committed out of order: one week, drained, then all other events, drained
+    again.  The cursor reads what lies above it; the stream counts the rest as late."""
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    from chronoline.streaming.source import drain, read_stream
+    root, ev = scratch_path(spark, "store"), events_points(spark, sf_dir)
+    out, ck, said = scratch_path(spark, "late-out"), scratch_path(spark, "late-ck"), []
+
+    def start():
+        q = (read_stream(spark, root, "b", "events", output="points").select("time_ns")
+             .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        said.append(q)
+        return q
+
+    week = (F.col("time_ns") >= RANGE_START_NS) & (F.col("time_ns") < RANGE_STOP_NS)
+    for part in (week, ~week):
+        store.write_points(ev.where(part), root, "b")
+        drain(start)
+    ends = [src["endOffset"] for q in said for p in q.recentProgress for src in json.loads(p.json)["sources"]]
+    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n_read")).withColumn(
+        "n_late", F.lit(ends[-1]["late"] + ends[-1]["late_maybe"]).cast("bigint"))
+
+
+def stream_tail_drain(spark, sf_dir):
+    """The reference's cursor rule where the span is a multiple of the step: events by
+    whole days, one step from the first to the last, which stays behind."""
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    from chronoline.streaming.source import read_stream
+    day = F.col("time_ns") - F.pmod("time_ns", F.lit(86_400_000_000_000))
+    ev = events_points(spark, sf_dir, keep=("event_id",)).withColumn("time_ns", day)
+    root, out, ck = scratch_path(spark, "store"), scratch_path(spark, "tail-out"), scratch_path(spark, "tail-ck")
+    store.write_points(P.upsert_latest(ev, order=["event_id"]), root, "b")
+    lo, hi = _bounds(ev)
+    q = (read_stream(spark, root, "b", "events", output="points", compat="true",
+                     **{"delta-time": (hi - lo) // 1_000_000})
+         .select("series_key", "time_ns", "value_double")
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(out)
+
+
 def stream_read_drain(spark, sf_dir):
     """The cursor source drained with availableNow into Parquet, read back as lines."""
     from chronoline.session import scratch_path
@@ -457,6 +508,8 @@ QUERIES = {
     "stream_arrival_drain": stream_arrival_drain,
     "stream_compat_drain": stream_compat_drain,
     "stream_capped_drain": stream_capped_drain,
+    "stream_late_drain": stream_late_drain,
+    "stream_tail_drain": stream_tail_drain,
 }
 
 

@@ -180,6 +180,13 @@ ORACLE_SQL = {
         SELECT k AS series_key, 'value' AS field,
                CASE WHEN t >= {A} AND t < {B} THEN -v ELSE v END AS value_double, t AS time_ns
         FROM (SELECT {EV_KEY} AS k, {EV_T} AS t, max(value) AS v FROM events WHERE value IS NOT NULL GROUP BY 1, 2)""",
+    "stream_late_drain": f"""
+        SELECT count(*) FILTER (WHERE t >= {A}) AS n_read, count(*) FILTER (WHERE t < {A}) AS n_late FROM {EV}""",
+    "stream_tail_drain": f"""
+        SELECT k AS series_key, d AS time_ns, value AS value_double
+        FROM (SELECT k, t - t % 86400000000000 AS d, value, row_number() OVER (
+                PARTITION BY k, t - t % 86400000000000 ORDER BY event_id DESC) AS rn FROM {EV})
+        WHERE rn = 1 AND d < (SELECT max(t - t % 86400000000000) FROM {EV})""",
     "stream_capped_drain": f"""
         SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}""",
     "ns_parts": f"""

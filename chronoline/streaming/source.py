@@ -1,7 +1,7 @@
 """Streaming source ``linepoints``: one measurement of the point store read as an
 event-time cursor that moves forward in nanoseconds.
 
-Offsets are ``{"ns": <int>}``.  Each micro-batch ``[start, end)`` is cut into
+Offsets are ``{"ns": <cursor>, "late": <rows>, "late_maybe": <rows>, ...}``.  Each micro-batch ``[start, end)`` is cut into
 ``numSlices`` time slices, equally wide or (``balance=count``) of equal estimated
 rows; a slice estimated above ``maxRowsPerSlice`` rows is cut further, so a crowded
 hour is many slices whatever the balance.  A slice is one Spark partition; it reads
@@ -20,10 +20,12 @@ Cursor rules (``end`` of the next batch):
   (nothing read), then the cursor moves exactly ``delta-time`` ms per trigger
   while the maximum time is above it.
 
-Records that arrive with a time below the cursor are late and are not read by
-any later batch (see :func:`chronoline.operators.slices.late_rows` to count
-them); use ``order=arrival`` in :func:`read_stream` when every record must be
-read whatever its time.
+Records that arrive with a time below the cursor are late and are not read by any
+later batch.  The stream says so: ``late`` in its offsets (``lastProgress`` of the
+query, and the checkpoint) is the number of records so far in hours that lay wholly
+below the cursor when they were committed, ``late_maybe`` the number in hours that
+the cursor divided.  Use ``order=arrival`` in :func:`read_stream` when every record
+must be read whatever its time.
 
 Planning reads only the commit records (one small row per batch) on the driver;
 ``read`` runs on executors with no SparkSession.
@@ -377,6 +379,21 @@ def _ns(offset) -> int:
     return int(offset["ns"])
 
 
+# Late records so far, surely and perhaps; records below the cursor and in hours that
+# it divides when it was last moved.
+_NOTHING_LATE = {"late": 0, "late_maybe": 0, "below": 0, "across": 0}
+
+
+def _late_state(offset: dict) -> dict:
+    return {k: int(offset.get(k, 0)) for k in _NOTHING_LATE}
+
+
+def _held(batches: list[BatchRange], cursor: int) -> tuple[int, int]:
+    """Records in hours below the cursor, and in hours that it divides."""
+    return (sum(r.n_records for r in batches if r.max_ns < cursor),
+            sum(r.n_records for r in batches if r.min_ns < cursor <= r.max_ns))
+
+
 class CursorStreamReader(DataSourceStreamReader):
     """Event-time cursor over one measurement of the store."""
 
@@ -384,6 +401,7 @@ class CursorStreamReader(DataSourceStreamReader):
         self.opts = SourceOptions.parse(options)
         self.data_root, _ = _store_roots(self.opts.path, self.opts.bucket)
         self._cursor: int | None = None
+        self._late = _NOTHING_LATE
         self._commit_cache: dict = {}
         self._listed: list[BatchRange] | None = None
 
@@ -394,15 +412,25 @@ class CursorStreamReader(DataSourceStreamReader):
 
     def initialOffset(self) -> dict:
         b = self._batches()
-        return {"ns": min(r.min_ns for r in b) if b else LONG_MIN}
+        return {"ns": min(r.min_ns for r in b) if b else LONG_MIN, **_NOTHING_LATE}
+
+    def _moved(self, b: list[BatchRange], end: int) -> dict:
+        """The offset ``end``; what came in below the old cursor since it was set is late."""
+        was, cur = self._late, self._cursor
+        late, maybe = was["late"], was["late_maybe"]
+        if cur is not None and cur != LONG_MIN:
+            below, across = _held(b, cur)
+            late, maybe = late + below - was["below"], maybe + across - was["across"]
+        below, across = _held(b, end)
+        self._cursor = end
+        self._late = {"late": late, "late_maybe": maybe, "below": below, "across": across}
+        return {"ns": end, **self._late}
 
     def latestOffset(self) -> dict:
         b = self._batches()
         o = self.opts
         if not b:
-            end = self._cursor if self._cursor is not None else LONG_MIN
-            self._cursor = end
-            return {"ns": end}
+            return self._moved(b, self._cursor if self._cursor is not None else LONG_MIN)
         lo = min(r.min_ns for r in b)
         hi = max(r.max_ns for r in b)
         cur = self._cursor
@@ -423,13 +451,13 @@ class CursorStreamReader(DataSourceStreamReader):
                 end = max(end, cur)
             elif o.max_delta_per_trigger_ms is not None:
                 end = min(end, lo + o.max_delta_per_trigger_ms * 1_000_000)
-        self._cursor = end
-        return {"ns": end}
+        return self._moved(b, end)
 
     def partitions(self, start: dict, end: dict):
         s, e = _ns(start), _ns(end)
         # A restarted reader learns its cursor here (Spark replays the last offsets).
-        self._cursor = e if self._cursor is None else max(self._cursor, e)
+        if self._cursor is None or e > self._cursor:
+            self._cursor, self._late = e, _late_state(end)
         if e <= s:
             return []
         # What latestOffset listed for this batch, if it did: one listing a trigger.

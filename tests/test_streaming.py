@@ -424,3 +424,28 @@ def test_capped_drain(spark):
                 .trigger(availableNow=True).start())
     assert drain(start) > 2
     assert sorted(r.time_ns for r in spark.read.parquet(out).collect()) == times
+
+
+def test_late_rows_are_counted_across_restarts(spark):
+    """Rows committed below the cursor, while the query runs or is stopped."""
+    from chronoline.streaming.source import CursorStreamReader
+    hour = 3_600 * S
+    root = _store_times(spark, [10 * hour, 11 * hour])
+    opts = {"path": root, "bucket": "b", "measurement": "cpu"}
+
+    def write(times):
+        df = spark.createDataFrame([("z", 1.0, t) for t in times], "host STRING, v DOUBLE, t BIGINT")
+        store.write_points(to_points(df, "cpu", ["host"], ["v"], "t"), root, "b")
+    reader = CursorStreamReader(opts)
+    first = reader.initialOffset()
+    one = reader.latestOffset()
+    assert (one["ns"], one["late"], one["late_maybe"]) == (11 * hour + 1, 0, 0)
+    reader.partitions(first, one)
+    write([2 * hour, 3 * hour, 12 * hour])          # two late, one new
+    two = reader.latestOffset()
+    assert (two["ns"], two["late"], two["late_maybe"]) == (12 * hour + 1, 2, 0)
+    write([4 * hour, 12 * hour - 5, 12 * hour + 9])
+    again = CursorStreamReader(opts)                # a restart: Spark replays the last offsets
+    again.partitions(one, two)
+    three = again.latestOffset()
+    assert (three["ns"], three["late"], three["late_maybe"]) == (12 * hour + 10, 4, 0)
