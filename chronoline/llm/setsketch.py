@@ -356,3 +356,28 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float, least: fl
 
 def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+# Exact Jaccard similarities and their transitive closure; for small tables.
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+         ELSE [ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)] END)) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+  FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (
+  SELECT u, v FROM p JOIN n AS x ON x.doc_id = u JOIN n AS y ON y.doc_id = v WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e),
+reach(u, v) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.u, e.v FROM reach AS r JOIN both_ways AS e ON r.v = e.u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents AS d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT u, min(v) AS component_id FROM reach GROUP BY u) AS c ON c.u = d.doc_id
+"""
