@@ -25,6 +25,7 @@ SMOOTH = 0.05        # added to every expected count
 FOLDS, HELD_OUT = 4, 2
 BEGIN = "_"          # stands before a word's first letter; letters alone make words
 WORDS_CACHED = 1 << 18
+WORDS_TOGETHER = 1 << 16
 BATCH_WORDS = 2048
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -216,37 +217,58 @@ def fit(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
     return langs, prob
 
 
+class _Scorer:
+    """Log-probabilities of words, kept up to ``WORDS_CACHED``."""
+
+    def __init__(self, vocabulary: Pieces, prob: np.ndarray):
+        self.vocabulary, self.prob = vocabulary, prob
+        self.row: dict[str, int] = {}
+        self.table = np.zeros((WORDS_CACHED, prob.shape[1]))
+
+    def rows(self, some: list[str]) -> np.ndarray:
+        """The log-probabilities of at most ``WORDS_CACHED`` words, a row each."""
+        new = {w for w in some if w not in self.row}
+        if len(self.row) + len(new) > WORDS_CACHED:
+            self.row.clear()
+            new = set(some)
+        new = sorted(new, key=len)
+        for i in range(0, len(new), BATCH_WORDS):
+            group, at = new[i:i + BATCH_WORDS], len(self.row)
+            self.table[at:at + len(group)] = forward(group, self.vocabulary, self.prob)
+            self.row.update(zip(group, range(at, at + len(group))))
+        return self.table[np.fromiter(map(self.row.__getitem__, some), np.int64, len(some))]
+
+
 def _predicted(ranks_path: str, langs: list[str], prob: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = pieces(ranks_path), {}
-        table, used = np.zeros((WORDS_CACHED, len(langs))), 0
+        scorer = _Scorer(pieces(ranks_path), prob)
         for batch in batches:
-            said, score = [], []
-            for text in batch.column("text"):
-                log, n = np.zeros(len(langs)), 0
+            log, n = np.zeros((len(batch), len(langs))), np.zeros(len(batch), np.int64)
+            held, owner = [], []    # words of several documents are scored together
+
+            def flush() -> None:
+                if held and langs:
+                    np.add.at(log, np.repeat([d for d, _ in owner], [k for _, k in owner]), scorer.rows(held))
+                held.clear()
+                owner.clear()
+
+            for d, text in enumerate(batch.column("text")):
                 for part in words(text.as_py()):
-                    for i in range(0, len(part), WORDS_CACHED // 2):
-                        some = part[i:i + WORDS_CACHED // 2]
-                        new = sorted({w for w in some if w not in known}, key=len)
-                        if used + len(new) > WORDS_CACHED:
-                            known.clear()
-                            used, new = 0, sorted(set(some), key=len)
-                        for j in range(0, len(new), BATCH_WORDS):
-                            group = new[j:j + BATCH_WORDS]
-                            table[used:used + len(group)] = forward(group, vocabulary, prob)
-                            known.update(zip(group, range(used, used + len(group))))
-                            used += len(group)
-                        log += table[[known[w] for w in some]].sum(0) if some else 0
-                        n += len(some)
-                if not n or not langs:
-                    said.append("und")
-                    score.append(0.0)
-                else:
-                    best = int(log.argmax())
-                    said.append(langs[best])
-                    score.append(float(1 / np.exp(log - log[best]).sum()))
+                    n[d] += len(part)
+                    for i in range(0, len(part), WORDS_TOGETHER):
+                        some = part[i:i + WORDS_TOGETHER]
+                        held += some
+                        owner.append((d, len(some)))
+                        if len(held) >= WORDS_TOGETHER:
+                            flush()
+            flush()
+            best = log.argmax(1) if langs else n
+            top = log[np.arange(len(batch)), best][:, None] if langs else log
+            share = 1 / np.exp(log - top).sum(1) if langs else n
+            said = [langs[b] if k and langs else "und" for b, k in zip(best, n)]
             yield pa.record_batch([batch.column("id"), batch.column("fold"), pa.array(said, pa.string()),
-                                   pa.array(score, pa.float64())], ["id", "fold", "lang_pred", "score"])
+                                   pa.array(np.where((n > 0) & bool(langs), share, 0.0), pa.float64())],
+                                  ["id", "fold", "lang_pred", "score"])
     return run
 
 
