@@ -166,3 +166,52 @@ def _covers(template: list[str]):
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _sql_words(phrase: str) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in phrase.split()) + "]"
+
+
+_SQL_BASE = ", ".join(f"('{label}', {_sql_words(t)})" for label, t in BASE)
+_SQL_NOTICES = ", ".join("({}, '{}', {}, [{}])".format(i, label, _sql_words(t), ", ".join(f"' {k} '" for k in keys))
+                         for i, (label, t, keys) in enumerate(NOTICES))
+
+OP10_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b(label, tw) AS (VALUES {_SQL_BASE}),
+n(nid, label, tw, needed) AS (VALUES {_SQL_NOTICES}),
+places AS (
+  SELECT doc_id, label, unnest([i - 1 FOR i IN range(1, len(ws) - len(tw) + 2) IF ws[i:i + len(tw) - 1] = tw]) AS spot
+  FROM w, b),
+based AS (
+  SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word FROM places GROUP BY doc_id),
+held AS (SELECT word, count(*) AS c FROM (SELECT doc_id, unnest(list_distinct(ws)) AS word FROM w) GROUP BY word),
+tw AS (SELECT nid, unnest(tw) AS word, generate_subscripts(tw, 1) - 1 AS spot FROM n),
+once AS (SELECT nid, word, min(spot) AS spot FROM tw GROUP BY nid, word HAVING count(*) = 1),
+rare AS (
+  SELECT nid, word, spot FROM (SELECT o.nid, o.word, o.spot, row_number() OVER (
+    PARTITION BY o.nid ORDER BY coalesce(h.c, 0), o.spot) AS r FROM once AS o LEFT JOIN held AS h ON h.word = o.word)
+  WHERE r <= {RARE_WORDS}),
+pos AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM w),
+votes AS (
+  SELECT p.doc_id, r.nid, p.i - r.spot AS s FROM pos AS p JOIN rare AS r ON p.word = r.word
+  GROUP BY ALL HAVING count(*) >= 2),
+cover AS (
+  SELECT v.doc_id, n.label, max(list_sum([CASE WHEN v.s + k >= 1 AND w.ws[v.s + k] = n.tw[k] THEN 1 ELSE 0 END
+    FOR k IN range(1, len(n.tw) + 1)])::DOUBLE / len(n.tw)) AS c
+  FROM votes AS v JOIN n ON n.nid = v.nid JOIN w ON w.doc_id = v.doc_id
+  WHERE len([k FOR k IN n.needed IF NOT contains(' ' || array_to_string(w.ws, ' ') || ' ', k)]) = 0
+  GROUP BY v.doc_id, n.label),
+found AS (
+  SELECT doc_id, label, true AS base, 1.0::DOUBLE AS c FROM places
+  UNION ALL SELECT doc_id, label, false, c FROM cover WHERE c >= {LEAST_COVER}),
+said AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, max(c) AS score
+  FROM found GROUP BY doc_id)
+SELECT w.doc_id, len(w.ws) AS n_words, coalesce(d.n_base, 0) AS n_base, d.first_word, d.last_word,
+  coalesce(s.base_labels, '') AS base_labels, coalesce(s.labels, '') AS labels, coalesce(s.score, 0.0) AS score
+FROM w LEFT JOIN based AS d ON d.doc_id = w.doc_id LEFT JOIN said AS s ON s.doc_id = w.doc_id
+"""

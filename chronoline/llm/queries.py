@@ -5,7 +5,7 @@ from __future__ import annotations
 from chronoline.llm.bpe import op1_bpe
 from chronoline.llm.cross_polytope import OP3_SQL, op3_cross_polytope
 from chronoline.llm.langid import op5_langid
-from chronoline.llm.licenses import op10_licenses
+from chronoline.llm.licenses import OP10_SQL, op10_licenses
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
 from chronoline.llm.quality import op4_quality
 from chronoline.llm.secrets import op6_secrets
@@ -31,4 +31,5 @@ ORACLE_SQL = {
     "op7_setsketch": OP7_SQL,
     "op8_topk": OP8_SQL,
     "op9_mixing": OP9_SQL,
+    "op10_licenses": OP10_SQL,
 }
