@@ -1 +1 @@
-"""The Parquet point store: batch write, read, commit records, compaction."""
+"""The Parquet point store: batch write, read, commit records."""
