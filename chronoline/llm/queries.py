@@ -8,7 +8,7 @@ from chronoline.llm.langid import op5_langid
 from chronoline.llm.licenses import OP10_SQL, op10_licenses
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
 from chronoline.llm.quality import op4_quality
-from chronoline.llm.secrets import op6_secrets
+from chronoline.llm.secrets import OP6_SQL, op6_secrets
 from chronoline.llm.setsketch import OP7_SQL, op7_setsketch
 from chronoline.llm.sharding import op2_sharding
 from chronoline.llm.topk import OP8_SQL, op8_topk
@@ -28,6 +28,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_cross_polytope": OP3_SQL,
+    "op6_secrets": OP6_SQL,
     "op7_setsketch": OP7_SQL,
     "op8_topk": OP8_SQL,
     "op9_mixing": OP9_SQL,

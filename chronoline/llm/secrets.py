@@ -223,3 +223,94 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_SQL_KEYS = "|".join(_any_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_SQL_PATTERNS = {
+    "assign": rf"""(?:{_SQL_KEYS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+    "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+", RANDOM: "[A-Za-z0-9+/_-]+={0,2}"}
+
+
+def _sql_hits(k: int, kind: str, group: int, least: int) -> str:
+    p = _SQL_PATTERNS[kind]
+    return (f"SELECT doc_id, {k} AS o, '{kind}' AS kind, unnest(regexp_extract_all(text, '(?s).*?{p}')) AS upto, "
+            f"unnest(regexp_extract_all(text, '{p}')) AS hit, unnest(regexp_extract_all(text, '{p}', {group})) AS judged, "
+            f"{least} AS least, unnest(range(len(regexp_extract_all(text, '{p}')))) AS nth FROM w")
+
+
+_SQL_HITS = " UNION ALL ".join([*(_sql_hits(k, *[b[0], b[2], b[3]]) for k, b in enumerate(BASE)),
+                                _sql_hits(len(BASE), RANDOM, 0, 20)])
+_SQL_ENCODINGS = (
+    ("hex", "[0-9a-f]+", "[0-9]", "[a-f]"), ("hex_upper", "[0-9A-F]+", "[0-9]", "[A-F]"),
+    ("base32", "[A-Z2-7]+", "[2-7]", "[A-Z]"), ("lower36", "[0-9a-z]+", "[0-9]", "[a-z]"),
+    ("upper36", "[0-9A-Z]+", "[0-9]", "[A-Z]"), ("base62", "[A-Za-z0-9]+", "[0-9]", "[a-z]", "[A-Z]"),
+    ("base64", "[A-Za-z0-9+/]+", "[0-9]", "[a-z]", "[A-Z]"), ("base64url", "[A-Za-z0-9_-]+", "[0-9]", "[a-z]", "[A-Z]"))
+_SQL_FORM = "CASE " + " ".join(
+    f"WHEN regexp_full_match(body, '{form}') AND " + " AND ".join(f"regexp_matches(body, '{x}')" for x in needs) + f" THEN '{enc}'"
+    for enc, form, *needs in _SQL_ENCODINGS) + " END"
+_SQL_ALPHABET = "CASE enc " + " ".join(f"WHEN '{e}' THEN '{a}'" for e, a, _ in ENCODINGS) + " END"
+
+
+def _sql_p(z: str) -> str:
+    a = f"least(abs({z}), 20)"
+    return f"2 / (1 + exp(1.5976 * {a} + 0.070566 * pow({a}, 3)))"
+
+
+OP6_SQL = f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+h AS ({_SQL_HITS}),
+spans AS (
+  SELECT doc_id, o, kind, hit, judged, least, stop - length(hit) AS start, stop FROM (
+    SELECT *, sum(length(upto)) OVER (PARTITION BY doc_id, o ORDER BY nth) AS stop FROM h)),
+base AS (SELECT * FROM spans WHERE o < {len(BASE)} AND length(judged) >= least),
+more AS (
+  SELECT doc_id, o, kind, hit, start, stop, regexp_replace(hit, '=+$', '') AS body FROM spans AS s
+  WHERE o = {len(BASE)} AND length(regexp_replace(hit, '=+$', '')) >= least AND NOT EXISTS (
+    SELECT 1 FROM base AS b WHERE b.doc_id = s.doc_id AND b.start < s.stop AND b.stop > s.start)),
+t1 AS (SELECT DISTINCT hit, body, {_SQL_FORM} AS enc, length(body)::DOUBLE AS n FROM more),
+t2 AS (SELECT *, {_SQL_ALPHABET} AS alpha, string_split(body, '') AS c FROM t1 WHERE enc IS NOT NULL),
+t3 AS (
+  SELECT *, length(alpha)::DOUBLE AS a, [instr(alpha, x) - 1.0::DOUBLE FOR x IN c] AS v FROM t2
+  WHERE n * log2(length(alpha)) >= {LEAST_BITS}),
+t4 AS (
+  SELECT *, list_sum([pow(n - length(replace(body, x, '')), 2) FOR x IN list_distinct(c)]) AS sq, list_sum(v) AS s1,
+    list_sum([x * x FOR x IN v]) AS s2, list_sum([v[i] * v[i + 1] FOR i IN range(1, len(v))]) AS lag,
+    list_sum([CASE WHEN 2 * x >= a THEN 1.0 ELSE 0.0 END FOR x IN v])::DOUBLE AS hi,
+    1 + list_sum([CASE WHEN (2 * v[i] >= a) <> (2 * v[i + 1] >= a) THEN 1.0 ELSE 0.0 END FOR i IN range(1, len(v))])::DOUBLE AS runs
+  FROM t3),
+t5 AS (
+  SELECT *, ((a / n) * sq - n - (a - 1)) / sqrt(2 * (a - 1) * (n - 1) / n) AS z1, 2 * hi * (n - hi) AS both_,
+    s1 / n AS mean FROM t4),
+t6 AS (
+  SELECT *, CASE WHEN both_ * (both_ - n) > 0 THEN (runs - 1 - both_ / n) / sqrt(both_ * (both_ - n) / (n * n * (n - 1)))
+      ELSE 30 END AS z2,
+    CASE WHEN s2 - n * mean * mean > 0 THEN ((lag - mean * (2 * s1 - v[1] - v[-1]) + (n - 1) * mean * mean)
+      / (s2 - n * mean * mean) + 1 / n) * sqrt(n) ELSE 30 END AS z3 FROM t5),
+t7 AS (
+  SELECT hit, enc || '/' || floor(log2(n))::INTEGER AS stratum,
+    least(1, 3 * least({_sql_p("z1")}, {_sql_p("z2")}, {_sql_p("z3")})) AS p FROM t6),
+t8 AS (SELECT *, floor(-log2(p) * {STEPS})::INTEGER AS step FROM t7),
+bars AS (SELECT stratum, step, count(*) AS n FROM t8 GROUP BY stratum, step),
+cuts AS (
+  SELECT stratum, min(step) AS cut FROM (
+    SELECT *, sum(n) OVER (PARTITION BY stratum ORDER BY step DESC) AS upto, sum(n) OVER (PARTITION BY stratum) AS m FROM bars)
+  WHERE pow(2.0, -step / {float(STEPS)}) <= {FALSE_RATE} * upto / m GROUP BY stratum),
+random AS (
+  SELECT m.doc_id, m.o, m.kind, m.start, m.stop FROM more AS m JOIN t8 ON t8.hit = m.hit
+  LEFT JOIN cuts AS c ON c.stratum = t8.stratum WHERE c.cut IS NULL OR t8.step < c.cut),
+found AS (
+  SELECT doc_id, o, kind, start, stop FROM base UNION ALL SELECT * FROM random),
+said AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (WHERE o < {len(BASE)}) AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans
+  FROM found GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM w LEFT JOIN said AS s ON s.doc_id = w.doc_id
+"""

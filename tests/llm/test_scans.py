@@ -107,3 +107,23 @@ def test_notices(spark):
     assert (by[102]["labels"], by[102]["base_labels"]) == ("mit", "") and by[102]["score"] > 0.9
     assert by[105]["labels"] == "" and by[105]["score"] == 0.0     # key phrases, in another order
     assert by[108]["labels"] == "gpl-3"
+
+
+def test_sql_forms_on_planted_rows(spark):
+    """The SQL of both scans on texts with random strings, notices and odd spans."""
+    import duckdb
+
+    from chronoline.llm.queries import ORACLE_SQL
+    from tests.oracle_compare import compare
+    texts = [t for _, t in SECRETS + LICENCES] + [None, "", " "]
+    texts += [f"see {base64.b64encode(R.randbytes(n)).decode()} and {R.randbytes(n).hex().upper()}" for n in range(15, 60)]
+    texts += ["v1/some/Path" * k + "A" * k for k in range(2, 12)] + ["a1" * k for k in range(15, 30)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = scan_secrets(df)
+    assert found.filter("spans LIKE '%random%'").count() > 40
+    for name, got in (("op6_secrets", found), ("op10_licenses", scan_licenses(df))):
+        ok, msg = compare(got, con, ORACLE_SQL[name])
+        assert ok, f"{name}: {msg}"
