@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import whole_text
+from chronoline.llm.common import ship, whole_text
 
 LEAF_CHARS = 2048   # texts up to this size are encoded at once
 LEAF_BYTES = 512    # the same inside one match of the pattern
@@ -155,6 +155,7 @@ def codec(ranks_path: str, pattern: str) -> Codec:
 def _map_text(docs: DataFrame, id_col: str, col, schema: str,
               rows: Callable[[object], tuple]) -> DataFrame:
     """``id_col`` and what ``rows`` makes of ``col``, one Arrow batch at a time."""
+    ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     kept = docs.select(F.col(id_col).alias("id"), col.alias("value"))
 

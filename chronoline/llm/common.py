@@ -4,6 +4,9 @@ connected components."""
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,23 @@ SPACE = r"\x20\x09-\x0D"
 _WHITE = re.compile(r"\s")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's code to the Python workers, once for each application, so
+    that executors need no install of it (as ``--py-files`` does)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        path = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(path))
+        _SHIPPED.add(sc.applicationId)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written once to the checkpoint folder that all executors share.
     Cuts the lineage; a lost executor loses nothing.  Spark's cleaner removes the

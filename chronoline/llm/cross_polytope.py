@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import connected_components, cut, fresh
+from chronoline.llm.common import connected_components, cut, fresh, ship
 from chronoline.llm.topk import finite
 
 TABLES = 8       # hash tables
@@ -190,6 +190,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     never linked.  Repeated rows count as one vector, and give one row; a null id
     is dropped.  No rows: no rows.
     """
+    ship(vectors.sparkSession)
     vec = F.col(vec_col).cast("array<double>")
     rows = (vectors.filter(F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("id"), vec.alias("vec"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import cut, text_blocks, whole_text
+from chronoline.llm.common import cut, ship, text_blocks, whole_text
 from chronoline.llm.quality import fold_of
 
 MAX_PIECE = 8        # longest piece, in characters with the mark of a word's begin
@@ -193,6 +193,7 @@ def fit(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
     the id; fewer than that are all used.  Word counts stay in Spark; each round
     sends one number for each language and piece to the driver, whose vocabulary
     is fixed.  Without any such document there are no languages."""
+    ship(docs.sparkSession)
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col)).alias("h"),
                         whole_text(text_col).alias("text"), fold_of(F.col(id_col), FOLDS).alias("fold"))
     known = known.filter(F.col("lang").isNotNull() & (F.col("fold") != HELD_OUT))
@@ -282,6 +283,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], ranks_path: st
     letters are ``und`` with score 0, as is everything when no language was
     learned; a tie goes to the first language by name.  Repeated rows repeat; no
     rows: no rows."""
+    ship(docs.sparkSession)
     langs, prob = model
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"),

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import cut, text_blocks, whole_text
+from chronoline.llm.common import cut, ship, text_blocks, whole_text
 
 BUCKETS = 8192       # hashed vocabulary: the word vectors' size does not grow with the corpus
 DIM = 48             # length of a word vector
@@ -110,6 +110,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     Every partition adds up a table of fixed size; tables are added in a tree of
     ``FAN_IN``, slice by slice.  The result is ``BUCKETS * DIM`` numbers at any
     input size, and only these reach the driver."""
+    ship(docs.sparkSession)
     parts = cut(docs.select(whole_text(text_col).alias("text")).mapInArrow(_contexts, "slice int, sums binary")
                 .withColumn("part", F.spark_partition_id()))
     n = parts.agg(F.max("part")).first()[0] or 0
@@ -258,6 +259,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], id_col: str = "doc
     """One row per row of ``docs``: ``id_col, held_out, score, predicted``.  The
     score depends on the whole text alone.  Null and empty texts have the score of
     no words; repeated rows repeat; no rows: no rows."""
+    ship(docs.sparkSession)
     vectors, net = model
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"),
@@ -269,6 +271,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], id_col: str = "doc
 
 def accepted(docs: DataFrame, model: tuple[np.ndarray, Network], text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose score reaches :data:`THRESHOLD`."""
+    ship(docs.sparkSession)
     vectors, net = model
 
     @F.pandas_udf("double")

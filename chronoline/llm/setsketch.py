@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import connected_components, cut, fresh, whole_text
+from chronoline.llm.common import connected_components, cut, fresh, ship, whole_text
 
 REGISTERS = 128      # a power of two
 BASE, RATE = 1.001, 20.0   # register values are spaced by BASE; RATE scales the variates
@@ -288,6 +288,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     64-bit integers; rows with a null id are components of their own (null).  No
     rows: no rows.
     """
+    ship(docs.sparkSession)
     threshold = percent / 100
     least = threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / REGISTERS)
     rows = band_rows(threshold)

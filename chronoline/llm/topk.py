@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import cut
+from chronoline.llm.common import cut, ship
 
 BINS = 4096          # bins of one histogram
 QUERY_BLOCK = 1024   # most queries of a tile, about
@@ -112,6 +112,7 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int =
     vector scores 0.  Rows that share an id count as one vector, the smallest.
     Scores must fit a 64-bit integer.  No queries or no rows: no rows.
     """
+    ship(vectors.sparkSession)
     v = cut(scaled_ints(vectors, id_col, vec_col, scale))
     squares = F.aggregate("ints", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     is_query = F.pmod("vec_id", F.lit(query_every)) == 0
