@@ -214,8 +214,9 @@ def fold_of(id_: Column, folds: int) -> Column:
 def _pooled(vectors: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [features(t.as_py(), vectors).tolist() for t in batch.column("text")]
-            yield pa.record_batch([*batch.columns, pa.array(x, pa.list_(pa.float64()))], [*batch.schema.names, "x"])
+            x = [features(t.as_py(), vectors) for t in batch.column("text")]
+            yield pa.record_batch([*(batch.column(c) for c in ("id", "fold", "y")), pa.array(x, pa.list_(pa.float64()))],
+                                  ["id", "fold", "y", "x"])
     return run
 
 
@@ -237,10 +238,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"), fold.cast("int").alias("fold"))
     rows = rows.join(F.broadcast(known), F.col("id") == F.col("l_id")).select("id", "text", "fold", "y")
     id_type = docs.schema[id_col].dataType.simpleString()
-    got = (rows.mapInArrow(_pooled(vectors), f"id {id_type}, text string, fold int, y int, x array<double>")
-           .select("id", "fold", "y", "x").toArrow())
+    got = rows.mapInArrow(_pooled(vectors), f"id {id_type}, fold int, y int, x array<double>").toArrow()
     got = got.take(np.argsort(got["id"].to_numpy(), kind="stable"))
-    x = np.array(got["x"].to_pylist(), np.float64).reshape(len(got), 2 * DIM + 2)
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(len(got), 2 * DIM + 2)
     return vectors, fit_network(x, got["y"].to_numpy().astype(np.float64), got["fold"].to_numpy())
 
 
