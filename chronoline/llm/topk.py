@@ -55,14 +55,15 @@ def _scores(queries: pd.DataFrame, rows: pd.DataFrame) -> Iterator[tuple[pd.Data
 
 
 def _histogram(k: int):
-    """Counts by query and bin in one tile.  Bins under the tile's own kth score
-    are left out: the kth score of all rows is never below it."""
+    """Counts by query and bin in one tile, of the scores from ``lo`` to below
+    ``end``; those from ``end`` on are in ``above`` already.  Bins under the tile's
+    own kth score are left out: the kth score of all rows is never below it."""
     def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for part, _, s, counts in _scores(queries, rows):
-            lo, width = part["lo"].to_numpy(), part["width"].to_numpy()
-            bins = (s - lo[:, None]) // width[:, None]
-            ok = counts & (bins >= 0) & (bins < BINS)
+            lo, end, width = (part[c].to_numpy()[:, None] for c in ("lo", "end", "width"))
+            bins = (s - lo) // width
+            ok = counts & (s >= lo) & (s < end)
             n = len(part)
             flat = (np.arange(n)[:, None] * BINS + bins)[ok]
             found, c = np.unique(flat, return_counts=True)
@@ -124,18 +125,18 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int =
     rows = (v.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.lit(n_tiles).cast("long")))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
     queries = v.filter(is_query).withColumn("block", F.pmod(F.hash("vec_id"), F.lit(n_blocks)).cast("int"))
+    width = -(-(2 * bound + 1) // BINS)
     state = queries.select(F.col("vec_id").alias("query_id"), F.lit(-bound).cast("long").alias("lo"),
-                           F.lit(-(-(2 * bound + 1) // BINS)).cast("long").alias("width"),
+                           F.lit(BINS * width - bound).cast("long").alias("end"), F.lit(width).cast("long").alias("width"),
                            F.lit(0).cast("long").alias("above"))
 
     def tiles(state: DataFrame):
         now = (queries.join(state.withColumnRenamed("query_id", "s_id"), F.col("vec_id") == F.col("s_id"))
-               .select(F.col("vec_id").alias("vec_id"), F.col("ints").alias("ints"), "lo", "width", "block",
+               .select(F.col("vec_id").alias("vec_id"), F.col("ints").alias("ints"), "lo", "end", "width", "block",
                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_tiles - 1).cast("long"))).alias("tile")))
         return now.groupBy("block", "tile").cogroup(rows.groupBy("block", "tile"))
 
     down = Window.partitionBy("query_id").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    width = -(-(2 * bound + 1) // BINS)
     while size["q"]:
         hist = (tiles(state).applyInPandas(_histogram(k), "query_id long, bin long, n long")
                 .groupBy("query_id", "bin").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(down)))
@@ -146,8 +147,9 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int =
                 .agg(F.min(F.struct(F.coalesce(short, F.lit(True)).alias("short"),
                                     F.when(short, F.col("bin")).otherwise(-F.col("bin")).alias("order"),
                                     "bin", "n", "upto")).alias("e")))
+        lo = F.col("lo") + F.coalesce(F.col("e.bin"), F.lit(0)) * F.col("width")
         state = cut(edge.select(
-            "query_id", (F.col("lo") + F.coalesce(F.col("e.bin"), F.lit(0)) * F.col("width")).alias("lo"),
+            "query_id", lo.alias("lo"), (lo + F.col("width")).alias("end"),
             F.ceil(F.col("width") / BINS).cast("long").alias("width"),
             (F.col("above") + F.coalesce(F.col("e.upto") - F.col("e.n"), F.lit(0))).alias("above"),
             F.coalesce(F.col("e.n"), F.lit(0)).alias("inside")))

@@ -41,6 +41,18 @@ def test_top_k(spark, monkeypatch, blocks):
     assert got == brute_top(rows)
 
 
+def test_top_k_near_copies_of_unit_vectors(spark):
+    """Over 40 near copies lie in one bin of the first pass, which the second refines."""
+    r = np.random.default_rng(11)
+    unit = lambda x: (x / np.linalg.norm(x)).tolist()
+    seed = r.normal(size=16)
+    rows = [(i, unit(r.normal(size=16))) for i in range(500)]
+    rows += [(1000 + i, unit(seed + r.normal(size=16) * 0.01)) for i in range(60)]
+    rows += [(2000 + i, rows[100][1]) for i in range(1, 61)]
+    got = sorted(tuple(x) for x in top_k(frame(spark, rows)).select("query_id", "rank", "vec_id", "score").collect())
+    assert got == brute_top(rows)
+
+
 def test_top_k_large_and_few(spark):
     big = [(0, [3e6, -2e6]), (1, [1e6, 5e5]), (2, [1e6, 5e5])]
     got = [tuple(x) for x in top_k(frame(spark, big)).orderBy("rank").collect()]
