@@ -39,6 +39,13 @@ ENCODINGS = (
     ("base64url", _UP + _LOW + _DIGITS + "-_", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+$"),
 )
 
+# For redaction: one more encoding, and the parts of a run that are tested beside it
+# (between all separators, between '/' and '+', between '-' and '_').  Strings of
+# letters alone, and lower case cut by '-' and '_', stay untested: the battery cannot
+# tell 20 to 40 characters of them from words.
+WIDER = (*ENCODINGS, ("upper36dash", _DIGITS + _UP + "-", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z-]+$"))
+PARTS = (r"[A-Za-z0-9]{20,}", r"[A-Za-z0-9_-]{20,}", r"[A-Za-z0-9+/]{20,}={0,2}")
+
 
 def _hits(text: Column, pattern: str, group: int = 0) -> tuple[Column, Column, Column]:
     """Of each match, in order: the length up to its end from the end of the one
@@ -78,10 +85,31 @@ def _two_sided(z: Column) -> Column:
     return F.lit(2.0) / (1 + F.exp(1.5976 * a + 0.070566 * a * a * a))
 
 
-def test_battery(tokens: DataFrame, col: str = "token") -> DataFrame:
+def _with_parts(hits: DataFrame) -> DataFrame:
+    """``hits`` and, as rows with ``part`` true, the parts (:data:`PARTS`) of the
+    candidate runs that are not the whole run."""
+    runs = hits.filter((F.col("kind") == len(BASE)) & F.col("token").rlike("[+/_-]"))
+    run = Window.partitionBy("row", "from", "sort").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    found = []
+    for sort, pattern in enumerate(PARTS):
+        upto, got, _ = _hits(F.col("token"), pattern)
+        found.append(F.transform(F.arrays_zip(F.array_repeat(F.lit(sort), F.size(upto)).alias("s"), upto.alias("a"), got.alias("b")),
+                                 lambda x: F.struct(x["s"].alias("sort"), x["a"].alias("upto"), x["b"].alias("part"))))
+    parts = (runs.select("row", "kind", F.col("start").alias("from"), F.col("stop").alias("to"), F.posexplode(F.concat(*found)).alias("nth", "x"))
+             .select("row", "kind", "from", "to", "nth", "x.*")
+             .withColumn("stop", F.col("from") + F.sum("upto").over(run))
+             .withColumn("start", F.col("stop") - F.char_length("part"))
+             .filter((F.col("start") > F.col("from")) | (F.col("stop") < F.col("to"))))
+    # One part can be found by several patterns.
+    parts = parts.select("row", "kind", "start", "stop", F.col("part").alias("token"), F.lit(True).alias("part")).distinct()
+    return hits.withColumn("part", F.lit(False)).unionByName(parts)
+
+
+def test_battery(tokens: DataFrame, col: str = "token", wide: bool = False) -> DataFrame:
     """``tokens`` with ``encoding``, ``stratum`` and ``p``, the combined p value of
     the hypothesis that the token is random in its encoding; null where no
-    encoding fits or the token is too short to tell.
+    encoding fits or the token is too short to tell.  ``wide`` takes the
+    encodings of :data:`WIDER`.
 
     Three tests: chi-squared of the symbol counts against uniform, with its exact
     mean and variance; runs above and below the middle of the alphabet; serial
@@ -90,7 +118,7 @@ def test_battery(tokens: DataFrame, col: str = "token") -> DataFrame:
     """
     body = F.regexp_replace(F.col(col), "=+$", "")
     name = alphabet = F.lit(None).cast("string")
-    for enc, chars, form in reversed(ENCODINGS):
+    for enc, chars, form in reversed(WIDER if wide else ENCODINGS):
         name = F.when(F.col("_body").rlike(form), enc).otherwise(name)
         alphabet = F.when(F.col("_body").rlike(form), chars).otherwise(alphabet)
     t = (tokens.withColumn("_body", body).withColumn("encoding", name).withColumn("_alpha", alphabet)
@@ -139,7 +167,8 @@ def not_random(tokens: DataFrame) -> DataFrame:
             .groupBy(F.col("stratum").alias("f_stratum")).agg(F.min("step").alias("f_step")))
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False) -> DataFrame:
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False,
+               wide: bool = False) -> DataFrame:
     """``row, id, kind, start, stop`` for every secret, and one row with null kind
     for each document without; ``row`` tells rows with the same id apart, and
     ``h``, if asked for, is the text's 64-bit hash.
@@ -151,6 +180,10 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     encoding and length, over the distinct strings of all documents, so many short
     strings do not loosen the test of the long ones, nor do copies.
 
+    With ``wide``, the encodings are :data:`WIDER` and the parts of a run between its
+    separators are tested too, in strata of their own: the spans are those without
+    ``wide`` and more, which may overlap.
+
     Null text counts as empty, and has no spans; repeated rows repeat; no rows give
     none.  Lengths go through one running sum for each document.
     """
@@ -161,6 +194,8 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hits = (rows.select("row", F.posexplode("found").alias("nth", "x")).select("row", "nth", "x.*")
             .withColumn("stop", F.sum("upto").over(run)).filter("ok")
             .select("row", "kind", (F.col("stop") - F.col("long")).alias("start"), "stop", "token"))
+    if wide:
+        hits = _with_parts(cut(hits))
     is_base = F.col("kind") < len(BASE)
     by_start = Window.partitionBy("row").orderBy("start", "kind")
     before = F.max(F.when(is_base, F.col("stop"))).over(by_start)
@@ -168,8 +203,12 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hits = hits.withColumn("_b", before).withColumn("_a", after).filter(
         is_base | ~(F.coalesce(F.col("_b") > F.col("start"), F.lit(False))
                     | F.coalesce(F.col("_a") < F.col("stop"), F.lit(False)))).drop("_a", "_b")
-    hits = cut(test_battery(hits))
-    # One row for each stratum: an encoding and a doubling of length, 8 by 31 at most.
+    hits = test_battery(hits, wide=wide)
+    if wide:
+        hits = hits.withColumn("stratum", F.when(F.col("part"), F.concat(F.lit("part/"), "stratum")).otherwise(F.col("stratum")))
+    hits = cut(hits)
+    # One row for each stratum: an encoding (8, or 18 with parts) and a doubling of
+    # length, 31 at most.
     judged = hits.join(F.broadcast(not_random(hits)), F.col("stratum") == F.col("f_stratum"), "left")
     rejected = F.coalesce(F.floor(-F.log2("p") * STEPS) >= F.col("f_step"), F.lit(False))
     spans = judged.filter((F.col("kind") < len(BASE)) | (F.col("p").isNotNull() & ~rejected))
@@ -198,11 +237,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """``docs``, all columns and rows, with every span of :func:`find_spans` in the
+    """``docs``, all columns and rows, with every wide span of :func:`find_spans` in the
     text replaced by ``mark``; overlapping spans are replaced as one.  Texts without
     secrets, null ones too, stay as they are.  Spans come back by id and text hash;
     texts are shuffled only where there are more than ``SENT_SPANS`` spans."""
-    found = (find_spans(docs, id_col, text_col, with_hash=True).filter(F.col("kind").isNotNull())
+    found = (find_spans(docs, id_col, text_col, with_hash=True, wide=True).filter(F.col("kind").isNotNull())
              .groupBy("row", "id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
              .groupBy(F.col("id").alias("f_id"), F.col("h").alias("f_h")).agg(F.first("spans").alias("spans")))
     found = cut(found)

@@ -69,6 +69,22 @@ def test_redaction(spark, awkward):
     assert all(text[i] == before[i] for i in before)
 
 
+def test_redaction_tests_parts_of_runs(spark):
+    """Random strings between separators, and in upper case with dashes."""
+    low, up = "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    draw = lambda s, n: "".join(R.choice(s) for _ in range(n))
+    docs = [(i, f"see /api/v1-beta/{draw(low, 40)}/x end") for i in range(20)]
+    docs += [(100 + i, f"see tok_{draw(low, 40)} end") for i in range(20)]
+    docs += [(200 + i, "see " + "-".join(draw(up, 6) for _ in range(6)) + " end") for i in range(20)]
+    words = ["api/v1-beta/some/long/directory-name", "some_long_identifier_name_2", "state-of-the-art-language-model",
+             "Donaudampfschifffahrtsgesellschaft"]
+    docs += [(300 + i, w) for i, w in enumerate(words)]
+    text = {r["doc_id"]: r["text"] for r in redact(frame(spark, docs)).collect()}
+    assert all(sum(text[at + i] == want for i in range(20)) >= 17 for at, want in (
+        (0, "see /api/v1-beta/[REDACTED]/x end"), (100, "see tok_[REDACTED] end"), (200, "see [REDACTED] end")))
+    assert [text[300 + i] for i in range(len(words))] == words
+
+
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 PHRASES = (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
