@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from chronoline.llm.bpe import op1_bpe
 from chronoline.llm.cross_polytope import OP3_SQL, op3_cross_polytope
+from chronoline.llm.divergence import OP12_SQL, op12_divergence
+from chronoline.llm.filter_audit import OP13_SQL, op13_filter_audit
 from chronoline.llm.langid import op5_langid
 from chronoline.llm.licenses import OP10_SQL, op10_licenses
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
+    "op12_divergence": op12_divergence,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL = {
@@ -33,4 +37,6 @@ ORACLE_SQL = {
     "op8_topk": OP8_SQL,
     "op9_mixing": OP9_SQL,
     "op10_licenses": OP10_SQL,
+    "op12_divergence": OP12_SQL,
+    "op13_filter_audit": OP13_SQL,
 }

@@ -17,6 +17,8 @@ COLUMNS = {
     8: ["query_id", "rank", "vec_id", "score"],
     9: ["doc_id", "size", "source_size", "target", "taken"],
     10: ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+    12: ["lang", "source", "part", "item", "value", "rank"],
+    13: ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
 }
 
 
