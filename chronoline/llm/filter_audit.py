@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import cut, fresh, ship, whole_text
+from chronoline.llm.common import cut, fresh, ship, split_words, whole_text
 
 # Fixed by the result contract: the filters' letters, in the order of their mask bits.
 LETTERS = "ABCDE"
@@ -22,11 +22,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 COUNTS = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
 
 
-def split_words(text: Column) -> Column:
-    """The maximal runs without white space, as an array."""
-    return F.array_remove(F.split(F.translate(text, "\t\n\x0b\f\r", "     "), " "), "")
-
-
 def _text_mask(text: Column) -> Column:
     """Bits 0 to 3: the filters A to D that a text fails."""
     words = split_words(text)

@@ -10,6 +10,7 @@ from chronoline.llm.langid import op5_langid
 from chronoline.llm.licenses import OP10_SQL, op10_licenses
 from chronoline.llm.mixing import OP9_SQL, op9_mixing
 from chronoline.llm.quality import op4_quality
+from chronoline.llm.risk_rules import OP11_SQL, op11_risk_rules
 from chronoline.llm.secrets import OP6_SQL, op6_secrets
 from chronoline.llm.setsketch import OP7_SQL, op7_setsketch
 from chronoline.llm.sharding import op2_sharding
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
+    "op11_risk_rules": op11_risk_rules,
     "op12_divergence": op12_divergence,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -37,6 +39,7 @@ ORACLE_SQL = {
     "op8_topk": OP8_SQL,
     "op9_mixing": OP9_SQL,
     "op10_licenses": OP10_SQL,
+    "op11_risk_rules": OP11_SQL,
     "op12_divergence": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }

@@ -17,6 +17,7 @@ COLUMNS = {
     8: ["query_id", "rank", "vec_id", "score"],
     9: ["doc_id", "size", "source_size", "target", "taken"],
     10: ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+    11: ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     12: ["lang", "source", "part", "item", "value", "rank"],
     13: ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
 }
@@ -29,7 +30,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
