@@ -469,6 +469,48 @@ def stream_write_drain(spark, sf_dir):
             .select("series_key", "field", "value_double", "time_ns"))
 
 
+def _written_by_format(spark, sf_dir):
+    """Events written by ``df.write.format("linepoints")``: root and bucket."""
+    from chronoline.session import scratch_path
+    from chronoline.streaming.source import qualified, register
+    register(spark)
+    root = qualified(spark, scratch_path(spark, "format-store"))
+    (events_points(spark, sf_dir).write.format("linepoints").mode("append")
+     .option("path", root).option("bucket", "b").save())
+    return root, "b"
+
+
+def format_range_scan(spark, sf_dir):
+    """The format's batch reader: measurement, time range and a tag go down to its
+    tasks, the value condition stays above them."""
+    root, bucket = _written_by_format(spark, sf_dir)
+    return (spark.read.format("linepoints").option("path", root).option("bucket", bucket).load()
+            .where((F.col("measurement") == "events") & (F.col("time_ns") >= RANGE_START_NS)
+                   & (F.col("time_ns") < RANGE_STOP_NS) & F.col("series_key").startswith("events,event_type=click,")
+                   & (F.col("value_double") > 10))
+            .select("series_key", "field", "value_double", "time_ns"))
+
+
+def stream_format_write(spark, sf_dir):
+    """Point files streamed into a store by ``writeStream.format("linepoints")``, read back
+    by the format's batch reader."""
+    from chronoline.session import scratch_path
+    from chronoline.streaming.source import qualified, register
+    register(spark)
+    files, root = scratch_path(spark, "points"), qualified(spark, scratch_path(spark, "format-store"))
+    events_points(spark, sf_dir).write.parquet(files)
+    src = spark.readStream.schema(spark.read.parquet(files).schema).parquet(files)
+    q = (src.withColumn("written_at", F.current_timestamp()).writeStream.format("linepoints")
+         .option("path", root).option("bucket", "b")
+         .option("checkpointLocation", qualified(spark, scratch_path(spark, "format-ck")))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return (spark.read.format("linepoints").option("path", root).option("bucket", "b").load()
+            .select("series_key", "field", "value_double", "time_ns"))
+
+
 QUERIES = {
     "range_scan": range_scan,
     "first_last_time": first_last_time,
@@ -510,6 +552,8 @@ QUERIES = {
     "stream_capped_drain": stream_capped_drain,
     "stream_late_drain": stream_late_drain,
     "stream_tail_drain": stream_tail_drain,
+    "format_range_scan": format_range_scan,
+    "stream_format_write": stream_format_write,
 }
 
 

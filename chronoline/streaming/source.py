@@ -41,7 +41,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 from chronoline.operators.slices import LONG_MIN, plan_slices
 from chronoline.sources.options import SourceOptions
-from chronoline.sources.paths import escape_partition_value
+from chronoline.sources.paths import arrow_path, arrow_uri, escape_partition_value
 
 NS_PER_DAY = 86_400_000_000_000
 
@@ -55,38 +55,12 @@ _POINT_COLS = ["measurement", "tags", "field", "value_double", "value_long", "va
 # --------------------------------------------------------------------------- files (pyarrow)
 
 
-# Schemes that Hadoop and Arrow name differently.
-_ARROW_SCHEME = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
-
-
-def arrow_uri(uri: str) -> str:
-    """A store path as Arrow's file systems name it.  It must have a scheme: a path
-    without one means the cluster's default file system, which only the driver knows
-    (:func:`qualified`)."""
-    scheme, found, rest = uri.partition(":")
-    if not found or "/" in scheme:
-        raise ValueError(f"store path {uri!r} has no scheme; use read_stream or chronoline.streaming.source.qualified")
-    if scheme == "dbfs":
-        return "file:///dbfs/" + rest.lstrip("/")
-    return f"{_ARROW_SCHEME.get(scheme, scheme)}:{rest}"
-
-
 def qualified(spark, path: str) -> str:
     """``path`` with scheme and authority, as Spark's own readers resolve it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
-def _fs_and_path(uri: str):
-    import pyarrow.fs as pafs
-    if uri.startswith("/"):     # callers other than the data source: a plain local path
-        return pafs.LocalFileSystem(), uri
-    uri = arrow_uri(uri)
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _store_roots(path: str, bucket: str) -> tuple[str, str]:
     root = f"{path.rstrip('/')}/{bucket}"
     return f"{root}/data", f"{root}/_commits"
@@ -115,7 +89,7 @@ def list_commits(path: str, bucket: str, measurement: str,
     import pyarrow.parquet as pq
 
     _, croot = _store_roots(path, bucket)
-    fs, root = _fs_and_path(croot)
+    fs, root = arrow_path(croot)
     if fs.get_file_info(posixpath.dirname(root)).type == pafs.FileType.NotFound:
         raise FileNotFoundError(f"no point store at {path}, bucket {bucket}")
     infos = fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True))
@@ -275,15 +249,17 @@ def key_buckets(col, k: int):
     return (h % np.uint64(k)).astype(np.int64)
 
 
-def read_slice(p: TimeSlicePartition):
+def read_slice(p: TimeSlicePartition, more=None, columns: list[str] | None = None):
     """Arrow record batches of one slice: measurement, day and time bounds pushed
     into the Parquet scan; with ``dedupe`` the latest write per (series, field,
-    time) -- every version of a key has the same time, so it is in this slice."""
+    time) -- every version of a key has the same time, so it is in this slice.
+    ``more``: a further Arrow filter, on key columns only; ``columns``: the point
+    columns to read and return, all by default."""
     import pyarrow as pa
     import pyarrow.compute as pc
     import pyarrow.dataset as ds
 
-    fs, root = _fs_and_path(p.data_root)
+    fs, root = arrow_path(p.data_root)
     part = ds.partitioning(pa.schema([("measurement", pa.string()), ("day", pa.date32())]),
                            flavor="hive")
     day_lo = p.start_ns // NS_PER_DAY
@@ -292,7 +268,14 @@ def read_slice(p: TimeSlicePartition):
            & (ds.field("day") >= pa.scalar(day_lo, pa.date32()))
            & (ds.field("day") <= pa.scalar(day_hi, pa.date32()))
            & (ds.field("time_ns") >= p.start_ns) & (ds.field("time_ns") < p.stop_ns))
-    cols = _POINT_COLS + (["written_at", "seq"] if p.dedupe else [])
+    if more is not None:
+        flt = flt & more
+    columns = _POINT_COLS if columns is None else columns
+    cols = list(columns)
+    if p.dedupe:
+        cols += [c for c in ("series_key", "field", "time_ns") if c not in cols] + ["written_at", "seq"]
+    elif p.n_buckets > 1 and "series_key" not in cols:
+        cols.append("series_key")
     tables = []
     for writer, batch_id, days in p.batches:
         bdir = f"{root}/writer={writer}/batch_id={batch_id}"
@@ -307,7 +290,7 @@ def read_slice(p: TimeSlicePartition):
                 rb = rb.filter(pa.array(key_buckets(rb.column("series_key"), p.n_buckets)
                                         == p.key_bucket))
             if rb.num_rows and not p.dedupe:
-                yield _conform(rb)
+                yield _conform(rb, columns)
             elif rb.num_rows:
                 parts.append(rb)
         if parts:
@@ -328,8 +311,8 @@ def read_slice(p: TimeSlicePartition):
         last = pc.or_(pc.or_(ne("series_key"), ne("field")), ne("time_ns"))
         mask = pa.concat_arrays([last, pa.array([True])])
         t = t.filter(mask)
-    for rb in t.select(_POINT_COLS).to_batches(max_chunksize=65536):
-        yield _conform(rb)
+    for rb in t.select(columns).to_batches(max_chunksize=65536):
+        yield _conform(rb, columns)
 
 
 def _slice_files(fs, bdir: str, measurement: str, days: list[int]) -> list[str]:
@@ -362,12 +345,12 @@ def _point_arrow_schema():
         ("series_key", pa.string())])
 
 
-def _conform(rb):
+def _conform(rb, columns: list[str] = _POINT_COLS):
     """The declared output schema, whatever nullability the files had."""
     import pyarrow as pa
     schema = _point_arrow_schema()
-    cols = [rb.column(c).cast(schema.field(c).type) for c in _POINT_COLS]
-    return pa.RecordBatch.from_arrays(cols, schema=schema)
+    schema = pa.schema([schema.field(c) for c in columns])
+    return pa.RecordBatch.from_arrays([rb.column(c).cast(schema.field(c).type) for c in columns], schema=schema)
 
 
 # --------------------------------------------------------------------------- reader
@@ -476,7 +459,8 @@ class CursorStreamReader(DataSourceStreamReader):
 
 
 class LinePointsDataSource(DataSource):
-    """``spark.readStream.format("linepoints")``: options ``path``, ``bucket``,
+    """The format ``linepoints``: ``read`` and ``write`` (batch), ``readStream`` and
+    ``writeStream``.  The stream reader's options: ``path``, ``bucket``,
     ``measurement`` (required), ``delta-time``, ``numSlices``, ``maxRowsPerSlice``,
     ``lateness``, ``maxDeltaPerTrigger``, ``compat``, ``dedupe``.  Emits long
     points; :func:`read_stream` turns them into line text with Column
@@ -489,6 +473,18 @@ class LinePointsDataSource(DataSource):
     def schema(self) -> str:
         return POINT_DDL
 
+    def reader(self, schema):
+        from chronoline.sources.format_reader import PointsReader
+        return PointsReader(self.options, schema)
+
+    def writer(self, schema, overwrite: bool):
+        from chronoline.sources.format_writer import PointsWriter
+        return PointsWriter(self.options, schema, overwrite)
+
+    def streamWriter(self, schema, overwrite: bool):
+        from chronoline.sources.format_writer import PointsStreamWriter
+        return PointsStreamWriter(self.options, schema, overwrite)
+
     def streamReader(self, schema):
         arrow_uri(SourceOptions.parse(self.options).path)   # a path of no scheme is an error
         return CursorStreamReader(self.options)
@@ -498,7 +494,8 @@ _registered: set = set()
 
 
 def register(spark) -> None:
-    """Register ``linepoints`` with the session.  The package is pickled by value
+    """Register ``linepoints`` with the session, and let Spark push filters into readers
+    in Python (``spark.sql.python.filterPushdown.enabled``).  The package is pickled by value
     into the Python workers, so executors need no install of it."""
     key = spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
     if key not in _registered:
@@ -506,6 +503,7 @@ def register(spark) -> None:
         from pyspark import cloudpickle
         cloudpickle.register_pickle_by_value(chronoline)
         spark.dataSource.register(LinePointsDataSource)
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
         _registered.add(key)
 
 
