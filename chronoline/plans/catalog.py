@@ -376,6 +376,24 @@ def stream_late_drain(spark, sf_dir):
         "n_late", F.lit(ends[-1]["late"] + ends[-1]["late_maybe"]).cast("bigint"))
 
 
+def stream_late_read(spark, sf_dir):
+    """Batches committed out of order, drained after each one by a query that starts
+    again from its checkpoint: the late lane delivers what came in below the cursor."""
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    from chronoline.streaming.source import drain, read_stream
+    root, ev = scratch_path(spark, "store"), events_points(spark, sf_dir)
+    out, ck = scratch_path(spark, "late-out"), scratch_path(spark, "late-ck")
+    week = (F.col("time_ns") >= RANGE_START_NS) & (F.col("time_ns") < RANGE_STOP_NS)
+    for part in (week, ~week & (F.col("value_double") > 50), ~week & ~(F.col("value_double") > 50)):
+        store.write_points(ev.where(part), root, "b")
+        drain(lambda: read_stream(spark, root, "b", "events", output="points", late="read")
+              .select("series_key", "field", "value_double", "time_ns")
+              .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+              .trigger(availableNow=True).start())
+    return spark.read.parquet(out)
+
+
 def stream_tail_drain(spark, sf_dir):
     """The reference's cursor rule where the span is a multiple of the step: events by
     whole days, one step from the first to the last, which stays behind."""
@@ -551,6 +569,7 @@ QUERIES = {
     "stream_compat_drain": stream_compat_drain,
     "stream_capped_drain": stream_capped_drain,
     "stream_late_drain": stream_late_drain,
+    "stream_late_read": stream_late_read,
     "stream_tail_drain": stream_tail_drain,
     "format_range_scan": format_range_scan,
     "stream_format_write": stream_format_write,

@@ -238,6 +238,7 @@ ORACLE_SQL["stream_read_drain"] = ORACLE_SQL["encode_compat"]
 ORACLE_SQL["format_range_scan"] = f"""
     SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}
     WHERE t >= {A} AND t < {B} AND k LIKE 'events,event_type=click,%' AND value > 10"""
+ORACLE_SQL["stream_late_read"] = ORACLE_SQL["store_roundtrip"]
 ORACLE_SQL["stream_format_write"] = ORACLE_SQL["store_roundtrip"]
 ORACLE_SQL["stream_write_drain"] = ORACLE_SQL["store_roundtrip"]
 ORACLE_SQL["decode_no_time"] = ORACLE_SQL["store_roundtrip"]

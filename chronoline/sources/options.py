@@ -88,6 +88,7 @@ class SourceOptions:
     compat: bool = False
     dedupe: bool = True
     balance: str = "time"
+    late: str = "count"
 
     @property
     def delta_ns(self) -> int:
@@ -108,6 +109,7 @@ class SourceOptions:
             compat=_bool(options, "compat", False),
             dedupe=_bool(options, "dedupe", True),
             balance=_choice(options, "balance", "time", ("time", "count")),
+            late=_choice(options, "late", "count", ("count", "read")),
         )
 
 

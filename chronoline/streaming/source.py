@@ -20,8 +20,16 @@ Cursor rules (``end`` of the next batch):
   (nothing read), then the cursor moves exactly ``delta-time`` ms per trigger
   while the maximum time is above it.
 
-Records that arrive with a time below the cursor are late and are not read by any
-later batch.  The stream says so: ``late`` in its offsets (``lastProgress`` of the
+Records that arrive with a time below the cursor are late.  With ``late=read`` they have
+a lane of their own: the offset is then a vector, the cursor and for each writer the
+last batch that the stream knows (``marks``).  A micro-batch reads ``[start, end)`` of
+the batches that ``end`` knows, and of those that ``start`` did not know also what lies
+below ``start``.  So every committed record is read once, whenever it comes, and the
+same offsets always mean the same records.  The vector has one entry for each writer of
+the measurement (a streaming query, or one ``write_points``).
+
+With ``late=count`` (the default, and the reference's loss) no later batch reads them.
+The stream says so: ``late`` in its offsets (``lastProgress`` of the
 query, and the checkpoint) is the number of records so far in hours that lay wholly
 below the cursor when they were committed, ``late_maybe`` the number in hours that
 the cursor divided.  Use ``order=arrival`` in :func:`read_stream` when every record
@@ -377,6 +385,18 @@ def _held(batches: list[BatchRange], cursor: int) -> tuple[int, int]:
             sum(r.n_records for r in batches if r.min_ns < cursor <= r.max_ns))
 
 
+def _marks(batches: list[BatchRange], before: dict[str, int]) -> dict[str, int]:
+    """The last known batch of each writer; a writer commits its batches in order."""
+    out = dict(before)
+    for r in batches:
+        out[r.writer] = max(out.get(r.writer, r.batch_id), r.batch_id)
+    return out
+
+
+def _knows(marks: dict[str, int], r: BatchRange) -> bool:
+    return r.writer in marks and r.batch_id <= marks[r.writer]
+
+
 class CursorStreamReader(DataSourceStreamReader):
     """Event-time cursor over one measurement of the store."""
 
@@ -385,6 +405,7 @@ class CursorStreamReader(DataSourceStreamReader):
         self.data_root, _ = _store_roots(self.opts.path, self.opts.bucket)
         self._cursor: int | None = None
         self._late = _NOTHING_LATE
+        self._marks: dict[str, int] = {}
         self._commit_cache: dict = {}
         self._listed: list[BatchRange] | None = None
 
@@ -393,9 +414,12 @@ class CursorStreamReader(DataSourceStreamReader):
                                     self._commit_cache)
         return self._listed
 
+    def _vector(self, offset: dict, marks: dict[str, int]) -> dict:
+        return {**offset, "marks": dict(sorted(marks.items()))} if self.opts.late == "read" else offset
+
     def initialOffset(self) -> dict:
         b = self._batches()
-        return {"ns": min(r.min_ns for r in b) if b else LONG_MIN, **_NOTHING_LATE}
+        return self._vector({"ns": min(r.min_ns for r in b) if b else LONG_MIN, **_NOTHING_LATE}, {})
 
     def _moved(self, b: list[BatchRange], end: int) -> dict:
         """The offset ``end``; what came in below the old cursor since it was set is late."""
@@ -407,7 +431,8 @@ class CursorStreamReader(DataSourceStreamReader):
         below, across = _held(b, end)
         self._cursor = end
         self._late = {"late": late, "late_maybe": maybe, "below": below, "across": across}
-        return {"ns": end, **self._late}
+        self._marks = _marks(b, self._marks)
+        return self._vector({"ns": end, **self._late}, self._marks)
 
     def latestOffset(self) -> dict:
         b = self._batches()
@@ -441,12 +466,16 @@ class CursorStreamReader(DataSourceStreamReader):
         # A restarted reader learns its cursor here (Spark replays the last offsets).
         if self._cursor is None or e > self._cursor:
             self._cursor, self._late = e, _late_state(end)
-        if e <= s:
-            return []
+            self._marks = dict(end.get("marks", {}))
         # What latestOffset listed for this batch, if it did: one listing a trigger.
         listed = self._listed if self._listed is not None else self._batches()
         self._listed = None
-        return plan_partitions(listed, s, e, self.opts, self.data_root)
+        if "marks" not in end:
+            return plan_partitions(listed, s, e, self.opts, self.data_root)
+        known = [r for r in listed if _knows(end["marks"], r)]
+        new = [r for r in known if not _knows(start.get("marks", {}), r)]
+        return (plan_partitions(known, s, e, self.opts, self.data_root)
+                + plan_partitions(new, LONG_MIN, s, self.opts, self.data_root))
 
     def read(self, partition: TimeSlicePartition):
         return read_slice(partition)
@@ -462,7 +491,7 @@ class LinePointsDataSource(DataSource):
     """The format ``linepoints``: ``read`` and ``write`` (batch), ``readStream`` and
     ``writeStream``.  The stream reader's options: ``path``, ``bucket``,
     ``measurement`` (required), ``delta-time``, ``numSlices``, ``maxRowsPerSlice``,
-    ``lateness``, ``maxDeltaPerTrigger``, ``compat``, ``dedupe``.  Emits long
+    ``lateness``, ``late``, ``maxDeltaPerTrigger``, ``compat``, ``dedupe``.  Emits long
     points; :func:`read_stream` turns them into line text with Column
     expressions."""
 
