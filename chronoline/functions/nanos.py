@@ -97,15 +97,14 @@ def ns_from_timestamp(c) -> Column:
 
 
 def ns_from_timestamp_ntz(c) -> Column:
-    """TIMESTAMP_NTZ read as UTC wall clock -> ns since epoch, from its day number and
-    its time of day.  Nothing is cast to TIMESTAMP, so the session zone and its
-    missing and repeated hours play no part."""
-    c = _col(c)
-    day_us = F.unix_date(c.cast("date")).cast("bigint") * F.lit(86_400_000_000).cast("bigint")
-    minutes = (F.hour(c) * 60 + F.minute(c)).cast("bigint")
-    second_us = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")   # exact: decimal(8, 6)
-    return checked_multiply(day_us + minutes * F.lit(60_000_000).cast("bigint") + second_us, 1000,
-                            "ns_from_timestamp_ntz")
+    """TIMESTAMP_NTZ read as UTC wall clock -> ns since epoch: the time since the epoch
+    as an interval, which Spark takes in no zone, in seconds and exact microseconds.
+    Nothing is cast to TIMESTAMP, so the session zone and its missing and repeated
+    hours play no part; and the column stands in it once, however often Spark copies
+    the expression into filters and projections."""
+    since = _col(c) - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    us = since.cast("interval second").cast("decimal(20,6)") * F.lit(1_000_000)
+    return checked_multiply(us.cast("bigint"), 1000, "ns_from_timestamp_ntz")
 
 
 def ns_of(c, data_type: DataType) -> Column:

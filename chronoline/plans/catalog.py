@@ -256,12 +256,13 @@ def ns_units(spark, sf_dir):
 
 
 def ns_from_iso(spark, sf_dir):
-    ev = events_points(spark, sf_dir, keep=("event_id",))
-    iso = nanos.ns_to_iso("time_ns")
-    trimmed = F.regexp_replace(iso, r"(\.\d*?)0+Z$", "$1Z")
-    return ev.select("event_id", "time_ns", iso.alias("iso"),
-                     nanos.ns_from_iso(iso).alias("parsed_ns"),
-                     nanos.ns_from_iso(trimmed).alias("parsed_trimmed_ns"))
+    # Each text is a column before it is parsed: as one expression, Spark would copy the
+    # formatting into every use.
+    ev = (events_points(spark, sf_dir, keep=("event_id",)).select("event_id", "time_ns")
+          .withColumn("iso", nanos.ns_to_iso("time_ns"))
+          .withColumn("trimmed", F.regexp_replace("iso", r"(\.\d*?)0+Z$", "$1Z")))
+    return ev.select("event_id", "time_ns", "iso", nanos.ns_from_iso("iso").alias("parsed_ns"),
+                     nanos.ns_from_iso("trimmed").alias("parsed_trimmed_ns"))
 
 
 def to_zone(spark, sf_dir):

@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot compiles no method above 8000 bytes; Spark then generates split ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
