@@ -3,6 +3,7 @@ connected components."""
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import zipfile
@@ -35,6 +36,14 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(sc.applicationId)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop what no frame refers to any more: checkpoint files,
+    shuffles, broadcasts and generated code of finished steps, which otherwise wait in
+    the driver for its next full collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written once to the checkpoint folder that all executors share.
     Cuts the lineage; a lost executor loses nothing.  Spark's cleaner removes the
@@ -84,6 +93,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     e = cut(e)
     while not _is_stars(e):
         e = cut(_small_star(_large_star(e)))
+        release(edges.sparkSession)
     roots = e.select(F.col("v").alias("node")).distinct()
     return (e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
             .unionByName(roots.select("node", F.col("node").alias("component")))
@@ -100,12 +110,13 @@ def _is_stars(e: DataFrame) -> bool:
 
 
 def _large_star(e: DataFrame) -> DataFrame:
-    """Each neighbour above u is linked to the smallest of u's neighbourhood."""
+    """Each neighbour above u is linked to the smallest of u's neighbourhood; an edge
+    may repeat, at most as often as there are edges."""
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy(F.col("u").alias("m_u")).agg(F.min("v").alias("m"))
     low = low.select(fresh("m_u").alias("m_u"), F.least("m", "m_u").alias("m"))
     return (both.join(low, F.col("u") == F.col("m_u")).filter("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:

@@ -47,6 +47,20 @@ def test_awkward_rows(spark, awkward):
     assert sorted((r["doc_id"] for r in one), key=str) == [1, 3, 4, 5, 6, 7, 8, None]
 
 
+def test_rows_are_kept_by_row(spark):
+    """Rows that share an id but not the text, copies under several ids and rows
+    without an id; columns with the stage's own names."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, b), (5, a), (5, b), (None, c), (None, c + " more"), (7, c), (None, "x y"), (None, "x y"), (None, None),
+            (None, None), (None, ""), (9, " "), (9, " "), (9, ""), (2, a + " end")]
+    docs = spark.createDataFrame([(i, t, "k", "k", "k") for i, t in rows],
+                                 "doc_id long, text string, row_key string, kept_id string, component_id string")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF01)
+    assert got.columns == docs.columns
+    want = [(1, b), (2, a + " end"), (7, c), (None, "x y"), (None, None), (None, ""), (9, " "), (9, "")]
+    assert sorted([tuple(r)[:2] for r in got.collect()], key=str) == sorted(want, key=str)
+
+
 def test_empty_table(spark, nothing):
     docs = frame(spark, [])
     for _, stage in corpus_pipeline.STAGES:
