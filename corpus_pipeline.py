@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoline.llm import bpe, mixing, quality, secrets, setsketch
+from chronoline.llm.common import cut
 from chronoline.session import scratch_path
 
 # Near duplicates here: five-word shingles and a similarity of 0.8 or more.
 SHINGLE_WORDS, LEAST_PERCENT = 5, 80
+SENT_ROWS = 1_000_000   # most dropped rows whose keys are sent to every task
 
 # No SQL: the first stage is a fitted network, the last a tokenizer.
 ORACLE_SQL = None
@@ -29,12 +31,32 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates, and
-    one of rows that repeat an id and text.  Documents without words stay."""
-    found = setsketch.near_duplicates(docs, SHINGLE_WORDS, LEAST_PERCENT)
-    kept = found.filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    """Keeps one row of each group of near duplicates: the one with the smallest id,
+    rows without an id last.  Equal texts are one group whatever their ids.  Documents
+    without words stay, but rows that repeat an id and text stay once.
+
+    Every row gets a key, written with it, and groups, links and decisions go by that
+    key, so rows that share an id, or have none, are told apart.  Only keys are
+    shuffled for the decision; the dropped ones are sent to every task up to
+    ``SENT_ROWS``, and joined by shuffle beyond.
+    """
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    rows = cut(docs.withColumn(key, F.monotonically_increasing_id()))
+    found = setsketch.near_duplicates(rows, SHINGLE_WORDS, LEAST_PERCENT, id_col=key)
+    text = F.coalesce("text", F.lit(""))
+    ids = rows.select(F.col(key).alias("r"), F.col("doc_id").alias("i"),
+                      F.sha2(text, 256).alias("d"), F.col("text").isNull().alias("none"))
+    # Without words: a group for each id and text.  Else the group is the component.
+    groups = (found.select(key, "n_shingles", "component_id").join(ids, F.col(key) == F.col("r"))
+              .select("r", "i", F.when(F.col("n_shingles") > 0, F.struct("component_id")).alias("c"),
+                      F.when(F.col("n_shingles") == 0, F.struct("i", "d", "none")).alias("w")))
+    order = F.struct(F.col("i").isNull(), "i", "r")
+    best = groups.groupBy("c", "w").agg(F.min(order).alias("best")).select(F.col("best.r").alias("kept_r"))
+    gone = cut(groups.select("r").join(best, F.col("r") == F.col("kept_r"), "left_anti"))
+    gone = F.broadcast(gone) if gone.count() <= SENT_ROWS else gone
+    return rows.join(gone, F.col(key) == F.col("r"), "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
