@@ -187,18 +187,17 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
 
     Vectors that are null, zero, empty or hold null or non-finite components have
     no links and are components of their own.  Vectors of different lengths are
-    never linked.  Repeated rows count as one vector, and give one row; a null id
-    is dropped.  No rows: no rows.
+    never linked.  Every row is a vector of its own, with a key of its own: rows that
+    share an id and a vector link with each other, and a row with a null id links like
+    any other (its component is null only where no member has an id).  No rows: no
+    rows.
     """
     ship(vectors.sparkSession)
     vec = F.col(vec_col).cast("array<double>")
-    rows = (vectors.filter(F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("long").alias("id"), vec.alias("vec"))
-            .withColumn("ok", finite(F.col("vec")) & F.coalesce(F.exists("vec", lambda x: x != 0), F.lit(False)))
-            .distinct())
-    rows = cut(rows)
-    reps = (rows.filter("ok").groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
-            .select("rep", "n", "vec"))
+    rows = cut(vectors.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("long").alias("id"), vec.alias("vec"))
+               .withColumn("ok", finite(F.col("vec")) & F.coalesce(F.exists("vec", lambda x: x != 0), F.lit(False))))
+    firsts = cut(rows.filter("ok").groupBy("vec").agg(F.min("key").alias("rep"), F.count("*").alias("n"), F.min("id").alias("first_id")))
+    reps = firsts.select("rep", "n", "vec")
     fields = "rep long, n long, vec array<double>, codes array<long>"
     reps = cut(reps.mapInArrow(_hashed, fields))
     codes = reps.select("rep", F.size("vec").alias("dim"), F.explode("codes").alias("code"))
@@ -216,16 +215,19 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     found = cut(tiles.mapInArrow(_compare(least), "rep long, other long, links long"))
     links = found.groupBy(F.col("rep").alias("l_rep")).agg(F.sum("links").alias("links"))
     parts = connected_components(found, "rep", "other")
-    classes = (reps.select("rep", "n", F.col("vec").alias("r_vec"))
+    classes = (firsts.select("rep", "n", "first_id", F.col("vec").alias("r_vec"))
                .join(links, F.col("rep") == F.col("l_rep"), "left")
                .join(parts, F.col("rep") == F.col("node"), "left")
-               .select("r_vec", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
-                       F.coalesce("component", "rep").alias("component")))
+               .select("r_vec", "first_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
+                       F.coalesce("component", "rep").alias("label")))
+    least_ids = classes.groupBy("label").agg(F.min("first_id").alias("component")).select(
+        fresh("label").alias("i_label"), "component")
+    classes = classes.join(least_ids, F.col("label") == F.col("i_label")).select("r_vec", "links", "component")
     good = rows.filter("ok").join(classes, F.col("vec") == F.col("r_vec")).select("id", "links", "component")
     alone = rows.filter("NOT ok").select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("component"))
     return good.unionByName(alone).select(
         F.col("id").alias(id_col), F.col("links").alias("n_links"), F.col("component").alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"))
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
 def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:

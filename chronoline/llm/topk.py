@@ -26,22 +26,22 @@ def finite(vec: Column) -> Column:
 
 
 def scaled_ints(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """``vec_id, ints``: each component as ``floor(scale * x)``, x as double."""
+    """``key, vec_id, ints``: each component as ``floor(scale * x)``, x as double; ``key``
+    tells rows apart that share an id or have none."""
     vec = F.col(vec_col).cast("array<double>")
-    return (vectors.filter(finite(vec) & F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("long").alias("vec_id"),
-                    F.transform(vec, lambda x: F.floor(x * F.lit(float(scale))).cast("long")).alias("ints"))
-            .groupBy("vec_id").agg(F.min("ints").alias("ints")))
+    return (vectors.filter(finite(vec))
+            .select(F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("long").alias("vec_id"),
+                    F.transform(vec, lambda x: F.floor(x * F.lit(float(scale))).cast("long")).alias("ints")))
 
 
-def _scores(queries: pd.DataFrame, rows: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
-    """Stripes of queries, the rows' ids, their scores (int64) and which of these
-    count: vectors of the same length, other than the query's own row."""
+def _scores(queries: pd.DataFrame, rows: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Stripes of queries, the rows' keys and tie order, their scores (int64) and which
+    of these count: vectors of the same length, other than the query's own row."""
     for dim, some in rows.groupby(rows["ints"].str.len()):
         mine = queries[queries["ints"].str.len() == dim]
         if mine.empty:
             continue
-        ids = some["vec_id"].to_numpy()
+        keys, ties = some["key"].to_numpy(), some["tie"].to_numpy()
         r = np.stack(some["ints"].to_list()) if dim else np.zeros((len(some), 0), np.int64)
         for at in range(0, len(mine), STRIPE):
             part = mine.iloc[at:at + STRIPE]
@@ -51,7 +51,7 @@ def _scores(queries: pd.DataFrame, rows: pd.DataFrame) -> Iterator[tuple[pd.Data
                 s = (q.astype(np.float64) @ r.T.astype(np.float64)).astype(np.int64)
             else:
                 s = q @ r.T
-            yield part, ids, s, part["vec_id"].to_numpy()[:, None] != ids[None, :]
+            yield part, keys, ties, s, part["key"].to_numpy()[:, None] != keys[None, :]
 
 
 def _histogram(k: int):
@@ -60,7 +60,7 @@ def _histogram(k: int):
     own kth score are left out: the kth score of all rows is never below it."""
     def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for part, _, s, counts in _scores(queries, rows):
+        for part, _, _, s, counts in _scores(queries, rows):
             lo, end, width = (part[c].to_numpy()[:, None] for c in ("lo", "end", "width"))
             bins = (s - lo) // width
             ok = counts & (s >= lo) & (s < end)
@@ -73,9 +73,9 @@ def _histogram(k: int):
             upto = np.cumsum(c)
             start = np.concatenate([[0], upto])[np.searchsorted(q, q)]
             keep = upto - c - start < k
-            out.append(pd.DataFrame({"query_id": part["vec_id"].to_numpy()[q[keep]], "bin": b[keep],
+            out.append(pd.DataFrame({"query": part["key"].to_numpy()[q[keep]], "bin": b[keep],
                                      "n": c[keep]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "bin": [], "n": []}, dtype="int64")
+        return pd.concat(out) if out else pd.DataFrame({"query": [], "bin": [], "n": []}, dtype="int64")
     return run
 
 
@@ -83,15 +83,15 @@ def _select(k: int):
     """Of one tile, the k best rows of each query at or above its threshold."""
     def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for part, ids, s, counts in _scores(queries, rows):
+        for part, keys, ties, s, counts in _scores(queries, rows):
             q, r = np.nonzero(counts & (s >= part["lo"].to_numpy()[:, None]))
-            score, vec = s[q, r], ids[r]
-            order = np.lexsort((vec, -score, q))
-            q, score, vec = q[order], score[order], vec[order]
+            score = s[q, r]
+            order = np.lexsort((keys[r], ties[r], -score, q))
+            q, score, r = q[order], score[order], r[order]
             keep = np.arange(len(q)) - np.searchsorted(q, q) < k
-            out.append(pd.DataFrame({"query_id": part["vec_id"].to_numpy()[q[keep]], "vec_id": vec[keep],
-                                     "score": score[keep]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            out.append(pd.DataFrame({"query": part["key"].to_numpy()[q[keep]], "key": keys[r[keep]],
+                                     "tie": ties[r[keep]], "score": score[keep]}))
+        return pd.concat(out) if out else pd.DataFrame({"query": [], "key": [], "tie": [], "score": []}, dtype="int64")
     return run
 
 
@@ -108,48 +108,50 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int =
     the rows above each threshold, of a tile at most ``k`` for each query, however
     many tie, and one window ranks them.  Scores are never stored.
 
-    Vectors that are null or hold null or non-finite components, and rows with a
-    null id, take no part; vectors of different lengths are not compared; an empty
-    vector scores 0.  Rows that share an id count as one vector, the smallest.
-    Scores must fit a 64-bit integer.  No queries or no rows: no rows.
+    Vectors that are null or hold null or non-finite components take no part; vectors
+    of different lengths are not compared; an empty vector scores 0.  Every row counts:
+    rows that share an id are candidates, and queries, of their own (a repeated query
+    id has a list for each of its rows), and a row with a null id is a candidate, the
+    last of equal scores.  Scores must fit a 64-bit integer.  No queries or no rows: no rows.
     """
     ship(vectors.sparkSession)
-    v = cut(scaled_ints(vectors, id_col, vec_col, scale))
+    v = cut(scaled_ints(vectors, id_col, vec_col, scale)
+            .withColumn("tie", F.coalesce("vec_id", F.lit(2 ** 63 - 1))))
     squares = F.aggregate("ints", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    is_query = F.pmod("vec_id", F.lit(query_every)) == 0
+    is_query = F.coalesce(F.pmod("vec_id", F.lit(query_every)) == 0, F.lit(False))
     size = v.agg(F.count("*").alias("n"), F.sum(is_query.cast("long")).alias("q"),
                  F.max(squares).alias("m")).first()
     n_tiles = max(1, math.ceil(size["n"] / ROW_BLOCK))
     n_blocks = max(1, math.ceil((size["q"] or 0) / QUERY_BLOCK))
     bound = min(2 ** 62, int(size["m"] or 0) + 1)   # |a.b| <= max |x|^2
-    rows = (v.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.lit(n_tiles).cast("long")))
+    rows = (v.withColumn("tile", F.pmod(F.xxhash64("key"), F.lit(n_tiles).cast("long")))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-    queries = v.filter(is_query).withColumn("block", F.pmod(F.hash("vec_id"), F.lit(n_blocks)).cast("int"))
+    queries = v.filter(is_query).withColumn("block", F.pmod(F.hash("key"), F.lit(n_blocks)).cast("int"))
     width = -(-(2 * bound + 1) // BINS)
-    state = queries.select(F.col("vec_id").alias("query_id"), F.lit(-bound).cast("long").alias("lo"),
+    state = queries.select(F.col("key").alias("query"), F.lit(-bound).cast("long").alias("lo"),
                            F.lit(BINS * width - bound).cast("long").alias("end"), F.lit(width).cast("long").alias("width"),
                            F.lit(0).cast("long").alias("above"))
 
     def tiles(state: DataFrame):
-        now = (queries.join(state.withColumnRenamed("query_id", "s_id"), F.col("vec_id") == F.col("s_id"))
-               .select(F.col("vec_id").alias("vec_id"), F.col("ints").alias("ints"), "lo", "end", "width", "block",
+        now = (queries.join(state.withColumnRenamed("query", "s_id"), F.col("key") == F.col("s_id"))
+               .select(F.col("key").alias("key"), F.col("ints").alias("ints"), "lo", "end", "width", "block",
                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_tiles - 1).cast("long"))).alias("tile")))
         return now.groupBy("block", "tile").cogroup(rows.groupBy("block", "tile"))
 
-    down = Window.partitionBy("query_id").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("query").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
     while size["q"]:
-        hist = (tiles(state).applyInPandas(_histogram(k), "query_id long, bin long, n long")
-                .groupBy("query_id", "bin").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(down)))
+        hist = (tiles(state).applyInPandas(_histogram(k), "query long, bin long, n long")
+                .groupBy("query", "bin").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(down)))
         short = F.col("above") + F.col("upto") < k
-        edge = (state.join(hist.withColumnRenamed("query_id", "h_id"), F.col("query_id") == F.col("h_id"), "left")
-                .groupBy("query_id", "lo", "width", "above")
+        edge = (state.join(hist.withColumnRenamed("query", "h_id"), F.col("query") == F.col("h_id"), "left")
+                .groupBy("query", "lo", "width", "above")
                 # the highest bin that reaches k; with fewer rows than k, the lowest that has any
                 .agg(F.min(F.struct(F.coalesce(short, F.lit(True)).alias("short"),
                                     F.when(short, F.col("bin")).otherwise(-F.col("bin")).alias("order"),
                                     "bin", "n", "upto")).alias("e")))
         lo = F.col("lo") + F.coalesce(F.col("e.bin"), F.lit(0)) * F.col("width")
         state = cut(edge.select(
-            "query_id", lo.alias("lo"), (lo + F.col("width")).alias("end"),
+            "query", lo.alias("lo"), (lo + F.col("width")).alias("end"),
             F.ceil(F.col("width") / BINS).cast("long").alias("width"),
             (F.col("above") + F.coalesce(F.col("e.upto") - F.col("e.n"), F.lit(0))).alias("above"),
             F.coalesce(F.col("e.n"), F.lit(0)).alias("inside")))
@@ -158,10 +160,13 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int =
         if width == 1 or most <= 4 * k:
             break
         width = -(-width // BINS)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (tiles(state).applyInPandas(_select(k), "query_id long, vec_id long, score long")
-            .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "tie", "key")
+    names = v.select(F.col("key").alias("n_key"), F.col("vec_id").alias("name"))
+    asked = queries.select(F.col("key").alias("q_key"), F.col("vec_id").alias("query_id"))
+    found = (tiles(state).applyInPandas(_select(k), "query long, key long, tie long, score long")
+             .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k))
+    return (found.join(names, F.col("key") == F.col("n_key")).join(asked, F.col("query") == F.col("q_key"))
+            .select("query_id", "rank", F.col("name").alias("vec_id"), "score"))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
