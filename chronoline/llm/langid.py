@@ -6,6 +6,7 @@ from __future__ import annotations
 import base64
 import functools
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from chronoline.llm.common import cut, ship, text_blocks, whole_text
 from chronoline.llm.quality import fold_of
 
-MAX_PIECE = 8        # longest piece, in characters with the mark of a word's begin
 MAX_WORD = 32        # longer words are cut into words of this length
 TRAIN_DOCS = 5000    # bound of the documents of each language that the pieces are fitted on
 ROUNDS = 3           # rounds of expectation and maximization
@@ -28,7 +28,10 @@ WORDS_CACHED = 1 << 18
 WORDS_TOGETHER = 1 << 16
 BATCH_WORDS = 2048
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Characters of words for Python's \w that are neither letters nor decimal digits.
+_NUMBER_SIGNS = "".join(c for c in map(chr, range(0x80, 0x110000))
+                        if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
+_WORD = re.compile(rf"[^\W\d_{_NUMBER_SIGNS}]+")
 
 
 _U = np.uint64
@@ -46,6 +49,7 @@ class Pieces(dict):
             for c in p:
                 h = (h + ord(c) + 1) * int(_STEP) % 2 ** 64
             self.hashes[i] = h
+        self.longest = max(map(len, self), default=1)
         # Two tables by different bits; the second has the pieces that the first
         # has no room for.
         self.tables, left = [], np.arange(1, len(self) + 1)
@@ -83,14 +87,13 @@ def pieces(ranks_path: str) -> Pieces:
                 continue
             word = token.removeprefix(" ").lower()
             if _WORD.fullmatch(word):
-                p = BEGIN + word if token[0] == " " else word
-                if len(p) <= MAX_PIECE:
-                    found.add(p)
+                found.add(BEGIN + word if token[0] == " " else word)
     return Pieces(found)
 
 
 def words(text: str) -> Iterator[list[str]]:
-    """A text's words of letters, lower-cased and marked, in parts."""
+    """A text's words of letters (Unicode category L), lower-cased and marked, in parts.
+    A word of ``MAX_WORD`` letters or more becomes several words."""
     for part in text_blocks(text):
         found = _WORD.findall(part.lower())
         if found and max(map(len, found)) >= MAX_WORD:
@@ -105,9 +108,10 @@ def _lattice(batch: list[str], vocabulary: Pieces) -> tuple[np.ndarray, np.ndarr
     inside = np.arange(n) < sizes[:, None]
     codes = np.zeros((len(batch), n), _U)
     codes[inside] = np.frombuffer("".join(batch).encode("utf-32-le"), np.uint32) + _U(1)
-    ids = np.zeros((len(batch), n, MAX_PIECE), np.int32)
+    longest = min(n, vocabulary.longest)
+    ids = np.zeros((len(batch), n, longest), np.int32)
     h = np.zeros((len(batch), n), _U)
-    for k in range(min(n, MAX_PIECE)):
+    for k in range(longest):
         h = (h[:, :n - k] + codes[:, k:]) * _STEP
         ids[:, :n - k, k] = vocabulary.find(h) * inside[:, k:]
     one = ids[:, :, 0]
@@ -129,7 +133,7 @@ def _forward(ids: np.ndarray, prob: np.ndarray) -> np.ndarray:
     alpha = np.zeros((len(ids), n + 1, prob.shape[1]))
     alpha[:, 0] = 1
     for i in range(1, n + 1):
-        for k in range(min(i, MAX_PIECE)):
+        for k in range(min(i, ids.shape[2])):
             p = ids[:, i - 1 - k, k]
             if p.any():   # long pieces are rare
                 alpha[:, i] += alpha[:, i - 1 - k] * prob[p]
@@ -144,12 +148,12 @@ def _expected(batch: list[str], count: np.ndarray, vocabulary: Pieces, prob: np.
     beta = np.zeros((len(batch), n + 1))
     beta[rows, sizes] = 1
     for i in range(n - 1, -1, -1):
-        for k in range(min(n - i, MAX_PIECE)):
+        for k in range(min(n - i, ids.shape[2])):
             beta[:, i] += beta[:, i + 1 + k] * prob[ids[:, i, k], 0]
     weight = count / np.maximum(alpha[rows, sizes], 1e-300)
     out = np.zeros(len(prob))
     for i in range(n):
-        for k in range(min(n - i, MAX_PIECE)):
+        for k in range(min(n - i, ids.shape[2])):
             p = ids[:, i, k]
             out += np.bincount(p, alpha[:, i] * prob[p, 0] * beta[:, i + 1 + k] * weight, len(prob))
     out[0] = 0
@@ -278,7 +282,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], ranks_path: st
     """One row per row of ``docs``: ``id_col, held_out, lang_pred, score``.
 
     The prediction is the language under which the whole text's words are
-    likeliest, each word's probability being the sum over all its segmentations;
+    likeliest, each word's probability being the sum over all its segmentations into
+    pieces of the whole vocabulary (words of ``MAX_WORD`` letters are cut first);
     the score is its share among the languages.  Null texts and texts without
     letters are ``und`` with score 0, as is everything when no language was
     learned; a tie goes to the first language by name.  Repeated rows repeat; no

@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -73,15 +74,17 @@ def test_forward_adds_all_segmentations():
     prob = r.random((len(vocabulary) + 2, 2)) * 0.01
     prob[0] = 0
 
+    @functools.cache
     def total(w):
         if not w:
             return np.ones(2)
         out = np.zeros(2)
-        for k in range(1, min(len(w), langid.MAX_PIECE) + 1):
+        for k in range(1, len(w) + 1):
             p = vocabulary.get(w[:k], len(vocabulary) + 1 if k == 1 else 0)
             out = out + prob[p] * total(w[k:])
         return out
-    group = ["_a", "_the", "_sprache", "_日本語", "_œuvre"]
+    group = ["_a", "_the", "_sprache", "_日本語", "_œuvre", "_" + "internationalization" * 2, "_responsibilities"]
+    assert vocabulary.longest > 12 and any(len(p) == vocabulary.longest for p in vocabulary)
     assert np.allclose(langid.forward(group, vocabulary, prob), [np.log(total(w)) for w in group])
     one = langid._expected(group, np.ones(len(group)), vocabulary, prob[:, :1])
     # each letter lies in exactly one piece of a segmentation
@@ -100,6 +103,13 @@ def test_language_awkward(spark, awkward, nothing):
     assert langid.predict(nothing, model, RANKS).collect() == []
 
 
+def test_number_signs_are_no_letters(spark):
+    docs = frame(spark, list(enumerate(["½ ② ³", "Ⅷ", "a½", "١٢٣", "_", "ª"])))
+    model = (["en"], np.full((len(langid.pieces(RANKS)) + 2, 1), 1e-4))
+    assert [r["lang_pred"] for r in langid.predict(docs, model, RANKS).orderBy("doc_id").collect()] == [
+        "und", "und", "en", "und", "und", "en"]
+
+
 def test_words_of_long_texts():
     assert [w for part in langid.words("x" * 100) for w in part] == ["_" + "x" * 31] * 3 + ["_" + "x" * 7]
     assert sum(len(p) for p in langid.words("ab cd " * 400_000)) == 800_000
