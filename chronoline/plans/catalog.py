@@ -40,6 +40,8 @@ LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qua
 LINEITEM_FIELDS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 STORE_BATCH_ROWS = 50_000                    # batchSize: rows per store file (cap)
 COMPAT_DELTA_MS = 7 * 86_400_000             # compat cursor step: 7 days
+SESSION_GAP, SESSION_DELAY = "1 day", "2 days"
+SESSION_SPAN = "400 days"                    # how far versions of a point may lie behind
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -530,6 +532,42 @@ def stream_format_write(spark, sf_dir):
             .select("series_key", "field", "value_double", "time_ns"))
 
 
+def stream_upsert(spark, sf_dir):
+    """Versions of points streamed in several batches, in no order: the state keeps each
+    key's latest by ``event_id``, whichever batch brings it."""
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    from chronoline.streaming.stateful import upsert_stream, write_upserts
+    files, root = scratch_path(spark, "versions"), scratch_path(spark, "store")
+    ev = events_points(spark, sf_dir, keep=("event_id",))
+    day = F.col("time_ns") - F.pmod("time_ns", F.lit(86_400_000_000_000))
+    versions = ev.withColumn("time_ns", day).repartition(4, F.xxhash64("event_id"))
+    versions.write.parquet(files)
+    src = (spark.readStream.schema(spark.read.parquet(files).schema).option("maxFilesPerTrigger", 1).parquet(files))
+    q = write_upserts(upsert_stream(src, ["event_id"], SESSION_SPAN), root, "b", scratch_path(spark, "upsert-ck"),
+                      trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return store.read_points(spark, root, "b", "events").select("series_key", "field", "time_ns", "value_double")
+
+
+def stream_sessions(spark, sf_dir):
+    """Line files decoded in a stream, then event-time sessions of each series; those
+    that the watermark has closed."""
+    from chronoline.session import scratch_path
+    from chronoline.streaming.stateful import sessions
+    lines, out, ck = (scratch_path(spark, f"sessions-{x}") for x in ("lines", "out", "ck"))
+    codec.encode_lines(events_points(spark, sf_dir), "safe").write.text(lines)
+    pts = codec.decode_lines(spark.readStream.schema("value STRING").text(lines))
+    q = (sessions(pts, SESSION_GAP, SESSION_DELAY).writeStream.outputMode("append").format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(out)
+
+
 QUERIES = {
     "range_scan": range_scan,
     "first_last_time": first_last_time,
@@ -572,6 +610,8 @@ QUERIES = {
     "stream_late_drain": stream_late_drain,
     "stream_late_read": stream_late_read,
     "stream_tail_drain": stream_tail_drain,
+    "stream_upsert": stream_upsert,
+    "stream_sessions": stream_sessions,
     "format_range_scan": format_range_scan,
     "stream_format_write": stream_format_write,
 }

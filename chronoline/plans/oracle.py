@@ -238,6 +238,14 @@ ORACLE_SQL["stream_read_drain"] = ORACLE_SQL["encode_compat"]
 ORACLE_SQL["format_range_scan"] = f"""
     SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}
     WHERE t >= {A} AND t < {B} AND k LIKE 'events,event_type=click,%' AND value > 10"""
+ORACLE_SQL["stream_upsert"] = ORACLE_SQL["upsert_long"]
+# Gaps and islands; closed: a day after its last point, two days before the newest.
+ORACLE_SQL["stream_sessions"] = f"""
+    WITH g AS (SELECT k, t, CASE WHEN t - lag(t) OVER (PARTITION BY k ORDER BY t) <= 86400000000000 THEN 0 ELSE 1 END AS new
+               FROM {EV}),
+    s AS (SELECT k, t, sum(new) OVER (PARTITION BY k ORDER BY t ROWS UNBOUNDED PRECEDING) AS nth FROM g)
+    SELECT k AS series_key, min(t) AS first_ns, max(t) AS last_ns, count(*) AS n_records FROM s GROUP BY k, nth
+    HAVING max(t) + 3 * 86400000000000 <= (SELECT max(t) FROM {EV})"""
 ORACLE_SQL["stream_late_read"] = ORACLE_SQL["store_roundtrip"]
 ORACLE_SQL["stream_format_write"] = ORACLE_SQL["store_roundtrip"]
 ORACLE_SQL["stream_write_drain"] = ORACLE_SQL["store_roundtrip"]
