@@ -9,6 +9,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +40,9 @@ def ship(spark: SparkSession) -> None:
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop what no frame refers to any more: checkpoint files,
     shuffles, broadcasts and generated code of finished steps, which otherwise wait in
-    the driver for its next full collection."""
+    the driver for its next full collection; and gives Arrow's free memory back."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.System.gc()
 
 

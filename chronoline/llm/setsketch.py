@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoline.llm.common import connected_components, cut, fresh, ship, whole_text
+from chronoline.llm.common import connected_components, cut, fresh, release, ship, whole_text
 
 REGISTERS = 128      # a power of two
 BASE, RATE = 1.001, 20.0   # register values are spaced by BASE; RATE scales the variates
@@ -310,6 +310,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
 
     tried = cut(_estimated(pairs, classes, threshold, least))
     links = cut(_verify(texts, tried, k, percent))
+    release(docs.sparkSession)
     parts = cut(connected_components(links))
 
     labels = F.coalesce(F.col("component"), F.col("rep"))
@@ -329,6 +330,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     close = (threshold, least, rows)
     active = cut(sorted_by_tile(tiles.join(classes, F.col("t_rep") == F.col("rep")).select(*fields))
                  .mapInArrow(_active(*close), shape))
+    release(docs.sparkSession)
     late = (sorted_by_tile(active.join(texts, F.col("rep") == F.col("id")).select(*fields, "text").distinct())
             .mapInArrow(_tile_links(k, percent, *close), "src long, dst long"))
     joined = connected_components(late).select(F.col("node").alias("j_node"), F.col("component").alias("j"))
