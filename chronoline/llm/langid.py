@@ -31,6 +31,7 @@ BATCH_WORDS = 2048
 # Characters of words for Python's \w that are neither letters nor decimal digits.
 _NUMBER_SIGNS = "".join(c for c in map(chr, range(0x80, 0x110000))
                         if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
+_SIGN_SET, _PLAIN = frozenset(_NUMBER_SIGNS), re.compile(r"[^\W\d_]+")
 _WORD = re.compile(rf"[^\W\d_{_NUMBER_SIGNS}]+")
 
 
@@ -95,7 +96,9 @@ def words(text: str) -> Iterator[list[str]]:
     """A text's words of letters (Unicode category L), lower-cased and marked, in parts.
     A word of ``MAX_WORD`` letters or more becomes several words."""
     for part in text_blocks(text):
-        found = _WORD.findall(part.lower())
+        low = part.lower()
+        # The set of number signs is slow to match, and few texts have one.
+        found = (_PLAIN if _SIGN_SET.isdisjoint(low) else _WORD).findall(low)
         if found and max(map(len, found)) >= MAX_WORD:
             found = [w[i:i + MAX_WORD - 1] for w in found for i in range(0, len(w), MAX_WORD - 1)]
         yield [BEGIN + w for w in found]
