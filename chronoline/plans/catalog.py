@@ -328,6 +328,29 @@ def store_range_scan(spark, sf_dir):
             .select("series_key", "field", "value_double", "time_ns"))
 
 
+def store_series_scan(spark, sf_dir):
+    """One series of the store, the first by key: the key reaches the files' Bloom filters."""
+    from chronoline.sources import store
+    root, bucket = _store_events(spark, sf_dir)
+    key = events_points(spark, sf_dir).agg(F.min("series_key")).first()[0]
+    return (store.read_points(spark, root, bucket, "events", series=key or "")
+            .select("series_key", "field", "value_double", "time_ns"))
+
+
+def store_series_estimate(spark, sf_dir):
+    """Series of the whole store and of a range, from the sketches of its commit records,
+    and whether the exact number lies within their bounds."""
+    from chronoline.sources import store
+    root, bucket = _store_events(spark, sf_dir)
+    ev, out = events_points(spark, sf_dir), None
+    for name, start, stop in (("all", None, None), ("range", RANGE_START_NS, RANGE_STOP_NS)):
+        exact = P.in_range(ev, "events", start, stop).groupBy("measurement").agg(F.count_distinct("series_key").alias("n_exact"))
+        found = store.series_estimate(spark, root, bucket, "events", start, stop).join(exact, "measurement").select(
+            F.lit(name).alias("part"), "measurement", "n_exact", F.col("n_exact").between(F.col("least"), F.col("most")).alias("within_bounds"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def store_coalesced(spark, sf_dir):
     """Two batches with overlapping hours, one lowered to two partitions: hours of one
     proven batch are scanned, the shared ones upserted."""
@@ -602,6 +625,8 @@ QUERIES = {
     "store_roundtrip": store_roundtrip,
     "store_range_scan": store_range_scan,
     "store_coalesced": store_coalesced,
+    "store_series_scan": store_series_scan,
+    "store_series_estimate": store_series_estimate,
     "stream_read_drain": stream_read_drain,
     "stream_write_drain": stream_write_drain,
     "stream_arrival_drain": stream_arrival_drain,

@@ -233,6 +233,13 @@ ORACLE_SQL["flagship"] = f"""
 
 ORACLE_SQL["store_roundtrip"] = f"""
         SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}"""
+ORACLE_SQL["store_series_scan"] = f"""
+    SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}
+    WHERE k = (SELECT min(k) FROM {EV})"""
+ORACLE_SQL["store_series_estimate"] = f"""
+    SELECT 'all' AS part, 'events' AS measurement, count(DISTINCT k) AS n_exact, true AS within_bounds FROM {EV}
+    UNION ALL
+    SELECT 'range', 'events', count(DISTINCT k), true FROM {EV} WHERE t >= {A} AND t < {B}"""
 ORACLE_SQL["store_range_scan"] = ORACLE_SQL["range_scan"]
 ORACLE_SQL["stream_read_drain"] = ORACLE_SQL["encode_compat"]
 ORACLE_SQL["format_range_scan"] = f"""

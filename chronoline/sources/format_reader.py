@@ -17,7 +17,7 @@ from pyspark.sql import datasource as D
 
 from chronoline.sources.options import SourceOptions, _get
 from chronoline.sources.paths import arrow_path, arrow_uri
-from chronoline.streaming.source import (_POINT_COLS, BatchRange, TimeSlicePartition, _store_roots,
+from chronoline.streaming.source import (_POINT_COLS, BatchRange, TimeSlicePartition, _commit_schema, _store_roots,
                                          plan_partitions, read_slice)
 
 KEYS = ("measurement", "time_ns", "series_key", "field")
@@ -109,8 +109,7 @@ def commit_rows(path: str, bucket: str, measurements: set | None, start: int, st
              and not i.base_name.startswith(("_", "."))]
     if not files:
         return {}
-    schema = pa.schema([("measurement", pa.string()), ("min_ns", pa.int64()), ("max_ns", pa.int64()),
-                        ("n_records", pa.int64()), ("max_at_instant", pa.int64()), ("writer", pa.string()), ("batch_id", pa.int64())])
+    schema = pa.schema([*_commit_schema(), ("writer", pa.string()), ("batch_id", pa.int64())])
     d = ds.dataset(files, schema=schema, filesystem=fs, format="parquet", partition_base_dir=root,
                    partitioning=ds.partitioning(pa.schema([schema.field("writer"), schema.field("batch_id")]), flavor="hive"))
     flt = (ds.field("max_ns") >= start) & (ds.field("min_ns") < stop)
@@ -120,7 +119,8 @@ def commit_rows(path: str, bucket: str, measurements: set | None, start: int, st
     for r in d.to_table(filter=flt).to_pylist():
         found.setdefault(r["measurement"], []).append(
             BatchRange(r["writer"], r["batch_id"], r["min_ns"], r["max_ns"], r["n_records"],
-                       r["max_at_instant"] or r["n_records"], r["min_ns"] // 86_400_000_000_000))
+                       r["max_at_instant"] or r["n_records"], r["min_ns"] // 86_400_000_000_000,
+                       tuple(r["time_knots"] or ())))
     return found
 
 

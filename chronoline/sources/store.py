@@ -15,8 +15,10 @@ Layout under ``<path>/<bucket>/``::
   row-group statistics prune the rest (``PushedFilters`` on ``time_ns``).
 * ``written_at, batch_id, seq`` give the write order; a key (series, field, time)
   written twice keeps its latest write (:func:`read_points` ``dedupe=True``).
-* The commit records are tiny (one row per batch, measurement and hour); the stream
-  reader plans its cursor from them and never scans points on the driver.
+* The commit records are small (one row per batch, measurement and hour); the stream
+  reader plans its cursor from them and never scans points on the driver.  They carry
+  quantiles of the times, by which slices are cut, and a sketch of the series, from
+  which :func:`series_estimate` counts series without a scan.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, MapType, StringType,
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DateType, DoubleType, LongType, MapType, StringType,
                                StructField, StructType, TimestampType)
 
 from chronoline.functions.codec import POINT_COLUMNS
@@ -36,6 +38,11 @@ from chronoline.operators.points import in_range, upsert_latest
 NS_PER_DAY = 86_400_000_000_000
 NS_PER_HOUR = 3_600_000_000_000
 BROADCAST_HOURS = 100_000   # most hours of a range that are sent to every task
+KLL_K = 4096                # rank error of the time sketches about 0.13 %
+MOST_KNOTS, LEAST_KNOTS, KNOT_ROWS = 1024, 64, 100_000   # pieces of an hour's time quantiles
+HLL_BITS = 12               # series sketches of 4096 registers
+# Three standard errors of a merged sketch of that size.
+SERIES_ERROR = 3 * 1.04 / 2 ** (HLL_BITS / 2)
 
 # Write order, most significant first.
 def write_order() -> list:
@@ -64,6 +71,7 @@ COMMIT_SCHEMA = StructType([
     StructField("min_ns", LongType()),
     StructField("max_ns", LongType()), StructField("n_records", LongType()),
     StructField("max_at_instant", LongType()), StructField("n_keys", LongType()),
+    StructField("time_knots", ArrayType(LongType())), StructField("series_sketch", BinaryType()),
     StructField("writer", StringType()), StructField("batch_id", LongType())])
 
 
@@ -164,7 +172,11 @@ def write_data(points: DataFrame, path: str, bucket: str, writer: str, batch_id:
            .select(*[c for c in POINT_COLUMNS if c != "measurement"], "written_at", "seq",
                    "measurement", "day")
            .sortWithinPartitions("measurement", "day", "time_ns"))
-    w = out.write.mode("overwrite").partitionBy("measurement", "day")
+    # Bloom filters, sized by the keys found: a read of one series skips row groups
+    # whose least and largest key enclose it.
+    w = (out.write.mode("overwrite").partitionBy("measurement", "day")
+         .option("parquet.bloom.filter.enabled#series_key", "true")
+         .option("parquet.bloom.filter.adaptive.enabled", "true"))
     if batch_size:
         w = w.option("maxRecordsPerFile", int(batch_size))
     w.parquet(batch_dir(data_root(path, bucket), writer, batch_id))
@@ -178,12 +190,22 @@ def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id
     write_commit(points.sparkSession, path, bucket, writer, batch_id, prove_keys)
 
 
+def time_knots(sketch, n) -> Column:
+    """Times that cut a sketch's ``n`` rows into equal parts, its least and largest
+    included: ``KNOT_ROWS`` rows a part, but 64 to 1024 parts, and no more than rows."""
+    every = F.kll_sketch_get_quantile_bigint(sketch, F.lit([i / MOST_KNOTS for i in range(MOST_KNOTS + 1)]))
+    parts = F.least(F.greatest(F.ceil(F.col(n) / KNOT_ROWS), F.least(F.col(n), F.lit(LEAST_KNOTS))), F.lit(MOST_KNOTS))
+    part_of = lambda i: F.floor(i * parts / MOST_KNOTS)
+    return F.filter(every, lambda t, i: (i == 0) | (part_of(i) > part_of(i - 1)))
+
+
 def write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch_id: int,
                  prove_keys: bool = True) -> None:
     """Commit record of a written batch, one row per measurement, day and hour, from
     the narrow columns of the files just written.
 
-    ``min_ns, max_ns, n_records`` and ``max_at_instant`` plan slices.  Without
+    ``min_ns, max_ns, n_records``, ``time_knots`` and ``max_at_instant`` plan slices;
+    ``series_sketch`` counts series.  Without
     ``prove_keys`` they cost one aggregation of which only partial rows are shuffled
     (an hour, not a row, each); ``max_at_instant`` then is the number
     of rows at the write time, where lines without a time lie (all rows of an hour of
@@ -195,22 +217,22 @@ def write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch
     bdir = batch_dir(data_root(path, bucket), writer, batch_id)
     written = spark.read.schema(schema).parquet(bdir)
     hour = floor_div("time_ns", NS_PER_HOUR).alias("hour")
-    spread = [F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns")]
+    at_write = F.count_if(F.col("time_ns") == F.unix_micros("written_at") * 1000)
+    stats = written.groupBy("measurement", "day", hour).agg(
+        F.min("time_ns").alias("min_ns"), F.max("time_ns").alias("max_ns"), F.count(F.lit(1)).alias("n_records"),
+        at_write.alias("_w"), F.kll_sketch_agg_bigint("time_ns", KLL_K).alias("_times"),
+        F.hll_sketch_agg("series_key", HLL_BITS).alias("series_sketch"))
+    crowd = F.when(F.col("min_ns") == F.col("max_ns"), F.col("n_records")).otherwise(F.greatest("_w", F.lit(1)))
+    n_keys = F.lit(None).cast("bigint")
     if prove_keys:
-        per_key = written.groupBy("measurement", "day", "time_ns", "series_key", "field").agg(
-            F.count(F.lit(1)).alias("_c"))
-        per_instant = per_key.groupBy("measurement", "day", "time_ns").agg(
-            F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_k"))
-        stats = per_instant.groupBy("measurement", "day", hour).agg(
-            *spread, F.sum("_n").alias("n_records"), F.max("_n").alias("max_at_instant"),
-            F.sum("_k").alias("n_keys"))
-    else:
-        at_write = F.count_if(F.col("time_ns") == F.unix_micros("written_at") * 1000)
-        stats = written.groupBy("measurement", "day", hour).agg(
-            *spread, F.count(F.lit(1)).alias("n_records"), at_write.alias("_w")).select(
-            "measurement", "day", "hour", "min_ns", "max_ns", "n_records",
-            F.when(F.col("min_ns") == F.col("max_ns"), F.col("n_records")).otherwise(F.greatest("_w", F.lit(1)))
-            .alias("max_at_instant"), F.lit(None).cast("bigint").alias("n_keys"))
+        per_instant = (written.groupBy("measurement", "day", "time_ns", "series_key", "field").agg(F.count(F.lit(1)).alias("_c"))
+                       .groupBy("measurement", "day", "time_ns").agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_k")))
+        proof = per_instant.groupBy(F.col("measurement").alias("_m"), F.col("day").alias("_d"), hour.alias("_h")).agg(
+            F.max("_n").alias("_most"), F.sum("_k").alias("_keys"))
+        same = [F.col(x).eqNullSafe(F.col(y)) for x, y in (("measurement", "_m"), ("day", "_d"), ("hour", "_h"))]
+        stats, crowd, n_keys = stats.join(proof, same), F.col("_most"), F.col("_keys")
+    stats = stats.select("measurement", "day", "hour", "min_ns", "max_ns", "n_records", crowd.alias("max_at_instant"),
+                         n_keys.alias("n_keys"), time_knots("_times", "n_records").alias("time_knots"), "series_sketch")
     stats.write.mode("overwrite").parquet(batch_dir(commits_root(path, bucket), writer, batch_id))
 
 
@@ -264,13 +286,16 @@ def committed_dirs(spark: SparkSession, path: str, bucket: str, measurement: str
     """Directories of committed batches that may hold points of the range: whole
     batches, or with a measurement their ``measurement=<m>/day=<d>`` directories.
     The driver gets one row for each, fewer than the files it lists there next."""
-    by_day = ["measurement", "day"] if measurement is not None else []
-    rows = commits_in(spark, path, bucket, measurement, start, stop).select(
-        "writer", "batch_id", *by_day).distinct().collect()
+    return _dirs_of(commits_in(spark, path, bucket, measurement, start, stop), path, bucket,
+                    by_day=measurement is not None)
+
+
+def _dirs_of(rows: DataFrame, path: str, bucket: str, by_day: bool) -> list[str]:
+    found = rows.select("writer", "batch_id", *(["measurement", "day"] if by_day else [])).distinct().collect()
     root = data_root(path, bucket)
     return sorted(batch_dir(root, r["writer"], r["batch_id"])
                   + (f"/measurement={escape_partition_value(r['measurement'])}/day={r['day'].isoformat()}"
-                     if by_day else "") for r in rows)
+                     if by_day else "") for r in found)
 
 
 def hours_with_repeats(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
@@ -292,6 +317,36 @@ def may_hold_duplicates(spark: SparkSession, path: str, bucket: str,
     return bool(hours.agg(F.max("repeats")).first()[0])
 
 
+def series_estimate(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
+                    start: int | None = None, stop: int | None = None) -> DataFrame:
+    """``measurement, n_series, least, most``: about how many series have points in
+    ``[start, stop)``, and the bounds of three standard errors (``SERIES_ERROR``).
+
+    Hours that lie in the range come from the sketches of the commit records, merged;
+    points are read only for commit rows that the range cuts, or that have no sketch
+    (:mod:`~chronoline.sources.format_writer`), and sketched the same way.  A measurement
+    without points in the range has no row."""
+    rows = commits_in(spark, path, bucket, measurement, start, stop)
+    inside = F.col("series_sketch").isNotNull()
+    if start is not None:
+        inside = inside & (F.col("min_ns") >= F.lit(int(start)))
+    if stop is not None:
+        inside = inside & (F.col("max_ns") < F.lit(int(stop)))
+    sketches = rows.where(inside).select("measurement", F.col("series_sketch").alias("s"))
+    dirs = _dirs_of(rows.where(~inside), path, bucket, by_day=True)
+    if dirs:
+        on = ["writer", "batch_id", "measurement", "hour"]
+        points = (_read_dirs(spark, path, bucket, dirs, measurement, start, stop)
+                  .withColumn("hour", floor_div("time_ns", NS_PER_HOUR))
+                  .join(rows.where(~inside).select(*on), on, "left_semi"))
+        sketches = sketches.unionByName(points.groupBy("measurement").agg(
+            F.hll_sketch_agg("series_key", HLL_BITS).alias("s")))
+    n = F.col("n_series")
+    return (sketches.groupBy("measurement").agg(F.hll_sketch_estimate(F.hll_union_agg("s")).alias("n_series"))
+            .select("measurement", "n_series", F.floor(n / (1 + SERIES_ERROR)).alias("least"),
+                    F.ceil(n / (1 - SERIES_ERROR)).alias("most")))
+
+
 def _read_dirs(spark: SparkSession, path: str, bucket: str, dirs: list[str],
                measurement, start, stop) -> DataFrame:
     if not dirs:
@@ -306,21 +361,27 @@ def _read_dirs(spark: SparkSession, path: str, bucket: str, dirs: list[str],
 
 
 def read_store(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
-               start: int | None = None, stop: int | None = None) -> DataFrame:
+               start: int | None = None, stop: int | None = None,
+               series: str | list[str] | None = None) -> DataFrame:
     """Committed stored rows (points plus write-order and partition columns),
     filtered by measurement and ``[start, stop)``; every version of a point.
 
     With a measurement, Spark is given the committed day directories in range
     only; partition filters on ``measurement``/``day`` and pushed ``time_ns``
-    filters then prune further."""
+    filters then prune further.  ``series`` (series keys; none of them: no rows) is
+    pushed too, to the Bloom filters of the files."""
     dirs = committed_dirs(spark, path, bucket, measurement, start, stop)
-    return _read_dirs(spark, path, bucket, dirs, measurement, start, stop)
+    rows = _read_dirs(spark, path, bucket, dirs, measurement, start, stop)
+    if series is None:
+        return rows
+    return rows.where(F.col("series_key") == series if isinstance(series, str) else F.col("series_key").isin(list(series)))
 
 
 def read_points(spark: SparkSession, path: str, bucket: str, measurement: str | None = None,
                 start: int | None = None, stop: int | None = None,
-                dedupe: bool | str = "auto") -> DataFrame:
-    """Long points of the store (the batch form of the time-range scan).
+                dedupe: bool | str = "auto", series: str | list[str] | None = None) -> DataFrame:
+    """Long points of the store (the batch form of the time-range scan), of all series
+    or of some series keys.
 
     ``dedupe`` applies last-write-wins on (series_key, field, time_ns) -- the
     store's upsert semantics -- as one aggregation with map-side partial
@@ -328,7 +389,7 @@ def read_points(spark: SparkSession, path: str, bucket: str, measurement: str |
     commit records leave it open whether a key repeats; other hours are scanned
     without a shuffle.  ``False`` returns every stored version without a shuffle.
     """
-    df = read_store(spark, path, bucket, measurement, start, stop)
+    df = read_store(spark, path, bucket, measurement, start, stop, series)
     latest = lambda d: upsert_latest(d, order=write_order()).select(*POINT_COLUMNS)
     if dedupe != "auto":
         return latest(df) if dedupe else df.select(*POINT_COLUMNS)

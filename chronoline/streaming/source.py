@@ -69,6 +69,13 @@ def qualified(spark, path: str) -> str:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
+def _commit_schema():
+    """The columns of commit records that plan a read; older records lack some."""
+    import pyarrow as pa
+    return pa.schema([("measurement", pa.string()), *((c, pa.int64()) for c in (
+        "min_ns", "max_ns", "n_records", "max_at_instant")), ("time_knots", pa.list_(pa.int64()))])
+
+
 def _store_roots(path: str, bucket: str) -> tuple[str, str]:
     root = f"{path.rstrip('/')}/{bucket}"
     return f"{root}/data", f"{root}/_commits"
@@ -83,6 +90,7 @@ class BatchRange:
     n_records: int
     max_at_instant: int = 0
     day: int = 0               # days since 1970 of the rows' directory
+    knots: tuple = ()          # times that cut the rows into equal parts, ends included
 
 
 def list_commits(path: str, bucket: str, measurement: str,
@@ -93,8 +101,8 @@ def list_commits(path: str, bucket: str, measurement: str,
     rows) only files not seen before are read.  Each trigger then costs one listing
     plus the new commits, not a read of every commit ever made.  A bucket that does
     not exist is an error; one without commits is empty."""
+    import pyarrow.dataset as ds
     import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
 
     _, croot = _store_roots(path, bucket)
     fs, root = arrow_path(croot)
@@ -111,11 +119,11 @@ def list_commits(path: str, bucket: str, measurement: str,
             continue
         parts = dict(seg.split("=", 1) for seg in f[len(root):].strip("/").split("/")[:-1]
                      if "=" in seg)
-        t = pq.read_table(f, filesystem=fs, filters=[("measurement", "==", measurement)], columns=[
-            "measurement", "min_ns", "max_ns", "n_records", "max_at_instant"])
-        cols = (t[c].to_pylist() for c in ("min_ns", "max_ns", "n_records", "max_at_instant"))
-        cache[f] = [BatchRange(parts["writer"], int(parts["batch_id"]), lo, hi, n, most or n, lo // NS_PER_DAY)
-                    for lo, hi, n, most in zip(*cols)]
+        t = ds.dataset([f], schema=_commit_schema(), filesystem=fs, format="parquet").to_table(
+            filter=ds.field("measurement") == measurement)
+        cols = (t[c].to_pylist() for c in ("min_ns", "max_ns", "n_records", "max_at_instant", "time_knots"))
+        cache[f] = [BatchRange(parts["writer"], int(parts["batch_id"]), lo, hi, n, most or n, lo // NS_PER_DAY,
+                               tuple(knots or ())) for lo, hi, n, most, knots in zip(*cols)]
     return [br for rows in cache.values() for br in rows]
 
 
@@ -136,13 +144,24 @@ class TimeSlicePartition(InputPartition):
 
 
 def _row_curve(batches: list[BatchRange], a: int, b: int):
-    """Times from ``a`` to ``b``, and the estimated rows before each: every commit
-    row's records lie evenly between its first and last time.  One sort of the
-    commit rows' edges."""
+    """Times from ``a`` to ``b``, and the estimated rows before each: a commit row's
+    records lie evenly between neighbouring knots, without knots between its first and
+    last time.  One sort of all their edges."""
     import numpy as np
-    lo = np.array([r.min_ns for r in batches], np.int64)
-    hi = np.array([r.max_ns for r in batches], np.int64) + 1
-    rate = np.array([r.n_records for r in batches], np.float64) / (hi - lo)
+    plain = [r for r in batches if len(r.knots) < 2]
+    lo = [np.array([r.min_ns for r in plain], np.int64)]
+    hi = [np.array([r.max_ns for r in plain], np.int64) + 1]
+    n = [np.array([r.n_records for r in plain], np.float64)]
+    for r in batches:
+        if len(r.knots) >= 2:
+            at = np.array(r.knots, np.int64)
+            lo.append(at[:-1])
+            # A part of one instant; the last part ends behind its time.
+            hi.append(np.maximum(at[1:], at[:-1] + 1))
+            hi[-1][-1] = at[-1] + 1
+            n.append(np.full(len(at) - 1, r.n_records / (len(at) - 1)))
+    lo, hi, n = np.concatenate(lo), np.concatenate(hi), np.concatenate(n)
+    rate = n / (hi - lo)
     at = np.concatenate([lo, hi, [a, b]])
     change = np.concatenate([rate, -rate, [0.0, 0.0]])
     order = np.argsort(at, kind="stable")
@@ -191,11 +210,13 @@ def plan_partitions(batches: list[BatchRange], start: int, end: int, opts: Sourc
     edges = [a, *balanced_cuts(live, a, b, n), b] if opts.balance == "count" and n > 1 else [
         a, *(stop for _, _, stop in plan_slices(a, b, n))]
     edges = np.unique(np.clip(np.array(edges, np.int64), a, b))
-    before = np.interp(edges.astype(np.float64), at.astype(np.float64), rows)
+    # Times from ``a``, as nanoseconds since 1970 are too long for a double.
+    before = np.interp((edges - a).astype(np.float64), (at - a).astype(np.float64), rows)
     parts = np.ceil(np.diff(before) / opts.max_rows_per_slice - 1e-6).astype(int)
     more = [lo + (hi - lo) * np.arange(1, k) / k for lo, hi, k in zip(before, before[1:], parts) if k > 1]
     if more:
         edges = np.unique(np.concatenate([edges, _times_at(at, rows, np.concatenate(more))]))
+    held = np.diff(np.interp((edges - a).astype(np.float64), (at - a).astype(np.float64), rows)).tolist()
     first = np.array([r.min_ns for r in live], np.int64)
     last = np.array([r.max_ns for r in live], np.int64)
     out = []
@@ -205,14 +226,17 @@ def plan_partitions(batches: list[BatchRange], start: int, end: int, opts: Sourc
         crowd: dict[tuple, int] = {}
         for r in over:
             days.setdefault((r.writer, r.batch_id), set()).add(r.day)
-            crowd[r.writer, r.batch_id] = max(crowd.get((r.writer, r.batch_id), 0), r.max_at_instant)
+            if len(r.knots) < 2:
+                crowd[r.writer, r.batch_id] = max(crowd.get((r.writer, r.batch_id), 0), r.max_at_instant)
         if not days:
             continue
         sel = [(w, n_, sorted(d)) for (w, n_), d in sorted(days.items())]
         # Time cannot split one instant: when the rows that may share one instant
         # exceed the slice budget, split the slice by key hash instead (all
-        # versions of a key stay together, so dedupe stays exact).
-        k = max(1, math.ceil(sum(crowd.values()) / opts.max_rows_per_slice))
+        # versions of a key stay together, so dedupe stays exact).  Knots show such
+        # an instant as a slice that is still too big; a tenth over comes from rounding.
+        k = max(1, math.ceil(sum(crowd.values()) / opts.max_rows_per_slice),
+                math.ceil(held[i] / opts.max_rows_per_slice - 0.1))
         for j in range(k):
             out.append(TimeSlicePartition(i, lo, hi, opts.measurement, data_root, sel,
                                           opts.dedupe, j, k))

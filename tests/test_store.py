@@ -137,3 +137,113 @@ def test_commit_without_proof(spark, tmp_store):
     assert rows == {0: (10, 10, 2, 2, None), 1: (hour, hour + 1, 2, 1, None)}
     assert store.may_hold_duplicates(spark, tmp_store, "b")
     assert store.read_points(spark, tmp_store, "b").count() == 3
+
+
+def test_time_knots_follow_the_rows(spark, tmp_store):
+    """A burst inside an hour, and an instant that many rows share, show in the knots;
+    the plan then cuts the burst by time and the instant by keys."""
+    from chronoline.sources.options import SourceOptions
+    from chronoline.streaming.source import _store_roots, list_commits, plan_partitions, qualified
+    hour, second = store.NS_PER_HOUR, 1_000_000_000
+    burst = [(f"h{i % 50}", 1.0, 30 * 60 * second + i * 1000) for i in range(5000)]
+    even = [(f"h{i % 50}", 1.0, i * hour // 500) for i in range(500)]
+    crowd = [(f"h{i}", 1.0, hour + 7) for i in range(3000)] + [("h0", 1.0, hour + 9 * second)]
+    for prove in (True, False):
+        bucket = f"b{prove}"
+        store.write_points(_pts(spark, burst + even + crowd), tmp_store, bucket, prove_keys=prove)
+        path = qualified(spark, tmp_store)
+        rows = list_commits(path, bucket, "cpu")
+        assert {len(r.knots) for r in rows} == {65}
+        for r in rows:
+            assert (r.knots[0], r.knots[-1]) == (r.min_ns, r.max_ns) and list(r.knots) == sorted(r.knots)
+        opts = SourceOptions.parse({"path": path, "bucket": bucket, "measurement": "cpu", "maxRowsPerSlice": "1000"})
+        parts = plan_partitions(rows, 0, 2 * hour, opts, _store_roots(path, bucket)[0])
+        times = [t for _, _, t in burst + even + crowd]
+        held = [sum(p.start_ns <= t < p.stop_ns for t in times) / p.n_buckets for p in parts]
+        # Off by a knot of each end at most: 5500 / 64 rows.
+        assert max(held) <= 1000 + 2 * 5500 / 64 + 2
+        assert any(p.n_buckets >= 3 and p.start_ns <= hour + 7 < p.stop_ns for p in parts)
+        assert round(sum(held), 6) == len(times)
+
+
+def test_burst_of_many_rows_keeps_to_the_budget():
+    """200 million rows in one second of an hour, by 1024 knots: no slice over budget
+    but by its share of two knots."""
+    import numpy as np
+    from chronoline.sources.options import SourceOptions
+    from chronoline.streaming.source import BatchRange, plan_partitions
+    second, n, quiet = 1_000_000_000, 200_000_000, 1000
+    def rows_before(t):   # the truth: quiet rows all over the hour, a burst in second 1800
+        return quiet * t / (3600 * second) + (n - quiet) * np.clip((t - 1800 * second) / second, 0, 1)
+    grid = np.concatenate([[0], np.linspace(1800 * second, 1801 * second, 100_001), [3600 * second - 1]])
+    knots = np.interp(np.arange(1025) / 1024 * rows_before(grid[-1]), rows_before(grid), grid).astype(np.int64)
+    b = [BatchRange("w", 0, 0, 3600 * second - 1, n, 1, 0, tuple(knots.tolist()))]
+    opts = SourceOptions.parse({"path": "/x", "bucket": "b", "measurement": "m", "maxRowsPerSlice": "2000000"})
+    parts = plan_partitions(b, 0, 3600 * second, opts, "/d")
+    held = [float(rows_before(p.stop_ns) - rows_before(p.start_ns)) / p.n_buckets for p in parts]
+    assert max(held) <= 2_000_000 + 2 * n / 1024
+    assert len(parts) < 250
+
+
+def test_series_estimate(spark, tmp_store):
+    """Whole hours from sketches, cut hours and records without a sketch by a scan."""
+    hour = store.NS_PER_HOUR
+    a = [(f"a{i}", 1.0, i % 7) for i in range(2000)]
+    b = [(f"b{i}", 1.0, hour + i) for i in range(1000)]
+    store.write_points(_pts(spark, a + b), tmp_store, "b")
+    store.write_points(_pts(spark, a[:500]), tmp_store, "b", prove_keys=False)
+
+    def estimate(bucket="b", **kw):
+        rows = store.series_estimate(spark, tmp_store, bucket, "cpu", **kw).collect()
+        return (rows[0].n_series, rows[0].least, rows[0].most) if rows else None
+
+    for true, kw in ((3000, {}), (2000, {"stop": hour}), (1000, {"start": hour}), (2300, {"stop": hour + 300}),
+                     (700, {"start": hour + 300})):
+        n, least, most = estimate(**kw)
+        assert least <= true <= most and abs(n - true) <= store.SERIES_ERROR * true, kw
+    assert estimate(start=5 * hour) is None
+    # All in range: commit records alone.
+    plan = store.series_estimate(spark, tmp_store, "b", "cpu")._jdf.queryExecution().optimizedPlan().toString()
+    assert "value_double" not in plan and plan.count("Relation [") == 1
+    # The writer of the format leaves no sketch.
+    from chronoline.streaming.source import qualified, register
+    register(spark)
+    (_pts(spark, a).write.format("linepoints").mode("append").option("path", qualified(spark, tmp_store))
+     .option("bucket", "f").save())
+    n, least, most = estimate("f")
+    assert least <= 2000 <= most
+
+
+def _scanned(df) -> int:
+    """Rows that the file scans of a collected DataFrame put out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves, n = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("Scan parquet"):
+            n += leaf.metrics().apply("numOutputRows").value()
+    return n
+
+
+def test_one_series_skips_files_by_bloom_filter(spark, tmp_store):
+    """Two days of keys whose ranges overlap, too many for a dictionary: the file that
+    lacks the series is not read."""
+    day, n = store.NS_PER_DAY, 60_000
+    rows = spark.range(2 * n).select(
+        F.lit("cpu").alias("measurement"),
+        F.create_map(F.lit("host"), F.concat(F.lit("a-rather-long-host-name-"), F.lpad(F.col("id").cast("string"), 9, "0"))).alias("tags"),
+        F.lit("v").alias("field"), F.col("id").cast("double").alias("value_double"), F.lit(None).cast("bigint").alias("value_long"),
+        F.lit(None).cast("boolean").alias("value_bool"), F.lit(None).cast("string").alias("value_string"),
+        (F.col("id") % 2 * day + F.col("id")).alias("time_ns"))
+    rows = rows.withColumn("series_key", F.concat(F.lit("cpu,host="), F.col("tags")["host"]))
+    store.write_points(rows, tmp_store, "b", num_partitions=1)
+    key = f"cpu,host=a-rather-long-host-name-{n:09d}"
+    one = store.read_points(spark, tmp_store, "b", "cpu", series=key)
+    assert [(r.value_double, r.time_ns) for r in one.collect()] == [(float(n), n)]
+    assert 0 < _scanned(one) <= n
+    assert "series_key" in one._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+    assert _scanned(store.read_points(spark, tmp_store, "b", "cpu", series=[])) == 0
+    two = store.read_points(spark, tmp_store, "b", "cpu", series=[key, f"cpu,host=a-rather-long-host-name-{n + 1:09d}", "no"])
+    assert two.count() == 2
+    assert _scanned(store.read_points(spark, tmp_store, "b", "cpu", series="cpu,host=a-rather-long-host-name-000000001x")) == 0
