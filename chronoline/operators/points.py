@@ -324,3 +324,24 @@ def to_wide(points: DataFrame, fields: list[str] | dict | None = None,
         else:
             aggs.append(F.max(F.when(mine, value)).cast(cast).alias(name))
     return points.groupBy("series_key", "time_ns").agg(*aggs)
+
+
+def to_wide_variant(points: DataFrame, order: list | None = None) -> DataFrame:
+    """Long -> wide for unknown fields with their types: ``series_key, time_ns, fields``,
+    ``fields`` a VARIANT object of doubles, longs, booleans and strings (read with
+    ``variant_get(fields, '$.name', 'double')``).
+
+    As in :func:`to_wide`, one value for each (series, time, field) comes first: the latest
+    by the write ``order``, else the largest (a double before a long, a boolean, a string),
+    so the list of a point is bounded by the number of field names.  A point without a
+    value is a JSON null."""
+    value = F.struct(*VALUE_COLUMNS)
+    one = F.max(value) if not order else F.max_by(value, F.struct(
+        *[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)]))
+    per_field = points.groupBy("series_key", "time_ns", "field").agg(one.alias("_v"))
+    # A VARIANT does not sort: entries are ordered by field before the values are cast.
+    entries = F.array_sort(F.collect_list(F.struct("field", "_v")))
+    cast_entry = lambda e: F.struct(e["field"].alias("field"), F.coalesce(
+        *[e["_v"][c].cast("variant") for c in VALUE_COLUMNS]).alias("value"))
+    return per_field.groupBy("series_key", "time_ns").agg(
+        F.to_variant_object(F.map_from_entries(F.transform(entries, cast_entry))).alias("fields"))

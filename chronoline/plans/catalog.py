@@ -300,6 +300,14 @@ def wide_map(spark, sf_dir):
         F.array_sort(F.map_entries("fields")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("fields"))
 
 
+def wide_variant(spark, sf_dir):
+    """The wide form for an unknown set of fields with their types, read back as columns."""
+    wide = P.to_wide_variant(events_points(spark, sf_dir, fields=("value", "event_id", "props")))
+    get = lambda name, kind: F.try_variant_get("fields", f"$.{name}", kind).alias(name)
+    return wide.select("series_key", "time_ns", get("value", "double"), get("event_id", "bigint"), get("props", "string"),
+                       F.schema_of_variant("fields").alias("types"))
+
+
 # --------------------------------------------------------------------------- store, streams
 
 
@@ -622,6 +630,7 @@ QUERIES = {
     "upsert_long": upsert_long,
     "wide_points": wide_points,
     "wide_map": wide_map,
+    "wide_variant": wide_variant,
     "store_roundtrip": store_roundtrip,
     "store_range_scan": store_range_scan,
     "store_coalesced": store_coalesced,

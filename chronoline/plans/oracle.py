@@ -233,6 +233,11 @@ ORACLE_SQL["flagship"] = f"""
 
 ORACLE_SQL["store_roundtrip"] = f"""
         SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}"""
+ORACLE_SQL["wide_variant"] = f"""
+    SELECT *, 'OBJECT<' || concat_ws(', ', CASE WHEN event_id IS NOT NULL THEN 'event_id: BIGINT' END,
+           CASE WHEN props IS NOT NULL THEN 'props: STRING' END, CASE WHEN value IS NOT NULL THEN 'value: DOUBLE' END) || '>' AS types
+    FROM (SELECT {EV_KEY} AS series_key, {EV_T} AS time_ns, max(value) AS value, max(event_id) AS event_id, max(props) AS props
+          FROM events WHERE value IS NOT NULL OR event_id IS NOT NULL OR props IS NOT NULL GROUP BY 1, 2)"""
 ORACLE_SQL["store_series_scan"] = f"""
     SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}
     WHERE k = (SELECT min(k) FROM {EV})"""

@@ -247,3 +247,16 @@ def test_one_series_skips_files_by_bloom_filter(spark, tmp_store):
     two = store.read_points(spark, tmp_store, "b", "cpu", series=[key, f"cpu,host=a-rather-long-host-name-{n + 1:09d}", "no"])
     assert two.count() == 2
     assert _scanned(store.read_points(spark, tmp_store, "b", "cpu", series="cpu,host=a-rather-long-host-name-000000001x")) == 0
+
+
+def test_wide_variant_keeps_types_and_the_latest(spark):
+    from chronoline.operators.points import to_wide_variant
+    rows = spark.createDataFrame(
+        [("k", 1, "d", 1.5, None, None, None, 1), ("k", 1, "n", None, 9007199254740993, None, None, 1),
+         ("k", 1, "t", None, None, True, None, 1), ("k", 1, "s", None, None, None, 'x"y', 1),
+         ("k", 1, "s", None, None, None, "a", 2), ("k", 1, "d", None, 7, None, None, 2), ("k", 2, "e", None, None, None, None, 1)],
+        "series_key string, time_ns long, field string, value_double double, value_long long, value_bool boolean, value_string string, w long")
+    as_json = lambda df: {r.time_ns: r.j for r in df.select("time_ns", F.to_json("fields").alias("j")).collect()}
+    assert as_json(to_wide_variant(rows, ["w"])) == {1: '{"d":7,"n":9007199254740993,"s":"a","t":true}', 2: '{"e":null}'}
+    assert as_json(to_wide_variant(rows)) == {1: '{"d":1.5,"n":9007199254740993,"s":"x\\"y","t":true}', 2: '{"e":null}'}
+    assert as_json(to_wide_variant(rows.limit(0))) == {}
