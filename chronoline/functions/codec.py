@@ -265,6 +265,7 @@ def series_key_from_map_compat() -> Column:
 def _text_of(df: DataFrame, column: str) -> Column:
     """The line text column; exactly ``column`` (case-sensitive), String or Binary."""
     names = [f.name for f in df.schema.fields]
+    # Fixed texts, as callers match on them.
     if column not in names:
         raise ValueError(f"Required attribute '{column}' not found")
     dtype = df.schema[column].dataType

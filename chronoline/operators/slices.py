@@ -23,6 +23,10 @@ from chronoline.functions.nanos import floor_div
 
 LONG_MIN = -(2 ** 63)
 
+# Fixed texts, as callers match on them.
+NO_SLICES = "The time slice number must be greater than zero!"
+BACKWARDS = "The start time cannot be greater than the end time!"
+
 
 def plan_slices(start: int, stop: int, n: int) -> list[tuple[int, int, int]]:
     """``[(slice_id, start_ns, stop_ns)]`` of ``[start, stop)`` in ``n`` slices.
@@ -32,9 +36,9 @@ def plan_slices(start: int, stop: int, n: int) -> list[tuple[int, int, int]]:
     narrower than ``n`` gives zero-width slices and puts all of it in the last.
     """
     if n < 1:
-        raise ValueError("The time slice number must be greater than zero!")
+        raise ValueError(NO_SLICES)
     if start > stop:
-        raise ValueError("The start time cannot be greater than the end time!")
+        raise ValueError(BACKWARDS)
     if n == 1:
         return [(0, start, stop)]
     width = (stop - start) // n
@@ -48,7 +52,7 @@ def plan_slices(start: int, stop: int, n: int) -> list[tuple[int, int, int]]:
 
 def _check_n(n: int) -> None:
     if n < 1:
-        raise ValueError("The time slice number must be greater than zero!")
+        raise ValueError(NO_SLICES)
 
 
 def data_bounds(points: DataFrame) -> DataFrame:
@@ -73,7 +77,7 @@ def time_slices(bounds: DataFrame, n: int, start_col: str = "lo_ns",
     start = F.col("_lo") + F.col("slice_id").cast("bigint") * F.col("_w")
     stop = F.when(F.col("slice_id") == n - 1, F.col("_hi")).otherwise(start + F.col("_w"))
     checked = F.when(F.col("_lo") > F.col("_hi"),
-                     F.raise_error(F.lit("The start time cannot be greater than the end time!"))
+                     F.raise_error(F.lit(BACKWARDS))
                      ).otherwise(start)
     return rows.select(F.col("slice_id").cast("int").alias("slice_id"),
                        checked.cast("bigint").alias("start_ns"), stop.cast("bigint").alias("stop_ns"))

@@ -38,6 +38,7 @@ def validate_lines_schema(df: DataFrame, column: str = "value") -> None:
     """The input must have a column named exactly ``value`` (case-sensitive) of
     type STRING or BINARY; other columns are allowed and ignored."""
     names = [f.name for f in df.schema.fields]
+    # Fixed texts, as callers match on them.
     if column not in names:
         raise ValueError(f"Required attribute '{column}' not found")
     dtype = df.schema[column].dataType
@@ -119,6 +120,7 @@ def write_stream(df: DataFrame, path: str, bucket: str, checkpoint_location: str
     ``{"availableNow": True}``).
     """
     if str(output_mode).lower() != "append":
+        # Fixed text, as callers match on it.
         raise ValueError(f"Data source does not support {output_mode} output mode")
     opts = SinkOptions.parse({"path": path, "bucket": bucket, "batchSize": batch_size,
                               "numPartitions": num_partitions, "compat": compat,
