@@ -193,10 +193,15 @@ def write_batch(points: DataFrame, path: str, bucket: str, writer: str, batch_id
 def time_knots(sketch, n) -> Column:
     """Times that cut a sketch's ``n`` rows into equal parts, its least and largest
     included: ``KNOT_ROWS`` rows a part, but 64 to 1024 parts, and no more than rows."""
-    every = F.kll_sketch_get_quantile_bigint(sketch, F.lit([i / MOST_KNOTS for i in range(MOST_KNOTS + 1)]))
-    parts = F.least(F.greatest(F.ceil(F.col(n) / KNOT_ROWS), F.least(F.col(n), F.lit(LEAST_KNOTS))), F.lit(MOST_KNOTS))
-    part_of = lambda i: F.floor(i * parts / MOST_KNOTS)
-    return F.filter(every, lambda t, i: (i == 0) | (part_of(i) > part_of(i - 1)))
+    def picked(most: int, parts: Column) -> Column:
+        every = F.kll_sketch_get_quantile_bigint(sketch, F.lit([i / most for i in range(most + 1)]))
+        part_of = lambda i: F.floor(i * parts / most)
+        return F.filter(every, lambda t, i: (i == 0) | (part_of(i) > part_of(i - 1)))
+
+    # Most hours are small, and 1025 quantiles of each cost more than its rows.
+    few = picked(LEAST_KNOTS, F.least(F.col(n), F.lit(LEAST_KNOTS)))
+    many = picked(MOST_KNOTS, F.least(F.ceil(F.col(n) / KNOT_ROWS), F.lit(MOST_KNOTS)))
+    return F.when(F.col(n) > LEAST_KNOTS * KNOT_ROWS, many).otherwise(few)
 
 
 def write_commit(spark: SparkSession, path: str, bucket: str, writer: str, batch_id: int,

@@ -260,3 +260,13 @@ def test_wide_variant_keeps_types_and_the_latest(spark):
     assert as_json(to_wide_variant(rows, ["w"])) == {1: '{"d":7,"n":9007199254740993,"s":"a","t":true}', 2: '{"e":null}'}
     assert as_json(to_wide_variant(rows)) == {1: '{"d":1.5,"n":9007199254740993,"s":"x\\"y","t":true}', 2: '{"e":null}'}
     assert as_json(to_wide_variant(rows.limit(0))) == {}
+
+
+def test_time_knots_of_large_and_tiny_hours(spark, monkeypatch):
+    monkeypatch.setattr(store, "KNOT_ROWS", 10)
+    rows = spark.range(5003).select(F.when(F.col("id") < 5000, 1).otherwise(2).alias("g"), F.col("id").alias("t"))
+    got = {r.g: r.k for r in rows.groupBy("g").agg(F.kll_sketch_agg_bigint("t", store.KLL_K).alias("s"), F.count("*").alias("n"))
+           .select("g", store.time_knots("s", "n").alias("k")).collect()}
+    assert len(got[1]) == 501 and (got[1][0], got[1][-1]) == (0, 4999) and got[1] == sorted(got[1])
+    assert max(b - a for a, b in zip(got[1], got[1][1:])) <= 30
+    assert (got[2][0], got[2][-1], len(got[2])) == (5000, 5002, 4)
