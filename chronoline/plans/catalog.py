@@ -521,6 +521,42 @@ def stream_write_drain(spark, sf_dir):
             .select("series_key", "field", "value_double", "time_ns"))
 
 
+def _document_lines(spark, sf_dir):
+    """A folder of line files of ``documents``: whole texts as string fields, their line
+    breaks inside the quotes."""
+    from chronoline.session import scratch_path
+    docs = table(spark, sf_dir, "documents").withColumn("t", F.col("doc_id").cast("bigint"))
+    path = scratch_path(spark, "document-lines")
+    codec.encode_lines(P.to_points(docs, "documents", ["lang", "source"], ["text"], "t"), "safe").write.text(path)
+    return path
+
+
+def _texts(points):
+    return points.select("series_key", "time_ns", F.length("value_string").alias("n_chars"),
+                         F.md5("value_string").alias("text_md5"))
+
+
+def quoted_records(spark, sf_dir):
+    """Line files whose strings hold line breaks, read and decoded as points."""
+    from chronoline.sources.line_files import join_records, read_line_files
+    return _texts(codec.decode_lines(join_records(read_line_files(spark, _document_lines(spark, sf_dir)))))
+
+
+def stream_quoted_drain(spark, sf_dir):
+    """The same files streamed through the sink into a store, read back as points."""
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    from chronoline.sources.line_files import read_line_files
+    from chronoline.streaming.sink import write_stream
+    root, ck = scratch_path(spark, "sink-store"), scratch_path(spark, "sink-ck")
+    src = read_line_files(spark, _document_lines(spark, sf_dir), stream=True)
+    q = write_stream(src, root, "b", ck, trigger={"availableNow": True}, line_breaks=True)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return _texts(store.read_points(spark, root, "b", "documents"))
+
+
 def _written_by_format(spark, sf_dir):
     """Events written by ``df.write.format("linepoints")``: root and bucket."""
     from chronoline.session import scratch_path
@@ -638,6 +674,8 @@ QUERIES = {
     "store_series_estimate": store_series_estimate,
     "stream_read_drain": stream_read_drain,
     "stream_write_drain": stream_write_drain,
+    "quoted_records": quoted_records,
+    "stream_quoted_drain": stream_quoted_drain,
     "stream_arrival_drain": stream_arrival_drain,
     "stream_compat_drain": stream_compat_drain,
     "stream_capped_drain": stream_capped_drain,

@@ -260,6 +260,10 @@ ORACLE_SQL["stream_sessions"] = f"""
     HAVING max(t) + 3 * 86400000000000 <= (SELECT max(t) FROM {EV})"""
 ORACLE_SQL["stream_late_read"] = ORACLE_SQL["store_roundtrip"]
 ORACLE_SQL["stream_format_write"] = ORACLE_SQL["store_roundtrip"]
+ORACLE_SQL["quoted_records"] = ORACLE_SQL["stream_quoted_drain"] = """
+SELECT 'documents' || coalesce(',lang=' || lang, '') || coalesce(',source=' || source, '') AS series_key,
+  CAST(doc_id AS BIGINT) AS time_ns, length(text) AS n_chars, md5(text) AS text_md5
+FROM documents WHERE text IS NOT NULL"""
 ORACLE_SQL["stream_write_drain"] = ORACLE_SQL["store_roundtrip"]
 ORACLE_SQL["decode_no_time"] = ORACLE_SQL["store_roundtrip"]
 ORACLE_SQL["stream_arrival_drain"] = ORACLE_SQL["store_roundtrip"]

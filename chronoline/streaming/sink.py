@@ -29,6 +29,7 @@ from pyspark.sql.types import BinaryType, StringType
 from chronoline.functions.codec import POINT_COLUMNS, parse_lines, points_from_parsed
 from chronoline.functions.nanos import checked_multiply
 from chronoline.sources import store
+from chronoline.sources.line_files import join_records
 from chronoline.sources.options import SinkOptions
 
 _WRITTEN_AT = "_written_at"
@@ -51,11 +52,12 @@ class PointSinkBatch:
     """The ``foreachBatch`` function of :func:`write_stream`."""
 
     def __init__(self, opts: SinkOptions, input_kind: str = "lines", column: str = "value",
-                 writer: str | None = None):
+                 writer: str | None = None, line_breaks: bool = False):
         self.opts = opts
         self.writer = writer    # default: the id of the running query
         self.input_kind = input_kind
         self.column = column
+        self.line_breaks = line_breaks
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -67,6 +69,8 @@ class PointSinkBatch:
             return
         default_time = checked_multiply(F.unix_micros(F.col(_WRITTEN_AT)), 1000)
         if self.input_kind == "lines":
+            if self.line_breaks:
+                batch = join_records(batch, [_WRITTEN_AT])
             parsed = parse_lines(batch, self.column, default_time, o.compat, keep=[_WRITTEN_AT])
             parsed = parsed.persist()
             try:
@@ -108,7 +112,8 @@ def write_stream(df: DataFrame, path: str, bucket: str, checkpoint_location: str
                  output_mode: str = "append", batch_size: int | None = None,
                  num_partitions: int | None = None, compat: bool = False,
                  trigger: dict | None = None, query_name: str | None = None,
-                 input_kind: str = "lines", column: str = "value", rebalance: bool = True):
+                 input_kind: str = "lines", column: str = "value", rebalance: bool = True,
+                 line_breaks: bool = False):
     """Start a streaming query that appends ``df`` to the store; returns the
     ``StreamingQuery``.
 
@@ -117,7 +122,9 @@ def write_stream(df: DataFrame, path: str, bucket: str, checkpoint_location: str
     (default on) shapes each micro-batch's write into a few files per
     (measurement, day); ``num_partitions`` instead coalesces as the reference
     did.  ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
-    ``{"availableNow": True}``).
+    ``{"availableNow": True}``).  ``line_breaks`` takes the lines of ``read_line_files(...,
+    stream=True)`` and joins records whose quoted strings hold line breaks; a micro-batch
+    holds whole files.
     """
     if str(output_mode).lower() != "append":
         # Fixed text, as callers match on it.
@@ -127,7 +134,10 @@ def write_stream(df: DataFrame, path: str, bucket: str, checkpoint_location: str
                               "rebalance": rebalance})
     if input_kind == "lines":
         validate_lines_schema(df, column)
-        staged = df.select(F.col(column), F.current_timestamp().alias(_WRITTEN_AT))
+        place = ["file", "block"] if line_breaks else []
+        if line_breaks and (column != "value" or not {*place} <= {*df.columns}):
+            raise ValueError("line_breaks needs the columns value, file and block")
+        staged = df.select(F.col(column), *place, F.current_timestamp().alias(_WRITTEN_AT))
     elif input_kind == "points":
         missing = [c for c in POINT_COLUMNS if c not in df.columns]
         if missing:
@@ -135,7 +145,8 @@ def write_stream(df: DataFrame, path: str, bucket: str, checkpoint_location: str
         staged = df.select(*POINT_COLUMNS, F.current_timestamp().alias(_WRITTEN_AT))
     else:
         raise ValueError("input_kind must be 'lines' or 'points'")
-    w = staged.writeStream.outputMode("append").foreachBatch(PointSinkBatch(opts, input_kind, column))
+    w = staged.writeStream.outputMode("append").foreachBatch(PointSinkBatch(
+        opts, input_kind, column, line_breaks=line_breaks))
     if checkpoint_location:
         w = w.option("checkpointLocation", checkpoint_location)
     if query_name:
