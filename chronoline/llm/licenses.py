@@ -19,29 +19,86 @@ BASE = (
     ("cc-by-nc", "cc by nc"),
 )
 
-# Public licence notices: label, notice, key phrases that must all be there.
-NOTICES = (
+# Passages of public licences and their standard headers, as words: label,
+# passage, key phrases that must all be there.
+PASSAGES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software "
             "and associated documentation files",
      ("permission is hereby granted free of charge", "associated documentation files")),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software",
+     ("permission notice shall be included in all copies or substantial portions of the software",)),
     ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file "
                  "except in compliance with the license",
      ("apache license version 2 0", "except in compliance with the license")),
+    ("apache-2", "apache license version 2 0 january 2004 http www apache org licenses terms and conditions for use "
+                 "reproduction and distribution",
+     ("apache license version 2 0", "terms and conditions for use reproduction and distribution")),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
             "provided that the following conditions are met",
      ("redistribution and use in source and binary forms", "following conditions are met")),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the "
+            "following disclaimer", ("source code must retain the above copyright notice",)),
+    ("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+              "promote products derived from this software without specific prior written permission",
+     ("endorse or promote products derived from this software",)),
     ("gpl-2", "licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
+    ("gpl-2", "you can redistribute it and or modify it under the terms of the gnu general public license as published "
+              "by the free software foundation either version 2 of the license or at your option any later version",
+     ("gnu general public license as published by the free software foundation", "either version 2 of the license")),
+    ("gpl-2", "you can redistribute it and or modify it under the terms of the gnu general public license version 2 "
+              "as published by the free software foundation", ("gnu general public license version 2 as published",)),
+    ("gpl-2", "the licenses for most software are designed to take away your freedom to share and change it",
+     ("designed to take away your freedom to share and change it", "version 2 june 1991")),
     ("gpl-3", "licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
+    ("gpl-3", "you can redistribute it and or modify it under the terms of the gnu general public license as published "
+              "by the free software foundation either version 3 of the license or at your option any later version",
+     ("gnu general public license as published by the free software foundation", "either version 3 of the license")),
+    ("gpl-3", "the gnu general public license is a free copyleft license for software and other kinds of works",
+     ("gnu general public license is a free copyleft license",)),
     ("lgpl", "licensed under the gnu lesser general public license", ("gnu lesser general public license",)),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+             "published by the free software foundation",
+     ("gnu lesser general public license as published by the free software foundation",)),
     ("agpl-3", "licensed under the gnu affero general public license version 3",
      ("gnu affero general public license",)),
-    ("mpl-2", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    ("agpl-3", "you can redistribute it and or modify it under the terms of the gnu affero general public license as "
+               "published by the free software foundation either version 3 of the license",
+     ("gnu affero general public license as published by the free software foundation",)),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl "
+              "was not distributed with this file", ("mozilla public license v 2 0",)),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee "
             "is hereby granted", ("for any purpose with or without fee is hereby granted",)),
     ("cc0", "to the extent possible under law the author has waived all copyright and related rights",
      ("waived all copyright and related",)),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
+     ("creative commons attribution 4 0 international",)),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+     ("creative commons attribution noncommercial 4 0 international",)),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+     ("creative commons attribution sharealike 4 0 international",)),
     ("cc-by-sa", "licensed under cc by sa", ("cc by sa",)),
+    ("unlicense", "this is free and unencumbered software released into the public domain",
+     ("unencumbered software released into the public domain",)),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in "
+                  "source code form or as a compiled binary for any purpose commercial or non commercial",
+     ("copy modify publish use compile sell or distribute this software",)),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the "
+              "software and accompanying documentation covered by this license",
+     ("accompanying documentation covered by this license",)),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be "
+             "held liable for any damages arising from the use of this software",
+     ("in no event will the authors be held liable",)),
+    ("epl-2", "made available under the terms of the eclipse public license 2 0 which is available at",
+     ("eclipse public license 2 0",)),
 )
+# Words of the identifiers in SPDX lines.
+SPDX = (("mit", "mit"), ("apache-2", "apache 2 0"), ("bsd", "bsd 2 clause"), ("bsd-3", "bsd 3 clause"),
+        ("gpl-2", "gpl 2 0"), ("gpl-3", "gpl 3 0"), ("lgpl", "lgpl 2 1"), ("lgpl", "lgpl 3 0"), ("agpl-3", "agpl 3 0"),
+        ("mpl-2", "mpl 2 0"), ("isc", "isc"), ("cc0", "cc0 1 0"), ("cc-by", "cc by 4 0"), ("cc-by-sa", "cc by sa 4 0"),
+        ("unlicense", "unlicense"), ("boost", "bsl 1 0"), ("zlib", "zlib"), ("epl-2", "epl 2 0"))
+NOTICES = PASSAGES + tuple((label, f"spdx license identifier {words}", (f"spdx license identifier {words}",))
+                           for label, words in SPDX)
 
 RARE_WORDS = 3     # highest-IDF words by which a notice is looked up
 LEAST_COVER = 0.5  # least share of a notice's words found at one relative position
@@ -74,7 +131,7 @@ def _rarest(template: list[str], idf: dict[str, float], n: int) -> list[tuple[st
 
 
 def _literal(words: list[str]) -> Column:
-    return F.array(*map(F.lit, words))
+    return F.split(F.lit(" ".join(words)), " ")
 
 
 def _starts(spots: str, word: str, at: int) -> Column:
@@ -100,7 +157,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     file's places of these words are looked up in it; each place says where the
     template would begin.  A base phrase counts where all its words then stand.
     A notice needs two of its rare words to agree on one beginning, half of its
-    words at their relative positions and its key phrases in the file.
+    words at their relative positions and its key phrases in the file.  Votes are
+    grouped by sorting, so a text that repeats a notice costs in proportion to its length.
 
     ``score`` is 1 with a base phrase, else the best share of a notice, else 0.
     Null and empty texts: no words, empty labels, null places, score 0.  Rows are
@@ -122,12 +180,12 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         d = d.withColumn(f"at_{label}", _stands(_starts("spots", word, at), t))
     flat = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     d = d.withColumn("flat", F.when(F.size("spots") > 0, flat))
-    for n, (_, notice, keys) in enumerate(NOTICES):
-        t = notice.split()
-        votes = F.concat(*[_starts("spots", w, at) for w, at in _rarest(t, idf, RARE_WORDS)])
-        d = d.withColumn(f"v_{n}", F.when(_all_in(keys), votes))
-        agreed = F.filter(F.array_distinct(f"v_{n}"), _twice(f"v_{n}"))
-        d = d.withColumn(f"c_{n}", F.coalesce(F.array_max(F.transform(agreed, _covers(t))), F.lit(0.0)))
+    templates = [(notice.split(), keys) for _, notice, keys in NOTICES]
+    d = d.withColumns({f"v_{n}": F.when(_all_in(keys), F.sort_array(F.concat(
+        *[_starts("spots", w, at) for w, at in _rarest(t, idf, RARE_WORDS)])))
+        for n, (t, keys) in enumerate(templates)})
+    d = d.withColumns({f"c_{n}": F.coalesce(F.array_max(F.transform(
+        _agreed(f"v_{n}"), _covers(t))), F.lit(0.0)) for n, (t, _) in enumerate(templates)})
     places = F.concat(*[f"at_{label}" for label, _ in BASE])
     base = [F.when(F.size(f"at_{label}") > 0, label) for label, _ in BASE]
     more = [F.when(F.col(f"c_{n}") >= LEAST_COVER, label) for n, (label, *_) in enumerate(NOTICES)]
@@ -156,8 +214,9 @@ def _all_in(keys: tuple[str, ...]) -> Column:
     return held
 
 
-def _twice(votes: str):
-    return lambda s: F.size(F.filter(votes, lambda x: x == s)) >= 2
+def _agreed(votes: str) -> Column:
+    """The distinct starts that two rare words or more vote for; ``votes`` are sorted."""
+    return F.array_distinct(F.filter(votes, lambda s, i: (i > 0) & (s == F.get(F.col(votes), i - 1))))
 
 
 def _covers(template: list[str]):

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 from chronoline.llm.licenses import scan_licenses
 from chronoline.llm.secrets import redact, scan_secrets
@@ -95,6 +96,17 @@ LICENCES = [
     (104, "nc by cc"), (105, "free of charge permission is hereby granted associated documentation files"),
     (106, "é " * 30_000 + "apache license version 2"), (107, "cc by nc by nc cc-by-nc"), (107, "cc by nc by nc cc-by-nc"),
     (108, "licensed under the GNU General Public License, version 3."),
+    (109, "# This program is free software; you can redistribute it and/or modify it under the terms of\n# the GNU General "
+          "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+          "option) any later version."),
+    (110, "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+          "General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    (111, "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify"),
+    (112, "// SPDX-License-Identifier: (GPL-2.0)\nint x;"), (113, "/* SPDX-License-Identifier: BSD-3-Clause */"),
+    (114, "see the spdx license list for an identifier, mit or gpl 2 0"),
+    (115, "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+          "published by the Free Software Foundation, either version 3 of the License"),
+    (116, "the GNU project and its general ideas on public money, a license to share, version 2 of the plan"),
 ]
 
 
@@ -123,6 +135,19 @@ def test_notices(spark):
     assert (by[102]["labels"], by[102]["base_labels"]) == ("mit", "") and by[102]["score"] > 0.9
     assert by[105]["labels"] == "" and by[105]["score"] == 0.0     # key phrases, in another order
     assert by[108]["labels"] == "gpl-3"
+    assert [by[i]["labels"] for i in range(109, 117)] == [
+        "gpl-2", "lgpl", "unlicense", "gpl-2", "bsd-3", "", "agpl-3", ""]
+
+
+def test_a_notice_repeated_in_one_long_text(spark):
+    """2 MB of one notice: as many starts, each looked at once (13 s a MB when every vote
+    met every other)."""
+    scan_licenses(frame(spark, [(1, NOTICE)])).collect()
+    rows = frame(spark, [(1, (NOTICE + "\n") * (2_000_000 // len(NOTICE)))])
+    t = time.time()
+    (got,) = scan_licenses(rows).collect()
+    assert (got["labels"], got["score"], got["n_base"]) == ("mit", 1.0, 0)
+    assert time.time() - t < 30
 
 
 def test_sql_forms_on_planted_rows(spark):
