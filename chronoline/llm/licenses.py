@@ -3,6 +3,7 @@ functions alone."""
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,18 +135,28 @@ def _literal(words: list[str]) -> Column:
     return F.split(F.lit(" ".join(words)), " ")
 
 
-def _starts(spots: str, word: str, at: int) -> Column:
+def _templates(idf: dict[str, float]) -> Column:
+    """The index of the notices as one constant: label, words, key phrases (as they stand
+    between words) and the rarest words with their positions."""
+    rows = [{"label": label, "words": notice.split(), "keys": [f" {k} " for k in keys],
+             "rare": [{"w": w, "at": at} for w, at in _rarest(notice.split(), idf, RARE_WORDS)]}
+            for label, notice, keys in NOTICES]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<label:string,words:array<string>,keys:array<string>,"
+                                                "rare:array<struct<w:string,at:int>>>>")
+
+
+def _starts(spots: str, word, at) -> Column:
     """Where the template would begin for each place of one of its rare words."""
     return F.transform(F.filter(spots, lambda x: x["w"] == word), lambda x: x["i"] - at)
 
 
-def _cover(words: str, start: Column, template: list[str]) -> Column:
+def _cover(words: str, start: Column, template: Column) -> Column:
     """Share of the template's words that stand where it would have them."""
-    there = F.slice(F.col(words), F.greatest(start, F.lit(0)) + 1, len(template))
+    there = F.slice(F.col(words), F.greatest(start, F.lit(0)) + 1, F.size(template))
     lead = F.array_repeat(F.lit(""), F.greatest(-start, F.lit(0)))
-    same = F.zip_with(F.concat(lead, there), _literal(template),
+    same = F.zip_with(F.concat(lead, there), template,
                       lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda s, x: s + x) / F.lit(float(len(template)))
+    return F.aggregate(same, F.lit(0), lambda s, x: s + x) / F.size(template).cast("double")
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,24 +191,26 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         d = d.withColumn(f"at_{label}", _stands(_starts("spots", word, at), t))
     flat = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     d = d.withColumn("flat", F.when(F.size("spots") > 0, flat))
-    templates = [(notice.split(), keys) for _, notice, keys in NOTICES]
-    d = d.withColumns({f"v_{n}": F.when(_all_in(keys), F.sort_array(F.concat(
-        *[_starts("spots", w, at) for w, at in _rarest(t, idf, RARE_WORDS)])))
-        for n, (t, keys) in enumerate(templates)})
-    d = d.withColumns({f"c_{n}": F.coalesce(F.array_max(F.transform(
-        _agreed(f"v_{n}"), _covers(t))), F.lit(0.0)) for n, (t, _) in enumerate(templates)})
+    d = d.withColumn("held", F.when(F.col("flat").isNotNull(), F.filter(
+        _templates(idf), lambda t: F.forall(t["keys"], lambda k: F.col("flat").contains(k)))))
+    d = d.withColumn("held", F.transform("held", lambda t: F.struct(
+        t["label"].alias("label"), t["words"].alias("words"), F.sort_array(F.flatten(F.transform(
+            t["rare"], lambda r: _starts("spots", r["w"], r["at"])))).alias("votes"))))
+    d = d.withColumn("covers", F.transform("held", lambda t: F.struct(t["label"].alias("label"), F.array_max(
+        F.transform(_agreed(t["votes"]), lambda s: _cover("words", s, t["words"]))).alias("c"))))
+    no_covers = F.array().cast("array<struct<label:string,c:double>>")
+    d = d.withColumn("covers", F.coalesce(F.filter("covers", lambda x: x["c"] >= LEAST_COVER), no_covers))
     places = F.concat(*[f"at_{label}" for label, _ in BASE])
     base = [F.when(F.size(f"at_{label}") > 0, label) for label, _ in BASE]
-    more = [F.when(F.col(f"c_{n}") >= LEAST_COVER, label) for n, (label, *_) in enumerate(NOTICES)]
-    join = lambda parts: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*parts)))), ",")
-    best = F.greatest(*[F.when(F.col(f"c_{n}") >= LEAST_COVER, F.col(f"c_{n}")).otherwise(0.0)
-                        for n in range(len(NOTICES))])
+    join = lambda found: F.array_join(F.array_sort(F.array_distinct(F.array_compact(found))), ",")
+    best = F.coalesce(F.array_max(F.transform("covers", lambda x: x["c"])), F.lit(0.0))
     return d.withColumn("places", places).select(
         F.col("id").alias(id_col), F.size("words").cast("long").alias("n_words"),
         F.size("places").cast("long").alias("n_base"),
         F.array_min("places").cast("long").alias("first_word"),
         F.array_max("places").cast("long").alias("last_word"),
-        join(base).alias("base_labels"), join(base + more).alias("labels"),
+        join(F.array(*base)).alias("base_labels"),
+        join(F.concat(F.array(*base), F.transform("covers", lambda x: x["label"]))).alias("labels"),
         F.when(F.size("places") > 0, 1.0).otherwise(best).alias("score"))
 
 
@@ -207,20 +220,9 @@ def _stands(starts: Column, template: list[str]) -> Column:
                                                   == _literal(template)))
 
 
-def _all_in(keys: tuple[str, ...]) -> Column:
-    held = F.lit(True)
-    for k in keys:
-        held = held & F.col("flat").contains(f" {k} ")
-    return held
-
-
-def _agreed(votes: str) -> Column:
+def _agreed(votes: Column) -> Column:
     """The distinct starts that two rare words or more vote for; ``votes`` are sorted."""
-    return F.array_distinct(F.filter(votes, lambda s, i: (i > 0) & (s == F.get(F.col(votes), i - 1))))
-
-
-def _covers(template: list[str]):
-    return lambda s: _cover("words", s, template)
+    return F.array_distinct(F.filter(votes, lambda s, i: (i > 0) & (s == F.get(votes, i - 1))))
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
