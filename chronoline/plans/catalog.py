@@ -385,6 +385,28 @@ def stream_capped_drain(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def stream_gap_drain(spark, sf_dir):
+    """Orders at the first day of their year, read in steps of 30 days at most: each step
+    goes over the gap to the next stored hour, so it holds one year's orders."""
+    from chronoline.session import scratch_path
+    from chronoline.sources import store
+    from chronoline.streaming.source import drain, read_stream
+    root, out, ck = scratch_path(spark, "store"), scratch_path(spark, "gap-out"), scratch_path(spark, "gap-ck")
+    years = table(spark, sf_dir, "orders").withColumn("t", F.trunc("o_orderdate", "year"))
+    store.write_points(P.to_points(years, "orders", ["o_orderkey"], ["o_totalprice"], "t"), root, "b")
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    drain(lambda: read_stream(spark, root, "b", "orders", output="points", maxDeltaPerTrigger=30 * 86_400_000)
+          .select("time_ns", "series_key", "value_double").writeStream.foreachBatch(write)
+          .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    steps = spark.read.parquet(out).groupBy("batch", "time_ns").agg(
+        F.count("*").alias("n_orders"), F.sum("value_double").alias("sum_price"))
+    return steps.select(F.dense_rank().over(Window.orderBy("batch")).cast("bigint").alias("step"), "time_ns",
+                        "n_orders", F.round("sum_price", 2).alias("sum_price"))
+
+
 def stream_late_drain(spark, sf_dir):
     """Batches committed out of order: one week, drained, then all other events, drained
     again.  The cursor reads what lies above it; the stream counts the rest as late."""
@@ -679,6 +701,7 @@ QUERIES = {
     "stream_arrival_drain": stream_arrival_drain,
     "stream_compat_drain": stream_compat_drain,
     "stream_capped_drain": stream_capped_drain,
+    "stream_gap_drain": stream_gap_drain,
     "stream_late_drain": stream_late_drain,
     "stream_late_read": stream_late_read,
     "stream_tail_drain": stream_tail_drain,

@@ -187,6 +187,10 @@ ORACLE_SQL = {
         FROM (SELECT k, t - t % 86400000000000 AS d, value, row_number() OVER (
                 PARTITION BY k, t - t % 86400000000000 ORDER BY event_id DESC) AS rn FROM {EV})
         WHERE rn = 1 AND d < (SELECT max(t - t % 86400000000000) FROM {EV})""",
+    "stream_gap_drain": """
+        SELECT row_number() OVER (ORDER BY t) AS step, epoch_us(t::TIMESTAMP) * 1000 AS time_ns, n_orders, sum_price
+        FROM (SELECT date_trunc('year', o_orderdate) AS t, count(*) AS n_orders,
+                     round(sum(o_totalprice), 2) AS sum_price FROM orders GROUP BY 1)""",
     "stream_capped_drain": f"""
         SELECT k AS series_key, 'value' AS field, value AS value_double, t AS time_ns FROM {EV}""",
     "ns_parts": f"""

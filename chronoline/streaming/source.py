@@ -574,7 +574,7 @@ def read_stream(spark, path: str, bucket: str, measurement: str, output: str = "
     system, as for Spark's own readers.
     ``numSlices`` defaults to the cluster's default parallelism.  ``time_zone``
     (the ``time-zone`` option) adds ``local_ns``, the wall-clock ns of each point
-    in that zone, to ``points`` output.
+    in that zone, to either output.
     """
     from pyspark.sql import functions as F
 
@@ -599,13 +599,11 @@ def read_stream(spark, path: str, bucket: str, measurement: str, output: str = "
         df = spark.readStream.format("linepoints").options(**{k: str(v) for k, v in opts.items()}).load()
     else:
         raise ValueError("order must be 'event' or 'arrival'")
-    if output == "points":
-        tz = time_zone or options.get("time-zone")
-        if tz:
-            from chronoline.functions.nanos import to_zone
-            df = df.withColumn("local_ns", to_zone("time_ns", str(tz)))
-        return df
-    return encode_lines(df, mode)
+    tz = time_zone or options.get("time-zone")
+    if tz:
+        from chronoline.functions.nanos import to_zone
+        df = df.withColumn("local_ns", to_zone("time_ns", str(tz)))
+    return df if output == "points" else encode_lines(df, mode, ["local_ns"] if tz else None)
 
 
 def drain(start, most: int = 10_000) -> int:

@@ -230,6 +230,9 @@ def test_time_zone_option_adds_local_time(spark):
     out, _ = _drain(spark, df, "tz1")
     r = out.first()
     assert r.local_ns - r.time_ns == 8 * 3600 * S
+    lines = read_stream(spark, root, "b", "cpu", **{"time-zone": "Asia/Shanghai"})
+    got = _drain(spark, lines, "tz2")[0].first()
+    assert got.value.endswith(f" {lo}") and got.local_ns == r.local_ns
 
 
 def test_sink_takes_points(spark):
