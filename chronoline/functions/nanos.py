@@ -154,6 +154,12 @@ def to_ns(c, unit: str) -> Column:
     return checked_multiply(c, unit_factor(unit), f"to_ns({unit})")
 
 
+def try_to_ns(c, unit: str) -> Column:
+    """:func:`to_ns`, but null where BIGINT nanoseconds (1677 to 2262) cannot hold the
+    count, for columns that are not times by their nature."""
+    return F.try_multiply(_col(c).cast("bigint"), _lit(unit_factor(unit)))
+
+
 def millis_to_ns(c) -> Column:
     return to_ns(c, "ms")
 

@@ -252,9 +252,10 @@ def ns_units(spark, sf_dir):
     ev = events_points(spark, sf_dir, keep=("event_id",))
     ms = nanos.floor_div("time_ns", 1_000_000)
     s = nanos.floor_div("time_ns", 1_000_000_000)
+    # An id is a count of hours only here: ids above 2,562,047 have no nanoseconds.
     return ev.select("event_id", ms.alias("epoch_ms"), nanos.millis_to_ns(ms).alias("ms_ns"),
                      s.alias("epoch_s"), nanos.seconds_to_ns(s).alias("s_ns"),
-                     nanos.to_ns(F.col("event_id"), "h").alias("id_hours_ns"))
+                     nanos.try_to_ns("event_id", "h").alias("id_hours_ns"))
 
 
 def ns_from_iso(spark, sf_dir):

@@ -104,6 +104,16 @@ def test_overflow_raises(spark):
     assert df.select(N.ns_add("t", 5, "ns").alias("v")).first().v == LONG_MAX
 
 
+def test_ids_too_large_for_hours_keep_their_rows(spark, tmp_path):
+    from chronoline.plans.catalog import ns_units
+    last = LONG_MAX // 3_600_000_000_000
+    rows = [(i, dt.datetime(2024, 1, 8), 1, "view", 1.0, "{}") for i in (0, last, last + 1, -last, -last - 1, LONG_MAX)]
+    spark.createDataFrame(rows, "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+                          "props STRING").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.event_id: r.id_hours_ns for r in ns_units(spark, str(tmp_path)).collect()}
+    assert got == {i: i * 3_600_000_000_000 if abs(i) <= last else None for i, *_ in rows}
+
+
 def test_timestamp_ntz_independent_of_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
