@@ -52,6 +52,9 @@ from chronoline.sources.options import SourceOptions
 from chronoline.sources.paths import arrow_path, arrow_uri, escape_partition_value
 
 NS_PER_DAY = 86_400_000_000_000
+LONG_MAX = 2**63 - 1
+CHUNK_ROWS = 16_384        # rows of a file that are decoded at once
+STEP_ROWS = 65_536         # rows of a slice that are sorted at once, about
 
 POINT_DDL = ("measurement STRING, tags MAP<STRING, STRING>, field STRING, value_double DOUBLE, "
              "value_long BIGINT, value_bool BOOLEAN, value_string STRING, time_ns BIGINT, "
@@ -286,9 +289,12 @@ def read_slice(p: TimeSlicePartition, more=None, columns: list[str] | None = Non
     into the Parquet scan; with ``dedupe`` the latest write per (series, field,
     time) -- every version of a key has the same time, so it is in this slice.
     ``more``: a further Arrow filter, on key columns only; ``columns``: the point
-    columns to read and return, all by default."""
+    columns to read and return, all by default.
+
+    Files are decoded ``CHUNK_ROWS`` rows at a time and merged by time, so a task holds
+    about ``STEP_ROWS`` rows and the chunks of the files that overlap there, however
+    long the slice is; an instant is held whole."""
     import pyarrow as pa
-    import pyarrow.compute as pc
     import pyarrow.dataset as ds
 
     fs, root = arrow_path(p.data_root)
@@ -303,36 +309,129 @@ def read_slice(p: TimeSlicePartition, more=None, columns: list[str] | None = Non
     if more is not None:
         flt = flt & more
     columns = _POINT_COLS if columns is None else columns
-    cols = list(columns)
+    cols = [*columns, *(c for c in ("measurement", "time_ns") if c not in columns)]
+    if p.dedupe or more is not None:
+        cols += [c for c in ("series_key", "field") if c not in cols]
     if p.dedupe:
-        cols += [c for c in ("series_key", "field", "time_ns") if c not in cols] + ["written_at", "seq"]
+        cols += ["written_at", "seq"]
     elif p.n_buckets > 1 and "series_key" not in cols:
         cols.append("series_key")
-    tables = []
+    files = []
     for writer, batch_id, days in p.batches:
         bdir = f"{root}/writer={writer}/batch_id={batch_id}"
-        files = _slice_files(fs, bdir, p.measurement, [d for d in days if day_lo <= d <= day_hi])
-        if not files:
+        found = _slice_files(fs, bdir, p.measurement, [d for d in days if day_lo <= d <= day_hi])
+        if not found:
             continue
-        d = ds.dataset(files, filesystem=fs, format="parquet", partitioning=part,
-                       partition_base_dir=bdir)
-        parts = []
-        for rb in d.to_batches(columns=cols, filter=flt):
-            if rb.num_rows and p.n_buckets > 1:
-                rb = rb.filter(pa.array(key_buckets(rb.column("series_key"), p.n_buckets)
-                                        == p.key_bucket))
-            if rb.num_rows and not p.dedupe:
-                yield _conform(rb, columns)
-            elif rb.num_rows:
-                parts.append(rb)
-        if parts:
-            t = pa.Table.from_batches(parts)
-            tables.append(t.append_column("batch_id", pa.array([batch_id] * t.num_rows, pa.int64())))
-    if not p.dedupe or not tables:
+        d = ds.dataset(found, filesystem=fs, format="parquet", partitioning=part, partition_base_dir=bdir)
+        for f in d.get_fragments(filter=flt):
+            groups = [g for x in f.split_by_row_group(flt, schema=d.schema) for g in x.row_groups]
+            if groups:
+                files.append(_SliceFile(p, fs, f, groups, batch_id, cols, more))
+    if not p.dedupe:
+        for f in files:
+            for t in f.chunks():
+                for rb in t.to_batches():
+                    yield _conform(rb, columns)
         return
-    # batches written by different jobs can differ in nullability: one schema
-    schema = pa.schema([pa.field(f.name, f.type, nullable=True) for f in tables[0].schema])
-    t = pa.concat_tables([x.select(schema.names).cast(schema) for x in tables])
+    for t in _whole_instants(files):
+        for rb in _latest(t).select(columns).to_batches(max_chunksize=65536):
+            yield _conform(rb, columns)
+
+
+class _SliceFile:
+    """The rows of a slice in one file, in chunks, and from which time on they lie."""
+
+    def __init__(self, p: TimeSlicePartition, fs, fragment, groups: list, batch_id: int, cols: list[str], more):
+        self.p, self.fs, self.path, self.metadata = p, fs, fragment.path, fragment.metadata
+        self.groups = [g.id for g in groups]
+        self.n_rows = sum(g.num_rows for g in groups)
+        self.batch_id, self.cols, self.more = batch_id, cols, more
+        self.at = 0                # rows decoded so far
+        self.least = None          # least time from each block of CHUNK_ROWS rows to the end
+
+    def _decoded(self, cols: list[str]):
+        import pyarrow.parquet as pq
+        # A buffered stream: a row group's columns are not fetched whole.
+        with pq.ParquetFile(self.path, metadata=self.metadata, filesystem=self.fs, buffer_size=1 << 20) as f:
+            yield from f.iter_batches(CHUNK_ROWS, row_groups=self.groups, columns=cols, use_threads=False)
+
+    def find_times(self) -> None:
+        """Reads the times alone, for :meth:`from_ns`; files need not be sorted."""
+        import numpy as np
+        import pyarrow.compute as pc
+        least, at = np.full(self.n_rows // CHUNK_ROWS + 1, LONG_MAX, np.int64), 0
+        for rb in self._decoded(["time_ns"]):
+            t = pc.fill_null(rb.column(0), LONG_MAX).to_numpy(zero_copy_only=False)
+            t = np.where((t >= self.p.start_ns) & (t < self.p.stop_ns), t, LONG_MAX)
+            block = (at + np.arange(len(t))) // CHUNK_ROWS
+            first = np.flatnonzero(np.diff(block, prepend=-1))
+            least[block[first]] = np.minimum(least[block[first]], np.minimum.reduceat(t, first)) if len(t) else LONG_MAX
+            at += len(t)
+        self.least = np.minimum.accumulate(least[::-1])[::-1]
+
+    def from_ns(self) -> int:
+        """No row that is still to come lies before; ``LONG_MAX``: none is to come."""
+        if self.at >= self.n_rows:
+            return LONG_MAX
+        return LONG_MIN if self.least is None else int(self.least[self.at // CHUNK_ROWS])
+
+    def chunks(self):
+        """Tables of the slice's rows, with ``batch_id``."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        p = self.p
+        for rb in self._decoded([c for c in self.cols if c != "measurement"]):
+            self.at += rb.num_rows
+            t = pa.Table.from_batches([rb])
+            t = t.filter(pc.and_(pc.greater_equal(t["time_ns"], p.start_ns), pc.less(t["time_ns"], p.stop_ns)))
+            if t.num_rows and p.n_buckets > 1:
+                t = t.filter(pa.array(key_buckets(t["series_key"], p.n_buckets) == p.key_bucket))
+            t = t.append_column("measurement", pa.array([p.measurement] * t.num_rows, pa.string()))
+            if self.more is not None and t.num_rows:
+                t = t.filter(self.more)
+            yield t.select(self.cols).append_column("batch_id", pa.array([self.batch_id] * t.num_rows, pa.int64()))
+
+
+def _whole_instants(files: list[_SliceFile]):
+    """Tables of the rows of ``files``, every instant whole in one of them: always the
+    file whose rows begin first is read on, and what lies before all that is still to
+    come goes out."""
+    import heapq
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    if sum(f.n_rows for f in files) > STEP_ROWS:
+        for f in files:
+            f.find_times()
+    ahead = [(f.from_ns(), i, f.chunks()) for i, f in enumerate(files) if f.from_ns() < LONG_MAX]
+    heapq.heapify(ahead)
+    held, n, most, schema = [], 0, STEP_ROWS, None
+    while ahead:
+        _, i, chunks = heapq.heappop(ahead)
+        t = next(chunks)
+        if files[i].from_ns() < LONG_MAX:
+            heapq.heappush(ahead, (files[i].from_ns(), i, chunks))
+        else:
+            chunks.close()
+        if t.num_rows:
+            # batches written by different jobs can differ in nullability: one schema
+            schema = schema or pa.schema([pa.field(f.name, f.type, nullable=True) for f in t.schema])
+            held.append(t.cast(schema))
+            n += t.num_rows
+        if held and (n >= most or not ahead):
+            t = pa.concat_tables(held)
+            out = t.filter(pc.less(t["time_ns"], ahead[0][0])) if ahead else t
+            held = [t.filter(pc.greater_equal(t["time_ns"], ahead[0][0]))] if ahead else []
+            n = sum(x.num_rows for x in held)
+            most = n + max(n, STEP_ROWS)   # rows that stay are looked at again when they have doubled
+            if out.num_rows:
+                yield out
+
+
+def _latest(t):
+    """The latest write of each (series, field, time) of a table."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
     t = t.sort_by([("series_key", "ascending"), ("field", "ascending"), ("time_ns", "ascending"),
                    ("written_at", "ascending"), ("batch_id", "ascending"), ("seq", "ascending")])
     n = t.num_rows
@@ -343,8 +442,7 @@ def read_slice(p: TimeSlicePartition, more=None, columns: list[str] | None = Non
         last = pc.or_(pc.or_(ne("series_key"), ne("field")), ne("time_ns"))
         mask = pa.concat_arrays([last, pa.array([True])])
         t = t.filter(mask)
-    for rb in t.select(columns).to_batches(max_chunksize=65536):
-        yield _conform(rb, columns)
+    return t
 
 
 def _slice_files(fs, bdir: str, measurement: str, days: list[int]) -> list[str]:

@@ -1,10 +1,13 @@
 """Driver-side planning of the stream reader, without Spark."""
 
+import random
+
 import pyarrow as pa
+import pyarrow.dataset
 
 from chronoline.sources.options import SourceOptions
 from chronoline.sources.paths import escape_partition_value
-from chronoline.streaming.source import (BatchRange, arrow_uri, balanced_cuts, key_buckets,
+from chronoline.streaming.source import (BatchRange, TimeSlicePartition, arrow_uri, balanced_cuts, key_buckets,
                                          plan_partitions)
 
 
@@ -99,3 +102,46 @@ def test_arrow_names_of_cluster_paths():
     for bare in ("/x/y", "x/y"):
         with pytest.raises(ValueError):
             arrow_uri(bare)
+
+
+def test_a_slice_is_read_in_steps(tmp_path, monkeypatch):
+    """Long slices are held a step at a time; files overlap, repeat keys, and one is not sorted."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from chronoline.streaming import source
+
+    monkeypatch.setattr(source, "CHUNK_ROWS", 50, raising=False)
+    monkeypatch.setattr(source, "STEP_ROWS", 200, raising=False)
+    rng, want, n = random.Random(3), {}, 3000
+
+    def write(batch, times):
+        folder = tmp_path / f"data/writer=w/batch_id={batch}/measurement=m/day=1970-01-01"
+        folder.mkdir(parents=True)
+        rows = [(t, f"m,h={i % 3}", batch * 10_000.0 + i) for i, t in enumerate(times)]
+        for t, k, v in rows:
+            if 100 <= t < 2900:
+                want[t, k] = v
+        cols = list(zip(*rows))
+        pq.write_table(pa.table({
+            "tags": pa.array([[("h", "x")]] * len(rows), pa.map_(pa.string(), pa.string())), "field": ["v"] * len(rows),
+            "value_double": cols[2], "value_long": pa.array([None] * len(rows), pa.int64()),
+            "value_bool": pa.array([None] * len(rows), pa.bool_()), "value_string": pa.array([None] * len(rows), pa.string()),
+            "time_ns": pa.array(cols[0], pa.int64()), "series_key": cols[1],
+            "written_at": pa.array([batch] * len(rows), pa.timestamp("us", "UTC")), "seq": list(range(len(rows)))}),
+            folder / "part-0.parquet", row_group_size=700)
+
+    write(0, sorted(rng.randrange(n) for _ in range(n)))
+    write(1, sorted(rng.randrange(n) for _ in range(n)))
+    p = TimeSlicePartition(0, 100, 2900, "m", f"file:{tmp_path}/data", [("w", 0, [0]), ("w", 1, [0])])
+    whole = list(source.read_slice(p))
+    assert max(rb.num_rows for rb in whole) <= 400               # before: one table of the whole slice
+    write(2, [rng.randrange(n) for _ in range(n)])               # not sorted
+    for more, buckets in ((None, 1), (None, 3), ("m,h=1", 1)):
+        flt = None if more is None else pa.dataset.field("series_key") == more
+        p = [TimeSlicePartition(0, 100, 2900, "m", f"file:{tmp_path}/data", [("w", b, [0]) for b in range(3)], True, j, buckets)
+             for j in range(buckets)]
+        rows = [r for x in p for rb in source.read_slice(x, flt) for r in rb.to_pylist()]
+        got = {(r["time_ns"], r["series_key"]): r["value_double"] for r in rows}
+        assert len(rows) == len(got) and got == {k: v for k, v in want.items() if more in (None, k[1])}
+    p = TimeSlicePartition(0, 100, 2900, "m", f"file:{tmp_path}/data", [("w", 0, [0]), ("w", 1, [0])], False)
+    assert sum(rb.num_rows for rb in source.read_slice(p, None, ["value_double"])) > sum(rb.num_rows for rb in whole)
