@@ -168,9 +168,13 @@ def write_data(points: DataFrame, path: str, bucket: str, writer: str, batch_id:
         raise ValueError(f"batchSize is {batch_size}; it must be 1 or more")
     if "day" not in points.columns:
         points = points.withColumn("day", day_of("time_ns"))
+    # Spark leaves a constant out of a sort, and then sorts by the partition columns alone,
+    # not by time; the same for a string that may be null.  Neither is so of this name.
+    nothing = F.coalesce(F.substring("series_key", 1, 0), F.lit(""))
+    measurement = F.concat(F.coalesce(F.col("measurement"), F.lit("")), nothing).alias("measurement")
     out = (points
            .select(*[c for c in POINT_COLUMNS if c != "measurement"], "written_at", "seq",
-                   "measurement", "day")
+                   measurement, "day")
            .sortWithinPartitions("measurement", "day", "time_ns"))
     # Bloom filters, sized by the keys found: a read of one series skips row groups
     # whose least and largest key enclose it.

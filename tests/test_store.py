@@ -270,3 +270,21 @@ def test_time_knots_of_large_and_tiny_hours(spark, monkeypatch):
     assert len(got[1]) == 501 and (got[1][0], got[1][-1]) == (0, 4999) and got[1] == sorted(got[1])
     assert max(b - a for a, b in zip(got[1], got[1][1:])) <= 30
     assert (got[2][0], got[2][-1], len(got[2])) == (5000, 5002, 4)
+
+
+@pytest.mark.parametrize("constant", [True, False])
+def test_files_are_sorted_by_time(spark, tmp_store, constant):
+    """Also where all rows have one measurement, as a constant or as a column that may be null."""
+    import glob
+
+    import pyarrow.parquet as pq
+    df = spark.range(0, 3000, 1, 2).selectExpr("cast(id % 7 as string) AS host", "double(id) AS v", "id * 7919 % 3001 AS t")
+    points = to_points(df, "cpu", ["host"], ["v"], "t")
+    if not constant:
+        points = points.withColumn("measurement", F.when(F.col("time_ns") % 5 > 0, "cpu"))
+    store.write_points(points, tmp_store, "b", num_partitions=1)
+    files = glob.glob(tmp_store.removeprefix("file:") + "/b/data/**/*.parquet", recursive=True)
+    times = [pq.ParquetFile(f).read(columns=["time_ns"])["time_ns"].to_pylist() for f in files]
+    assert sum(map(len, times)) == 3000 and all(t == sorted(t) for t in times)
+    assert sorted((f.split("measurement=")[1].split("/")[0], len(t)) for f, t in zip(files, times)) == (
+        [("cpu", 3000)] if constant else [("__HIVE_DEFAULT_PARTITION__", 601), ("cpu", 2399)])
