@@ -138,48 +138,52 @@ def _parts(text: bytes, size: int) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _counts_of(texts: list[bytes], group_of: np.ndarray) -> tuple[list, list, list, list]:
-    """``group, term, count, documents`` lists of the texts of one piece, which come in
-    the order of their groups."""
+def _binary(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The bytes at each start as an Arrow column, gathered at once."""
+    ends = np.cumsum(lengths)
+    at = np.repeat(starts - (ends - lengths), lengths)
+    at += np.arange(len(at))
+    offsets = np.concatenate(([0], ends)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[at])])
+
+
+def _counts_of(texts: list[bytes], group_of: np.ndarray) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+    """``group, term, count, documents`` columns of the texts of one piece, which come in
+    the order of their groups; one set for each length bucket."""
     data = _LOWER[np.frombuffer(b"\0" + b"\0".join(texts) + b"\0", dtype=np.uint8)]
     ends = np.cumsum([len(t) + 1 for t in texts])
     starts, lengths = _terms(data)
-    out: tuple[list, list, list, list] = ([], [], [], [])
     doc = np.searchsorted(ends, starts - 1, side="right")
     group = group_of[doc]
-    raw = data.tobytes()
     for _, places, counts, docs in count_terms(data, group, doc, starts, lengths):
-        out[0].extend(group[places].tolist())
-        out[1].extend(raw[s:s + n] for s, n in zip(starts[places].tolist(), lengths[places].tolist()))
-        out[2].extend(counts.tolist())
-        out[3].extend(docs.tolist())
-    return out
+        yield group[places], _binary(data, starts[places], lengths[places]), counts, docs
 
 
-def _long_counts(text: bytes, size: int) -> tuple[list, list, list, list]:
+def _long_counts(text: bytes, size: int) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
     """The same of one long text, counted in parts; each term is in one document."""
     sums: dict[bytes, int] = {}
     for part in _parts(text, size):
-        _, terms, counts, _ = _counts_of([part], np.zeros(1, dtype=np.int64))
-        for t, n in zip(terms, counts):
-            sums[t] = sums.get(t, 0) + n
-    return [0] * len(sums), list(sums), list(sums.values()), [1] * len(sums)
+        for _, terms, counts, _ in _counts_of([part], np.zeros(1, dtype=np.int64)):
+            for t, n in zip(terms.to_pylist(), counts.tolist()):
+                sums[t] = sums.get(t, 0) + n
+    return (np.zeros(len(sums), np.int64), pa.array(list(sums), pa.binary()),
+            np.array(list(sums.values()), np.int64), np.ones(len(sums), np.int64))
 
 
-def _piece_rows(lang: pa.Array, source: pa.Array, text: pa.Array, size: int) -> pa.RecordBatch:
+def _piece_rows(lang: pa.Array, source: pa.Array, text: pa.Array, size: int) -> Iterator[pa.RecordBatch]:
     """The counted terms of one piece as rows."""
     group, names = pd.MultiIndex.from_arrays([lang.to_pandas(), source.to_pandas()]).factorize()
     order = np.argsort(group, kind="stable")   # documents in the order of their groups
     texts = text.to_pylist()
+    named = [pa.array([x[c] for x in names], pa.string()) for c in range(2)]
     if len(texts) == 1 and len(texts[0]) > size:
-        g, terms, counts, docs = _long_counts(texts[0], size)
+        found = [_long_counts(texts[0], size)]
     else:
-        g, terms, counts, docs = _counts_of([texts[i] for i in order], group[order])
-    named = [names[i] for i in g]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([x[0] for x in named], pa.string()), pa.array([x[1] for x in named], pa.string()),
-         pa.array(terms, pa.binary()), pa.array(counts, pa.int64()), pa.array(docs, pa.int64())],
-        names=["lang", "source", "term", "n", "docs"])
+        found = _counts_of([texts[i] for i in order], group[order])
+    for g, terms, counts, docs in found:
+        yield pa.RecordBatch.from_arrays(
+            [*(x.take(pa.array(g)) for x in named), terms, pa.array(counts, pa.int64()), pa.array(docs, pa.int64())],
+            names=["lang", "source", "term", "n", "docs"])
 
 
 def term_counts(docs: DataFrame, piece: int = PIECE) -> DataFrame:
@@ -196,7 +200,7 @@ def term_counts(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j in _pieces(pc.binary_length(b.column(2)).to_numpy(zero_copy_only=False), piece):
-                yield _piece_rows(*[b.column(c).slice(i, j - i) for c in range(3)], piece)
+                yield from _piece_rows(*[b.column(c).slice(i, j - i) for c in range(3)], piece)
 
     rows = docs.select(whole_text("lang").alias("lang"), whole_text("source").alias("source"),
                        whole_text("text").cast("binary").alias("text"))

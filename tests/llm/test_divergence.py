@@ -75,3 +75,28 @@ def test_awkward_and_empty(spark, awkward, nothing):
     assert {r["lang"] for r in got} == {"en", "", "de"}
     assert D.divergence(nothing).collect() == []
     assert D.divergence(frame(spark, [(1, None)])).collect() == []   # one source: no other, no terms
+
+
+def test_rows_of_a_piece_equal_plain_counts():
+    """Terms of all length buckets, as columns of one batch for each bucket."""
+    import random
+    import re
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from chronoline.llm.divergence import _piece_rows
+    rng = random.Random(4)
+    words = ["a", "Straße", "abcdefgh", "abcdefghi", "abcdefghijklmnop", "Abcdefghijklmnopq", "日本語のテキスト", "x" * 40, "y" * 300]
+    docs = [(rng.choice(["en", "de", ""]), rng.choice(["s0", "s1"]), " ".join(rng.choices(words, k=rng.randrange(30))))
+            for _ in range(60)]
+    n, held = Counter(), Counter()
+    for lang, source, text in docs:
+        terms = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        n.update((lang, source, t.encode()) for t in terms)
+        held.update((lang, source, t.encode()) for t in set(terms))
+    args = [pa.array([d[0] for d in docs]), pa.array([d[1] for d in docs]), pa.array([d[2].encode() for d in docs])]
+    batches = list(_piece_rows(*args, 1 << 20))
+    assert all(isinstance(b, pa.RecordBatch) for b in batches)
+    got = {tuple(r.values())[:3]: (r["n"], r["docs"]) for b in batches for r in b.to_pylist()}
+    assert got == {k: (n[k], held[k]) for k in n} and sum(b.num_rows for b in batches) == len(n)
